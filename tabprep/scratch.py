@@ -56,9 +56,12 @@ def range_buckets(df: DataFrame, order_by: list[str], buckets: int | None = None
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on equal columns, nulls matching each other; the right side's key columns are dropped."""
+    """Join on columns of equal name, nulls matching each other; the columns are kept once."""
     names = {c: f"_right_{c}" for c in columns}
     same = F.lit(True)
     for c, renamed in names.items():
         same = same & F.col(c).eqNullSafe(F.col(renamed))
-    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
+    joined = left.join(right.withColumnsRenamed(names), same, how)
+    if how == "full_outer":
+        joined = joined.withColumns({c: F.coalesce(F.col(c), F.col(renamed)) for c, renamed in names.items()})
+    return joined.drop(*names.values())
