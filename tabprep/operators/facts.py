@@ -99,8 +99,8 @@ def dimensions(df: DataFrame) -> dict[str, DataFrame]:
 def to_transaction_fact(df: DataFrame, dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Fact rows of the ledger: integer keys, local and converted amount, rate.
 
-    ``df`` is the ledger after currency conversion. The transaction key is dense over the
-    transaction id.
+    ``df`` is the ledger after currency conversion. The transaction key is dense in the order of
+    the transaction id; the other columns only settle the order of repeated ids.
     """
     dims = dims or dimensions(df)
     fact = df
@@ -114,4 +114,4 @@ def to_transaction_fact(df: DataFrame, dims: Mapping[str, DataFrame] | None = No
         F.col("AmountEUR").alias("amount_eur"),
         F.col("FXRateUsed").alias("fx_rate"),
     )
-    return dense_key(rows, "transaction_key", ["TransactionID"]).drop("TransactionID")
+    return dense_key(rows, "transaction_key", rows.columns).drop("TransactionID")

@@ -182,7 +182,8 @@ def run_recipe(
 
     run = Run(config.get("name", "recipe"))
     started = time.monotonic()
-    read: list[Observation] = []
+    read: dict[str, Observation] = {}
+    written: list[str] = []
     kept: list[DataFrame] = []
     loaded = 0
     sinks = [s["depends_on"][-1] for s in steps if s.get("type") == "load" and s.get("depends_on")]
@@ -192,13 +193,14 @@ def run_recipe(
             try:
                 if kind == "extract":
                     frame, seen = counted(_extract(spark, settings))
-                    read.append(seen)
+                    read[name] = seen
                 elif kind == "transform":
                     frame = _transform(_input(run, step), settings, run, name)
                 elif kind == "load":
                     frame = _input(run, step)
                     if not dry_run:
                         loaded += _load(frame, settings)
+                        written.append(name)
                 elif custom and kind in custom:
                     frame = custom[kind](run.frames, settings)
                 else:
@@ -221,8 +223,9 @@ def run_recipe(
         for frame in kept:
             frame.unpersist()
     if not dry_run:
-        # An observation only has a value once a sink has read the frame.
-        run.metrics["records_processed"] = sum(seen.get["records"] for seen in read) if loaded else 0
+        # An observation only gets its value from a sink that reads the frame.
+        sources = _sources(steps, written)
+        run.metrics["records_processed"] = sum(read[s].get["records"] for s in sources if s in read)
         run.metrics["records_loaded"] = loaded
     run.metrics["duration_seconds"] = time.monotonic() - started
     run.metrics["steps_completed"] = len(run.steps_completed)
@@ -237,6 +240,21 @@ def _input(run: Run, step: Step) -> DataFrame:
     return run.frames[dependency]
 
 
+def _sources(steps: list[Step], written: list[str]) -> set[str]:
+    """Steps at the start of the chains of last dependencies that end in the given sinks.
+
+    A custom step may or may not use its inputs, so a chain ends there too.
+    """
+    by_name = {s["name"]: s for s in steps}
+    found = set()
+    for name in written:
+        step = by_name[name]
+        while step.get("type", "transform") in ("load", "transform") and step.get("depends_on"):
+            step = by_name[step["depends_on"][-1]]
+        found.add(step["name"])
+    return found
+
+
 def _transform(df: DataFrame, settings: Mapping[str, Any], run: Run, name: str) -> DataFrame:
     transform = settings.get("transform")
     if transform == "validate":
