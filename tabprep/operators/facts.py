@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,18 +82,28 @@ def to_tender_fact(df: DataFrame, source_file: str = "", load_timestamp: str | N
     return dense_key(rows, "tender_key", ["tender_id"])
 
 
-def dimension(df: DataFrame, name: str) -> DataFrame:
-    """Distinct members of one dimension with dense keys in member order, written down.
+def dimensions(df: DataFrame, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[str, DataFrame]:
+    """Distinct members of each dimension with dense keys in member order, written down.
 
-    Being a table of known size, it is broadcast by Spark where it fits the threshold and joined
-    by exchange where it does not.
+    One pass collects the members of all dimensions: every grouping set is reduced on the map
+    side, so what is exchanged is the members and not the rows. Being tables of known size, the
+    results are broadcast by Spark where they fit the threshold and exchanged where they do not.
     """
-    columns, key = DIMENSIONS[name]
-    return materialize(dense_key(df.select(*columns).distinct(), key, list(columns)))
+    columns = [c for name in names for c in DIMENSIONS[name][0]]
+    sets = [list(DIMENSIONS[name][0]) for name in names]
+    members = materialize(df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set")))
+    result = {}
+    for name, kept in zip(names, sets, strict=True):
+        # Bits of the grouping id, first column highest, mark the columns left out.
+        number = int("".join("0" if c in kept else "1" for c in columns), 2)
+        rows = members.where(F.col("_set") == number).select(*kept)
+        result[name] = materialize(dense_key(rows, DIMENSIONS[name][1], kept))
+    return result
 
 
-def dimensions(df: DataFrame) -> dict[str, DataFrame]:
-    return {name: dimension(df, name) for name in DIMENSIONS}
+def dimension(df: DataFrame, name: str) -> DataFrame:
+    """One dimension alone."""
+    return dimensions(df, [name])[name]
 
 
 def to_transaction_fact(df: DataFrame, dims: Mapping[str, DataFrame] | None = None) -> DataFrame:

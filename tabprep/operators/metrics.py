@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.operators.missing import fill_directional
-from tabprep.scratch import materialize
+from tabprep.scratch import BUCKET, materialize, range_buckets
 
 
 def _metric(name: str, value: Column, at: str, tags: dict[str, Column], unit: str) -> Column:
@@ -167,53 +169,82 @@ def alert_candidates(context: DataFrame, rules: Sequence[AlertRule] = ALERT_RULE
 def alerts_with_cooldown(candidates: DataFrame, time_column: str = "timestamp") -> DataFrame:
     """Times at which each alert fires, when a firing silences it for ``cooldown_seconds``.
 
-    ``candidates`` has alert, the time column and cooldown_seconds (one value per alert). Firing
-    is a chain: the next firing is the first candidate at or after the end of the cooldown. One
-    hot alert may hold most candidates, so the chain is not walked in one task. Each candidate is
-    linked to the candidate that would follow it, by a directional fill over key ranges, and
-    links are then doubled: after k rounds the first 2^k firings of every alert are known. Rounds
-    grow with the logarithm of the longest chain, and every join is on a unique key.
+    ``candidates`` has alert, the time column and cooldown_seconds (one value per alert). Firings
+    form a chain: each is followed by the first candidate at or after the end of its cooldown. One
+    hot alert may hold most candidates, so its chain is not walked in one task:
+
+    1. Candidates are cut into ranges of (alert, time). Within its range each candidate is given
+       the time from which the alert is free again once the chain through it leaves the range.
+       Chains soon merge, so these times are few.
+    2. Each such time is matched with the first candidate from then on, by a directional fill.
+    3. What is left are links from range to range. They are doubled until the chain from the
+       first candidate is known, in rounds that grow with the logarithm of the number of ranges.
+    4. Every range walks its own part of the chain, from the candidate at which it is entered.
     """
+    at = F.col(time_column).cast("timestamp_ntz").alias("at")
     # Candidates at one instant count once: the first silences the others.
-    nodes = materialize(
-        candidates.groupBy("alert", F.col(time_column).alias("at")).agg(
-            F.max("cooldown_seconds").alias("cooldown_seconds")
-        )
-    )
-    free_at = F.col("at") + F.make_dt_interval(secs=F.col("cooldown_seconds"))
-    silent = nodes.where(F.col("cooldown_seconds") > 0)
-    # A probe marks the end of a candidate's cooldown. It sorts before a candidate of the same
-    # instant, so that filling backward gives it the first candidate allowed to fire.
-    timeline = silent.select(
-        "alert", "at", F.lit(1).alias("kind"), F.col("at").alias("hit"), F.col("at").alias("origin")
-    )
-    probes = silent.select(
-        "alert",
-        free_at.alias("at"),
-        F.lit(0).alias("kind"),
-        F.lit(None).cast(nodes.schema["at"].dataType).alias("hit"),
-        F.col("at").alias("origin"),
-    )
-    filled = fill_directional(
-        timeline.unionByName(probes), ["hit"], ["at", "kind", "origin"], ["alert"], forward=False
-    )
-    links = materialize(
-        filled.where((F.col("kind") == 0) & F.col("hit").isNotNull()).select(
-            "alert", F.col("origin").alias("at"), F.col("hit").alias("next")
-        )
+    instants = candidates.where(F.col("cooldown_seconds") > 0).groupBy("alert", at)
+    nodes = range_buckets(instants.agg(F.max("cooldown_seconds").cast("double").alias("cooldown")), ["alert", "at"])
+    ranges = nodes.groupBy(BUCKET, "alert")
+    chains = materialize(ranges.applyInPandas(_leave_range, "alert string, at timestamp_ntz, onward timestamp_ntz"))
+
+    # A probe sorts before a candidate of the same instant, which it may fire.
+    nothing = F.lit(None).cast("timestamp_ntz")
+    timeline = chains.select("alert", "at", F.lit(1).alias("kind"), F.col("at").alias("hit"), "onward").unionByName(
+        chains.select("alert", F.col("onward").alias("at"))
+        .distinct()
+        .select("alert", "at", F.lit(0).alias("kind"), nothing.alias("hit"), nothing.alias("onward"))
     )
-    reached = materialize(silent.groupBy("alert").agg(F.min("at").alias("at")))
-    fired = [reached]
+    filled = fill_directional(timeline, ["hit", "onward"], ["at", "kind"], ["alert"], forward=False)
+    links = materialize(filled.where((F.col("kind") == 0) & F.col("hit").isNotNull()).drop("kind"))
+
+    first = chains.groupBy("alert").agg(F.min_by(F.struct(F.col("at").alias("hit"), "onward"), "at").alias("f"))
+    first = materialize(first.select("alert", "f.*"))
+    entered = _follow(first.select("alert", F.col("onward").alias("at")), links.drop("hit"))
+    entries = first.select("alert", "hit").unionByName(entered.join(links, ["alert", "at"]).select("alert", "hit"))
+
+    starts = entries.withColumnRenamed("hit", "at").join(nodes, ["alert", "at"])
+    starts = materialize(starts.select(BUCKET, "alert", F.col("at").alias("start")))
+    walked = nodes.join(starts, [BUCKET, "alert"]).groupBy(BUCKET, "alert")
+    fired = walked.applyInPandas(_walk_range, "alert string, at timestamp_ntz")
+    # Without a cooldown every candidate fires.
+    always = candidates.where(F.col("cooldown_seconds") <= 0).select("alert", at)
+    kind = candidates.schema[time_column].dataType
+    return fired.unionByName(always).select("alert", F.col("at").cast(kind).alias(time_column))
+
+
+def _follow(reached: DataFrame, links: DataFrame) -> DataFrame:
+    """All times reached from the given ones over links ``(alert, at) -> onward``, by doubling."""
+    known = materialize(reached)
     while True:
-        known = fired[0]
-        for part in fired[1:]:
-            known = known.unionByName(part)
-        step = materialize(known.join(links, ["alert", "at"]).select("alert", F.col("next").alias("at")))
+        step = materialize(known.join(links, ["alert", "at"]).select("alert", F.col("onward").alias("at")))
         if step.isEmpty():
-            break
-        fired.append(step)
-        further = links.select("alert", F.col("at").alias("next"), F.col("next").alias("beyond"))
-        links = materialize(links.join(further, ["alert", "next"]).select("alert", "at", F.col("beyond").alias("next")))
-    # Without a cooldown every candidate fires.
-    always = candidates.where(F.col("cooldown_seconds") <= 0).select("alert", F.col(time_column).alias("at"))
-    return known.unionByName(always).withColumnRenamed("at", time_column)
+            return known
+        known = known.unionByName(step)
+        further = links.select("alert", F.col("at").alias("onward"), F.col("onward").alias("beyond"))
+        links = links.join(further, ["alert", "onward"]).select("alert", "at", F.col("beyond").alias("onward"))
+        links = materialize(links)
+
+
+def _following(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted candidates of a range, the end of the cooldown of each, and the next firing's position."""
+    times = np.sort(pdf["at"].to_numpy())
+    free = times + np.timedelta64(int(pdf["cooldown"].iloc[0] * 1_000_000), "us")
+    return times, free, np.searchsorted(times, free)
+
+
+def _leave_range(pdf: pd.DataFrame) -> pd.DataFrame:
+    times, free, following = _following(pdf)
+    for i in range(len(times) - 1, -1, -1):
+        if following[i] < len(times):
+            free[i] = free[following[i]]
+    return pd.DataFrame({"alert": pdf["alert"].iloc[0], "at": times, "onward": free})
+
+
+def _walk_range(pdf: pd.DataFrame) -> pd.DataFrame:
+    times, _, following = _following(pdf)
+    fired, i = [], int(np.searchsorted(times, pdf["start"].to_numpy()[0]))
+    while i < len(times):
+        fired.append(i)
+        i = int(following[i])
+    return pd.DataFrame({"alert": pdf["alert"].iloc[0], "at": times[fired]})

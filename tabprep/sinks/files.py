@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,11 @@ from tabprep.scratch import materialize
 log = logging.getLogger(__name__)
 
 DATE_PATTERN = "yyyy-MM-dd"
+# ISO times down to the microsecond; the default pattern would cut them to milliseconds.
+JSON_TIMES = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+}
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -52,7 +57,7 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", mode: s
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """One JSON record per line, dates in ISO form."""
     rows, seen = counted(df)
-    rows.write.mode(mode).json(path)
+    rows.write.mode(mode).options(**JSON_TIMES).json(path)
     return seen.get["records"]
 
 
@@ -96,4 +101,9 @@ def write_quarantine(validated: DataFrame, path: str, reason: str = "Validation
 
 def append_log(events: DataFrame, path: str) -> None:
     """Append metric or alert events as JSON lines."""
-    events.write.mode("append").json(path)
+    events.write.mode("append").options(**JSON_TIMES).json(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Events of a log under its declared schema."""
+    return spark.read.schema(schema).options(**JSON_TIMES).json(path)
