@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabprep.plans import functions, operations, reporting, tables  # noqa: F401
+from tabprep.plans import files, functions, operations, reporting, tables  # noqa: F401
 from tabprep.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tabprep.operators.validation import STATUS, VALID, with_status
 from tabprep.scratch import materialize
+from tabprep.sources.files import CSV_QUOTING
 
 log = logging.getLogger(__name__)
 
@@ -44,7 +45,8 @@ def write_csv(
 ) -> int:
     """Delimited files with a header; dates are written in one pattern. Returns the row count."""
     rows, seen = counted(format_dates(df, date_format))
-    rows.write.mode(mode).options(header=True, sep=delimiter, encoding=encoding).csv(path)
+    options = {**CSV_QUOTING, "header": True, "sep": delimiter, "encoding": encoding}
+    rows.write.mode(mode).options(**options).csv(path)
     return seen.get["records"]
 
 

@@ -12,6 +12,14 @@ from tabprep.functions.dates import clean_date
 from tabprep.operators.cleaning import enforce_schema
 from tabprep.operators.redaction import suffix_of
 
+# Quotes inside a value are doubled and white space is kept, on reading and on writing.
+CSV_QUOTING = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def normalize_headers(df: DataFrame) -> DataFrame:
     """Column names without surrounding white space."""
@@ -37,13 +45,16 @@ def read_csv(
     dtypes: Mapping[str, str] | None = None,
     parse_dates: Sequence[str] = (),
     lineage: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited files with a header.
 
     Without a schema all columns land as text, which saves the pass that inference would take
-    and keeps codes such as ``0042``; ``dtypes`` then casts by column.
+    and keeps codes such as ``0042``; ``dtypes`` then casts by column. Line breaks inside quoted
+    values need ``multi_line``, at the price that a file is no longer split.
     """
-    reader = spark.read.options(header=True, sep=delimiter, encoding=encoding)
+    options = {**CSV_QUOTING, "header": True, "sep": delimiter, "encoding": encoding, "multiLine": multi_line}
+    reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path if isinstance(path, str) else list(path))
@@ -55,22 +66,21 @@ def read_csv(
     return df.withColumns({c: clean_date(c) for c in parse_dates if c in df.columns})
 
 
-def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """Read by suffix: Parquet, CSV, Excel workbooks, or JSON holding an array of records.
+def read_any(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Read by suffix: Parquet, CSV, Excel workbooks, or JSON.
 
-    A missing path or an unknown suffix is an error.
+    JSON may hold a record or an array of records per line; ``multi_line`` reads one document of
+    any layout per file. A missing path or an unknown suffix is an error.
     """
     suffix = suffix_of(path)
     if suffix == "parquet":
         return spark.read.parquet(path)
     if suffix == "csv":
-        return read_csv(spark, path, lineage=False)
+        return read_csv(spark, path, lineage=False, multi_line=multi_line)
     if suffix in ("xlsx", "xlsm"):
         from tabprep.sources.workbook import read_excel
 
         return read_excel(spark, path, lineage=False)
-    if suffix == "json":
-        return spark.read.option("multiLine", True).json(path)
-    if suffix == "jsonl":
-        return spark.read.json(path)
+    if suffix in ("json", "jsonl"):
+        return spark.read.option("multiLine", multi_line).json(path)
     raise ValueError(f"unsupported file format: {suffix or path}")
