@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.scratch import null_safe_join
+from tabprep.scratch import materialize, null_safe_join
 
 TOLERANCE = 1e-10
 SAMPLES = 5
@@ -47,10 +47,9 @@ def compare_shape(df1: DataFrame, df2: DataFrame) -> DataFrame:
     )
 
 
-def _per_key(df: DataFrame, keys: list[str], columns: list[str], side: int) -> DataFrame:
-    """Row count and one row per key; a key with many copies is folded before the exchange."""
-    row = [F.first(F.struct(*columns)).alias(f"r{side}")] if columns else []
-    return df.groupBy(*keys).agg(F.count("*").cast(PAIRS).alias(f"n{side}"), *row)
+def _per_key(df: DataFrame, keys: list[str], side: int) -> DataFrame:
+    """Row count per key; a key with many copies is folded before the exchange."""
+    return df.groupBy(*keys).agg(F.count("*").cast(PAIRS).alias(f"n{side}"))
 
 
 def compare_keys(df1: DataFrame, df2: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,7 +59,7 @@ def compare_keys(df1: DataFrame, df2: DataFrame, keys: Sequence[str]) -> DataFra
     from the row counts and never formed.
     """
     keys = list(keys)
-    one, two = _per_key(df1, keys, [], 1), _per_key(df2, keys, [], 2)
+    one, two = _per_key(df1, keys, 1), _per_key(df2, keys, 2)
     joined = null_safe_join(one, two, keys, "full_outer")
     zero = F.lit(0).cast(PAIRS)
 
@@ -100,39 +99,64 @@ def _common(df1: DataFrame, df2: DataFrame, keys: list[str]) -> list[str]:
     return [c for c in df1.columns if c in df2.columns and c not in keys]
 
 
+def _repeated_keys(df1: DataFrame, df2: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys held more than once on either side, from a pass over the key columns alone.
+
+    Written down, so that its true size decides how it is joined.
+    """
+    many = [df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1).select(*keys) for df in (df1, df2)]
+    return materialize(many[0].unionByName(many[1]).distinct())
+
+
+def _single_pairs(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str], repeated: DataFrame | None) -> DataFrame:
+    """Rows of both sides under keys that neither side repeats, as structs ``r1`` and ``r2``."""
+    sides = []
+    for side, df in ((1, df1), (2, df2)):
+        rows = df if repeated is None else null_safe_join(df, repeated, keys, "left_anti")
+        sides.append(rows.select(*keys, F.struct(*columns).alias(f"r{side}")))
+    return null_safe_join(*sides, keys, "inner")
+
+
 def compare_values(
     df1: DataFrame, df2: DataFrame, keys: Sequence[str], tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """Columns that differ between rows of equal key, with the number of differing pairs of rows."""
+    """Columns that differ between rows of equal key, with the number of differing pairs of rows.
+
+    Rows whose key is held once are joined. Where a key repeats, however often, its pairs are
+    counted without being formed.
+    """
     keys = list(keys)
     common = _common(df1, df2, keys)
-    both = null_safe_join(_per_key(df1, keys, common, 1), _per_key(df2, keys, common, 2), keys, "inner")
-    single = (F.col("n1") == 1) & (F.col("n2") == 1)
-    counts = both.agg(
-        F.coalesce(F.sum(F.when(~single, F.col("n1") * F.col("n2"))), F.lit(0)).cast(PAIRS).alias("pairs"),
+    repeated = _repeated_keys(df1, df2, keys)
+    some_repeat = not repeated.isEmpty()
+    both = _single_pairs(df1, df2, keys, common, repeated if some_repeat else None)
+    differing = both.agg(
         *[
-            F.count_if(single & _differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance)).alias(c)
+            F.count_if(_differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance)).cast(PAIRS).alias(c)
             for c in common
-        ],
-    )
-    single_rows = counts.unpivot("pairs", common, "column", "single")
-
-    repeated = both.where(~single).select(*keys)
-    equal = _equal_pairs(df1, df2, keys, common, repeated, tolerance)
+        ]
+    ).unpivot([], common, "column", "differences")
+    if not some_repeat:
+        return differing.where(F.col("differences") > 0)
+
+    one, two = (null_safe_join(df, repeated, keys, "left_semi") for df in (df1, df2))
+    counted = null_safe_join(_per_key(one, keys, 1), _per_key(two, keys, 2), keys, "inner")
+    pairs = counted.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).cast(PAIRS).alias("pairs")).scalar()
+    equal = _equal_pairs(one, two, keys, common, tolerance)
     return (
-        single_rows.join(equal, "column", "left")
+        differing.join(equal, "column", "left")
         .select(
             "column",
-            (F.col("single") + F.col("pairs") - F.coalesce("equal", F.lit(0))).cast(PAIRS).alias("differences"),
+            (F.col("differences") + pairs - F.coalesce("equal", F.lit(0))).cast(PAIRS).alias("differences"),
         )
         .where(F.col("differences") > 0)
     )
 
 
 def _equal_pairs(
-    df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str], repeated: DataFrame, tolerance: float
+    df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str], tolerance: float
 ) -> DataFrame:
-    """Per column, pairs of equal values among the rows of repeated keys.
+    """Per column, pairs of equal values among rows of equal key.
 
     Values are counted per key first. Exact values meet on equality; values with a tolerance meet
     on cells as wide as the tolerance, so no pair of unlike values is ever formed.
@@ -152,7 +176,7 @@ def _equal_pairs(
                 near = [number] if side == 1 else [number - tolerance, number, number + tolerance]
                 cell = F.array_distinct(F.array(*[F.floor(v / tolerance).cast("string") for v in near]))
             entries.append(F.struct(F.lit(c).alias("column"), number.alias("number"), cell.alias("cells")))
-        long = null_safe_join(df, repeated, keys, "left_semi").select(*keys, F.inline(F.array(*entries)))
+        long = df.select(*keys, F.inline(F.array(*entries)))
         counted = long.groupBy(*keys, "column", "number", "cells").agg(F.count("*").cast(PAIRS).alias(f"n{side}"))
         return counted.select(
             *keys, "column", F.col("number").alias(f"v{side}"), F.explode("cells").alias("cell"), f"n{side}"
@@ -169,7 +193,8 @@ def compare_samples(
     """The first ``n`` differing rows per column in key order, among keys held once on both sides."""
     keys = list(keys)
     common = _common(df1, df2, keys)
-    both = null_safe_join(_per_key(df1, keys, common, 1), _per_key(df2, keys, common, 2), keys, "inner")
+    repeated = _repeated_keys(df1, df2, keys)
+    both = _single_pairs(df1, df2, keys, common, None if repeated.isEmpty() else repeated)
     entries = [
         F.when(
             _differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance),
@@ -181,9 +206,7 @@ def compare_samples(
         )
         for c in common
     ]
-    differing = both.where((F.col("n1") == 1) & (F.col("n2") == 1)).select(
-        *keys, F.inline(F.array_compact(F.array(*entries)))
-    )
+    differing = both.select(*keys, F.inline(F.array_compact(F.array(*entries))))
     rank = F.row_number().over(Window.partitionBy("column").orderBy(*keys))
     return differing.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 

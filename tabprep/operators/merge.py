@@ -21,23 +21,14 @@ def assert_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _one_per_key(df: DataFrame, keys: list[str], side: str) -> DataFrame:
-    """One row per key; fails at run time if a key repeats.
+def _unique(df: DataFrame, keys: list[str], side: str) -> DataFrame:
+    """Add a true ``_<side>``; reading it fails if the row's key is a repeated one.
 
-    The check shares the exchange of the join that follows, and its partial aggregate folds a
-    repeated key before the exchange.
+    The window needs the rows exchanged and sorted by key, which the join that follows needs too.
     """
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     repeated = F.raise_error(F.concat(F.lit(f"repeated key in {side}: "), F.to_json(F.struct(*keys))))
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_present"))
-    checked = F.when(F.count("*") > 1, repeated.cast(_struct_type(df, rest))).otherwise(F.first(row))
-    return df.groupBy(*keys).agg(checked.alias(f"_{side}"))
-
-
-def _struct_type(df: DataFrame, columns: list[str]) -> str:
-    if not columns:
-        return "struct<_present:boolean>"
-    return df.select(F.struct(*columns).alias("s")).schema["s"].dataType.simpleString()
+    return df.withColumn(f"_{side}", F.when(copy > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
 
 
 def upsert(
@@ -56,27 +47,28 @@ def upsert(
     keys = list(conflict_columns)
     if not keys:
         return target.unionByName(source, allowMissingColumns=True)
-    updated = list(update_columns) if update_columns else [c for c in source.columns if c not in keys]
+    given = [c for c in source.columns if c in target.columns and c not in keys]
+    updated = list(update_columns) if update_columns else given
 
     keyed = F.lit(True)
     for c in keys:
         keyed = keyed & F.col(c).isNotNull()
-    old = _one_per_key(target.where(keyed), keys, "target")
-    new = _one_per_key(source.where(keyed), keys, "source")
-    both = old.join(new, keys, "full_outer")
+    old = _unique(target.where(keyed), keys, "target")
+    incoming = source.where(keyed).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in given])
+    # Reading both marks keeps the checks in the plan.
+    both = old.join(_unique(incoming, keys, "source"), keys, "full_outer").where(
+        F.col("_target").isNotNull() | F.col("_source").isNotNull()
+    )
 
     def value(c: str) -> Column:
-        held = F.col("_target")[c]
-        if c not in source.columns:
-            return held
-        incoming = F.col("_source")[c]
-        if c in updated:
-            return F.when(F.col("_source").isNotNull(), incoming).otherwise(held)
-        return F.when(F.col("_target").isNotNull(), held).otherwise(incoming)
-
-    merged = both.select(*[F.col(c) if c in keys else value(c).alias(c) for c in target.columns])
+        if c not in given:
+            return F.col(c)
+        side = F.col("_source").isNotNull() if c in updated else F.col("_target").isNull()
+        return F.when(side, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+
+    merged = both.select(*[value(c) for c in target.columns])
     return merged.unionByName(target.where(~keyed)).unionByName(
-        source.where(~keyed).select(*[c for c in target.columns if c in source.columns]), allowMissingColumns=True
+        source.where(~keyed).select(*keys, *given), allowMissingColumns=True
     )
 
 

@@ -21,7 +21,7 @@ from tabprep.sources.files import add_lineage, normalize_headers, read_any, read
 from tabprep.sources.incremental import read_incremental
 from tabprep.sources.odata import count_odata_rows, read_odata_pages, read_odata_rows
 from tabprep.sources.workbook import read_excel
-from tabprep.streaming.alerts import stream_alerts
+from tabprep.streaming.alerts import fired_alerts, start_alerts
 from tabprep.streaming.incremental import current_rows, start_incremental
 
 RAW_COLUMNS = [f.strip() for f in (
@@ -296,19 +296,9 @@ def a5_stream(spark, d):
     schema = table(spark, d, "events").schema
     events = spark.readStream.schema(schema).format("parquet").load(f"{d}/events.parquet*")
     candidates = events.select(F.col("event_type").alias("alert"), F.col("ts").alias("timestamp"), F.lit(3600).alias("cooldown_seconds"))
-    out = scratch_path(spark, "fired")
-    (
-        stream_alerts(candidates)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    fired = spark.read.parquet(out)
-    return fired.select("alert", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+    log = scratch_path(spark, "fired")
+    start_alerts(candidates, log, scratch_path(spark, "checkpoint")).awaitTermination()
+    return fired_alerts(spark.read.parquet(log))
 
 
 # --- sinks

@@ -111,8 +111,9 @@ def _extract(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
 
 def _validate(df: DataFrame, config: Mapping[str, Any], run: Run, name: str) -> DataFrame:
     """Report on bad rows and let them pass, or with ``mode: split`` keep only the valid ones."""
-    checked = validate_tenders(df, config.get("quarantine_threshold", 0.5))
-    run.summaries[name] = validation_summary(checked)
+    threshold = config.get("quarantine_threshold", 0.5)
+    checked = validate_tenders(df, threshold)
+    run.summaries[name] = validation_summary(checked, threshold)
     if config.get("mode", "report") == "report":
         return df
     if "quarantine_path" in config:

@@ -2,47 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
+
+from tabprep.operators.metrics import alerts_with_cooldown
 
-OUTPUT = "alert string, timestamp timestamp"
-STATE = "last_fired timestamp"
+BATCH = "batch_id"
 
 
-def stream_alerts(candidates: DataFrame, time_column: str = "timestamp") -> DataFrame:
-    """Firing times per alert, with the time of the last one kept as state across batches.
+def start_alerts(candidates: DataFrame, log: str, checkpoint: str, time_column: str = "timestamp") -> StreamingQuery:
+    """Write the firing times of a stream of alert candidates to a log, then stop.
 
-    ``candidates`` is a streaming frame with alert, the time column and cooldown_seconds. The
-    instants of one alert are taken in time order within a batch; one that arrives later than
-    the alert's last firing never fires. Only the time of the last firing is kept per alert, and
-    of the rows of one trigger only alert, instant and cooldown travel. A trigger's size is set
-    at the source (``maxFilesPerTrigger``).
+    ``candidates`` is a streaming frame with alert, the time column and cooldown_seconds. What is
+    carried from batch to batch is the last firing per alert, read from the log itself; a
+    candidate before the end of that cooldown never fires, however late it arrives. Within a
+    batch the chain of firings is found by the batch operator, so a hot alert is spread over
+    tasks. A repeated batch replaces its own ``batch_id`` folder.
     """
-    slim = candidates.select(
-        "alert", F.col(time_column).cast("timestamp").alias("timestamp"), F.col("cooldown_seconds").cast("double")
-    )
-    return slim.groupBy("alert").applyInPandasWithState(
-        _fire, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+
+    def fire(batch: DataFrame, number: int) -> None:
+        root = log.rstrip("/")
+        if number > 0:
+            earlier = batch.sparkSession.read.parquet(root).where(F.col(BATCH) < number)
+            last = earlier.groupBy("alert").agg(F.max(time_column).alias("_last"))
+            free_at = F.col("_last") + F.make_dt_interval(secs=F.col("cooldown_seconds"))
+            batch = batch.join(last, "alert", "left").where(
+                F.col("_last").isNull() | (F.col(time_column) >= free_at)
+            )
+        fired = alerts_with_cooldown(batch.select("alert", time_column, "cooldown_seconds"), time_column)
+        fired.write.mode("overwrite").parquet(f"{root}/{BATCH}={number}")
+
+    return (
+        candidates.writeStream.foreachBatch(fire)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
-def _fire(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last = pd.Timestamp(state.get[0]) if state.exists else None
-    # A key's rows come in several chunks, in no order.
-    instants = pd.concat([c[["timestamp", "cooldown_seconds"]].drop_duplicates() for c in chunks])
-    instants = instants.sort_values("timestamp")
-    cooldown = pd.Timedelta(seconds=instants["cooldown_seconds"].max())
-    times, fired, i = instants["timestamp"].reset_index(drop=True), [], 0
-    if last is not None:
-        i = times.searchsorted(last + cooldown)
-    while i < len(times):
-        last = times[i]
-        fired.append(last)
-        i = max(i + 1, times.searchsorted(last + cooldown))
-    if fired:
-        state.update((last.to_pydatetime(),))
-        yield pd.DataFrame({"alert": key[0], "timestamp": fired})
+def fired_alerts(log: DataFrame) -> DataFrame:
+    """The firings of a log, without the batch they came from."""
+    return log.drop(BATCH)
