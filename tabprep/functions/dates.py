@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.text import as_column, strip
 
-# Date layouts in order of priority (day-first before month-first). Each has the
-# shape its text must have, so that no row pays for a parse that cannot succeed.
+# Date layouts in order of priority, day-first before month-first. Each comes with
+# the shape its text must have, so that no row pays for a parse that is bound to fail.
+DAY, MONTH = r"(0?[1-9]|[12]\d|3[01])", r"(0?[1-9]|1[0-2])"
 DATE_LAYOUTS = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\p{L}{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^\d{1,2} \p{L}{3} \d{4}$", "d MMM yyyy"),
+    (rf"^\d{{4}}-{MONTH}-{DAY}$", "yyyy-M-d"),
+    (rf"^{DAY}/{MONTH}/\d{{4}}$", "d/M/yyyy"),
+    (rf"^{MONTH}/{DAY}/\d{{4}}$", "M/d/yyyy"),
+    (rf"^\d{{4}}/{MONTH}/{DAY}$", "yyyy/M/d"),
+    (rf"^{DAY}-{MONTH}-\d{{4}}$", "d-M-yyyy"),
+    (rf"^\p{{L}}{{3}} {DAY}, \d{{4}}$", "MMM d, yyyy"),
+    (rf"^{DAY} \p{{L}}{{3}} \d{{4}}$", "d MMM yyyy"),
     (r"^\d{8}$", "yyyyMMdd"),
 )
-LONG_MONTH_LAYOUT = (r"^\p{L}{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy")
+LONG_MONTH_LAYOUT = (rf"^\p{{L}}{{4,}} {DAY}, \d{{4}}$", "MMMM d, yyyy")
 
 AVERAGE_MONTH_DAYS = 30.44
 
@@ -29,16 +30,19 @@ AVERAGE_MONTH_DAYS = 30.44
 def clean_date(c: Column | str, formats: Sequence[str] | None = None) -> Column:
     """Timestamp from text in any known layout; null where none fits.
 
-    ``formats`` replaces the built-in layouts by Spark datetime patterns. What no layout
-    matches goes through the standard timestamp cast last.
+    ``formats`` replaces the built-in layouts by Spark datetime patterns. ISO dates and times,
+    the first and most common layout, go through the plain cast, which needs no formatter; so
+    does at last what no layout matches.
     """
     text = strip(c)
     if formats is not None:
         attempts = [F.try_to_date(text, f) for f in formats]
     else:
-        attempts = [_in_layout(text, shape, p) for shape, p in (*DATE_LAYOUTS, LONG_MONTH_LAYOUT)]
-    parsed = [a.cast("timestamp_ntz") for a in attempts]
-    return F.coalesce(*parsed, text.try_cast("timestamp_ntz"))
+        attempts = [F.when(F.substring(text, 5, 1) == "-", text.try_cast("timestamp_ntz"))]
+        attempts += [_in_layout(text, shape, p) for shape, p in (*DATE_LAYOUTS[1:], LONG_MONTH_LAYOUT)]
+    # The cast would also take five and six digits as a year.
+    rest = F.when(text.rlike(r"^\d{4}(\D|$)"), text.try_cast("timestamp_ntz"))
+    return F.coalesce(*[a.cast("timestamp_ntz") for a in attempts], rest)
 
 
 def _in_layout(text: Column, shape: str, pattern: str) -> Column:

@@ -170,7 +170,7 @@ def _equal_pairs(
             if _exact(held, tolerance):
                 number = F.lit(None).cast("double")
                 own = value + F.lit(0.0) if isinstance(held, T.FloatType | T.DoubleType) else value
-                cell = F.array(F.to_json(F.struct(own.alias("v"))))
+                cell = F.array(own.cast("string") if isinstance(held, T.AtomicType) else F.to_json(F.struct(own)))
             else:
                 number = value.cast("double")
                 near = [number] if side == 1 else [number - tolerance, number, number + tolerance]

@@ -80,13 +80,11 @@ def fill_directional(
     # Only partitions that cross a range border have a carry: fewer rows than there are ranges.
     joined = null_safe_join(ranged, F.broadcast(carried), [BUCKET, *keys])
 
-    inside = Window.partitionBy(BUCKET, *keys).orderBy(*order)
-    if forward:
-        inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        local = {c: F.last(c, ignorenulls=True).over(inside) for c in columns}
-    else:
-        inside = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        local = {c: F.first(c, ignorenulls=True).over(inside) for c in columns}
+    # Backward is forward over the reversed order: a frame that shrinks row by row would be
+    # evaluated anew for each row.
+    sequence = [F.col(c).asc() if forward else F.col(c).desc() for c in order]
+    inside = Window.partitionBy(BUCKET, *keys).orderBy(*sequence).rowsBetween(Window.unboundedPreceding, 0)
+    local = {c: F.last(c, ignorenulls=True).over(inside) for c in columns}
     return joined.select(
         *[
             F.coalesce(local[c], F.col(f"_carry_{c}")).alias(c) if c in local else F.col(c)

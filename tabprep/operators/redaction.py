@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.text import as_column
-
 # Columns that are always dropped.
 SENSITIVE_COLUMNS = (
     "_source_file",
@@ -45,21 +45,22 @@ BEARER = r"Bearer\s+[a-zA-Z0-9._-]+"
 CREDENTIAL_NAMES = r"(password|secret|token|key|api_key|client_secret)"
 CREDENTIAL = CREDENTIAL_NAMES + r"\s*[:=]\s*\S+"
 
-# Pattern, replacement and a text every match contains. The order matters: a bare 11-digit CPF
-# also has the shape of a phone number and is taken as one.
+# Pattern and replacement, in order. The order matters: a bare 11-digit CPF also has
+# the shape of a phone number and is taken as one.
 REDACTIONS = (
-    (EMAIL, "[EMAIL REDACTED]", "@"),
-    (PHONE, "[PHONE REDACTED]", None),
-    (CPF, "[CPF REDACTED]", None),
-    (CNPJ, "[CNPJ REDACTED]", "/"),
-    (API_KEY, "[API KEY REDACTED]", "sk-"),
-    (BEARER, "[TOKEN REDACTED]", "Bearer"),
+    (EMAIL, "[EMAIL REDACTED]"),
+    (PHONE, "[PHONE REDACTED]"),
+    (CPF, "[CPF REDACTED]"),
+    (CNPJ, "[CNPJ REDACTED]"),
+    (API_KEY, "[API KEY REDACTED]"),
+    (BEARER, "[TOKEN REDACTED]"),
 )
 CREDENTIAL_REDACTIONS = (
     (CREDENTIAL_NAMES + r"\s*:\s*\S+", "$1: [REDACTED]"),
     (CREDENTIAL_NAMES + r"\s*=\s*\S+", "$1=[REDACTED]"),
     (EMAIL, "[EMAIL REDACTED]"),
 )
+# Labels of the scan.
 SCAN_LABELS = {
     "Email": EMAIL,
     "Phone": PHONE,
@@ -70,6 +71,29 @@ SCAN_LABELS = {
 }
 
 
+def _may_match(pattern: str, c: Column) -> Column:
+    """A cheap test that every text with a match passes. Most text has none, and searching it for
+    a few plain characters costs far less than trying the pattern at each position."""
+
+    def holds(*parts: str) -> Column:
+        found = [F.contains(F.lower(c), F.lit(p)) for p in parts]
+        return reduce(or_, found)
+
+    if pattern == EMAIL:
+        return F.contains(c, F.lit("@"))
+    if pattern == PHONE:
+        return c.rlike(r"\d{3}[-.\s]?\d{4}")
+    if pattern == CPF:
+        return c.rlike(r"\d{3}-?\d{2}")
+    if pattern == CNPJ:
+        return F.contains(c, F.lit("/"))
+    if pattern == API_KEY:
+        return holds("sk-")
+    if pattern == BEARER:
+        return F.contains(c, F.lit("Bearer"))
+    return holds("password", "secret", "token", "key")
+
+
 def drop_sensitive_columns(df: DataFrame) -> DataFrame:
     """Drop the columns that are known to be sensitive."""
     return df.drop(*SENSITIVE_COLUMNS)
@@ -81,38 +105,42 @@ def drop_sensitive_like(df: DataFrame) -> DataFrame:
     return df.select(*keep)
 
 
-def redact_text(c: Column | str) -> Column:
-    """Replace e-mail addresses, phone numbers, CPF and CNPJ numbers, API keys and bearer tokens.
-
-    A plain substring test comes before each pattern that has one, since most text has no match.
-    """
-    c = as_column(c)
-    for pattern, replacement, needed in REDACTIONS:
-        redacted = F.regexp_replace(c, pattern, replacement)
-        c = redacted if needed is None else F.when(F.contains(c, F.lit(needed)), redacted).otherwise(c)
-    return c
+def _replace_all(df: DataFrame, columns: Sequence[str], steps: Sequence[tuple[str, str]], flags: str = "") -> DataFrame:
+    """Replacements one after the other, each a projection of its own over the one before."""
+    for pattern, replacement in steps:
+        replaced = {}
+        for name in columns:
+            c = F.col(f"`{name}`")
+            done = F.regexp_replace(c, flags + pattern, replacement)
+            replaced[name] = F.when(_may_match(pattern, c), done).otherwise(c)
+        df = df.withColumns(replaced)
+    return df
 
 
 def redact(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Redact all string columns, or the given ones; nulls stay null."""
+    """Redact all string columns, or the given ones; nulls stay null.
+
+    Replaced are e-mail addresses, phone numbers, CPF and CNPJ numbers, API keys and bearer tokens.
+    """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: redact_text(F.col(f"`{c}`")) for c in (columns or texts)})
+    return _replace_all(df, texts if columns is None else columns, REDACTIONS)
 
 
-def redact_credentials(c: Column | str) -> Column:
+def redact_credentials(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Blank the values of credential settings (``name: value``, ``name=value``) and e-mail addresses."""
-    c = as_column(c)
-    for pattern, replacement in CREDENTIAL_REDACTIONS:
-        c = F.regexp_replace(c, "(?i)" + pattern, replacement)
-    return c
+    return _replace_all(df, columns, CREDENTIAL_REDACTIONS, "(?i)")
 
 
 def scan_sensitive(df: DataFrame, text_column: str, id_column: str) -> DataFrame:
     """Matches per row and label over whole texts, rows without matches left out."""
+    text = F.col(text_column)
     found = [
         F.struct(
             F.lit(label).alias("label"),
-            F.regexp_count(F.col(text_column), F.lit("(?i)" + pattern)).cast("bigint").alias("matches"),
+            F.when(_may_match(pattern, text), F.regexp_count(text, F.lit("(?i)" + pattern)))
+            .otherwise(0)
+            .cast("bigint")
+            .alias("matches"),
         )
         for label, pattern in SCAN_LABELS.items()
     ]

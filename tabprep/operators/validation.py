@@ -15,8 +15,9 @@ ERRORS = "_errors"
 STATUS = "_status"
 VALID, INVALID, QUARANTINED = "valid", "invalid", "quarantined"
 
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-ISO_MIDNIGHT = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}"
+# A date, maybe with a time of day; and one that has it.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}($|[Tt ]\d{2}:\d{2})"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}[Tt ]"
 SHOWN_ERRORS = 10
 
 
@@ -54,9 +55,10 @@ def _checks(c: Column, held: T.DataType, f: Field) -> list[Rule]:
         rules.append(Rule(f.source, "date_from_datetime_inexact", c != F.date_trunc("day", c)))
     elif f.kind == "date" and text:
         read = c.try_cast("timestamp_ntz")
-        shaped = c.rlike(ISO_DATE) | c.rlike(ISO_MIDNIGHT)
-        rules.append(Rule(f.source, "date_from_datetime_parsing", c.isNotNull() & (read.isNull() | ~shaped)))
-        rules.append(Rule(f.source, "date_from_datetime_inexact", shaped & (read != F.date_trunc("day", read))))
+        unread = F.when(c.rlike(ISO_DATE), read.isNull()).otherwise(c.isNotNull())
+        timed = c.rlike(ISO_TIME) & (read != F.date_trunc("day", read))
+        rules.append(Rule(f.source, "date_from_datetime_parsing", unread))
+        rules.append(Rule(f.source, "date_from_datetime_inexact", timed))
     elif f.kind == "date" and not isinstance(held, T.DateType):
         rules.append(Rule(f.source, "date_type", c.isNotNull()))
     elif f.kind == "decimal":
@@ -65,13 +67,16 @@ def _checks(c: Column, held: T.DataType, f: Field) -> list[Rule]:
 
 
 def with_errors(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``_errors``, the array of ``(field, type)`` a row breaks. A narrow projection."""
+    """Add ``_errors``, the array of ``(field, type)`` a row breaks. A narrow projection.
+
+    Short arrays are concatenated, which compiles; filtering one long array would be interpreted.
+    """
+    nothing = F.array().cast("array<struct<field:string,type:string>>")
     broken = [
-        F.when(r.broken, F.struct(F.lit(r.field).alias("field"), F.lit(r.error).alias("type")))
+        F.when(r.broken, F.array(F.struct(F.lit(r.field).alias("field"), F.lit(r.error).alias("type")))).otherwise(nothing)
         for r in rules_for(df, contract)
     ]
-    errors = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<struct<field:string,type:string>>")
-    return df.withColumn(ERRORS, errors)
+    return df.withColumn(ERRORS, F.concat(nothing, *broken))
 
 
 def validate(df: DataFrame, contract: Contract, quarantine_threshold: float | None = 0.5) -> DataFrame:
@@ -105,10 +110,12 @@ def with_status(validated: DataFrame, status: str) -> DataFrame:
 
 
 def validation_errors(validated: DataFrame, id_column: str) -> DataFrame:
-    """One row per error: record id, field, error type."""
-    return validated.select(F.col(id_column).alias("record_id"), F.explode(ERRORS).alias("e")).select(
-        "record_id", "e.field", "e.type"
-    )
+    """One row per error: record id, field, error type.
+
+    The outer form keeps Spark from testing the array, and so evaluating it, in a filter first.
+    """
+    each = validated.select(F.col(id_column).alias("record_id"), F.explode_outer(ERRORS).alias("e"))
+    return each.where(F.col("e").isNotNull()).select("record_id", "e.field", "e.type")
 
 
 def validation_summary(checked: DataFrame, quarantine_threshold: float | None = 0.5) -> DataFrame:

@@ -416,7 +416,7 @@ _NAMES = "(password|secret|token|key|api_key|client_secret)"
         '[EMAIL REDACTED]', 'gi') AS text FROM documents""",
 )
 def p4(spark, d):
-    return table(spark, d, "documents").select("doc_id", redact_credentials("text").alias("text"))
+    return redact_credentials(table(spark, d, "documents").select("doc_id", "text"), ["text"])
 
 
 def _sql_scan(name: str, key: str, text: str) -> str:

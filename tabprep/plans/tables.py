@@ -291,8 +291,8 @@ SUMMARY_SQL = """SELECT v AS valid_records, i AS invalid_records, q AS quarantin
     f"{TENDER_CHECK} SELECT field, type, count(*) AS rows FROM errors GROUP BY field, type",
 )
 def v1(spark, d):
-    checked = with_errors(adapted(spark, d, TENDERS_RAW), TENDER_RAW)
-    return checked.select(F.inline("_errors")).groupBy("field", "type").agg(F.count("*").alias("rows"))
+    errors = validation_errors(with_errors(adapted(spark, d, TENDERS_RAW), TENDER_RAW), "TenderID")
+    return errors.groupBy("field", "type").agg(F.count("*").alias("rows"))
 
 
 @query("V2_validate", f"{LEDGER_STATUS} SELECT status, count(*) AS rows FROM checked GROUP BY status")

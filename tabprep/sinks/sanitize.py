@@ -49,7 +49,7 @@ def sanitize_dir(spark: SparkSession, source: str, target: str) -> dict[str, str
         elif suffix in SETTINGS:
             # Whole texts: a value may stand on the line below its name.
             texts = spark.read.option("wholetext", True).text(held)
-            texts.select(redact_credentials("value")).write.mode("overwrite").text(out, lineSep="")
+            redact_credentials(texts, ["value"]).write.mode("overwrite").text(out, lineSep="")
         else:
             done[name] = "skipped"
             continue
