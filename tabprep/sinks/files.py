@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tabprep.operators.validation import STATUS, VALID, with_status
 from tabprep.scratch import materialize
-from tabprep.sources.files import CSV_QUOTING
+from tabprep.sources.files import CSV_QUOTING, charset
 
 log = logging.getLogger(__name__)
 
@@ -45,7 +45,7 @@ def write_csv(
 ) -> int:
     """Delimited files with a header; dates are written in one pattern. Returns the row count."""
     rows, seen = counted(format_dates(df, date_format))
-    options = {**CSV_QUOTING, "header": True, "sep": delimiter, "encoding": encoding}
+    options = {**CSV_QUOTING, "header": True, "sep": delimiter, "encoding": charset(encoding)}
     rows.write.mode(mode).options(**options).csv(path)
     return seen.get["records"]
 

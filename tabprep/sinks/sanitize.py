@@ -49,7 +49,9 @@ def sanitize_dir(spark: SparkSession, source: str, target: str) -> dict[str, str
         elif suffix in SETTINGS:
             # Whole texts: a value may stand on the line below its name.
             texts = spark.read.option("wholetext", True).text(held)
-            redact_credentials(texts, ["value"]).write.mode("overwrite").text(out, lineSep="")
+            clean = redact_credentials(texts, ["value"])
+            # The writer ends each text with a line break of its own.
+            clean.select(F.regexp_replace("value", r"\n\z", "")).write.mode("overwrite").text(out)
         else:
             done[name] = "skipped"
             continue

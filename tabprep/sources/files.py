@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,16 @@ CSV_QUOTING = {
 }
 
 
+# Codec name -> the name Spark knows it by, where they differ.
+CHARSETS = {"ascii": "us-ascii", "iso8859-1": "iso-8859-1", "utf-8-sig": "utf-8"}
+
+
+def charset(encoding: str) -> str:
+    """Spark's name of an encoding given in any usual spelling."""
+    name = codecs.lookup(encoding).name
+    return CHARSETS.get(name, name)
+
+
 def normalize_headers(df: DataFrame) -> DataFrame:
     """Column names without surrounding white space."""
     return df.toDF(*[c.strip() for c in df.columns])
@@ -53,7 +64,7 @@ def read_csv(
     and keeps codes such as ``0042``; ``dtypes`` then casts by column. Line breaks inside quoted
     values need ``multi_line``, at the price that a file is no longer split.
     """
-    options = {**CSV_QUOTING, "header": True, "sep": delimiter, "encoding": encoding, "multiLine": multi_line}
+    options = {**CSV_QUOTING, "header": True, "sep": delimiter, "encoding": charset(encoding), "multiLine": multi_line}
     reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
