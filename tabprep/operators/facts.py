@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.dates import as_date
-from tabprep.scratch import BUCKET, materialize, null_safe_join, range_buckets
+from tabprep.scratch import BUCKET, materialize, null_safe_join, place_of, range_buckets
 
 # Dimension name -> (columns in the ledger, name of its key in the fact table).
 DIMENSIONS = {
@@ -20,20 +20,20 @@ DIMENSIONS = {
 }
 
 
-def dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
+def dense_key(df: DataFrame, key: str, order_by: Sequence[str], unique: bool = False) -> DataFrame:
     """Number the rows 1..N in ``order_by`` order without sending them all through one task.
 
     Rows are cut into ranges; each range numbers its own rows and adds the row count of the
-    ranges before it, which is one number per range.
+    ranges before it, which is one number per range. ``unique`` says that no two rows tie.
     """
-    ranged = range_buckets(df, order_by)
+    ranged = range_buckets(df, order_by, unique)
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(BUCKET)
         .agg(F.count("*").alias("n"))
         .select(BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy(BUCKET).orderBy(*order_by)
+    inside = Window.partitionBy(BUCKET).orderBy(*order_by, *place_of(ranged))
     # One row per range on the broadcast side.
     numbered = ranged.join(F.broadcast(offsets), BUCKET).withColumn(
         key, F.col("_offset") + F.row_number().over(inside)
@@ -97,7 +97,7 @@ def dimensions(df: DataFrame, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[
         # Bits of the grouping id, first column highest, mark the columns left out.
         number = int("".join("0" if c in kept else "1" for c in columns), 2)
         rows = members.where(F.col("_set") == number).select(*kept)
-        result[name] = materialize(dense_key(rows, DIMENSIONS[name][1], kept))
+        result[name] = materialize(dense_key(rows, DIMENSIONS[name][1], kept, unique=True))
     return result
 
 

@@ -184,7 +184,8 @@ def alerts_with_cooldown(candidates: DataFrame, time_column: str = "timestamp")
     at = F.col(time_column).cast("timestamp_ntz").alias("at")
     # Candidates at one instant count once: the first silences the others.
     instants = candidates.where(F.col("cooldown_seconds") > 0).groupBy("alert", at)
-    nodes = range_buckets(instants.agg(F.max("cooldown_seconds").cast("double").alias("cooldown")), ["alert", "at"])
+    instants = instants.agg(F.max("cooldown_seconds").cast("double").alias("cooldown"))
+    nodes = range_buckets(instants, ["alert", "at"], unique=True)
     ranges = nodes.groupBy(BUCKET, "alert")
     chains = materialize(ranges.applyInPandas(_leave_range, "alert string, at timestamp_ntz, onward timestamp_ntz"))
 
@@ -195,7 +196,7 @@ def alerts_with_cooldown(candidates: DataFrame, time_column: str = "timestamp")
         .distinct()
         .select("alert", "at", F.lit(0).alias("kind"), nothing.alias("hit"), nothing.alias("onward"))
     )
-    filled = fill_directional(timeline, ["hit", "onward"], ["at", "kind"], ["alert"], forward=False)
+    filled = fill_directional(timeline, ["hit", "onward"], ["at", "kind"], ["alert"], forward=False, unique=True)
     links = materialize(filled.where((F.col("kind") == 0) & F.col("hit").isNotNull()).drop("kind"))
 
     first = chains.groupBy("alert").agg(F.min_by(F.struct(F.col("at").alias("hit"), "onward"), "at").alias("f"))

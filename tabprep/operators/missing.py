@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.scratch import BUCKET, null_safe_join, range_buckets
+from tabprep.scratch import BUCKET, null_safe_join, place_of, range_buckets
 
 
 def handle_missing(
@@ -21,7 +21,7 @@ def handle_missing(
 
     Actions: ``drop``, ``zero``, ``mean``, ``median``, ``forward``, ``backward``, a constant, a
     ``Column``, or ``None`` to leave the column alone. Unknown columns are skipped. The two
-    directional fills need ``order_by``, which should identify a row.
+    directional fills need ``order_by``; rows that tie in it come in any order.
     """
     for column, action in strategy.items():
         if column not in df.columns or action is None:
@@ -50,17 +50,20 @@ def fill_directional(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     forward: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Fill nulls with the last non-null value above (or the next one below).
 
     One window over all rows, or over one hot partition, would run in one task. Rows are cut into
     key ranges instead: each range fills itself, and what a range has to take over from its
-    neighbours is worked out on one row per range and partition.
+    neighbours is worked out on one row per range and partition. ``unique`` says that
+    ``partition_by`` and ``order_by`` identify a row, which saves a pass.
     """
     if not order_by:
         raise ValueError("a directional fill needs order_by")
-    keys, order = list(partition_by), list(order_by)
-    ranged = range_buckets(df, [*keys, *order])
+    keys = list(partition_by)
+    ranged = range_buckets(df, [*keys, *order_by], unique)
+    order = [*order_by, *place_of(ranged)]
 
     pick = F.max_by if forward else F.min_by
     edges = ranged.groupBy(BUCKET, *keys).agg(
@@ -100,7 +103,7 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     first, cut into ranges, and only the range holding the middle rank is looked into.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    ranged = range_buckets(counts, ["v"])
+    ranged = range_buckets(counts, ["v"], unique=True)
     # One row per range.
     sizes = ranged.groupBy(BUCKET).agg(F.sum("n").alias("size"))
     upto = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -59,7 +59,7 @@ def s2(spark, d):
     path = scratch_path(spark, "s2")
     tenders = adapted(spark, d, TENDERS)
     columns = ["k", "TenderID", "TenderStatus", "TenderValue", "ProjectStartDate", "ReportingValue"]
-    write_excel(tenders.select(*columns).repartition(4), path, "Register", rows_per_workbook=2000)
+    write_excel(tenders.select(*columns), path, "Register", rows_per_workbook=2000)
     kinds = {"k": "int", "TenderValue": "decimal", "ReportingValue": "decimal"}
     read = read_excel(spark, path, "Register", dtypes=kinds, parse_dates=["ProjectStartDate"], lineage=False)
     return read.select(*columns)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+PLACE = ["_file", "_row"]
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -43,16 +44,28 @@ def drop_scratch(spark: SparkSession) -> bool:
     return files.delete(path, True)
 
 
-def range_buckets(df: DataFrame, order_by: list[str], buckets: int | None = None) -> DataFrame:
-    """Rows cut into ranges of the sort key, the range number kept in ``_bucket``.
+def range_buckets(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows cut into ranges of the sort key, the number of the range kept in ``_bucket``.
 
-    Spark samples the key to find the cuts, so ranges have similar sizes however skewed its
-    leading columns are. The numbers are written down with the rows because a second run of the
-    same exchange may sample other cuts.
+    There are as many ranges as shuffle partitions. Spark samples the key to find the cuts, so
+    they hold similar numbers of rows. Unless the key is known to be ``unique``, the rows are
+    written down first and their place in the files, ``_file`` and ``_row``, ends the key: equal
+    keys, were they a third of all rows, then spread over ranges like any others, and the
+    resulting order is total. The numbers are written down with the rows because a second run of
+    the same exchange may sample other cuts.
     """
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_by).withColumn(BUCKET, F.spark_partition_id())
-    return materialize(ranged)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = list(order_by)
+    if not unique:
+        place = [F.col("_metadata.file_name").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])]
+        df = materialize(df).select("*", *place)
+        order += PLACE
+    return materialize(df.repartitionByRange(n, *order).withColumn(BUCKET, F.spark_partition_id()))
+
+
+def place_of(ranged: DataFrame) -> list[str]:
+    """The columns that settle the order of equal keys in a range table."""
+    return [c for c in PLACE if c in ranged.columns]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

@@ -48,7 +48,7 @@ def sanitize_dir(spark: SparkSession, source: str, target: str) -> dict[str, str
             write_excel(redact(drop_sensitive_like(read_excel(spark, held, lineage=False))), out)
         elif suffix in SETTINGS:
             # Whole texts: a value may stand on the line below its name.
-            texts = spark.read.option("wholetext", True).text(held)
+            texts = spark.read.text(held, wholetext=True)
             clean = redact_credentials(texts, ["value"])
             # The writer ends each text with a line break of its own.
             clean.select(F.regexp_replace("value", r"\n\z", "")).write.mode("overwrite").text(out)

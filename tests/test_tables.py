@@ -20,6 +20,7 @@ from tabprep.operators.cleaning import (
 )
 from tabprep.operators.enrichment import average_month_spread
 from tabprep.operators.missing import exact_median, fill_directional, handle_missing
+from tabprep.scratch import BUCKET, range_buckets
 
 # Half of all rows share one group, as one hot key might.
 GROUPS = ["a", "a", "a", "b", None]
@@ -44,6 +45,21 @@ def test_directional_fill_against_pandas(spark, forward, partitioned, gaps):
     assert got == [None if pd.isna(v) else v for v in expected]
 
 
+@pytest.mark.parametrize("forward", [True, False])
+def test_directional_fill_of_ties(spark, forward):
+    """All rows tie: each null takes some value, and only the nulls ahead of all values stay."""
+    df = spark.createDataFrame([(1, float(i) if i % 5 == 0 else None) for i in range(200)], "t int, v double").repartition(4)
+    filled = fill_directional(df, ["v"], ["t"], forward=forward)
+    assert filled.count() == 200 and {r.v for r in filled.where("v is not null").collect()} <= {float(i) for i in range(0, 200, 5)}
+    assert filled.where("v is null").count() < 160
+
+
+def test_equal_keys_spread_over_ranges(spark):
+    df = spark.range(4000).select((F.col("id") * 0).alias("k"), F.lit("x").alias("copy"))
+    sizes = [r["count"] for r in range_buckets(df, ["k"]).groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 4000 / 3
+
+
 def test_directional_fill_needs_an_order(spark):
     with pytest.raises(ValueError, match="order_by"):
         handle_missing(spark.range(3), {"id": "forward"})
