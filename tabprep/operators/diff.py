@@ -166,21 +166,22 @@ def _equal_pairs(
         entries = []
         for c in columns:
             held = df.schema[c].dataType
-            value = _known(F.col(c), held)
-            if _exact(held, tolerance):
-                number = F.lit(None).cast("double")
-                own = value + F.lit(0.0) if isinstance(held, T.FloatType | T.DoubleType) else value
-                cell = F.array(own.cast("string") if isinstance(held, T.AtomicType) else F.to_json(F.struct(own)))
-            else:
+            value, number, text = _known(F.col(c), held), F.lit(None).cast("double"), F.lit(None).cast("string")
+            if not _exact(held, tolerance):
                 number = value.cast("double")
-                near = [number] if side == 1 else [number - tolerance, number, number + tolerance]
-                cell = F.array_distinct(F.array(*[F.floor(v / tolerance).cast("string") for v in near]))
-            entries.append(F.struct(F.lit(c).alias("column"), number.alias("number"), cell.alias("cells")))
+            elif isinstance(held, T.FloatType | T.DoubleType):
+                # The two zeros are equal.
+                text = (value + F.lit(0.0)).cast("string")
+            else:
+                text = value.cast("string") if isinstance(held, T.AtomicType) else F.to_json(F.struct(value))
+            entries.append(F.struct(F.lit(c).alias("column"), number.alias("number"), text.alias("text")))
         long = df.select(*keys, F.inline(F.array(*entries)))
-        counted = long.groupBy(*keys, "column", "number", "cells").agg(F.count("*").cast(PAIRS).alias(f"n{side}"))
-        return counted.select(
-            *keys, "column", F.col("number").alias(f"v{side}"), F.explode("cells").alias("cell"), f"n{side}"
-        )
+        counted = long.groupBy(*keys, "column", "number", "text").agg(F.count("*").cast(PAIRS).alias(f"n{side}"))
+        number = F.col("number")
+        near = [number] if side == 1 else [number - tolerance, number, number + tolerance]
+        numbered = F.array_distinct(F.array(*[F.floor(v / F.lit(tolerance or 1.0)).cast("string") for v in near]))
+        cell = F.when(number.isNotNull(), numbered).otherwise(F.array("text"))
+        return counted.select(*keys, "column", number.alias(f"v{side}"), F.explode(cell).alias("cell"), f"n{side}")
 
     met = null_safe_join(cells(df1, 1), cells(df2, 2), [*keys, "column", "cell"], "inner")
     near = F.col("v1").isNull() | F.col("v2").isNull() | (F.abs(F.col("v1") - F.col("v2")) <= tolerance)

@@ -20,23 +20,28 @@ DIMENSIONS = {
 }
 
 
-def dense_key(df: DataFrame, key: str, order_by: Sequence[str], unique: bool = False) -> DataFrame:
-    """Number the rows 1..N in ``order_by`` order without sending them all through one task.
-
-    Rows are cut into ranges; each range numbers its own rows and adds the row count of the
-    ranges before it, which is one number per range. ``unique`` says that no two rows tie.
+def dense_key(
+    df: DataFrame, key: str, order_by: Sequence[str], partition_by: Sequence[str] = (), unique: bool = False
+) -> DataFrame:
+    """Number the rows 1..N in ``order_by`` order, per partition if there are some.
+
+    A window over all rows would send them through one task. Rows are cut into ranges instead;
+    each range numbers its own rows and adds the row count of the ranges before it. ``unique``
+    says that no two rows tie.
     """
-    ranged = range_buckets(df, order_by, unique)
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    groups = list(partition_by)
+    ranged = range_buckets(df, [*groups, *order_by], unique)
+    before = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy(BUCKET)
+        ranged.groupBy(BUCKET, *groups)
         .agg(F.count("*").alias("n"))
-        .select(BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+        .select(BUCKET, *groups, F.sum("n").over(before).alias("_offset"))
+        .where(F.col("_offset").isNotNull())
     )
-    inside = Window.partitionBy(BUCKET).orderBy(*order_by, *place_of(ranged))
-    # One row per range on the broadcast side.
-    numbered = ranged.join(F.broadcast(offsets), BUCKET).withColumn(
-        key, F.col("_offset") + F.row_number().over(inside)
+    inside = Window.partitionBy(BUCKET, *groups).orderBy(*order_by, *place_of(ranged))
+    # Only a partition that goes on from an earlier range has an offset: fewer rows than ranges.
+    numbered = null_safe_join(ranged, F.broadcast(offsets), [BUCKET, *groups]).withColumn(
+        key, F.coalesce("_offset", F.lit(0)) + F.row_number().over(inside)
     )
     return numbered.select(key, *df.columns)
 
@@ -91,13 +96,13 @@ def dimensions(df: DataFrame, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[
     """
     columns = [c for name in names for c in DIMENSIONS[name][0]]
     sets = [list(DIMENSIONS[name][0]) for name in names]
-    members = materialize(df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set")))
+    members = df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"))
+    numbered = materialize(dense_key(members, "_key", columns, ["_set"], unique=True), ("_set",))
     result = {}
     for name, kept in zip(names, sets, strict=True):
         # Bits of the grouping id, first column highest, mark the columns left out.
         number = int("".join("0" if c in kept else "1" for c in columns), 2)
-        rows = members.where(F.col("_set") == number).select(*kept)
-        result[name] = materialize(dense_key(rows, DIMENSIONS[name][1], kept, unique=True))
+        result[name] = numbered.where(F.col("_set") == number).select(F.col("_key").alias(DIMENSIONS[name][1]), *kept)
     return result
 
 

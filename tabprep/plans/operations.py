@@ -296,10 +296,10 @@ def a3(spark, d):
 
 
 @query(
-    "A3_metrics_summary_pipeline",
+    "A3_metrics_summary_tagged",
     _sql_summary("ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 500 HOUR AND user_id % 10 = 3"),
 )
-def a3_pipeline(spark, d):
+def a3_tagged(spark, d):
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     events = adapted(spark, d, METRIC_EVENTS)
     summary = metrics_summary(events, now, "p3", 500, order_by=["timestamp", "event_id"])

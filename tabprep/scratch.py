@@ -47,20 +47,19 @@ def drop_scratch(spark: SparkSession) -> bool:
 def range_buckets(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows cut into ranges of the sort key, the number of the range kept in ``_bucket``.
 
-    There are as many ranges as shuffle partitions. Spark samples the key to find the cuts, so
-    they hold similar numbers of rows. Unless the key is known to be ``unique``, the rows are
-    written down first and their place in the files, ``_file`` and ``_row``, ends the key: equal
-    keys, were they a third of all rows, then spread over ranges like any others, and the
-    resulting order is total. The numbers are written down with the rows because a second run of
-    the same exchange may sample other cuts.
+    Spark samples the key to find the cuts, so ranges hold similar numbers of rows. There are at
+    most as many as shuffle partitions; adjacent small ones are merged by adaptive execution.
+    Unless the key is known to be ``unique``, the rows are written down first and their place in
+    the files, ``_file`` and ``_row``, ends the key: equal keys, were they a third of all rows,
+    then spread over ranges like any others, and the resulting order is total. The numbers are
+    written down with the rows because a second run of the same exchange may sample other cuts.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = list(order_by)
     if not unique:
         place = [F.col("_metadata.file_name").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])]
         df = materialize(df).select("*", *place)
         order += PLACE
-    return materialize(df.repartitionByRange(n, *order).withColumn(BUCKET, F.spark_partition_id()))
+    return materialize(df.repartitionByRange(*order).withColumn(BUCKET, F.spark_partition_id()))
 
 
 def place_of(ranged: DataFrame) -> list[str]:
