@@ -47,7 +47,7 @@ def parse_probability(c: Column | str) -> Column:
 
 def value_tier(c: Column | str) -> Column:
     """Size class of an amount."""
-    c = as_column(c)
+    c = as_column(c).try_cast("double")
     tier = F.when(c.isNull(), NO_TIER)
     for bound, name in VALUE_TIERS:
         tier = tier.when(c >= bound, name)

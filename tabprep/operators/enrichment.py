@@ -20,7 +20,7 @@ SPREAD_DATES = ("ProjectStartDate", "ProjectEndDate")
 
 
 def _optional(df: DataFrame, name: str, kind: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+    return F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
 def spreads(df: DataFrame, observation: Observation | None = None) -> DataFrame:
@@ -32,12 +32,12 @@ def spreads(df: DataFrame, observation: Observation | None = None) -> DataFrame:
     df = df.withColumns({c: as_date(c) for c in SPREAD_DATES if c in df.columns})
     start, end = (_optional(df, c, "date") for c in SPREAD_DATES)
     months = F.col("ProjectDurationMonths")
-    reporting = F.nullif(_optional(df, "ReportingValue", "double"), F.lit(0))
+    reporting = F.nullif(_optional(df, "ReportingValue", "double"), F.lit(0.0))
     value = F.coalesce(reporting, _optional(df, "TenderValue", "double"))
     df = df.withColumn("ProjectDurationMonths", duration_months(start, end)).withColumns(
         {
-            "MonthlySpread": value.cast("double") / months,
-            "WeightedMonthlySpread": _optional(df, "WeightedValue", "double").cast("double") / months,
+            "MonthlySpread": value / months,
+            "WeightedMonthlySpread": _optional(df, "WeightedValue", "double") / months,
             "HasMissingDates": start.isNull() | end.isNull(),
             "MissingDateFields": F.concat_ws(
                 ", ", *[F.when(d.isNull(), c) for d, c in zip((start, end), SPREAD_DATES, strict=True)]
@@ -63,7 +63,7 @@ def average_month_spread(df: DataFrame) -> DataFrame:
     """``MonthlySpread`` over average-length months; null unless the project has some."""
     months = duration_months_avg(*[as_date(c) for c in SPREAD_DATES])
     return df.withColumn(
-        "MonthlySpread", F.when(months > 0, F.col("ReportingValue").cast("double") / months)
+        "MonthlySpread", F.when(months > 0, F.col("ReportingValue").try_cast("double") / months)
     )
 
 

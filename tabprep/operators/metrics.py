@@ -182,9 +182,10 @@ def alerts_with_cooldown(candidates: DataFrame, time_column: str = "timestamp")
     4. Every range walks its own part of the chain, from the candidate at which it is entered.
     """
     at = F.col(time_column).cast("timestamp_ntz").alias("at")
+    cooldown = F.col("cooldown_seconds").cast("double").alias("cooldown")
+    slim = materialize(candidates.select("alert", at, cooldown))
     # Candidates at one instant count once: the first silences the others.
-    instants = candidates.where(F.col("cooldown_seconds") > 0).groupBy("alert", at)
-    instants = instants.agg(F.max("cooldown_seconds").cast("double").alias("cooldown"))
+    instants = slim.where(F.col("cooldown") > 0).groupBy("alert", "at").agg(F.max("cooldown").alias("cooldown"))
     nodes = range_buckets(instants, ["alert", "at"], unique=True)
     ranges = nodes.groupBy(BUCKET, "alert")
     chains = materialize(ranges.applyInPandas(_leave_range, "alert string, at timestamp_ntz, onward timestamp_ntz"))
@@ -209,7 +210,7 @@ def alerts_with_cooldown(candidates: DataFrame, time_column: str = "timestamp")
     walked = nodes.join(starts, [BUCKET, "alert"]).groupBy(BUCKET, "alert")
     fired = walked.applyInPandas(_walk_range, "alert string, at timestamp_ntz")
     # Without a cooldown every candidate fires.
-    always = candidates.where(F.col("cooldown_seconds") <= 0).select("alert", at)
+    always = slim.where(F.col("cooldown") <= 0).select("alert", "at")
     kind = candidates.schema[time_column].dataType
     return fired.unionByName(always).select("alert", F.col("at").cast(kind).alias(time_column))
 

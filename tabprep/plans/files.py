@@ -11,7 +11,7 @@ from tabprep.plans.functions import OPPS, RAW, TYPED, sql_date
 from tabprep.plans.operations import _sql_cooldown, scratch_path, sql_redacted, table
 from tabprep.plans.recipe import run_recipe
 from tabprep.plans.registry import query
-from tabprep.plans.reporting import CLEAN_ENRICHED
+from tabprep.plans.reporting import CALENDAR, CLEAN_ENRICHED, FISCAL, LABELS, sql_periods
 from tabprep.sinks.files import write_csv, write_formats, write_json, write_parquet, write_tables
 from tabprep.sinks.sanitize import sanitize_dir
 from tabprep.sinks.workbook import write_excel
@@ -113,8 +113,7 @@ _FORMATS = ("parquet", "csv", "json", "xlsx")
 def s6(spark, d):
     path = scratch_path(spark, "s6")
     suppliers = table(spark, d, "supplier").select("s_suppkey", "s_name")
-    write_formats(suppliers, path, _FORMATS[:3])
-    write_excel(suppliers, f"{path}.xlsx")
+    write_formats(suppliers, path, ["parquet", "csv", "json", "excel"])
     read = None
     for fmt in _FORMATS:
         rows = read_any(spark, f"{path}.{fmt}")
@@ -363,6 +362,10 @@ def b5(spark, d):
 # --- recipes and folders
 
 
+def _step(name: str, kind: str, config: dict, *depends_on: str, optional: bool = False) -> dict:
+    return {"name": name, "type": kind, "config": config, "depends_on": list(depends_on), "optional": optional}
+
+
 @query(
     "L1_run_recipe",
     f"""SELECT TenderID, TenderStatus, TenderValue, ReportingValue, months AS ProjectDurationMonths, MonthlySpread,
@@ -373,20 +376,17 @@ def l1(spark, d):
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "fact")
     write_csv(adapted(spark, d, TENDERS_RAW).select(*RAW_COLUMNS), landing)
 
-    def step(name: str, kind: str, config: dict, *depends_on: str) -> dict:
-        return {"name": name, "type": kind, "config": config, "depends_on": list(depends_on)}
-
     run_recipe(
         spark,
         {
             "name": "tenders",
             "transforms": [
-                step("extract_raw", "extract", {"extractor": "csv", "file_path": landing}),
-                step("validate_schema", "transform", {"transform": "validate"}, "extract_raw"),
-                step("clean_data", "transform", {"transform": "clean_tender"}, "validate_schema"),
-                step("calculate_spreads", "transform", {"transform": "calculate_spreads"}, "clean_data"),
-                step("add_fields", "transform", {"transform": "add_calculated_fields"}, "calculate_spreads"),
-                step("load_fact", "load", {"loader": "parquet", "output_path": out}, "add_fields"),
+                _step("extract_raw", "extract", {"extractor": "csv", "file_path": landing}),
+                _step("validate_schema", "transform", {"transform": "validate"}, "extract_raw"),
+                _step("clean_data", "transform", {"transform": "clean_tender"}, "validate_schema"),
+                _step("calculate_spreads", "transform", {"transform": "calculate_spreads"}, "clean_data"),
+                _step("add_fields", "transform", {"transform": "add_calculated_fields"}, "calculate_spreads"),
+                _step("load_fact", "load", {"loader": "parquet", "output_path": out}, "add_fields"),
             ],
         },
     )
@@ -396,6 +396,76 @@ def l1(spark, d):
     )
 
 
+@query(
+    "L2_transform_by_name",
+    f"SELECT o_orderkey, {sql_periods('o_orderdate', 10)} FROM orders",
+)
+def l2(spark, d):
+    out = scratch_path(spark, "periods")
+    periods = {"transform": "add_financial_periods", "date_column": "o_orderdate", "fiscal_year_start_month": 10}
+    steps = [
+        _step("raw", "extract", {"extractor": "file", "file_path": f"{d}/orders.parquet"}),
+        _step("periods", "transform", periods, "raw"),
+        _step("load", "load", {"loader": "parquet", "output_path": out}, "periods"),
+    ]
+    run_recipe(spark, {"name": "periods", "transforms": steps})
+    return spark.read.parquet(out).select("o_orderkey", *CALENDAR, *FISCAL, *LABELS)
+
+
+@query(
+    "L3_custom_step",
+    "SELECT o_orderpriority, count(*) AS orders, sum(o_totalprice::decimal(18,2))::double AS value FROM orders GROUP BY 1",
+)
+def l3(spark, d):
+    def by_priority(frames, config):
+        value = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("value")
+        return frames["raw"].groupBy(config["by"]).agg(F.count("*").alias("orders"), value)
+
+    out = scratch_path(spark, "priorities")
+    steps = [
+        _step("raw", "extract", {"extractor": "file", "file_path": f"{d}/orders.parquet"}),
+        _step("grouped", "aggregate", {"by": "o_orderpriority"}, "raw"),
+        _step("load", "load", {"loader": "parquet", "output_path": out}, "grouped"),
+    ]
+    run_recipe(spark, {"name": "priorities", "transforms": steps}, custom={"aggregate": by_priority})
+    return spark.read.parquet(out)
+
+
+@query(
+    "L4_optional_step",
+    "SELECT 'partial' AS status, 'upload' AS failed, c_mktsegment, count(*) AS customers FROM customer GROUP BY ALL",
+)
+def l4(spark, d):
+    out = scratch_path(spark, "customers")
+    steps = [
+        _step("raw", "extract", {"extractor": "file", "file_path": f"{d}/customer.parquet"}),
+        _step("upload", "load", {"loader": "carrier pigeon", "output_path": out}, "raw", optional=True),
+        _step("load", "load", {"loader": "json", "output_path": out}, "raw"),
+    ]
+    run = run_recipe(spark, {"name": "customers", "transforms": steps})
+    counts = spark.read.json(out).groupBy("c_mktsegment").agg(F.count("*").alias("customers"))
+    return counts.withColumns({"status": F.lit(run.status), "failed": F.lit(",".join(run.steps_failed))})
+
+
+@query(
+    "L6_run_counters",
+    """SELECT (SELECT count(*) FROM supplier) + (SELECT count(*) FROM part) AS records_processed,
+        (SELECT count(*) FROM supplier) + 2 * (SELECT count(*) FROM part) AS records_loaded""",
+)
+def l6(spark, d):
+    out = scratch_path(spark, "counted")
+    steps = [
+        _step("parts", "extract", {"extractor": "file", "file_path": f"{d}/part.parquet"}),
+        _step("suppliers", "extract", {"extractor": "file", "file_path": f"{d}/supplier.parquet"}),
+        _step("a", "load", {"loader": "parquet", "output_path": f"{out}/a"}, "parts"),
+        _step("b", "load", {"loader": "csv", "output_path": f"{out}/b"}, "parts"),
+        _step("c", "load", {"loader": "json", "output_path": f"{out}/c"}, "suppliers"),
+    ]
+    run = run_recipe(spark, {"name": "counted", "transforms": steps})
+    counters = [(run.metrics["records_processed"], run.metrics["records_loaded"])]
+    return spark.createDataFrame(counters, "records_processed bigint, records_loaded bigint")
+
+
 @query(
     "P6_sanitize_dir",
     f"""SELECT 'documents' AS name, doc_id AS id, {sql_redacted("text")} AS text FROM documents

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tabprep.operators.validation import STATUS, VALID, with_status
 from tabprep.scratch import materialize
+from tabprep.sinks.workbook import write_excel
 from tabprep.sources.files import CSV_QUOTING, charset
 
 log = logging.getLogger(__name__)
@@ -63,11 +64,12 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return seen.get["records"]
 
 
-WRITERS = {"parquet": write_parquet, "csv": write_csv, "json": write_json}
+WRITERS = {"parquet": write_parquet, "csv": write_csv, "json": write_json, "excel": write_excel}
+SUFFIXES = {"excel": "xlsx"}
 
 
 def write_formats(df: DataFrame, path: str, formats: Sequence[str] = ("parquet",)) -> dict[str, str]:
-    """Write ``path.<format>`` for each format and return the paths; unknown formats are skipped.
+    """Write ``path.<suffix>`` for each format and return the paths; unknown formats are skipped.
 
     Each is complete or absent by the commit protocol of the writer. With several formats the
     rows are computed once: they are taken from the Parquet output or from a scratch table.
@@ -76,7 +78,7 @@ def write_formats(df: DataFrame, path: str, formats: Sequence[str] = ("parquet",
         if fmt not in WRITERS:
             log.warning("unsupported format skipped: %s", fmt)
     wanted = [fmt for fmt in formats if fmt in WRITERS]
-    saved = {fmt: f"{path}.{fmt}" for fmt in wanted}
+    saved = {fmt: f"{path}.{SUFFIXES.get(fmt, fmt)}" for fmt in wanted}
     if "parquet" in wanted:
         write_parquet(df, saved["parquet"])
         df = df.sparkSession.read.schema(df.schema).parquet(saved["parquet"])

@@ -84,8 +84,8 @@ def test_odata_pages(spark, tmp_path, multi_line):
 
 def test_read_any(spark, tmp_path):
     df = spark.createDataFrame([("1", "x"), ("2", "y")], "a string, b string")
-    write_formats(df, str(tmp_path / "t"), ["parquet", "csv", "json"])
-    write_excel(df, str(tmp_path / "t.xlsx"))
+    saved = write_formats(df, str(tmp_path / "t"), ["parquet", "csv", "json", "excel"])
+    assert saved["excel"].endswith("t.xlsx")
     for fmt in ("parquet", "csv", "json", "xlsx"):
         assert as_set(read_any(spark, str(tmp_path / f"t.{fmt}"))) == [("1", "x"), ("2", "y")]
     (tmp_path / "array.json").write_text('[{"a": 1}, {"a": 2}]')

@@ -45,6 +45,13 @@ def test_spreads_without_value_columns(spark):
     assert (r.HasMissingDates, r.MissingDateFields, r.MonthlySpread) == (True, "ProjectEndDate", None)
 
 
+def test_spreads_of_text(spark):
+    rows = [("2025-01-01", "2025-03-01", "1200.50", "x"), ("2025-01-01", "soon", "5", "1")]
+    df = spark.createDataFrame(rows, "ProjectStartDate string, ProjectEndDate string, ReportingValue string, WeightedValue string")
+    first, second = spreads(df).collect()
+    assert (first.MonthlySpread, first.WeightedMonthlySpread, second.MissingDateFields) == (600.25, None, "ProjectEndDate")
+
+
 def test_spread_observation(spark):
     seen = Observation()
     spreads(tender(spark, ("2025-01-01", "2025-03-01", 1.0, 1.0, 1.0), (None, None, 1.0, 1.0, 1.0)), seen).collect()
