@@ -25,8 +25,8 @@ def table_hash(df: DataFrame, columns: Sequence[str] | None = None, position: Se
     names = list(columns or df.columns)
     row = F.struct(*names, *[F.col(c).alias(f"_position_{c}") for c in position])
     digest = F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
-    # Fifteen hex digits fit a bigint; four such parts cover most of the digest.
-    parts = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    # Fifteen hex digits fit a bigint; two such parts hold twice the bits of the result.
+    parts = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(2)]
     sums = [F.coalesce(F.sum(p), F.lit(0)).cast("decimal(38,0)").cast("string") for p in parts]
     text = F.concat_ws("|", F.lit(",".join(names)), F.count("*").cast("string"), *sums)
     return df.agg(F.substring(F.sha2(text, 256), 1, 16).alias("hash"))

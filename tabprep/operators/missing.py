@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import takewhile
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,9 +24,8 @@ def handle_missing(
     ``Column``, or ``None`` to leave the column alone. Unknown columns are skipped. The two
     directional fills need ``order_by``; rows that tie in it come in any order.
     """
-    for column, action in strategy.items():
-        if column not in df.columns or action is None:
-            continue
+    wanted = [(c, a) for c, a in strategy.items() if c in df.columns and a is not None]
+    for i, (column, action) in enumerate(wanted):
         if isinstance(action, Column):
             df = df.withColumn(column, F.coalesce(F.col(column), action))
         elif action == "drop":
@@ -37,13 +37,21 @@ def handle_missing(
             middle = exact_median(df, column).scalar()
             df = df.withColumn(column, F.coalesce(F.col(column), middle))
         elif action in ("forward", "backward"):
-            df = fill_directional(df, [column], order_by, partition_by, forward=action == "forward")
+            # Neighbours that fill the same way do not affect each other and share one pass.
+            if i and _same(wanted[i - 1][1], action):
+                continue
+            columns = [c for c, _ in takewhile(lambda entry: _same(entry[1], action), wanted[i:])]
+            df = fill_directional(df, columns, order_by, partition_by, forward=action == "forward")
         else:
             value = 0 if action == "zero" else action
             df = df.withColumn(column, F.coalesce(F.col(column), F.lit(value)))
     return df
 
 
+def _same(action: Any, other: str) -> bool:
+    return isinstance(action, str) and action == other
+
+
 def fill_directional(
     df: DataFrame,
     columns: Sequence[str],

@@ -31,7 +31,7 @@ FROM (""" + _ORDER_BASE + ") AS base"
 
 
 def _text(expression: str) -> str:
-    return f"cast({expression} AS varchar(40))"
+    return f"cast({expression} AS string)"
 
 
 def _padded(expression: str, width: int) -> str:

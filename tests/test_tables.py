@@ -45,6 +45,13 @@ def test_directional_fill_against_pandas(spark, forward, partitioned, gaps):
     assert got == [None if pd.isna(v) else v for v in expected]
 
 
+def test_neighbouring_fills_share_a_pass(spark):
+    rows = [(1, 1.0, None, None), (2, None, "x", None), (3, None, None, 3.0)]
+    df = spark.createDataFrame(rows, "t int, a double, b string, c double")
+    filled = handle_missing(df, {"a": "forward", "b": "forward", "c": "backward", "t": F.lit(0)}, ["t"])
+    assert sorted(tuple(r) for r in filled.collect()) == [(1, 1.0, None, 3.0), (2, 1.0, "x", 3.0), (3, 1.0, "x", 3.0)]
+
+
 @pytest.mark.parametrize("forward", [True, False])
 def test_directional_fill_of_ties(spark, forward):
     """All rows tie: each null takes some value, and only the nulls ahead of all values stay."""
