@@ -40,15 +40,19 @@ def upsert(
     """Target after inserting new keys and updating existing ones from ``source``.
 
     Only ``update_columns`` (default: all non-key columns of the source) change on a conflict.
-    Without conflict columns the source is appended. As with a unique index, a key repeated on
-    either side is an error, and null keys never conflict: such rows bypass the join, so a large
-    block of them never meets in one task.
+    Without conflict columns the source is appended. A source column the target lacks is an
+    error. As with a unique index, so is a key repeated on either side, and null keys never
+    conflict: such rows bypass the join, so a large block of them never meets in one task.
     """
     keys = list(conflict_columns)
+    given = [c for c in source.columns if c not in keys]
+    updated = list(update_columns) if update_columns else given
+    unknown = [c for c in (*source.columns, *keys) if c not in target.columns]
+    unknown += [c for c in (*keys, *updated) if c not in source.columns]
+    if unknown:
+        raise ValueError(f"unknown columns: {', '.join(dict.fromkeys(unknown))}")
     if not keys:
         return target.unionByName(source, allowMissingColumns=True)
-    given = [c for c in source.columns if c in target.columns and c not in keys]
-    updated = list(update_columns) if update_columns else given
 
     keyed = F.lit(True)
     for c in keys:

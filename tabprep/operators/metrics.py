@@ -215,6 +215,27 @@ def alerts_with_cooldown(candidates: DataFrame, time_column: str = "timestamp")
     return fired.unionByName(always).select("alert", F.col("at").cast(kind).alias(time_column))
 
 
+def alert_events(
+    candidates: DataFrame,
+    fired: DataFrame,
+    rules: Sequence[AlertRule] = ALERT_RULES,
+    time_column: str = "timestamp",
+    source: str = "pipeline",
+) -> DataFrame:
+    """Log entries of the fired alerts: severity, message and the metrics that set them off.
+
+    Of several candidates at one instant the first by ``source`` speaks for the alert.
+    """
+    names = [r for r in sorted({r.metric for r in rules}) if r in candidates.columns]
+    entries = [part for n in names for part in (F.lit(n), F.col(n).cast("double"))]
+    context = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
+    details = F.struct("severity", "message", context.alias("context"))
+    spoken = candidates.groupBy("alert", time_column).agg(F.min_by(details, source).alias("d"))
+    return fired.join(spoken, ["alert", time_column]).select(
+        F.col("alert").alias("name"), "d.severity", "d.message", F.col(time_column).alias("timestamp"), "d.context"
+    )
+
+
 def _follow(reached: DataFrame, links: DataFrame) -> DataFrame:
     """All times reached from the given ones over links ``(alert, at) -> onward``, by doubling."""
     known = materialize(reached)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tabprep.contracts import METRIC
+from tabprep.contracts import ALERT, METRIC
 from tabprep.operators.diff import (
     compare_keys,
     compare_rows,
@@ -19,6 +19,7 @@ from tabprep.operators.diff import (
 from tabprep.operators.merge import append_dedup, assert_key, upsert
 from tabprep.operators.metrics import (
     alert_candidates,
+    alert_events,
     alerts_with_cooldown,
     metric_context,
     metrics_summary,
@@ -362,6 +363,34 @@ def a6(spark, d):
     return logged.select("name", "value", "timestamp", F.col("tags")["pipeline"].alias("pipeline"), "unit")
 
 
+@query(
+    "A6_alert_log",
+    f"""WITH RECURSIVE c AS ({CANDIDATES_SQL}),
+        fired AS (SELECT alert, min(timestamp) AS timestamp FROM c GROUP BY alert
+            UNION ALL SELECT f.alert, min(c.timestamp) FROM fired f JOIN c ON c.alert = f.alert
+                AND c.timestamp >= f.timestamp + to_seconds(c.cooldown_seconds) GROUP BY f.alert, f.timestamp),
+        context AS (SELECT pipeline, timestamp, max(value) FILTER (WHERE name = 'success_rate') AS rate,
+            max(value) FILTER (WHERE name = 'pipeline_duration_seconds') AS duration
+            FROM (SELECT * FROM ({RUN_METRICS_SQL}) UNION ALL SELECT * FROM ({STEP_METRICS_SQL})) GROUP BY pipeline, timestamp)
+        SELECT f.alert AS name, min(c.severity) AS severity, f.timestamp AS timestamp,
+            arg_min_null(context.rate, c.pipeline) AS success_rate, arg_min_null(context.duration, c.pipeline) AS duration
+        FROM fired f JOIN c ON c.alert = f.alert AND c.timestamp = f.timestamp
+        JOIN context ON context.pipeline = c.pipeline AND context.timestamp = c.timestamp GROUP BY f.alert, f.timestamp""",
+)
+def a6_alerts(spark, d):
+    path = scratch_path(spark, "alert-log")
+    candidates = _candidates(spark, d)
+    append_log(alert_events(candidates, alerts_with_cooldown(candidates)), path)
+    logged = read_log(spark, path, ALERT)
+    return logged.select(
+        "name",
+        "severity",
+        "timestamp",
+        F.col("context")["success_rate"].alias("success_rate"),
+        F.col("context")["pipeline_duration_seconds"].alias("duration"),
+    )
+
+
 # --- sensitive data
 
 CONTACTS = """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS email, c_acctbal AS balance, c_name AS _source_file,

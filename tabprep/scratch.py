@@ -18,15 +18,21 @@ BUCKET = "_bucket"
 PLACE = ["_file", "_row"]
 
 
+# Application -> folder, for local runs that name none.
+_local_roots: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables."""
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tabprep-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tabprep/{spark.sparkContext.applicationId}"
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tabprep-")
+        root = _local_roots[context.applicationId]
+    return f"{root.rstrip('/')}/tabprep/{context.applicationId}"
 
 
 def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:

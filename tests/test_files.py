@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import zipfile
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -274,6 +275,17 @@ def test_scratch(spark):
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir")) and df.count() == 3
 
 
+@pytest.mark.parametrize("master", ["local[2]", "spark://host:7077"])
+def test_scratch_without_a_folder(master):
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    if master.startswith("local"):
+        assert scratch_dir(session) == scratch_dir(session)
+    else:
+        with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+            scratch_dir(session)
+
+
 # --- recipes
 
 STEPS = [

@@ -22,6 +22,7 @@ from tabprep.operators.metrics import (
     ALERT_RULES,
     AlertRule,
     alert_candidates,
+    alert_events,
     alerts_with_cooldown,
     metric_context,
     metrics_summary,
@@ -75,6 +76,13 @@ def test_upsert_with_fewer_source_columns(spark):
     assert as_set(upsert(people(spark, (1, "a", 1)), source, ["id"])) == [(1, "A", 1), (9, "Z", None)]
 
 
+def test_upsert_rejects_unknown_columns(spark):
+    target = people(spark, (1, "a", 1))
+    for source, keys in ((target.withColumn("x", F.lit(1)), ["id"]), (target, ["key"]), (target.withColumn("x", F.lit(1)), [])):
+        with pytest.raises(ValueError, match="unknown columns: (x|key)"):
+            upsert(target, source, keys)
+
+
 @pytest.mark.parametrize("side", ["source", "target"])
 @pytest.mark.parametrize("columns", [None, ["age"]])
 def test_upsert_rejects_repeated_keys(spark, side, columns):
@@ -255,6 +263,16 @@ def test_cooldown_against_a_walk(spark, seed, cooldown):
     assert as_set(alerts_with_cooldown(df)) == sorted(expected, key=repr)
 
 
+def test_alert_events(spark):
+    schema = "pipeline string, timestamp timestamp_ntz, success_rate double, records_processed double"
+    context = spark.createDataFrame([("q", NOON, 0.5, 3.0), ("p", NOON, 0.9, None), ("p", NOON + dt.timedelta(seconds=5), 0.1, 0.0)], schema)
+    candidates = alert_candidates(context)
+    events = {r.name: r for r in alert_events(candidates, alerts_with_cooldown(candidates)).collect()}
+    assert (events["success_rate_low"].timestamp, events["success_rate_low"].severity) == (NOON, "critical")
+    assert events["success_rate_low"].context == {"success_rate": 0.9}
+    assert events["no_records_processed"].message == "Pipeline processed zero records"
+
+
 def test_cooldown_edges(spark):
     schema = "alert string, timestamp timestamp_ntz, cooldown_seconds int"
     later = NOON + dt.timedelta(seconds=10)
