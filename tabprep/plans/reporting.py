@@ -213,7 +213,8 @@ def _sql_total(c: str, where: str = "") -> str:
 
 
 def _sql_spread(c: str) -> str:
-    return f"cast(sum({c}::decimal(24,6)) AS double)"
+    """Rounded in decimal digits, as Spark rounds, and not by a binary multiplication."""
+    return f"sum({c}::varchar::decimal(24,6))"
 
 
 def _sql_ratio(part: str, whole: str) -> str:
@@ -242,13 +243,13 @@ SQL_MEASURES = {
 MEASURE_IDS = dict(
     zip(MEASURES, ("M1", "M2", "M3", "M4", "M5", "M6", "M7", "M8", "M13", "M14", "M15", "M16", "M17", "M18"), strict=True)
 )
-# Spreads are rounded per row on their way into the sum, which engines do alike up to the last digit.
+# Spreads have more digits than money; their sums are shown to the cent.
 ROUNDED = ("monthly_spread_value", "quarterly_spread_value", "weighted_monthly_spread")
 
 
 def _sql_measure(name: str) -> str:
     sql = SQL_MEASURES[name]
-    return f"round({sql}, 2) AS {name}" if name in ROUNDED else f"{sql} AS {name}"
+    return f"{sql}::decimal(38,2)::double AS {name}" if name in ROUNDED else f"{sql} AS {name}"
 
 
 def _rounded(df):
