@@ -3,17 +3,68 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabprep.llm import ngram_join
+from tabprep.llm import decontamination, language_id, ngram_join, packing, substring_dedup, token_counts, toxicity
 from tabprep.llm.common import read_table
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _part(of: int):
+    """Remainder of the checksum of a document's id, by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_part(3) == 1, F.lit(False)))
+    profiles = language_id.learn_profiles(docs.filter(_part(3) != 1))
+    texts = docs.select("doc_id", "held_out", "text")
+    return language_id.identify(texts, profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(read_table(spark, sf_dir, "documents")).drop("removed")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(_part(5) != 0)
+    model = toxicity.learn_toxicity(docs, labels)
+    docs = docs.withColumn("held_out", F.coalesce(_part(5) == 0, F.lit(False)))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_token_counts": op9_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
