@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import decontamination, language_id, ngram_join, packing, substring_dedup, token_counts, toxicity
+from tabprep.llm import (
+    chat_format,
+    decontamination,
+    html_extraction,
+    language_id,
+    ngram_join,
+    packing,
+    substring_dedup,
+    token_counts,
+    topk_search,
+    toxicity,
+)
 from tabprep.llm.common import read_table
 
 
@@ -21,10 +32,34 @@ def _part(of: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+#: A conversation that is added to the table: its texts hold the template's own control strings.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat_format.conversation_digests(chat_format.format_turns(given.union(added)))
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.whole_numbers(read_table(spark, sf_dir, "embeddings"))
+    return topk_search.top_k(vectors.filter("vec_id % 50 = 0"), vectors)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(read_table(spark, sf_dir, "documents"))
 
@@ -58,7 +93,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_topk_search": op4_topk_search,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
