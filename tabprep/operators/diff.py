@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.scratch import materialize, null_safe_join
+from tabprep.scratch import null_safe_join
 
 TOLERANCE = 1e-10
 SAMPLES = 5
 PAIRS = "decimal(38,0)"
+UNITS = "decimal(38,0)"
 
 
 def table_hash(df: DataFrame, columns: Sequence[str] | None = None, position: Sequence[str] = ()) -> DataFrame:
@@ -83,38 +85,54 @@ def _exact(held: T.DataType, tolerance: float) -> bool:
     if isinstance(held, T.FloatType | T.DoubleType):
         return tolerance == 0
     if isinstance(held, T.DecimalType):
-        return tolerance < 10.0**-held.scale
+        return Decimal(repr(tolerance)) < Decimal(1).scaleb(-held.scale)
     return tolerance < 1 or not isinstance(held, T.IntegralType)
 
 
+def _number(c: Column, held: T.DataType, tolerance: float) -> tuple[Column, Column]:
+    """A value and the tolerance in numbers whose sum and difference lose no digit.
+
+    Those are doubles for doubles, and for decimals whole numbers of their last digit.
+    """
+    if isinstance(held, T.FloatType | T.DoubleType):
+        return _known(c, held).cast("double"), F.lit(float(tolerance))
+    scale = held.scale if isinstance(held, T.DecimalType) else 0
+    units = int(Decimal(repr(tolerance)).scaleb(scale))
+    if scale:
+        c = F.regexp_replace(F.format_number(c, scale), "[,.]", "")
+    return c.cast(UNITS), F.lit(units).cast(UNITS)
+
+
 def _differs(a: Column, b: Column, held: T.DataType, tolerance: float) -> Column:
-    a, b = _known(a, held), _known(b, held)
     if _exact(held, tolerance):
-        return ~a.eqNullSafe(b)
-    apart = F.coalesce(F.abs(a - b) > tolerance, F.lit(False))
-    return (a.isNull() != b.isNull()) | apart
+        return ~_known(a, held).eqNullSafe(_known(b, held))
+    (x, apart), (y, _) = _number(a, held, tolerance), _number(b, held, tolerance)
+    return (x.isNull() != y.isNull()) | F.coalesce(~y.between(x - apart, x + apart), F.lit(False))
 
 
 def _common(df1: DataFrame, df2: DataFrame, keys: list[str]) -> list[str]:
     return [c for c in df1.columns if c in df2.columns and c not in keys]
 
 
-def _repeated_keys(df1: DataFrame, df2: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys held more than once on either side, from a pass over the key columns alone.
+def _sides(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows of both tables: the keys, a struct ``r1`` or ``r2``, and ``n1`` and ``n2``, 1 for the row's side."""
+    one, zero = F.lit(1).cast(PAIRS), F.lit(0).cast(PAIRS)
+    rows1 = df1.select(*keys, F.struct(*columns).alias("r1"), one.alias("n1"), zero.alias("n2"))
+    rows2 = df2.select(*keys, F.struct(*columns).alias("r2"), zero.alias("n1"), one.alias("n2"))
+    return rows1.unionByName(rows2, allowMissingColumns=True)
 
-    Written down, so that its true size decides how it is joined.
+
+def _met(sides: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of both tables, with the number of rows on either side and one row of each: one exchange.
+
+    Copies of a key are folded before it.
     """
-    many = [df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1).select(*keys) for df in (df1, df2)]
-    return materialize(many[0].unionByName(many[1]).distinct())
+    total = [F.sum(n).cast(PAIRS).alias(n) for n in ("n1", "n2")]
+    rows = [F.first(r, ignorenulls=True).alias(r) for r in ("r1", "r2")]
+    return sides.groupBy(*keys).agg(*total, *rows).where("n1 > 0 and n2 > 0")
 
 
-def _single_pairs(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str], repeated: DataFrame | None) -> DataFrame:
-    """Rows of both sides under keys that neither side repeats, as structs ``r1`` and ``r2``."""
-    sides = []
-    for side, df in ((1, df1), (2, df2)):
-        rows = df if repeated is None else null_safe_join(df, repeated, keys, "left_anti")
-        sides.append(rows.select(*keys, F.struct(*columns).alias(f"r{side}")))
-    return null_safe_join(*sides, keys, "inner")
+SINGLE, REPEATED = "n1 = 1 and n2 = 1", "n1 > 1 or n2 > 1"
 
 
 def compare_values(
@@ -122,27 +140,24 @@ def compare_values(
 ) -> DataFrame:
     """Columns that differ between rows of equal key, with the number of differing pairs of rows.
 
-    Rows whose key is held once are joined. Where a key repeats, however often, its pairs are
-    counted without being formed.
+    Rows whose key is held once on either side are compared in the aggregate that brings them
+    together. Where a key repeats, however often, its pairs are counted without being formed.
     """
     keys = list(keys)
     common = _common(df1, df2, keys)
-    repeated = _repeated_keys(df1, df2, keys)
-    some_repeat = not repeated.isEmpty()
-    both = _single_pairs(df1, df2, keys, common, repeated if some_repeat else None)
-    differing = both.agg(
+    sides = _sides(df1, df2, keys, common)
+    met = _met(sides, keys)
+    differing = met.where(SINGLE).agg(
         *[
             F.count_if(_differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance)).cast(PAIRS).alias(c)
             for c in common
         ]
     ).unpivot([], common, "column", "differences")
-    if not some_repeat:
-        return differing.where(F.col("differences") > 0)
-
-    one, two = (null_safe_join(df, repeated, keys, "left_semi") for df in (df1, df2))
-    counted = null_safe_join(_per_key(one, keys, 1), _per_key(two, keys, 2), keys, "inner")
-    pairs = counted.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).cast(PAIRS).alias("pairs")).scalar()
-    equal = _equal_pairs(one, two, keys, common, tolerance)
+    repeated = met.where(REPEATED)
+    pairs = repeated.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).cast(PAIRS).alias("pairs")).scalar()
+    again = null_safe_join(sides, repeated.select(*keys), keys, "left_semi")
+    kinds = {c: df1.schema[c].dataType for c in common}
+    equal = _equal_pairs(again, keys, kinds, tolerance)
     return (
         differing.join(equal, "column", "left")
         .select(
@@ -153,49 +168,68 @@ def compare_values(
     )
 
 
-def _equal_pairs(
-    df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str], tolerance: float
-) -> DataFrame:
+def _equal_pairs(sides: DataFrame, keys: list[str], kinds: dict[str, T.DataType], tolerance: float) -> DataFrame:
     """Per column, pairs of equal values among rows of equal key.
 
-    Values are counted per key first. Exact values meet on equality; values with a tolerance meet
-    on cells as wide as the tolerance, so no pair of unlike values is ever formed.
+    Values are counted per key first. Pairs of equal values are the product of their counts on
+    either side; with a tolerance, a value meets the other side's counts in a range around it.
     """
-
-    def cells(df: DataFrame, side: int) -> DataFrame:
-        entries = []
-        for c in columns:
-            held = df.schema[c].dataType
-            value, number, text = _known(F.col(c), held), F.lit(None).cast("double"), F.lit(None).cast("string")
-            if not _exact(held, tolerance):
-                number = value.cast("double")
-            elif isinstance(held, T.FloatType | T.DoubleType):
-                # The two zeros are equal.
-                text = (value + F.lit(0.0)).cast("string")
-            else:
-                text = value.cast("string") if isinstance(held, T.AtomicType) else F.to_json(F.struct(value))
-            entries.append(F.struct(F.lit(c).alias("column"), number.alias("number"), text.alias("text")))
-        long = df.select(*keys, F.inline(F.array(*entries)))
-        counted = long.groupBy(*keys, "column", "number", "text").agg(F.count("*").cast(PAIRS).alias(f"n{side}"))
-        number = F.col("number")
-        near = [number] if side == 1 else [number - tolerance, number, number + tolerance]
-        numbered = F.array_distinct(F.array(*[F.floor(v / F.lit(tolerance or 1.0)).cast("string") for v in near]))
-        cell = F.when(number.isNotNull(), numbered).otherwise(F.array("text"))
-        return counted.select(*keys, "column", number.alias(f"v{side}"), F.explode(cell).alias("cell"), f"n{side}")
-
-    met = null_safe_join(cells(df1, 1), cells(df2, 2), [*keys, "column", "cell"], "inner")
-    near = F.col("v1").isNull() | F.col("v2").isNull() | (F.abs(F.col("v1") - F.col("v2")) <= tolerance)
-    return met.where(near).groupBy("column").agg(F.sum(F.col("n1") * F.col("n2")).cast(PAIRS).alias("equal"))
+    entries = []
+    for c, held in kinds.items():
+        value = F.when(F.col("r1").isNotNull(), F.col("r1")[c]).otherwise(F.col("r2")[c])
+        text = real = units = None
+        if not _exact(held, tolerance):
+            number, _ = _number(value, held, tolerance)
+            real, units = (number, None) if isinstance(held, T.FloatType | T.DoubleType) else (None, number)
+        elif isinstance(held, T.FloatType | T.DoubleType):
+            # The two zeros are equal.
+            text = (_known(value, held) + F.lit(0.0)).cast("string")
+        else:
+            text = value.cast("string") if isinstance(held, T.AtomicType) else F.to_json(F.struct(value))
+        parts = (("text", text, "string"), ("real", real, "double"), ("units", units, UNITS))
+        typed = [(F.lit(None) if v is None else v).cast(t).alias(n) for n, v, t in parts]
+        entries.append(F.struct(F.lit(c).alias("column"), *typed))
+    long = sides.select(*keys, "n1", "n2", F.inline(F.array(*entries)))
+    counted = long.groupBy(*keys, "column", "text", "real", "units").agg(
+        *[F.sum(n).cast(PAIRS).alias(n) for n in ("n1", "n2")]
+    )
+    both = (F.col("n1") * F.col("n2")).cast(PAIRS).alias("equal")
+    equal = counted.where("real is null and units is null").select("column", both)
+    inexact = [held for held in kinds.values() if not _exact(held, tolerance)]
+    for name, held in (("real", T.FloatType | T.DoubleType), ("units", T.DecimalType | T.IntegralType)):
+        if not any(isinstance(k, held) for k in inexact):
+            continue
+        # Tolerances differ by column: in last digits of its type.
+        for apart in {_tolerance(k, tolerance) for k in inexact if isinstance(k, held)}:
+            columns = [c for c, k in kinds.items() if not _exact(k, tolerance) and isinstance(k, held) and _tolerance(k, tolerance) == apart]
+            by = ", ".join(f"`{k}`" for k in [*keys, "column"])
+            around = F.expr(f"sum(n2) OVER (PARTITION BY {by} ORDER BY {name} RANGE BETWEEN {apart} PRECEDING AND {apart} FOLLOWING)")
+            values = counted.where(F.col(name).isNotNull() & F.col("column").isin(columns))
+            near = values.withColumn("around", around)
+            equal = equal.union(near.select("column", (F.col("n1") * F.col("around")).cast(PAIRS).alias("equal")))
+    return equal.groupBy("column").agg(F.sum("equal").cast(PAIRS).alias("equal"))
+
+
+def _tolerance(held: T.DataType, tolerance: float) -> str:
+    """The tolerance as a literal of the type that values are compared in."""
+    if isinstance(held, T.FloatType | T.DoubleType):
+        return f"CAST({tolerance!r} AS DOUBLE)"
+    scale = held.scale if isinstance(held, T.DecimalType) else 0
+    return f"CAST({int(Decimal(repr(tolerance)).scaleb(scale))} AS {UNITS})"
 
 
 def compare_samples(
     df1: DataFrame, df2: DataFrame, keys: Sequence[str], tolerance: float = TOLERANCE, n: int = SAMPLES
 ) -> DataFrame:
-    """The first ``n`` differing rows per column in key order, among keys held once on both sides."""
+    """The first ``n`` differing pairs of values per column, in the order of the keys and then of the values.
+
+    Equal pairs under one key are one sample. Of a repeated key the ``n + 1`` smallest and largest
+    values of either side are paired, whatever it holds: they differ if any do.
+    """
     keys = list(keys)
     common = _common(df1, df2, keys)
-    repeated = _repeated_keys(df1, df2, keys)
-    both = _single_pairs(df1, df2, keys, common, None if repeated.isEmpty() else repeated)
+    sides = _sides(df1, df2, keys, common)
+    met = _met(sides, keys)
     entries = [
         F.when(
             _differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance),
@@ -203,19 +237,47 @@ def compare_samples(
                 F.lit(c).alias("column"),
                 F.col("r1")[c].cast("string").alias("value_1"),
                 F.col("r2")[c].cast("string").alias("value_2"),
+                F.lit(1).alias("_o1"),
+                F.lit(1).alias("_o2"),
             ),
         )
         for c in common
     ]
-    differing = both.select(*keys, F.inline(F.array_compact(F.array(*entries))))
-    rank = F.row_number().over(Window.partitionBy("column").orderBy(*keys))
-    return differing.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    differing = met.where(SINGLE).select(*keys, F.inline(F.array_compact(F.array(*entries))))
+    again = null_safe_join(sides, met.where(REPEATED).select(*keys), keys, "left_semi")
+    for c in common:
+        one, two = (_ends(again, keys, c, side, n + 1) for side in (1, 2))
+        pairs = null_safe_join(one, two, keys, "inner")
+        pairs = pairs.where(_differs(F.col("v1"), F.col("v2"), df1.schema[c].dataType, tolerance))
+        differing = differing.unionByName(
+            pairs.select(
+                *keys, F.lit(c).alias("column"), F.col("v1").cast("string").alias("value_1"), F.col("v2").cast("string").alias("value_2"), "_o1", "_o2"
+            )
+        )
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(*keys, "_o1", "_o2"))
+    return differing.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank", "_o1", "_o2")
+
+
+def _ends(sides: DataFrame, keys: list[str], column: str, side: int, n: int) -> DataFrame:
+    """The ``n`` smallest and largest distinct values of a column per key, as ``v<side>``, with their place ``_o<side>``."""
+    value, place = f"v{side}", f"_o{side}"
+    values = sides.where(f"n{side} = 1").select(*keys, F.col(f"r{side}")[column].alias(value)).distinct()
+    ends = []
+    for sign, order in ((1, F.col(value).asc_nulls_first()), (-1, F.col(value).desc_nulls_last())):
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+        ranked = values.withColumn(place, number).where(F.col(place) <= n)
+        # Places from the large end are put behind those from the small end.
+        ends.append(ranked if sign == 1 else ranked.withColumn(place, 3 * n - F.col(place)))
+    return ends[0].unionByName(ends[1]).groupBy(*keys, value).agg(F.min(place).alias(place))
 
 
 def compare_rows(df1: DataFrame, df2: DataFrame) -> DataFrame:
-    """Whether both tables hold the same rows equally often, as one row. One exchange."""
+    """Whether both tables hold the same rows equally often, in columns of equal names and types, as one row.
+
+    One exchange.
+    """
     names = df1.columns
-    if sorted(names) != sorted(df2.columns):
+    if sorted(df1.dtypes) != sorted(df2.dtypes):
         return df1.sparkSession.range(1).select(F.lit(False).alias("data_equal"))
     both = df1.withColumn("_n", F.lit(1)).unionByName(df2.withColumn("_n", F.lit(-1)))
     unequal = both.groupBy(*names).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)

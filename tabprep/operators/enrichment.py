@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tabprep.functions.dates import as_date, duration_months, duration_months_avg
 from tabprep.functions.numeric import value_tier
 from tabprep.functions.text import lookup, strip
-from tabprep.scratch import broadcast_if_small
 
 # Statuses behind the flags.
 ACTIVE_STATUSES = ("Won", "Submitted", "In Progress", "On Hold")
@@ -115,9 +114,8 @@ def fx_convert(
 ) -> DataFrame:
     """Add ``Amount<target>`` and ``FXRateUsed``; a frame without the amount column is returned as is.
 
-    ``rates`` is a mapping, put into the plan as a literal, or a frame ``(currency, rate)``, joined.
-    Few currencies make up most rows, so the frame is broadcast once its row count is seen to be
-    small. Amounts in the target currency stay as they are and unknown currencies give null.
+    ``rates`` is a mapping, put into the plan as a literal, or a frame ``(currency, rate)``, joined;
+    Spark's size statistics choose how, and split a currency that makes up most rows. Amounts in the target currency stay as they are and unknown currencies give null.
     """
     if amount_column not in df.columns:
         return df
@@ -129,7 +127,6 @@ def fx_convert(
             .otherwise(F.max(F.col("rate").cast("double")))
             .alias("_fx_rate")
         )
-        table = broadcast_if_small(table)
         joined = df.join(table, code == table["_fx_currency"], "left")
         rate = F.col("_fx_rate")
     else:

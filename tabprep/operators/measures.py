@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tabprep.operators.enrichment import LOST_STATUSES, financial_periods
 from tabprep.scratch import materialize, null_safe_join
 
-# Money is summed as decimals, so a result never depends on the order of the rows.
-SUM_TYPE = "decimal(18,2)"
-SPREAD_TYPE = "decimal(24,6)"
+# Money is summed as decimals, in the type of the contracts, so a result never depends on the order
+# of the rows and no row is rounded to cents before it is added.
+SUM_TYPE = "decimal(38,10)"
 
 
-def _total(column: str, when: Column | None = None, kind: str = SUM_TYPE) -> Column:
-    value = F.col(column).cast(kind)
+def _total(column: str, when: Column | None = None) -> Column:
+    value = F.col(column).cast(SUM_TYPE)
     return F.sum(value if when is None else F.when(when, value)).cast("double")
 
 
@@ -39,9 +39,9 @@ MEASURES = {
     "tender_count": lambda: F.count("*"),
     "avg_deal_size": lambda: _ratio(_total("ReportingValue"), F.count("*")),
     "win_rate": lambda: _ratio(F.count_if(_won()), F.count_if(_decided())),
-    "monthly_spread_value": lambda: _total("MonthlySpread", kind=SPREAD_TYPE),
-    "quarterly_spread_value": lambda: _total("QuarterlySpread", kind=SPREAD_TYPE),
-    "weighted_monthly_spread": lambda: _total("WeightedMonthlySpread", kind=SPREAD_TYPE),
+    "monthly_spread_value": lambda: _total("MonthlySpread"),
+    "quarterly_spread_value": lambda: _total("QuarterlySpread"),
+    "weighted_monthly_spread": lambda: _total("WeightedMonthlySpread"),
     "active_pipeline_value": lambda: _total("WeightedValue", F.col("IsActive")),
     "won_pipeline_value": lambda: _total("ReportingValue", F.col("IsWon")),
     "lost_pipeline_value": lambda: _total("ReportingValue", F.col("IsLost")),

@@ -107,7 +107,8 @@ SELECT k,
        {_money("cents")} AS TenderValue,
        CASE WHEN k % 5 = 0 THEN NULL ELSE {_money("reporting_cents")} END AS ReportingValue,
        cast(cast(probability AS decimal(10,0)) * 0.01 AS decimal(10,2)) AS ProbabilityPercentage,
-       {_money("cast((cents - cents % 10000) / 100 * probability AS bigint)")} AS WeightedValue,
+       cast({_money("cast((cents - cents % 10000) / 100 * probability AS bigint)")}
+           + cast(k % 97 AS decimal(10,0)) * 0.0001 AS decimal(20,4)) AS WeightedValue,
        'Owner ' || {_text("k % 8")} AS ActionOwner,
        CASE WHEN k % 10 >= 3 THEN {_money("cents")} END AS MonthlyForecast,
        CASE WHEN k % 10 >= 3 THEN {_money("cents - cents % 100")} END AS QuarterlyForecast

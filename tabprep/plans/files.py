@@ -98,6 +98,11 @@ def s5(spark, d):
     return read_odata_pages(spark, _land_pages(spark, d), filter="statecode = 0", select=wanted, top=5000)
 
 
+@query("S5_read_odata_all", f"SELECT opportunityid, statuscode FROM ({OPPS}) WHERE statecode = 0")
+def s5_all(spark, d):
+    return read_odata_pages(spark, _land_pages(spark, d), filter="statecode = 0", select=["opportunityid", "statuscode"])
+
+
 @query("S5_count_odata_rows", f"SELECT count(*) AS count FROM ({OPPS}) WHERE probability >= 50")
 def s5_count(spark, d):
     return count_odata_rows(read_odata_rows(spark, _land_pages(spark, d), filter="probability >= 50"))

@@ -125,13 +125,20 @@ def b10(spark, d):
 
 # --- diff: two versions of the lines, some re-keyed and some revised
 
-VERSION_1 = """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag,
-    cast(l_extendedprice AS decimal(18,2)) AS amount, l_tax FROM {lineitem}"""
-VERSION_2 = """SELECT l_orderkey, cast(CASE WHEN l_partkey % 20 = 0 THEN l_linenumber + 7 ELSE l_linenumber END AS int)
+# The first order gets all lines of supplier 1, a key repeated many times over, with large amounts.
+_HOT = "l_suppkey = 1"
+_AMOUNT = f"CASE WHEN {_HOT} THEN 1000000000 ELSE 0 END + cast(l_extendedprice AS decimal(18,2))"
+VERSION_1 = f"""SELECT CASE WHEN {_HOT} THEN 0 ELSE l_orderkey END AS l_orderkey,
+    CASE WHEN {_HOT} THEN 0 ELSE l_linenumber END AS l_linenumber, l_quantity, l_returnflag,
+    cast({_AMOUNT} AS decimal(18,2)) AS amount, l_tax, cast({_AMOUNT} AS decimal(38,10)) AS exact_amount
+    FROM {{lineitem}}"""
+VERSION_2 = f"""SELECT CASE WHEN {_HOT} THEN 0 ELSE l_orderkey END AS l_orderkey,
+    cast(CASE WHEN {_HOT} THEN 0 WHEN l_partkey % 20 = 0 THEN l_linenumber + 7 ELSE l_linenumber END AS int)
     AS l_linenumber, CASE WHEN l_suppkey % 10 = 0 THEN l_quantity + 0.5 ELSE l_quantity END AS l_quantity,
     CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
-    cast(CASE WHEN l_partkey % 9 = 0 THEN l_extendedprice + 1 ELSE l_extendedprice END AS decimal(18,2)) AS amount,
-    l_tax FROM {lineitem}"""
+    cast({_AMOUNT} + CASE WHEN l_partkey % 9 = 0 THEN 1 ELSE 0 END AS decimal(18,2)) AS amount, l_tax,
+    cast({_AMOUNT} + CASE WHEN l_partkey % 9 = 0 THEN 0.0000000005 ELSE 0 END AS decimal(38,10)) AS exact_amount
+    FROM {{lineitem}}"""
 PAIRED = f"""({plain(VERSION_1)}) a JOIN ({plain(VERSION_2)}) b
     ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber"""
 
@@ -178,6 +185,7 @@ def k2b(spark, d):
             AS differences FROM {PAIRED}
         UNION ALL SELECT 'l_returnflag', count(*) FILTER (WHERE a.l_returnflag IS DISTINCT FROM b.l_returnflag)::double FROM {PAIRED}
         UNION ALL SELECT 'amount', count(*) FILTER (WHERE abs(a.amount - b.amount) > 1e-10)::double FROM {PAIRED}
+        UNION ALL SELECT 'exact_amount', count(*) FILTER (WHERE abs(a.exact_amount - b.exact_amount) > 0.0000000001)::double FROM {PAIRED}
         UNION ALL SELECT 'l_tax', count(*) FILTER (WHERE abs(a.l_tax - b.l_tax) > 1e-10)::double FROM {PAIRED})
         WHERE differences > 0""",
 )
@@ -187,27 +195,36 @@ def k2c(spark, d):
 
 @query(
     "K2c_compare_samples",
-    f"""WITH one AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM ({plain(VERSION_1)})),
-        two AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM ({plain(VERSION_2)})),
-        both_sides AS (SELECT a.l_orderkey, a.l_linenumber, a.l_returnflag AS f1, b.l_returnflag AS f2, a.amount AS a1, b.amount AS a2
-            FROM one a JOIN two b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber WHERE a.n = 1 AND b.n = 1),
-        long AS (SELECT l_orderkey, l_linenumber, 'l_returnflag' AS "column", f1 AS value_1, f2 AS value_2 FROM both_sides
-            WHERE f1 IS DISTINCT FROM f2 UNION ALL
-            SELECT l_orderkey, l_linenumber, 'amount', a1::varchar, a2::varchar FROM both_sides WHERE a1 <> a2)
-        SELECT * EXCLUDE (rn) REPLACE (l_linenumber::bigint AS l_linenumber) FROM (SELECT *, row_number() OVER (
-            PARTITION BY "column" ORDER BY l_orderkey, l_linenumber) AS rn FROM long) WHERE rn <= 5""",
+    f"""WITH both_sides AS (SELECT DISTINCT a.l_orderkey, a.l_linenumber, a.l_returnflag AS f1, b.l_returnflag AS f2,
+            a.amount AS a1, b.amount AS a2 FROM {PAIRED}),
+        long AS (SELECT DISTINCT l_orderkey, l_linenumber, 'l_returnflag' AS "column", f1 AS value_1, f2 AS value_2,
+                NULL::decimal(18,2) AS x, NULL::decimal(18,2) AS y FROM both_sides WHERE f1 IS DISTINCT FROM f2 UNION ALL
+            SELECT DISTINCT l_orderkey, l_linenumber, 'amount', a1::varchar, a2::varchar, a1, a2 FROM both_sides WHERE a1 <> a2)
+        SELECT * EXCLUDE (rn, x, y) REPLACE (l_linenumber::bigint AS l_linenumber) FROM (SELECT *, row_number() OVER (
+            PARTITION BY "column" ORDER BY l_orderkey, l_linenumber, x, y, value_1 NULLS FIRST, value_2 NULLS FIRST) AS rn FROM long)
+        WHERE rn <= 5""",
 )
 def k2c_samples(spark, d):
     one, two = (v.select(*LINE_KEY, "l_returnflag", "amount") for v in _versions(spark, d))
     return compare_samples(one, two, LINE_KEY)
 
 
-@query("K2d_compare_rows", "SELECT true AS same, false AS revised")
+def _sql_equal(a: str, b: str) -> str:
+    either = f"(SELECT * FROM ({a}) EXCEPT ALL SELECT * FROM ({b})) UNION ALL (SELECT * FROM ({b}) EXCEPT ALL SELECT * FROM ({a}))"
+    return f"(SELECT count(*) = 0 FROM ({either}))"
+
+
+@query(
+    "K2d_compare_rows",
+    f"""SELECT {_sql_equal(plain(VERSION_1), plain(VERSION_1))} AS same, {_sql_equal(plain(VERSION_1), plain(VERSION_2))} AS revised,
+        false AS retyped""",
+)
 def k2d(spark, d):
     one, two = _versions(spark, d)
     same = compare_rows(one, one.repartition("l_orderkey"))
     revised = compare_rows(one, two)
-    return same.select(F.col("data_equal").alias("same"), revised.scalar().alias("revised"))
+    retyped = compare_rows(one, one.withColumn("l_linenumber", F.col("l_linenumber").cast("decimal(10,0)")))
+    return same.select(F.col("data_equal").alias("same"), revised.scalar().alias("revised"), retyped.scalar().alias("retyped"))
 
 
 _RAW_TYPES = [("k", "bigint")] + [

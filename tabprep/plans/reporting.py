@@ -209,12 +209,12 @@ def e17(spark, d):
 
 
 def _sql_total(c: str, where: str = "") -> str:
-    return f"cast(sum({c}::decimal(18,2)){f' FILTER (WHERE {where})' if where else ''} AS double)"
+    return f"cast(sum({c}){f' FILTER (WHERE {where})' if where else ''} AS double)"
 
 
 def _sql_spread(c: str) -> str:
-    """Rounded in decimal digits, as Spark rounds, and not by a binary multiplication."""
-    return f"sum({c}::varchar::decimal(24,6))"
+    """Summed in decimals of the contract's type: no more digits than that of a double are its own."""
+    return f"sum({c}::varchar::decimal(38,10))"
 
 
 def _sql_ratio(part: str, whole: str) -> str:
@@ -249,11 +249,14 @@ ROUNDED = ("monthly_spread_value", "quarterly_spread_value", "weighted_monthly_s
 
 def _sql_measure(name: str) -> str:
     sql = SQL_MEASURES[name]
-    return f"{sql}::decimal(38,2)::double AS {name}" if name in ROUNDED else f"{sql} AS {name}"
+    return f"{sql}::decimal(38,6)::decimal(38,2)::double AS {name}" if name in ROUNDED else f"{sql} AS {name}"
 
 
 def _rounded(df):
-    return df.withColumns({c: F.round(c, 2) for c in ROUNDED if c in df.columns})
+    # Six digits first, so that the last digits of a sum do not decide about half a cent.
+    return df.withColumns(
+        {c: F.round(F.col(c).cast("decimal(38,6)"), 2).cast("double") for c in ROUNDED if c in df.columns}
+    )
 
 
 def _register_measure(name: str) -> None:

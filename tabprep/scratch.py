@@ -73,15 +73,6 @@ def place_of(ranged: DataFrame) -> list[str]:
     return [c for c in PLACE if c in ranged.columns]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """The frame with a broadcast hint if it is found to have few rows, else as it is.
-
-    Counting stops just past the limit. Beyond it the join is left to Spark, which exchanges both
-    sides and splits skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:
     """Join on columns of equal name, nulls matching each other; the columns are kept once."""
     names = {c: f"_right_{c}" for c in columns}

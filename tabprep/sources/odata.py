@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from tabprep.contracts import OPPORTUNITY
 
-PAGE_SIZE = 5000
-
 
 def read_odata_rows(
     spark: SparkSession,
@@ -37,13 +35,13 @@ def read_odata_pages(
     schema: T.StructType = OPPORTUNITY,
     filter: Column | str | None = None,
     select: Sequence[str] | None = None,
-    top: int | None = PAGE_SIZE,
+    top: int | None = None,
     order_by: Sequence[str] = ("opportunityid",),
     multi_line: bool = False,
 ) -> DataFrame:
-    """The first ``top`` matching records in key order, or all of them with ``top=None``.
+    """All matching records, or the first ``top`` of them in key order.
 
-    The cut is a distributed top-k: every task keeps at most ``top`` rows.
+    That cut is a distributed top-k: every task keeps at most ``top`` rows.
     """
     rows = read_odata_rows(spark, path, schema, filter, multi_line)
     if top is not None:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import plan_of
@@ -324,3 +325,33 @@ def test_scan(spark):
     df = spark.createDataFrame([(1, text), (2, "clean"), (3, None)], "id int, t string")
     got = {r.label: r.matches for r in scan_sensitive(df, "t", "id").collect()}
     assert got == {"Email": 2, "Phone": 1, "API Key": 1, "Credential": 1}
+
+
+def test_values_of_repeated_keys_keep_all_digits(spark):
+    money, more = Decimal("1000000000.0000000000"), Decimal("1000000000.0000000005")
+    kinds = "k int, a decimal(38,10), b double, c bigint"
+    one = spark.createDataFrame([(1, money, 2e9, 1), (2, money, 2e9, 1), (2, money, 3e9, None), (None, money, 1.0, 3)], kinds)
+    two = spark.createDataFrame([(1, more, 2e9, 1), (2, more, 2e9, 1), (None, more, 1.0, 3), (3, more, 1.0, 3)], kinds)
+    found = {r.column: int(r.differences) for r in compare_values(one, two, ["k"]).collect()}
+    assert found == {"a": 4, "b": 1, "c": 1}
+    near = {r.column: int(r.differences) for r in compare_values(one, two, ["k"], tolerance=1e-9).collect()}
+    assert near == {"b": 1, "c": 1}
+
+
+def test_hot_key_forms_no_pairs(spark):
+    one = spark.range(3000).selectExpr("0 AS k", "id + 1e9D AS v")
+    two = spark.range(3000).selectExpr("0 AS k", "id + 1e9D + 1 AS v")
+    assert [int(r.differences) for r in compare_values(one, two, ["k"]).collect()] == [3000 * 3000 - 2999]
+
+
+def test_samples_of_repeated_keys(spark):
+    one = spark.createDataFrame([(1, v) for v in (1, 1, 2, None, 9)], "k int, v int")
+    two = spark.createDataFrame([(1, v) for v in (1, 2, 2)], "k int, v int")
+    found = [(r.value_1, r.value_2) for r in compare_samples(one, two, ["k"]).collect()]
+    assert sorted(found, key=str) == sorted([(None, "1"), (None, "2"), ("1", "2"), ("2", "1"), ("9", "1")], key=str)
+
+
+def test_rows_of_other_types_are_not_equal(spark):
+    df = spark.range(3)
+    assert compare_rows(df, df.selectExpr("id")).first()[0]
+    assert not compare_rows(df, df.selectExpr("CAST(id AS INT) AS id")).first()[0]
