@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -9,20 +10,17 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.text import as_column, strip
 
-# Date layouts in order of priority, day-first before month-first. Each comes with
-# the shape its text must have, so that no row pays for a parse that is bound to fail.
-DAY, MONTH = r"(0?[1-9]|[12]\d|3[01])", r"(0?[1-9]|1[0-2])"
-DATE_LAYOUTS = (
-    (rf"^\d{{4}}-{MONTH}-{DAY}$", "yyyy-M-d"),
-    (rf"^{DAY}/{MONTH}/\d{{4}}$", "d/M/yyyy"),
-    (rf"^{MONTH}/{DAY}/\d{{4}}$", "M/d/yyyy"),
-    (rf"^\d{{4}}/{MONTH}/{DAY}$", "yyyy/M/d"),
-    (rf"^{DAY}-{MONTH}-\d{{4}}$", "d-M-yyyy"),
-    (rf"^\p{{L}}{{3}} {DAY}, \d{{4}}$", "MMM d, yyyy"),
-    (rf"^{DAY} \p{{L}}{{3}} \d{{4}}$", "d MMM yyyy"),
-    (r"^\d{8}$", "yyyyMMdd"),
-)
-LONG_MONTH_LAYOUT = (rf"^\p{{L}}{{4,}} {DAY}, \d{{4}}$", "MMMM d, yyyy")
+# Names of months, long or of three letters, and one of four.
+MONTHS = tuple(m.lower() for m in calendar.month_name[1:])
+MONTH_NAME = "^(" + "|".join(f"{m[:3]}({m[3:]})?" if len(m) > 3 else m for m in MONTHS) + "|sept)$"
+
+# What the classes of dates look like; each may be followed by a time of day.
+TIME = r"( +\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+NUMBERS = r"^\d{1,2}([/.-])\d{1,2}\1\d{4}" + TIME
+YEAR_FIRST = r"^\d{4}(\D|$)"
+ORDINAL = r"(?:st|nd|rd|th)?"
+NAME_FIRST = r"^(\p{L}+)\.?[ /-](\d{1,2})" + ORDINAL + r",?[ /-](\d{4})" + TIME
+DAY_FIRST = r"^(\d{1,2})" + ORDINAL + r"[ /-](\p{L}+)\.?,?[ /-](\d{4})" + TIME
 
 AVERAGE_MONTH_DAYS = 30.44
 
@@ -30,24 +28,57 @@ AVERAGE_MONTH_DAYS = 30.44
 def clean_date(c: Column | str, formats: Sequence[str] | None = None) -> Column:
     """Timestamp from text in any known layout; null where none fits.
 
-    ``formats`` replaces the built-in layouts by Spark datetime patterns. ISO dates and times,
-    the first and most common layout, go through the plain cast, which needs no formatter; so
-    does at last what no layout matches.
+    Day and month in numbers are read day first, and month first only where that is no date; with
+    dots or a time of day it is the other way round. ``formats`` replaces the built-in layouts by
+    Spark datetime patterns. A few characters tell which class a text belongs to, and only that
+    class is tried; all parts are put together as an ISO text, which needs no formatter.
     """
     text = strip(c)
     if formats is not None:
-        attempts = [F.try_to_date(text, f) for f in formats]
-    else:
-        attempts = [F.when(F.substring(text, 5, 1) == "-", text.try_cast("timestamp_ntz"))]
-        attempts += [_in_layout(text, shape, p) for shape, p in (*DATE_LAYOUTS[1:], LONG_MONTH_LAYOUT)]
-    # The cast would also take five and six digits as a year.
-    rest = F.when(text.rlike(r"^\d{4}(\D|$)"), text.try_cast("timestamp_ntz"))
-    return F.coalesce(*[a.cast("timestamp_ntz") for a in attempts], rest)
-
-
-def _in_layout(text: Column, shape: str, pattern: str) -> Column:
-    source = F.initcap(text) if "MMM" in pattern else text
-    return F.when(text.rlike(shape), F.try_to_date(source, pattern))
+        return F.coalesce(*[F.try_to_date(text, f).cast("timestamp_ntz") for f in formats])
+    found = (
+        F.when(F.substring(text, 5, 1) == "-", text)
+        .when(text.rlike(r"\p{L}"), _named_month(text))
+        .when(text.rlike(r"^\d{8}$"), _iso(F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)))
+        # The cast alone would also take five and six digits as a year.
+        .when(text.rlike(YEAR_FIRST), F.regexp_replace(text, r"^(\d{4})[/.](\d{1,2})[/.]", "$1-$2-"))
+        .when(text.rlike(NUMBERS), _numbers(text))
+    )
+    return found.try_cast("timestamp_ntz")
+
+
+def _iso(year: Column, month: Column, day: Column, text: Column | None = None) -> Column:
+    """ISO text of a date, with the time of day that stands in ``text`` after it."""
+    date = F.concat_ws("-", year, month, day)
+    if text is None:
+        return date
+    # The time is the last word, if that holds a colon.
+    last = F.substring_index(text, " ", -1)
+    return F.when(F.contains(text, F.lit(":")), F.concat_ws(" ", date, last)).otherwise(date)
+
+
+def _numbers(text: Column) -> Column:
+    """Two numbers and a year: whichever order makes a date, the usual one first."""
+    date = F.translate(F.substring_index(text, " ", 1), ".-", "//")
+    first, second, year = (F.split_part(date, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
+    inferred = F.contains(text, F.lit(":")) | F.contains(text, F.lit("."))
+    usual = F.when(inferred, _iso(year, first, second)).otherwise(_iso(year, second, first))
+    month_first = F.when(usual.try_cast("date").isNotNull(), inferred).otherwise(~inferred)
+    return F.when(month_first, _iso(year, first, second, text)).otherwise(_iso(year, second, first, text))
+
+
+def _named_month(text: Column) -> Column:
+    """A month by name, a day and a year."""
+    name_first = text.rlike(NAME_FIRST)
+
+    def part(in_name_first: int, in_day_first: int) -> Column:
+        a, b = F.regexp_extract(text, NAME_FIRST, in_name_first), F.regexp_extract(text, DAY_FIRST, in_day_first)
+        return F.when(name_first, a).otherwise(b)
+
+    name = F.lower(part(1, 2))
+    starts = "".join(m[:3] for m in MONTHS)
+    number = ((F.instr(F.lit(starts), F.substring(name, 1, 3)) + 2) / 3).cast("int").cast("string")
+    return F.when(name.rlike(MONTH_NAME), _iso(part(3, 3), number, part(2, 1), text))
 
 
 def as_date(c: Column | str) -> Column:

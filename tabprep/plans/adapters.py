@@ -66,6 +66,11 @@ SELECT k,
                  WHEN 3 THEN 'active' WHEN 4 THEN 'lost' WHEN 5 THEN 'declined ' WHEN 6 THEN 'Cancelled'
                  WHEN 7 THEN 'on hold' ELSE 'in o''review-2b' END END AS TenderStatus,
        CASE WHEN k % 41 = 0 THEN 'TBC'
+            WHEN k % 43 = 0 THEN {_text("dd")} || '.' || {_padded("mm", 2)} || '.' || {_text("yy")}
+            WHEN k % 43 = 1 THEN {_text("dd")} || '-' || substr('{MONTHS}', cast(mm * 3 - 2 AS int), 3) || '-' || {_text("yy")}
+            WHEN k % 43 = 2 THEN {_text("mm")} || '/' || {_text("dd")} || '/' || {_text("yy")} || ' 10:30'
+            WHEN k % 43 = 3 THEN 'January ' || {_text("dd")} || ' ' || {_text("yy")}
+            WHEN k % 43 = 4 THEN {_text("dd")} || ' December ' || {_text("yy")}
             WHEN k % 4 = 0 THEN {_iso("d")}
             WHEN k % 4 = 1 THEN {_text("dd")} || '/' || {_text("mm")} || '/' || {_text("yy")}
             WHEN k % 4 = 2 THEN substr('{MONTHS}', cast(mm * 3 - 2 AS int), 3) || ' ' || {_text("dd")} || ', ' || {_text("yy")}

@@ -57,7 +57,8 @@ def sql_status(c: str) -> str:
 
 
 def sql_date(c: str) -> str:
-    layouts = "['%Y-%m-%d', '%d/%m/%Y', '%m/%d/%Y', '%Y/%m/%d', '%d-%m-%Y', '%b %d, %Y', '%d %b %Y', '%Y%m%d']"
+    layouts = "['%Y-%m-%d', '%d/%m/%Y', '%m/%d/%Y', '%Y/%m/%d', '%d-%m-%Y', '%b %d, %Y', '%d %b %Y', '%Y%m%d', "
+    layouts += "'%m.%d.%Y', '%d.%m.%Y', '%d-%b-%Y', '%m/%d/%Y %H:%M', '%B %d %Y', '%d %B %Y']"
     return f"coalesce(try_strptime({c}, {layouts}), try_cast({c} AS timestamp))"
 
 

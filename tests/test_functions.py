@@ -75,6 +75,22 @@ def test_parse_probability(spark):
         (" 2025-01-15\t", "2025-01-15"),
         ("2025-01-15 10:30:00", "2025-01-15 10:30:00"),
         ("2025-01-15T10:30:00", "2025-01-15 10:30:00"),
+        ("January 5 2025", "2025-01-05"),
+        ("5 January 2025", "2025-01-05"),
+        ("5-Jan-2025", "2025-01-05"),
+        ("Sept 5, 2025", "2025-09-05"),
+        ("May 5th 2025", "2025-05-05"),
+        ("Jan 5, 2025 3:04:05", "2025-01-05 03:04:05"),
+        ("1/5/2025 10:30", "2025-01-05 10:30:00"),
+        ("13/01/2025 10:30", "2025-01-13 10:30:00"),
+        ("05.01.2025", "2025-05-01"),
+        ("13.01.2025", "2025-01-13"),
+        ("01-15-2025", "2025-01-15"),
+        ("2025.01.05", "2025-01-05"),
+        ("2025/1/5 10:30", "2025-01-05 10:30:00"),
+        ("Marchy 5, 2025", None),
+        ("Jan 32, 2025", None),
+        ("1/2.2025", None),
         ("31/02/2025", None),
         ("2025-02-30", None),
         ("13/13/2025", None),
