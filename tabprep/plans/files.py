@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tabprep.contracts import OPPORTUNITY
 from tabprep.operators.diff import profile
-from tabprep.plans.adapters import OPPORTUNITIES, TENDERS, TENDERS_RAW, adapted
+from tabprep.plans.adapters import OPPORTUNITIES, TENDERS, TENDERS_RAW, TRANSACTIONS, adapted
 from tabprep.plans.functions import OPPS, RAW, TYPED, sql_date
 from tabprep.plans.operations import _sql_cooldown, scratch_path, sql_redacted, table
 from tabprep.plans.recipe import run_recipe
 from tabprep.plans.registry import query
 from tabprep.plans.reporting import CALENDAR, CLEAN_ENRICHED, FISCAL, LABELS, sql_periods
+from tabprep.plans.tables import LEDGER_STATUS
 from tabprep.sinks.files import write_csv, write_formats, write_json, write_parquet, write_tables
 from tabprep.sinks.sanitize import sanitize_dir
 from tabprep.sinks.workbook import write_excel
@@ -65,6 +66,27 @@ def s2(spark, d):
     return read.select(*columns)
 
 
+@query("S1_csv_with_line_breaks", "SELECT doc_id::varchar AS doc_id, text FROM documents")
+def s1_lines(spark, d):
+    path = scratch_path(spark, "s1-lines")
+    write_csv(table(spark, d, "documents").select("doc_id", "text"), path)
+    return read_csv(spark, path, lineage=False, multi_line=True)
+
+
+@query(
+    "S2_excel_rewritten",
+    "SELECT o_orderkey::varchar AS o_orderkey, o_orderpriority || chr(13) || chr(1) AS o_orderpriority FROM orders WHERE o_orderkey % 3 = 0",
+)
+def s2_rewritten(spark, d):
+    """Written twice, the second time with fewer rows in fewer workbooks, and odd characters."""
+    path = scratch_path(spark, "s2-again")
+    odd = F.concat("o_orderpriority", F.lit("\r\x01")).alias("o_orderpriority")
+    orders = table(spark, d, "orders").select("o_orderkey", odd)
+    write_excel(orders, path, rows_per_workbook=1000)
+    write_excel(orders.filter("o_orderkey % 3 = 0"), path, rows_per_workbook=5000)
+    return read_excel(spark, path, lineage=False)
+
+
 @query("S3_normalize_headers", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def s3(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -417,6 +439,23 @@ def l2(spark, d):
     return spark.read.parquet(out).select("o_orderkey", *CALENDAR, *FISCAL, *LABELS)
 
 
+@query(
+    "L2_validate_ledger",
+    f"{LEDGER_STATUS} SELECT TransactionID, AmountLocal::double AS AmountLocal FROM checked WHERE status = 'valid'",
+)
+def l2_ledger(spark, d):
+    """A ledger checked by its own contract; only good rows go on."""
+    landing, out = scratch_path(spark, "ledger"), scratch_path(spark, "valid")
+    write_parquet(adapted(spark, d, TRANSACTIONS), f"{landing}.parquet")
+    steps = [
+        _step("raw", "extract", {"extractor": "file", "file_path": f"{landing}.parquet"}),
+        _step("check", "transform", {"transform": "validate", "contract": "transaction", "mode": "split"}, "raw"),
+        _step("load", "load", {"loader": "parquet", "output_path": out}, "check"),
+    ]
+    run_recipe(spark, {"name": "ledger", "transforms": steps})
+    return spark.read.parquet(out).select("TransactionID", "AmountLocal")
+
+
 @query(
     "L3_custom_step",
     "SELECT o_orderpriority, count(*) AS orders, sum(o_totalprice::decimal(18,2))::double AS value FROM orders GROUP BY 1",
@@ -474,17 +513,23 @@ def l6(spark, d):
 @query(
     "P6_sanitize_dir",
     f"""SELECT 'documents' AS name, doc_id AS id, {sql_redacted("text")} AS text FROM documents
-        UNION ALL SELECT 'customers', c_custkey, c_name FROM customer""",
+        UNION ALL SELECT 'customers', c_custkey, c_name || chr(10) || c_mktsegment FROM customer
+        UNION ALL SELECT 'notes', NULL, s_name FROM supplier""",
 )
 def p6(spark, d):
+    """A table, below it a CSV whose values hold line breaks, and files of another kind."""
     source, target = scratch_path(spark, "outputs"), scratch_path(spark, "sanitized")
     documents = table(spark, d, "documents").select("doc_id", "text", F.col("source").alias("email"))
     write_parquet(documents, f"{source}/documents.parquet")
-    customers = table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("api_key"))
-    write_csv(customers, f"{source}/customers.csv")
+    lines = F.concat_ws("\n", "c_name", "c_mktsegment").alias("lines")
+    customers = table(spark, d, "customer").select("c_custkey", lines, F.col("c_mktsegment").alias("api_key"))
+    write_csv(customers, f"{source}/crm/customers.csv")
+    table(spark, d, "supplier").select("s_name").write.text(f"{source}/crm/notes.txt")
     sanitize_dir(spark, source, target)
     clean = spark.read.parquet(f"{target}/documents.parquet").select(F.lit("documents").alias("name"), F.col("doc_id").alias("id"), "text")
-    rows = read_csv(spark, f"{target}/customers.csv", lineage=False)
-    return clean.unionByName(
-        rows.select(F.lit("customers").alias("name"), F.col("c_custkey").cast("bigint").alias("id"), F.col("c_name").alias("text"))
+    rows = read_csv(spark, f"{target}/crm/customers.csv", lineage=False, multi_line=True)
+    notes = spark.read.text(f"{target}/crm/notes.txt")
+    return (
+        clean.unionByName(rows.select(F.lit("customers").alias("name"), F.col("c_custkey").cast("bigint").alias("id"), F.col("lines").alias("text")))
+        .unionByName(notes.select(F.lit("notes").alias("name"), F.lit(None).cast("bigint").alias("id"), F.col("value").alias("text")))
     )

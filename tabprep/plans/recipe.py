@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tabprep.operators.cleaning import clean_tenders
 from tabprep.operators.enrichment import calculated_fields, financial_periods, spreads
-from tabprep.operators.validation import validate_tenders, validation_summary, with_status
+from tabprep.operators.validation import validate_tenders, validate_transactions, validation_summary, with_status
 from tabprep.sinks.database import write_jdbc
 from tabprep.sinks.files import counted, write_csv, write_json, write_parquet, write_quarantine, write_tables
 from tabprep.sinks.workbook import write_excel
@@ -99,20 +99,27 @@ def _extract(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
             config.get("schema"),
             config.get("encoding", "utf-8"),
             config.get("delimiter", ","),
+            multi_line=config.get("multi_line", False),
             **common,
         )
     if kind == "odata":
         wanted = {k: config[k] for k in ("filter", "select", "top", "multi_line") if k in config}
         return read_odata_pages(spark, path, **wanted)
     if kind == "file":
-        return read_any(spark, path)
+        return read_any(spark, path, config.get("multi_line", False))
     raise ValueError(f"unknown extractor {kind!r}")
 
 
 def _validate(df: DataFrame, config: Mapping[str, Any], run: Run, name: str) -> DataFrame:
-    """Report on bad rows and let them pass, or with ``mode: split`` keep only the valid ones."""
+    """Report on bad rows and let them pass, or with ``mode: split`` keep only the valid ones.
+
+    ``contract`` says what the rows are checked as: ``tender`` or ``transaction``.
+    """
     threshold = config.get("quarantine_threshold", 0.5)
-    checked = validate_tenders(df, threshold)
+    contract = config.get("contract", "tender")
+    if contract not in CONTRACTS:
+        raise ValueError(f"unknown contract {contract!r}")
+    checked = CONTRACTS[contract](df, threshold)
     run.summaries[name] = validation_summary(checked, threshold)
     if config.get("mode", "report") == "report":
         return df
@@ -121,6 +128,8 @@ def _validate(df: DataFrame, config: Mapping[str, Any], run: Run, name: str) ->
     return with_status(checked, "valid")
 
 
+CONTRACTS = {"tender": validate_tenders, "transaction": validate_transactions}
+
 TRANSFORMS: dict[str, Callable[[DataFrame, Mapping[str, Any]], DataFrame]] = {
     "clean_tender": lambda df, c: clean_tenders(df, c.get("probability", "amount")),
     "calculate_spreads": lambda df, c: spreads(df),

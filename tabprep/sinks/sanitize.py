@@ -5,59 +5,97 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.operators.redaction import (
-    drop_sensitive_columns,
-    drop_sensitive_like,
-    redact,
-    redact_credentials,
-    suffix_of,
-)
+from tabprep.operators.redaction import drop_sensitive_columns, drop_sensitive_like, redact, redact_credentials
 from tabprep.sinks.files import write_csv, write_parquet
 from tabprep.sinks.workbook import write_excel
 from tabprep.sources.files import read_csv
 from tabprep.sources.workbook import read_excel
 
+TABLES = ("parquet", "csv", "xlsx", "xlsm")
 SETTINGS = ("yaml", "yml", "json")
+UNIT = "_unit"
 
 
-def outputs_in(spark: SparkSession, path: str) -> list[str]:
-    """Names of the tables and files directly below a folder."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    )
+def outputs_in(spark: SparkSession, path: str) -> DataFrame:
+    """Tables and files anywhere below a folder: ``name``, its path below the folder, and ``kind``.
+
+    The first part of a path that ends like a table names a table, be it a file or a folder of files;
+    what belongs to no table is a file by itself.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
     root = path.rstrip("/").removeprefix("file:") + "/"
-    name = F.substring_index(F.substring_index("path", root, -1), "/", 1)
-    return sorted(r.name for r in files.select(name.alias("name")).distinct().collect())
+    below = F.regexp_replace(F.url_decode(F.replace(F.substring_index("path", root, -1), F.lit("+"), F.lit("%2B"))), "/+", "/")
+    table = F.regexp_extract(below, rf"(?i)^(.*?\.({'|'.join(TABLES + SETTINGS)}))(/|$)", 1)
+    name = F.when(table != "", table).otherwise(below).alias("name")
+    suffix = F.lower(F.substring_index("name", ".", -1))
+    kind = F.when(suffix.isin(*SETTINGS), "settings").when(suffix.isin(*TABLES), suffix).otherwise("copied")
+    return files.select(name).distinct().withColumn("kind", kind)
 
 
 def sanitize_dir(spark: SparkSession, source: str, target: str) -> dict[str, str]:
-    """Sanitize every table or file directly below ``source`` into ``target``.
+    """Sanitize everything below ``source`` into ``target``, at the same places.
 
     Tables (Parquet, CSV) lose sensitive columns and get their text redacted, workbooks lose
-    every column with a sensitive name, settings files get their credentials blanked. Returns
-    what was done by name; other kinds are left out and reported as ``skipped``.
+    every column with a sensitive name, settings files get their credentials blanked, and all other
+    files are copied as they are. Returns what was done by name. A table has columns of its own and so
+    is one job; all settings are one job together. Copies are made by the file system. The names of
+    tables and files come to the driver, nothing else does.
     """
-    done: dict[str, str] = {}
-    for name in outputs_in(spark, source):
-        held, out, suffix = f"{source.rstrip('/')}/{name}", f"{target.rstrip('/')}/{name}", suffix_of(name)
-        if suffix == "parquet":
+    source, target = source.rstrip("/"), target.rstrip("/")
+    found = {r.name: r.kind for r in outputs_in(spark, source).collect()}
+    for name, kind in sorted(found.items()):
+        held, out = f"{source}/{name}", f"{target}/{name}"
+        if kind == "parquet":
             write_parquet(_clean(spark.read.parquet(held)), out)
-        elif suffix == "csv":
-            write_csv(_clean(read_csv(spark, held, lineage=False)), out)
-        elif suffix in ("xlsx", "xlsm"):
+        elif kind == "csv":
+            # Values may hold line breaks.
+            write_csv(_clean(read_csv(spark, held, lineage=False, multi_line=True)), out)
+        elif kind in ("xlsx", "xlsm"):
             write_excel(redact(drop_sensitive_like(read_excel(spark, held, lineage=False))), out)
-        elif suffix in SETTINGS:
-            # Whole texts: a value may stand on the line below its name.
-            texts = spark.read.text(held, wholetext=True)
-            clean = redact_credentials(texts, ["value"])
-            # The writer ends each text with a line break of its own.
-            clean.select(F.regexp_replace("value", r"\n\z", "")).write.mode("overwrite").text(out)
-        else:
-            done[name] = "skipped"
-            continue
-        done[name] = "settings" if suffix in SETTINGS else suffix
-    return done
+        elif kind == "copied":
+            copy_file(spark, held, out)
+    settings = sorted(name for name, kind in found.items() if kind == "settings")
+    if settings:
+        _clean_settings(spark, source, target, settings)
+    return dict(sorted(found.items()))
 
 
 def _clean(df: DataFrame) -> DataFrame:
     return redact(drop_sensitive_columns(df))
+
+
+def _clean_settings(spark: SparkSession, source: str, target: str, names: list[str]) -> None:
+    """Blank credentials in all settings files by one job, which writes a folder for each; those are then moved."""
+    # Whole texts: a value may stand on the line below its name.
+    texts = spark.read.text([f"{source}/{n}" for n in names], wholetext=True).select("value", "_metadata.file_path")
+    unit = F.lit(None).cast("int")
+    path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    for i, name in enumerate(names):
+        unit = F.when(F.endswith(path, F.lit(f"/{name}")) | F.contains(path, F.lit(f"/{name}/")), i).otherwise(unit)
+    clean = redact_credentials(texts, ["value"])
+    # The writer ends each text with a line break of its own.
+    clean = clean.select(F.regexp_replace("value", r"\n\z", "").alias("value"), unit.alias(UNIT))
+    together = f"{target}/_settings"
+    clean.write.mode("overwrite").partitionBy(UNIT).text(together)
+    store, path_of = _store(spark, target)
+    for i, name in enumerate(names):
+        out = path_of(f"{target}/{name}")
+        store.mkdirs(out.getParent())
+        store.delete(out, True)
+        store.rename(path_of(f"{together}/{UNIT}={i}"), out)
+    store.delete(path_of(together), True)
+
+
+def _store(spark: SparkSession, path: str):
+    """File system of a path, and what makes a path for it."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(spark._jsc.hadoopConfiguration()), path_of
+
+
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file as it is, between any file systems."""
+    (one, path_of), (two, _) = _store(spark, source), _store(spark, target)
+    configuration = spark._jsc.hadoopConfiguration()
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(one, path_of(source), two, path_of(target), False, True, configuration)
+
+

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import uuid
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal
-from urllib.parse import urlparse
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 SHEET_ROWS = 1_048_575
-RESULT = "file string, records bigint"
+RESULT = "file string, attempt string, records bigint"
 
 HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
 SPREADSHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -27,25 +28,44 @@ DAY, MOMENT = 1, 2
 
 
 def write_excel(df: DataFrame, path: str, sheet_name: str = "Data", rows_per_workbook: int = SHEET_ROWS) -> int:
-    """Write ``part-*.xlsx`` files below a folder that all executors share; returns the row count.
+    """Write ``part-*.xlsx`` files into a folder and return the row count; earlier workbooks there are replaced.
 
-    A file gets its final name only when complete and the name depends on the partition alone, so
-    a retried task replaces its own output.
+    Any file system that Arrow knows will do, if all executors reach it. Tasks write into a hidden
+    folder of the run, each attempt under a name of its own. Only when the job has succeeded are the
+    old workbooks deleted and the finished ones moved up; the names of the files, not their contents,
+    come to the driver. A failed run leaves the old workbooks as they were.
     """
-    url = urlparse(path)
-    if url.scheme not in ("", "file"):
-        raise ValueError("workbooks are written to a shared file system path")
-    folder, names = url.path, df.columns
-    os.makedirs(folder, exist_ok=True)
+    store, folder = file_system(path)
+    hidden = f"{folder}/_temporary-{uuid.uuid4().hex}"
+    store.create_dir(hidden)
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition = TaskContext.get().partitionId()
+        task = TaskContext.get()
+        target, _ = file_system(path)
         for number, rows in enumerate(_blocks(batches, rows_per_workbook)):
-            file = f"part-{partition:05d}-{number:03d}.xlsx"
-            records = _write_workbook(os.path.join(folder, file), sheet_name, names, rows)
-            yield pa.record_batch([pa.array([file]), pa.array([records], pa.int64())], names=["file", "records"])
-
-    return df.mapInArrow(run, RESULT).groupBy().sum("records").first()[0] or 0
+            file = f"part-{task.partitionId():05d}-{number:03d}.xlsx"
+            attempt = f"{task.taskAttemptId()}-{file}"
+            records = _write_workbook(target, f"{hidden}/{attempt}", sheet_name, names, rows)
+            yield pa.record_batch([pa.array([file]), pa.array([attempt]), pa.array([records], pa.int64())], names=["file", "attempt", "records"])
+
+    try:
+        written = df.mapInArrow(run, RESULT).collect()
+        old = store.get_file_info(fs.FileSelector(folder))
+        for info in old:
+            if info.type == fs.FileType.File and info.base_name.startswith("part-") and info.extension == "xlsx":
+                store.delete_file(info.path)
+        for row in written:
+            store.move(f"{hidden}/{row.attempt}", f"{folder}/{row.file}")
+    finally:
+        store.delete_dir(hidden)
+    return sum(row.records for row in written)
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    store, folder = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+    return store, folder.rstrip("/")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Iterator[tuple]]:
@@ -64,10 +84,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Iterator[t
         yield block()
 
 
-def _write_workbook(path: str, sheet: str, names: list[str], rows: Iterator[tuple]) -> int:
-    partial = f"{path}.{uuid.uuid4().hex}.tmp"
+def _write_workbook(store: fs.FileSystem, path: str, sheet: str, names: list[str], rows: Iterator[tuple]) -> int:
     records = 0
-    with zipfile.ZipFile(partial, "w", zipfile.ZIP_DEFLATED) as book:
+    with store.open_output_stream(path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
         for name, text in _parts(sheet).items():
             book.writestr(name, HEAD + text)
         with book.open("xl/worksheets/sheet1.xml", "w") as xml:
@@ -77,10 +96,18 @@ def _write_workbook(path: str, sheet: str, names: list[str], rows: Iterator[tupl
                 xml.write(_row_xml(row).encode())
                 records += 1
             xml.write(b"</sheetData></worksheet>")
-    os.replace(partial, path)
     return records
 
 
+# What XML cannot hold or would change, and text that looks like its code.
+_UNHELD = re.compile("[\x00-\x08\x0b\x0c\x0d\x0e-\x1f\ufffe\uffff]|_(?=x[0-9A-Fa-f]{4}_)")
+
+
+def encode(text: str) -> str:
+    """Characters that a sheet cannot hold, as ``_xHHHH_``."""
+    return _UNHELD.sub(lambda m: f"_x{ord(m.group()):04X}_", text)
+
+
 def _row_xml(values) -> str:
     return "<row>" + "".join(map(_cell_xml, values)) + "</row>"
 
@@ -97,7 +124,7 @@ def _cell_xml(value) -> str:
         return f'<c s="{MOMENT}"><v>{days!r}</v></c>'
     if isinstance(value, dt.date):
         return f'<c s="{DAY}"><v>{(value - dt.date(1899, 12, 30)).days}</v></c>'
-    return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
+    return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(encode(str(value)))}</t></is></c>'
 
 
 def _parts(sheet: str) -> dict[str, str]:

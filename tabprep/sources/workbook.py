@@ -47,7 +47,8 @@ def read_excel(
     and what is above it is dropped. Without ``columns`` a first pass over the header rows alone
     finds them, the union over all workbooks.
     """
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    # Anything else in a folder, such as a file that a program left behind, is no workbook.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xXmM]").load(paths if isinstance(paths, str) else list(paths))
     contents = files.select("path", "content")
     options = {"sheet": sheet_name, "header": header_row, "skip": frozenset(skip_rows)}
     if columns is None:
@@ -128,7 +129,12 @@ def sheet_rows(content: bytes, sheet: int | str) -> Iterator[tuple[int, dict[int
         dated = _date_styles(book)
         expected = 0
         with book.open(_sheet_path(book, sheet)) as xml:
-            for _, element in ET.iterparse(xml):
+            sheet_data = None
+            for event, element in ET.iterparse(xml, events=("start", "end")):
+                if event == "start":
+                    if element.tag == MAIN + "sheetData":
+                        sheet_data = element
+                    continue
                 if element.tag != MAIN + "row":
                     continue
                 number = int(element.get("r", expected + 1)) - 1
@@ -137,7 +143,8 @@ def sheet_rows(content: bytes, sheet: int | str) -> Iterator[tuple[int, dict[int
                     text = _cell_text(cell, shared, dated)
                     if text is not None:
                         cells[_column(cell.get("r"), i)] = text
-                element.clear()
+                # A row that is done leaves the tree, so that a sheet of any size needs the memory of one row.
+                sheet_data.clear()
                 if cells:
                     # Blank rows between filled ones are rows too.
                     yield from ((blank, {}) for blank in range(expected, number))
@@ -157,7 +164,7 @@ def _column(reference: str | None, default: int) -> int:
 def _cell_text(cell: ET.Element, shared: list[str], dated: set[int]) -> str | None:
     kind, value = cell.get("t", "n"), cell.findtext(MAIN + "v")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(MAIN + "t"))
+        return decode("".join(t.text or "" for t in cell.iter(MAIN + "t")))
     if value is None or kind == "e":
         return None
     if kind == "s":
@@ -174,7 +181,12 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
     root = ET.fromstring(book.read("xl/sharedStrings.xml"))
-    return ["".join(t.text or "" for t in item.iter(MAIN + "t")) for item in root.findall(MAIN + "si")]
+    return [decode("".join(t.text or "" for t in item.iter(MAIN + "t"))) for item in root.findall(MAIN + "si")]
+
+
+def decode(text: str) -> str:
+    """Characters that stand as ``_xHHHH_``, since XML cannot hold them."""
+    return re.sub("_x([0-9A-Fa-f]{4})_", lambda m: chr(int(m.group(1), 16)), text)
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[int]:

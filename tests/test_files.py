@@ -263,11 +263,55 @@ def test_sanitize_dir(spark, tmp_path):
     write_excel(df, f"{source}/t.xlsx")
     (source / "s.yaml").write_text("password:\n  hunter2\nname: x\n")
     (source / "readme.md").write_text("x")
+    (source / "sub/deep dir").mkdir(parents=True)
+    write_parquet(df, f"{source}/sub/deep dir/n.parquet")
+    write_csv(spark.createDataFrame([("two\nlines, a@b.co", "x")], "note string, email string"), f"{source}/sub/lines.csv")
+    (source / "sub/notes.txt").write_text("kept as it is\n")
+    (source / "sub/s.yaml").write_text("token: abc\n")
     done = sanitize_dir(spark, str(source), str(target))
-    assert done == {"t.parquet": "parquet", "t.csv": "csv", "t.xlsx": "xlsx", "s.yaml": "settings", "readme.md": "skipped"}
+    assert done == {
+        "t.parquet": "parquet", "t.csv": "csv", "t.xlsx": "xlsx", "s.yaml": "settings", "readme.md": "copied",
+        "sub/deep dir/n.parquet": "parquet", "sub/lines.csv": "csv", "sub/notes.txt": "copied", "sub/s.yaml": "settings",
+    }
     assert as_set(spark.read.parquet(f"{target}/t.parquet")) == [(1, "[EMAIL REDACTED]")]
     assert as_set(read_any(spark, f"{target}/t.xlsx")) == [("1", "[EMAIL REDACTED]")]
     assert "".join(p.read_text() for p in (target / "s.yaml").glob("part-*")) == "password: [REDACTED]\nname: x\n"
+    assert as_set(spark.read.parquet(f"{target}/sub/deep dir/n.parquet")) == [(1, "[EMAIL REDACTED]")]
+    assert as_set(read_any(spark, f"{target}/sub/lines.csv", multi_line=True)) == [("two\nlines, [EMAIL REDACTED]",)]
+    assert (target / "sub/notes.txt").read_text() == "kept as it is\n" and (target / "readme.md").read_text() == "x"
+    assert "".join(p.read_text() for p in (target / "sub/s.yaml").glob("part-*")) == "token: [REDACTED]\n"
+    assert not (target / "_settings").exists()
+
+
+def test_workbooks_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "book.xlsx")
+    assert write_excel(spark.range(100).repartition(4), path) == 100
+    (tmp_path / "book.xlsx/part-00009.xlsx.1.tmp").write_text("left behind")
+    assert write_excel(spark.range(10).repartition(1), f"file://{path}") == 10
+    assert read_any(spark, path).count() == 10 and not list((tmp_path / "book.xlsx").glob("_temporary*"))
+    broken = spark.range(5).selectExpr("raise_error('no') AS x")
+    with pytest.raises(Exception, match="no"):
+        write_excel(broken, path)
+    assert read_any(spark, path).count() == 10 and not list((tmp_path / "book.xlsx").glob("_temporary*"))
+
+
+def test_workbook_keeps_odd_characters(spark, tmp_path):
+    texts = ["a\x00b\x0b", "line\r\nbreak", "_x000D_", "_x00", "\ufffe", " é "]
+    write_excel(spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1), str(tmp_path / "o.xlsx"))
+    assert sorted(r.t for r in read_any(spark, str(tmp_path / "o.xlsx")).collect()) == sorted(texts)
+
+
+def test_recipe_validates_by_contract(spark, tmp_path):
+    write_csv(gen_transactions(spark, 5), str(tmp_path / "ledger.csv"))
+    steps = [
+        {"name": "raw", "type": "extract", "config": {"extractor": "csv", "file_path": str(tmp_path / "ledger.csv")}},
+        {"name": "check", "type": "transform", "config": {"transform": "validate", "contract": "transaction", "mode": "split"}, "depends_on": ["raw"]},
+    ]
+    run = run_recipe(spark, {"transforms": steps})
+    assert run.frames["check"].count() == 5 and run.summaries["check"].first().valid_records == 5
+    steps[1]["config"]["contract"] = "other"
+    with pytest.raises(ValueError, match="unknown contract"):
+        run_recipe(spark, {"transforms": steps})
 
 
 def test_scratch(spark):
