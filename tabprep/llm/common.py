@@ -97,15 +97,19 @@ def shingles(words: Words, size: int) -> np.ndarray:
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
-    """Values of the named columns, row by row; texts come as UTF-8 bytes."""
+    """Values of the named columns, row by row; texts come as UTF-8 bytes.
+
+    Few rows at a time become Python objects, as texts may be long.
+    """
     for batch in batches:
-        taken = []
-        for name in columns:
-            column = batch.column(batch.schema.get_field_index(name))
-            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-                column = column.cast(pa.large_binary())
-            taken.append(column.to_pylist())
-        yield from zip(*taken, strict=True)
+        places = [batch.schema.get_field_index(name) for name in columns]
+        for at in range(0, batch.num_rows, 64):
+            taken = []
+            for column in (batch.column(i).slice(at, 64) for i in places):
+                if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                    column = column.cast(pa.large_binary())
+                taken.append(column.to_pylist())
+            yield from zip(*taken, strict=True)
 
 
 class Output:
@@ -157,22 +161,21 @@ def in_bitmap(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links ``(a, b)``: rows ``(node, component)``, the smallest node.
 
-    Large and small stars alternate until every edge points at the smallest node of its component,
-    in a number of rounds that grows with the logarithm of the longest path. Each round is written
-    to the scratch folder; only a count and a checksum come to the driver. A node with very many
-    links is met by aggregates and joins, which adaptive execution splits, and never by a window.
+    Large and small stars alternate until every edge points from a node that has no other edge to the
+    smallest node of its component, in a number of rounds that grows with the logarithm of the longest
+    path. Each round is written to the scratch folder; only counts come to the driver. A node with very
+    many links is met by aggregates and joins, which adaptive execution splits, and never by a window.
     """
     edges = materialize(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    seen = None
     while True:
-        mark = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if mark == seen or not mark.n:
+        kinds = edges.selectExpr("u AS node", "1 AS out", "0 AS into").union(edges.selectExpr("v", "0", "1"))
+        ends = kinds.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if ends.filter("out > 1 or (out = 1 and into = 1)").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 edges.select("v", "v").distinct()
             )
-        seen = mark
         sides = edges.union(edges.select("v", "u"))
         least = sides.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = sides.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

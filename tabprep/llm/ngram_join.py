@@ -10,10 +10,13 @@ The product is done in two blocks. The first multiplies every column by its smal
 it has no more entries than there are column entries, however many copies a column holds. Overlaps
 of these pairs are counted in full and the links are closed to components. The second block takes
 the columns whose rows still lie in different components and multiplies rows across components.
-In both, pairs are discarded by bounds derived from sizes and column positions before their
-overlap is counted: the sizes must be within the similarity, and from the column on enough
-shingles must be left on either side. Rows of one component need no further comparison, so groups
-of near copies never form all their pairs.
+Where near copies would make many such pairs, rows are first multiplied by a random neighbour in
+each column, round after round, which joins dense groups soon. Rows of one component need no
+further comparison, so groups of near copies never form all their pairs.
+
+Pairs are discarded by bounds derived from sizes: the sizes must be within the similarity, from a
+shared column on enough shingles must be left on either side, and the overlap accumulated over the
+first columns must be large enough for the later ones to make up the rest.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import Output, Words, bitmap, components, in_bitmap, rows_of, shingles
@@ -33,6 +36,9 @@ WORDS, PERCENT = 5, 75
 #: Counters of the frequency sketch, and how many of them make one output row.
 SKETCH_BITS, CHUNK = 18, 1 << 14
 
+#: Orders in which a round looks for neighbours.
+ORDERS = 4
+
 _DOC, _SKETCH = 0, 1
 _PASS_ONE = "kind int, doc_id bigint, n bigint, key bigint, chunk int, counts binary"
 
@@ -85,55 +91,48 @@ def _levels(rows: list) -> np.ndarray:
 
 
 def _postings(batches, size, percent, levels):
-    """``(h, key, n, left)`` for the first columns of each row; ``left`` counts the shingles from the column on."""
-    schema = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("left", pa.int32())])
+    """``(h, key, n, left, heavy)`` for the first columns of each row.
+
+    ``left`` counts the shingles from the column on; ``heavy`` columns are those the sketch ranks above 0.
+    """
+    schema = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("left", pa.int32()), ("heavy", pa.bool_())])
     out = Output(schema)
     for _, text in rows_of(batches, "doc_id", "text"):
         found = shingles(Words(text, lower=True), size)
         n = len(found)
         if n:
             need = -(-percent * n // 100)
-            order = np.lexsort((found, levels[found >> np.uint64(64 - SKETCH_BITS)]))[: n - need + 1]
+            level = levels[found >> np.uint64(64 - SKETCH_BITS)]
+            order = np.lexsort((found, level))[: n - need + 1]
             k = len(order)
             yield from out.add(
-                found[order].view(np.int64), np.full(k, _key(found)), np.full(k, n, np.int32), (n - np.arange(k)).astype(np.int32)
+                found[order].view(np.int64), np.full(k, _key(found)), np.full(k, n, np.int32), (n - np.arange(k)).astype(np.int32), level[order] > 0
             )
     yield from out.flush()
 
 
 def _sets(batches, size, wanted):
-    """Shingle sets of the documents whose key is (most likely) wanted."""
-    schema = pa.schema([("key", pa.int64()), ("found", pa.binary())])
-    keys, blobs, held = [], [], 0
-    for _, text in rows_of(batches, "doc_id", "text"):
-        found = shingles(Words(text, lower=True), size)
-        key = _key(found) if len(found) else 0
-        if len(found) and in_bitmap(wanted, np.array([key]))[0]:
-            keys.append(key)
-            blobs.append(found.tobytes())
-            held += len(blobs[-1])
-            if held > 1 << 24:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(blobs, pa.binary())], schema=schema)
-                keys, blobs, held = [], [], 0
+    """Shingle sets of the documents whose id is (most likely) wanted."""
+    schema = pa.schema([("key", pa.int64()), ("found", pa.list_(pa.int64()))])
+    keys, parts, held = [], [], 0
+
+    def flush():
+        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        found = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), found], schema=schema)
+
+    for text, hashed in rows_of(batches, "text", "hashed"):
+        if in_bitmap(wanted, np.array([hashed]))[0]:
+            found = shingles(Words(text, lower=True), size)
+            if len(found):
+                keys.append(_key(found))
+                parts.append(found)
+                held += len(found)
+            if held > 1 << 20:
+                yield flush()
+                keys, parts, held = [], [], 0
     if keys:
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(blobs, pa.binary())], schema=schema)
-
-
-def _linked(batches, percent):
-    """The pairs whose counted overlap reaches the similarity."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    for batch in batches:
-        kept = []
-        for a, b, first, second in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            x, y = np.frombuffer(first, np.uint64), np.frombuffer(second, np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            common = int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
-            if 100 * common >= percent * (len(x) + len(y) - common):
-                kept.append((a, b))
-        if kept:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept, strict=True)], schema=schema)
+        yield flush()
 
 
 def _possible(percent: int, n: Column, left: Column, m: Column, m_left: Column) -> Column:
@@ -163,39 +162,45 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     levels = spark.sparkContext.broadcast(_levels(totals.collect()))
 
     texts = docs.filter("doc_id is not null")
-    postings = texts.mapInArrow(lambda b: _postings(b, words, percent, levels.value), "h bigint, key bigint, n int, left int")
-    lowest = postings.groupBy("h").agg(F.min(F.struct("key", "n", "left")).alias("low"), F.max("key").alias("high"))
-    shared = materialize(
-        postings.join(lowest.filter("low.key <> high"), "h").select(
-            "h", "key", "n", "left", F.col("low.key").alias("low"), F.col("low.n").alias("low_n"), F.col("low.left").alias("low_left")
-        )
+    postings = texts.mapInArrow(
+        lambda b: _postings(b, words, percent, levels.value), "h bigint, key bigint, n int, left int, heavy boolean"
     )
-    wanted = spark.sparkContext.broadcast(bitmap(shared, "key"))
-    sets = materialize(texts.mapInArrow(lambda b: _sets(b, words, wanted.value), "key bigint, found binary").dropDuplicates(["key"]))
-
-    def linked(pairs: DataFrame) -> DataFrame:
+    shared = materialize(_shared(postings))
+    first = named.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+
+    def linked(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+        """The pairs that the similarity links, their overlaps counted in full."""
+        pairs = materialize(_bounded(pairs, entries, percent))
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(first, "key")
+        wanted = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("doc_id").alias("hashed")), "hashed"))
+        hashed = texts.select("text", F.xxhash64("doc_id").alias("hashed"))
+        sets = hashed.mapInArrow(lambda b: _sets(b, words, wanted.value), "key bigint, found array<bigint>").dropDuplicates(["key"])
         sides = pairs.join(sets.withColumnsRenamed({"key": "b", "found": "second"}), "b")
-        sides = sides.join(sets.withColumnsRenamed({"key": "a", "found": "first"}), "a").select("a", "b", "first", "second")
-        return sides.mapInArrow(lambda b: _linked(b, percent), "a bigint, b bigint")
+        sides = sides.join(sets.withColumnsRenamed({"key": "a", "found": "first"}), "a")
+        common = F.size(F.array_intersect("first", "second"))
+        return sides.filter(common * (100 + percent) >= (F.size("first") + F.size("second")) * percent).select("a", "b")
 
     possible = _possible(percent, F.col("n"), F.col("left"), F.col("low_n"), F.col("low_left"))
     tried = materialize(shared.filter("key <> low").filter(possible).select(F.col("low").alias("a"), F.col("key").alias("b")).distinct())
     # Rows that share an id belong together too.
     same_id = named.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b")
     same_id = named.join(same_id.select("doc_id", "a"), "doc_id").filter("key <> a").select("a", F.col("key").alias("b"))
-    links = materialize(linked(tried).union(same_id))
-    groups = components(links)
+    entries = shared.select("h", "key", "n", "left")
+    groups = components(linked(tried, entries).union(same_id))
+
+    rest = _undecided(entries, groups)
+    (entries, across), before, turn = _sizes(rest), None, 0
+    # Pairs left must be in proportion to the entries, unless chains of neighbours bring no more.
+    while across > 2 * entries and (before is None or across < 0.8 * before):
+        near = materialize(_neighbours(rest, turn, percent))
+        groups = components(linked(near, rest).union(groups.toDF("a", "b")))
+        rest = _undecided(rest.drop("component"), groups)
+        before, turn = across, turn + 1
+        entries, across = _sizes(rest)
+    if across:
+        groups = components(linked(materialize(_across(rest, percent)), rest).union(groups.toDF("a", "b")))
 
     label = F.coalesce("component", "key")
-    located = shared.select("h", "key", "n", "left").distinct()
-    located = located.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", label)
-    mixed = located.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    located = materialize(located.join(mixed.select("h"), "h"))
-    across = _across(located, percent).join(tried, ["a", "b"], "left_anti").join(
-        tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"
-    )
-    groups = components(links.union(linked(across)))
-
     of_key = named.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", label)
     smallest = of_key.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_key = of_key.select("key", "component").distinct().join(smallest, "component").select("key", "component_id")
@@ -206,6 +211,73 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
+def _shared(postings: DataFrame) -> DataFrame:
+    """Entries of columns with two rows or more, beside the column's smallest row.
+
+    A light column has few entries, by the sketch, and is looked at as one group of one exchange. A heavy
+    one may have as many as there are documents; its smallest row is an aggregate that is joined back.
+    """
+    entry, column = F.struct("key", "n", "left"), Window.partitionBy("h")
+    light = postings.filter("not heavy").select(
+        "h", "key", "n", "left", F.min(entry).over(column).alias("low"), F.max("key").over(column).alias("high")
+    )
+    heavy = postings.filter("heavy")
+    lowest = heavy.groupBy("h").agg(F.min(entry).alias("low"), F.max("key").alias("high"))
+    both = light.union(heavy.join(lowest, "h").select(light.columns)).filter("low.key <> high")
+    return both.selectExpr("h", "key", "n", "left", "low.key AS low", "low.n AS low_n", "low.left AS low_left")
+
+
+def _bounded(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose shared columns, counted, leave the similarity possible.
+
+    Of two rows, the one whose first columns end earlier in the order shares none of them with the later
+    columns of the other. So the overlap is at most the shared first columns plus its own later ones.
+    """
+    # A row's columns are at most as many as its own shingles.
+    columns = entries.groupBy("key").agg(F.collect_set("h").alias("columns"), F.max("n").alias("n"))
+    mine, yours = (columns.toDF(k, f"{k}_columns", f"{k}_n") for k in "ab")
+    counted = pairs.join(mine, "a").join(yours, "b").select(
+        "a", "b", F.size(F.array_intersect("a_columns", "b_columns")).alias("shared"),
+        F.greatest("a_n", "b_n").alias("larger"), (F.col("a_n") + F.col("b_n")).alias("both"),
+    )
+    later = F.ceil(F.col("larger") * percent / 100) - 1
+    return counted.filter((F.col("shared") + later) * (100 + percent) >= F.col("both") * percent).select("a", "b")
+
+
+def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """The entries, with the component of their row, of columns that meet more than one component."""
+    located = entries.join(groups.withColumnRenamed("node", "key"), "key", "left")
+    located = materialize(located.withColumn("component", F.coalesce("component", "key")).distinct())
+    mixed = located.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return materialize(located.join(mixed.select("h"), "h"))
+
+
+def _sizes(rest: DataFrame) -> tuple[int, int]:
+    """Number of entries, and of pairs of entries of one column and different components."""
+    count = F.count("*").cast("double")
+    by_component = rest.groupBy("h", "component").agg(count.alias("n"))
+    by_column = by_component.groupBy("h").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    n, pairs = by_column.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()
+    return int(n or 0), int(pairs or 0)
+
+
+def _neighbours(rest: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Possible pairs of each entry and the next one of its column in an order drawn anew every turn.
+
+    Columns with many entries are cut at random, so that no task holds more than a few thousand.
+    """
+    parts = rest.groupBy("h").agg(F.ceil(F.count("*") / 2000).alias("parts"))
+    # Columns of a row are in one of a few orders, so that it meets as many neighbours.
+    drawn = F.xxhash64("key", F.pmod("h", F.lit(ORDERS)), F.lit(turn))
+    rows = rest.join(parts, "h").withColumn("part", F.pmod(F.xxhash64(drawn), F.col("parts")))
+    order = Window.partitionBy("h", "part").orderBy(drawn)
+    rows = rows.withColumn("next", F.lead(F.struct("key", "n", "left", "component")).over(order))
+    rows = rows.filter("next.component <> component").filter(
+        _possible(percent, F.col("n"), F.col("left"), F.col("next.n"), F.col("next.left"))
+    )
+    return rows.select(F.least("key", "next.key").alias("a"), F.greatest("key", "next.key").alias("b")).distinct()
+
+
 def _across(located: DataFrame, percent: int) -> DataFrame:
     """Possible pairs ``(a, b)`` of rows of different components that share a column.
 
