@@ -1,10 +1,11 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
-A mask selects some of eight consecutive words and ignores the others. Documents and benchmark items
-are hashed under each mask at every position, and equal hashes are joined. Around each hit the words
-are compared on the hit's diagonal: an overlap is a run of 13 words of the item (the whole item, if
-it is shorter) of which at most 2 are substituted. For 13 words, however 2 substitutions lie, one of
-the masks meets none of them, so every overlap is found.
+A mask selects some of eight consecutive words and ignores the others. Benchmark items are hashed
+under both masks at every position, documents under one mask at even positions and under the other
+at odd ones, and equal hashes are joined. Around each hit the words are compared on the hit's
+diagonal: an overlap is a run of 13 words of the item (the whole item, if it is shorter) of which at
+most 2 are substituted. For 13 words, however 2 substitutions lie and at whichever parity the run
+starts, a mask at one of its positions meets none of them, so every overlap is found.
 
 The benchmark's hashes are broadcast in blocks of a fixed number of rows; documents are never
 exchanged, only the hits are.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tabprep.scratch import materialize
 
-MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
+MASKS = ((0, 1, 2, 6, 7), (0, 1, 4, 6, 7))
 SPAN = 8
 OVERLAP, SUBSTITUTIONS = 13, 2
 #: Rows of one broadcast: a seed hash, an item, a place and the words around it, under 300 bytes each.
@@ -30,15 +31,15 @@ def _words(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(words: str) -> Column:
-    """Hashes under the first mask at every position, then under the next."""
-    last = F.size(words) - SPAN
-    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+def _starts() -> Column:
+    """Positions at which a mask fits."""
+    last = F.size("words") - SPAN
+    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
-    def hashes(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(starts, lambda i: F.xxhash64(F.lit(number), *(F.get(F.col(words), i + o) for o in mask)))
 
-    return F.concat(*(hashes(k, m) for k, m in enumerate(MASKS)))
+def _under(number: int, at: Column) -> Column:
+    """Hash of the words at a position under a mask."""
+    return F.xxhash64(F.lit(number), *(F.get(F.col("words"), at + o) for o in MASKS[number]))
 
 
 def _around(words: str, at: Column, reach: int) -> Column:
@@ -46,12 +47,6 @@ def _around(words: str, at: Column, reach: int) -> Column:
     return F.transform(F.sequence(F.lit(-reach), F.lit(SPAN - 1 + reach)), lambda k: F.get(F.col(words), at + k))
 
 
-def _seeded(df: DataFrame, *columns: str) -> DataFrame:
-    """A row per mask and position: ``h`` and ``at``, the word at which the mask starts."""
-    rows = df.select(*columns, "words", F.posexplode(_seeds("words")).alias("number", "h"))
-    return rows.withColumn("at", F.col("number") % F.greatest(F.size("words") - (SPAN - 1), F.lit(1))).drop("number")
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -74,7 +69,9 @@ def contaminated(
     reach = max(overlap - SPAN, 0)
     items = benchmark.select(F.col(item_column).alias("item_id"), _words(F.col(item_text_column)).alias("words"))
     items = items.filter(F.size("words") >= SPAN)
-    seeds = _seeded(items, "item_id").select(
+    items = items.withColumn("at", F.explode(_starts()))
+    items = items.withColumn("h", F.explode(F.array(*(_under(k, F.col("at")) for k in range(len(MASKS))))))
+    seeds = items.select(
         "h",
         "item_id",
         _around("words", F.col("at"), reach).alias("expected"),
@@ -82,7 +79,9 @@ def contaminated(
     )
     seeds = materialize(seeds.distinct())
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
-    rows = _seeded(docs.select(F.col(id_column).alias("doc_id"), _words(F.col(text_column)).alias("words")), "doc_id")
+    rows = docs.select(F.col(id_column).alias("doc_id"), _words(F.col(text_column)).alias("words"))
+    hashes = F.transform(_starts(), lambda i: F.when(i % 2 == 0, _under(0, i)).otherwise(_under(1, i)))
+    rows = rows.select("doc_id", "words", F.posexplode(hashes).alias("at", "h"))
 
     hits = None
     for number in range(blocks):

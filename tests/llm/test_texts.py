@@ -185,9 +185,10 @@ def test_top_k_edge_cases(spark):
 
 
 def test_masks_meet_every_overlap():
-    length, wrong = decontamination.OVERLAP, decontamination.SUBSTITUTIONS
-    for bad in itertools.combinations(range(length), wrong):
-        assert any(not {at + o for o in m} & set(bad) for m in decontamination.MASKS for at in range(length - decontamination.SPAN + 1))
+    length, wrong, masks = decontamination.OVERLAP, decontamination.SUBSTITUTIONS, decontamination.MASKS
+    last = length - decontamination.SPAN
+    for first, bad in itertools.product((0, 1), itertools.combinations(range(length), wrong)):
+        assert any(not {at + o for o in masks[(first + at) % 2]} & set(bad) for at in range(last + 1))
 
 
 def test_overlaps_with_substitutions(spark):
