@@ -256,18 +256,26 @@ def _following(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return times, free, np.searchsorted(times, free)
 
 
+def _leaps(following: np.ndarray) -> list[np.ndarray]:
+    """Positions after 1, 2, 4, ... firings; the number of candidates stands for beyond the range."""
+    leaps = [np.append(following, len(following))]
+    while (leaps[-1] < len(following)).any():
+        leaps.append(leaps[-1][leaps[-1]])
+    return leaps
+
+
 def _leave_range(pdf: pd.DataFrame) -> pd.DataFrame:
     times, free, following = _following(pdf)
-    for i in range(len(times) - 1, -1, -1):
-        if following[i] < len(times):
-            free[i] = free[following[i]]
-    return pd.DataFrame({"alert": pdf["alert"].iloc[0], "at": times, "onward": free})
+    last = np.arange(len(times))
+    for leap in reversed(_leaps(following)):
+        last = np.where(leap[last] < len(times), leap[last], last)
+    return pd.DataFrame({"alert": pdf["alert"].iloc[0], "at": times, "onward": free[last]})
 
 
 def _walk_range(pdf: pd.DataFrame) -> pd.DataFrame:
     times, _, following = _following(pdf)
-    fired, i = [], int(np.searchsorted(times, pdf["start"].to_numpy()[0]))
-    while i < len(times):
-        fired.append(i)
-        i = int(following[i])
+    fired = np.searchsorted(times, pdf["start"].to_numpy()[:1])
+    for leap in _leaps(following):
+        fired = np.concatenate([fired, leap[fired]])
+    fired = np.unique(fired[fired < len(times)])
     return pd.DataFrame({"alert": pdf["alert"].iloc[0], "at": times[fired]})

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
 PLACE = ["_file", "_row"]
+#: Bytes of written rows that a range holds, about.
+RANGE_BYTES = 256 << 20
 
 
 # Application -> folder, for local runs that name none.
@@ -54,18 +56,30 @@ def range_buckets(df: DataFrame, order_by: Sequence[str], unique: bool = False)
     """Rows cut into ranges of the sort key, the number of the range kept in ``_bucket``.
 
     Spark samples the key to find the cuts, so ranges hold similar numbers of rows. There are at
-    most as many as shuffle partitions; adjacent small ones are merged by adaptive execution.
+    most as many as shuffle partitions, and adjacent small ones are merged by adaptive execution,
+    unless the size of the written rows asks for more: a range holds ``RANGE_BYTES`` about.
     Unless the key is known to be ``unique``, the rows are written down first and their place in
     the files, ``_file`` and ``_row``, ends the key: equal keys, were they a third of all rows,
     then spread over ranges like any others, and the resulting order is total. The numbers are
     written down with the rows because a second run of the same exchange may sample other cuts.
     """
     order = list(order_by)
+    number: list[int] = []
     if not unique:
         place = [F.col("_metadata.file_name").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])]
-        df = materialize(df).select("*", *place)
+        df = materialize(df)
+        wanted = -(-_written_bytes(df) // RANGE_BYTES)
+        if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            number = [wanted]
+        df = df.select("*", *place)
         order += PLACE
-    return materialize(df.repartitionByRange(*order).withColumn(BUCKET, F.spark_partition_id()))
+    return materialize(df.repartitionByRange(*number, *order).withColumn(BUCKET, F.spark_partition_id()))
+
+
+def _written_bytes(df: DataFrame) -> int:
+    """Size of the files of a frame that ``materialize`` has returned, as the file system reports it."""
+    sizes = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
+    return sizes.agg(F.sum("s")).first()[0] or 0
 
 
 def place_of(ranged: DataFrame) -> list[str]:
