@@ -11,6 +11,7 @@ from tabprep.llm import (
     html_extraction,
     language_id,
     ngram_join,
+    oracles,
     packing,
     substring_dedup,
     token_counts,
@@ -105,4 +106,9 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_chat_formatting": oracles.OP3,
+    "op4_topk_search": oracles.OP4,
+    "op5_ngram_jaccard_join": oracles.OP5,
+    "op8_substring_dedup": oracles.OP8,
+}
