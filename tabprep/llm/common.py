@@ -169,17 +169,15 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    while True:
-        kinds = edges.selectExpr("u AS node", "1 AS out", "0 AS into").union(edges.selectExpr("v", "0", "1"))
-        ends = kinds.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-        if ends.filter("out > 1 or (out = 1 and into = 1)").isEmpty():
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                edges.select("v", "v").distinct()
-            )
+    while not edges.isEmpty():
         sides = edges.union(edges.select("v", "u"))
         least = sides.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = sides.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialize(small.union(least).distinct())
+        kinds = edges.selectExpr("u AS node", "1 AS out", "0 AS into").union(edges.selectExpr("v", "0", "1"))
+        ends = kinds.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if ends.filter("out > 1 or (out = 1 and into = 1)").isEmpty():
+            break
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())

@@ -36,8 +36,8 @@ WORDS, PERCENT = 5, 75
 #: Counters of the frequency sketch, and how many of them make one output row.
 SKETCH_BITS, CHUNK = 18, 1 << 14
 
-#: Orders in which a round looks for neighbours.
-ORDERS = 4
+#: Orders in which a round looks for neighbours, and parts of a column with very many entries.
+ORDERS, SALTS = 12, 64
 
 _DOC, _SKETCH = 0, 1
 _PASS_ONE = "kind int, doc_id bigint, n bigint, key bigint, chunk int, counts binary"
@@ -121,8 +121,9 @@ def _sets(batches, size, wanted):
         found = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), found], schema=schema)
 
-    for text, hashed in rows_of(batches, "text", "hashed"):
-        if in_bitmap(wanted, np.array([hashed]))[0]:
+    for batch in batches:
+        hashed = batch.column(batch.schema.get_field_index("hashed")).to_numpy(zero_copy_only=False)
+        for (text,) in rows_of([batch.filter(pa.array(in_bitmap(wanted, hashed)))], "text"):
             found = shingles(Words(text, lower=True), size)
             if len(found):
                 keys.append(_key(found))
@@ -165,7 +166,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     postings = texts.mapInArrow(
         lambda b: _postings(b, words, percent, levels.value), "h bigint, key bigint, n int, left int, heavy boolean"
     )
-    shared = materialize(_shared(postings))
+    shared = _shared(postings)
     first = named.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
 
     def linked(pairs: DataFrame, entries: DataFrame) -> DataFrame:
@@ -181,24 +182,23 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
         return sides.filter(common * (100 + percent) >= (F.size("first") + F.size("second")) * percent).select("a", "b")
 
     possible = _possible(percent, F.col("n"), F.col("left"), F.col("low_n"), F.col("low_left"))
-    tried = materialize(shared.filter("key <> low").filter(possible).select(F.col("low").alias("a"), F.col("key").alias("b")).distinct())
+    tried = shared.filter("key <> low").filter(possible).select(F.col("low").alias("a"), F.col("key").alias("b")).distinct()
     # Rows that share an id belong together too.
     same_id = named.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b")
     same_id = named.join(same_id.select("doc_id", "a"), "doc_id").filter("key <> a").select("a", F.col("key").alias("b"))
-    entries = shared.select("h", "key", "n", "left")
+    entries = materialize(shared.select("h", "key", "n", "left").distinct())
     groups = components(linked(tried, entries).union(same_id))
 
     rest = _undecided(entries, groups)
-    (entries, across), before, turn = _sizes(rest), None, 0
-    # Pairs left must be in proportion to the entries, unless chains of neighbours bring no more.
-    while across > 2 * entries and (before is None or across < 0.8 * before):
-        near = materialize(_neighbours(rest, turn, percent))
-        groups = components(linked(near, rest).union(groups.toDF("a", "b")))
+    (held, across), before, turn = _sizes(rest), None, 0
+    # Pairs left must be in proportion to the entries, unless neighbours bring little more.
+    while across > 4 * held and (before is None or across < before / 4):
+        groups = components(linked(_neighbours(rest, turn, percent), rest).union(groups.toDF("a", "b")))
         rest = _undecided(rest.drop("component"), groups)
         before, turn = across, turn + 1
-        entries, across = _sizes(rest)
+        held, across = _sizes(rest)
     if across:
-        groups = components(linked(materialize(_across(rest, percent)), rest).union(groups.toDF("a", "b")))
+        groups = components(linked(_across(rest, percent), rest).union(groups.toDF("a", "b")))
 
     label = F.coalesce("component", "key")
     of_key = named.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", label)
@@ -214,14 +214,15 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def _shared(postings: DataFrame) -> DataFrame:
     """Entries of columns with two rows or more, beside the column's smallest row.
 
-    A light column has few entries, by the sketch, and is looked at as one group of one exchange. A heavy
-    one may have as many as there are documents; its smallest row is an aggregate that is joined back.
+    A light column has few entries, by the sketch, and is looked at as one group. A heavy one may
+    have as many as there are documents, so its entries are salted; they are written down with the
+    others, and its smallest row is an aggregate that is joined back. All takes one exchange.
     """
-    entry, column = F.struct("key", "n", "left"), Window.partitionBy("h")
-    light = postings.filter("not heavy").select(
-        "h", "key", "n", "left", F.min(entry).over(column).alias("low"), F.max("key").over(column).alias("high")
-    )
-    heavy = postings.filter("heavy")
+    entry, column = F.struct("key", "n", "left"), Window.partitionBy("h", "salt")
+    salted = postings.withColumn("salt", F.when(F.col("heavy"), F.pmod("key", F.lit(SALTS))).otherwise(0))
+    found = salted.withColumns({"low": F.min(entry).over(column), "high": F.max("key").over(column)})
+    found = materialize(found.filter("heavy or low.key <> high").drop("salt"))
+    light, heavy = found.filter("not heavy"), found.filter("heavy").drop("low", "high")
     lowest = heavy.groupBy("h").agg(F.min(entry).alias("low"), F.max("key").alias("high"))
     both = light.union(heavy.join(lowest, "h").select(light.columns)).filter("low.key <> high")
     return both.selectExpr("h", "key", "n", "left", "low.key AS low", "low.n AS low_n", "low.left AS low_left")
@@ -247,7 +248,7 @@ def _bounded(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
 def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
     """The entries, with the component of their row, of columns that meet more than one component."""
     located = entries.join(groups.withColumnRenamed("node", "key"), "key", "left")
-    located = materialize(located.withColumn("component", F.coalesce("component", "key")).distinct())
+    located = located.withColumn("component", F.coalesce("component", "key"))
     mixed = located.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     return materialize(located.join(mixed.select("h"), "h"))
 
