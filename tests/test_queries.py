@@ -39,7 +39,7 @@ def test_query(spark, con, plans, name):
     for plan in plans:
         # No join forms all pairs, and nothing but workbooks and alert chains leaves the engine.
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-        assert name.startswith(("A5", "S2", "S6")) or "Python" not in plan and "InPandas" not in plan
+        assert name.startswith(("A5", "A6_alert", "S2", "S6")) or "Python" not in plan and "InPandas" not in plan
     assert compare(con, catalog.ORACLES[name], df) == []
 
 
