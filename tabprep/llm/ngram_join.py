@@ -172,7 +172,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def linked(pairs: DataFrame, entries: DataFrame) -> DataFrame:
         """The pairs that the similarity links, their overlaps counted in full."""
         pairs = materialize(_bounded(pairs, entries, percent))
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(first, "key")
+        ids = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(first, "key")
         wanted = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("doc_id").alias("hashed")), "hashed"))
         hashed = texts.select("text", F.xxhash64("doc_id").alias("hashed"))
         sets = hashed.mapInArrow(lambda b: _sets(b, words, wanted.value), "key bigint, found array<bigint>").dropDuplicates(["key"])
@@ -191,8 +191,8 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     rest = _undecided(entries, groups)
     (held, across), before, turn = _sizes(rest), None, 0
-    # Pairs left must be in proportion to the entries, unless neighbours bring little more.
-    while across > 4 * held and (before is None or across < before / 4):
+    # A round of neighbours, and more while many pairs are left and a round leaves a quarter of them or less.
+    while across and (before is None or across > 4 * held and across < before / 4):
         groups = components(linked(_neighbours(rest, turn, percent), rest).union(groups.toDF("a", "b")))
         rest = _undecided(rest.drop("component"), groups)
         before, turn = across, turn + 1
