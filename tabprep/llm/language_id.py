@@ -23,7 +23,7 @@ DIMENSIONS = 512
 #: Documents per language that prototypes are learned from, about.
 FIT_PER_LANGUAGE = 4000
 #: Texts worked on together: at most so many, and so many trigrams, unless one text has more.
-_BLOCK_TEXTS, _BLOCK_TRIGRAMS = 256, 1 << 20
+_BLOCK_TEXTS, _BLOCK_TRIGRAMS = 160, 1 << 19
 _NO_LETTER = 0
 
 
@@ -67,8 +67,8 @@ def _bundle(grams: list[np.ndarray], dimensions: int) -> np.ndarray:
     owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
     np.add.at(counts.reshape(-1), owner * len(distinct) + codes, 1)
     bundled = np.zeros((len(grams), dimensions), np.float32)
-    for at in range(0, len(distinct), 1 << 14):
-        part = slice(at, at + (1 << 14))
+    for at in range(0, len(distinct), 1 << 12):
+        part = slice(at, at + (1 << 12))
         bundled += counts[:, part] @ _gram_vectors(distinct[part], dimensions)
     norms = np.linalg.norm(bundled, axis=1, keepdims=True)
     return bundled / np.maximum(norms, 1e-9)
