@@ -110,6 +110,8 @@ def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]
                     column = column.cast(pa.large_binary())
                 taken.append(column.to_pylist())
             yield from zip(*taken, strict=True)
+    # A worker is used again, by tasks that may need other memory than this one did.
+    pa.default_memory_pool().release_unused()
 
 
 class Output:
