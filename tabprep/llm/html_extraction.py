@@ -36,12 +36,26 @@ _CONTAINERS = frozenset("div section body ul ol table".split()) | _MAIN | _ASIDE
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening block ends, as their end tags may be left out.
 _ENDED = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+#: Words of a class or id that name a container without main text.
 _KIND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|nav\w*|menu\w*|"
-    r"breadcrumbs?|side-?bar|foot(?:er)?|header|masthead|comments?|replies|disqus|respond|reader-?comments?|subscribe|newsletter|"
-    r"share|sharing|social|related|recommended|pagination|pager|skip-?link|search\w*|login|signup)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"ads?|advert(?:s|isements?|ising)?|banners?|sponsor(?:s|ed)?|promos?|promotions?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|"
+    r"overlay|nav(?:s|bar|igation|menu)?|menus?|menubar|breadcrumbs?|sidebars?|foot(?:er)?|header|masthead|comments?|replies|disqus|respond|"
+    r"subscribe|newsletter|share|sharing|social|related|recommended|pagination|pager|skiplinks?|search(?:bar|box|form)?|login|signup"
 )
+#: Kinds that hold articles of others, so that an article in them is the page's own only if there is no other.
+_FOREIGN = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|sidebars?|comments?|replies|disqus|respond|related|recommended|popups?|modal|overlay")
+#: Kinds that are topics as well: the id of a part of an article may be one, and its links decide.
+_TOPIC = re.compile(r"related|recommended|social|shar(?:e|ing)|search|alerts?|notices?|consent|cookies?|gdpr|banners?|overlay|nav(?:igation)?|menus?|header")
+#: Words by which a name says how something looks or what it has, not what it is.
+_MODIFIERS = frozenset("has have no not non with without is hide show toggle".split())
+#: Words that may follow a kind in a name, and words that may go before it.
+_PARTS = frozenset(
+    "list lists item items wrapper wrap container box block bar area section inner outer form field button buttons btn link links icon icons "
+    "widget widgets slot unit left right top bottom main primary secondary mobile desktop post posts articles stories thread message row group panel".split()
+)
+_BEFORE = _PARTS | frozenset("site page global sub user account article entry content blog news reader sticky fixed floating web wp app back side skip".split())
+#: By what a container is an aside: a layout's name, a name of a kind that holds foreign articles, its tag or role.
+_LAYOUT, _OTHERS, _TAG = 1, 2, 3
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -65,37 +79,47 @@ _QUOTE = re.compile(r"""=\s*(["'])""")
 
 
 class _Line:
-    __slots__ = ("parts", "linked", "main", "aside")
+    __slots__ = ("parts", "linked", "main", "aside", "doubt")
 
-    def __init__(self, main: bool, aside: bool):
+    def __init__(self, main: int, aside: int, doubt: int):
         self.parts: list[str] = []
         self.linked = 0
-        self.main, self.aside = main, aside
+        self.main, self.aside, self.doubt = main, aside, doubt
 
 
 def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
-    """Lines as (text, weight outside links, in an article, in an aside), and whether there is an article."""
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, main, aside, hidden
-    lines: list[tuple[str, int, bool, bool]] = []
-    main = aside = hidden = False
-    links, has_main = 0, False
-    line = _Line(False, False)
+    """Lines as (text, weight outside links, in an article, in an aside), and whether there is an article.
+
+    Articles in a container that is named as one of others' articles count only on pages whose other articles
+    have no text; else their lines are in an aside.
+    """
+    stack: list[tuple[str, int, int, bool, int]] = []  # name, main, aside, hidden, doubt
+    lines: list[tuple[str, int, int, int, int]] = []
+    main = aside = 0  # main: 2 in an article, 1 in one among those of others
+    hidden = False
+    links, doubt = 0, -1
+    doubts: list[list[int]] = []  # weight and length of the parts that are asides if they are links
+    line = _Line(main, aside, doubt)
 
     def end_line() -> None:
         nonlocal line
         text = _SPACE.sub(" ", "".join(line.parts)).strip()
         if text:
-            lines.append((text, max(len(text) - line.linked, 0), line.main, line.aside))
-        line = _Line(main, aside)
+            weight = max(len(text) - line.linked, 0)
+            lines.append((text, weight, line.main, line.aside, line.doubt))
+            if line.doubt >= 0:
+                doubts[line.doubt][0] += weight
+                doubts[line.doubt][1] += len(text)
+        line = _Line(main, aside, doubt)
 
     def border() -> None:
         end_line()
-        lines.extend([("", 0, False, False)] * WINDOW)
+        lines.extend([("", 0, 0, 0, -1)] * WINDOW)
 
     def close(count: int) -> None:
-        nonlocal main, aside, hidden, links
+        nonlocal main, aside, hidden, doubt, links
         for _ in range(count):
-            name, main, aside, hidden = stack.pop()
+            name, main, aside, hidden, doubt = stack.pop()
             if name == "a":
                 links = max(links - 1, 0)
 
@@ -138,7 +162,7 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             if depth and (name in _BLOCKS or name in _NO_TEXT or not any(e[0] in _BLOCKS for e in stack[-depth:])):
                 (border if name in _CONTAINERS else end_line if name in _BLOCKS else int)()
                 close(depth)
-                line.main, line.aside = main, aside
+                line.main, line.aside, line.doubt = main, aside, doubt
             elif name in _BLOCKS:
                 end_line()
             continue
@@ -159,22 +183,34 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                     break
         if name in _VOID or tag.rstrip().endswith("/>") and name not in _BLOCKS:
             continue
-        stack.append((name, main, aside, hidden))
+        stack.append((name, main, aside, hidden, doubt))
         hidden = hidden or name in _NO_TEXT
         if name in _MAIN:
-            main, has_main = True, has_main or not (aside or hidden)
-        if name in _ASIDE or name in _CONTAINERS and name != "body" and _is_aside(tag):
+            others = aside == _OTHERS or main == 1
+            # A layout's name says nothing about an article in it.
+            aside = aside if aside == _TAG else 0
+            main = 1 if others else 2
+        if name in _ASIDE:
             # The header of an article holds its title.
-            aside = aside or not (name == "header" and main)
+            aside = aside if name == "header" and main else _TAG
+        elif name in _CONTAINERS and name != "body":
+            kind, in_doubt = _aside_kind(tag, bool(main))
+            aside = max(aside, kind)
+            if in_doubt:
+                doubt = len(doubts)
+                doubts.append([0, 0])
         if name == "a":
             links += 1
-        line.main, line.aside = main, aside
+        line.main, line.aside, line.doubt = main, aside, doubt
         if name in _RAW:
             end = _raw_end(html, name, at)
             if name == "title" or name in _NO_TEXT:
                 at = end
     end_line()
-    return lines, has_main
+    linked = [2 * weight <= length for weight, length in doubts]
+    judged = [(text, weight, m, bool(a) or d >= 0 and linked[d]) for text, weight, m, a, d in lines]
+    best = max((m for text, _, m, a in judged if text and not a), default=0)
+    return [(text, weight, m > 0 and m >= best, a or 0 < m < best) for text, weight, m, a in judged], best > 0
 
 
 def _raw_end(html: str, name: str, at: int) -> int:
@@ -183,15 +219,44 @@ def _raw_end(html: str, name: str, at: int) -> int:
     return found.start() if found else len(html)
 
 
-def _is_aside(tag: str) -> bool:
-    """Whether class, id or role name a container without main text, or hide it."""
+def _aside_kind(tag: str, main: bool) -> tuple[int, bool]:
+    """As what class, id or role name a container without main text or hide it, 0 if they don't; whether its links decide."""
+    kind, doubt = 0, False
     if "=" not in tag and "hidden" not in tag:
-        return False
+        return kind, doubt
     for m in _ATTRIBUTE.finditer(tag):
-        name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
-        if name in ("class", "id") and _KIND.search(value) or name == "role" and value.lower() in _ROLES or name == "hidden":
-            return True
-    return False
+        name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
+        if name == "role" and value in _ROLES or name == "hidden":
+            return _TAG, False
+        if name in ("class", "id"):
+            for token in value.split():
+                word = _kind_word(token, name == "class" and not main)
+                if not word or main and name == "class" and word in ("header", "masthead"):
+                    continue
+                if main and name == "id" and _TOPIC.fullmatch(word):
+                    doubt = True
+                else:
+                    kind = max(kind, _OTHERS if _FOREIGN.fullmatch(word) else _LAYOUT)
+    return kind, doubt and not kind
+
+
+def _kind_word(token: str, any_before: bool) -> str | None:
+    """The kind that a name of a class or id stands for.
+
+    The last word says what it is, but for words such as ``list``: a page-header is a header, a search-page a
+    page. Names with has-, no- or with- and topics of several words, as social-impact or data-sharing, are none.
+    """
+    words = [w for w in re.split("[-_]+", token.replace("side-bar", "sidebar").replace("skip-link", "skiplink")) if w]
+    if _MODIFIERS.intersection(words):
+        return None
+    while words and (words[-1] in _PARTS or words[-1].isdigit()):
+        words.pop()
+    if not words or not _KIND.fullmatch(words[-1]):
+        return None
+    before = words[:-1]
+    if any_before or all(w in _BEFORE or w.isdigit() or _KIND.fullmatch(w) for w in before):
+        return words[-1]
+    return None
 
 
 def main_text(html: str | None) -> str:

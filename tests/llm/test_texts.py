@@ -39,6 +39,25 @@ def test_main_text_without_an_article():
     assert text.startswith("Head\n\nLong") and "\n\nIs.\n\n" in text and "cookies" not in text and "Home" not in text and "tiny" not in text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "search-page", "header-fixed", "search", "page-header", "sidebar", "with-comments nav-open"])
+def test_wrappers_of_an_article(name):
+    page = f'<body><div class="menu">Home</div><div class="{name}"><div class="ad">Buy.</div><article><p>Text of it.</p><div class="share">Tell all.</div></article></div></body>'
+    assert html_extraction.main_text(page) == "Text of it."
+    assert html_extraction.main_text(page.replace("article>", "main>")) == "Text of it."
+    assert html_extraction.main_text(page.replace("<article>", "<footer><article>").replace("</article>", "</article></footer>")).count("Text") == 0
+
+
+def test_named_parts_of_an_article():
+    page = (
+        '<article><div class="article-header"><h1>Title</h1></div><section id="related"><h2>Related work</h2><p>Others did it.</p></section>'
+        '<section id="social-impact"><p>It matters.</p></section><div class="data-sharing"><p>Ask us.</p></div><div class="related-posts">Read on.</div>'
+        '<section id="share"><a href=x>Send</a> <a href=y>Print</a></section><div class="comment-list"><article>A reply.</article></div><p>End.</p></article>'
+    )
+    assert html_extraction.main_text(page) == "Title\n\nRelated work\n\nOthers did it.\n\nIt matters.\n\nAsk us.\n\nEnd."
+    beside = '<article>Text.</article><div id="comments"><article>A reply.</article></div><div class="sidebar"><article>Teaser.</article></div>'
+    assert html_extraction.main_text(beside) == "Text."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<<p>", "<!--", "<script>x", "</div>", '<p class="', "<a" * 50, "<nav>only a menu</nav>"])
 def test_main_text_of_odd_pages(page):
     assert isinstance(html_extraction.main_text(page), str)
