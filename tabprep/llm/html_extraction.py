@@ -5,7 +5,8 @@ the borders of layout containers become empty lines. A line weighs its text outs
 containers that hold no main text by their kind (menus, headers, footers, sidebars, forms, notices,
 adverts, comments) and lines outside the page's article, if it has one, weigh nothing. Weights are
 summed over sliding windows of lines. Where the sum rises from nothing is a surge, where it falls
-back to nothing a dive; text between a surge and its dive is kept if its weight makes it main text.
+back to nothing a dive; text between a surge and its dive is main text if its weight makes it so, and
+so is lighter text that lies between or next to main text in their common container.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tabprep.llm.common import rows_of
 
 #: Lines of a sliding window, and empty lines at a container's border (as many, so that windows part).
 WINDOW = 3
-#: Part of the heaviest run's weight from which another run is main text too, on pages without an article.
+#: Part of the heaviest run's weight from which another run is main text by itself, on pages without an article.
 SHARE = 0.2
 
 _NO_TEXT = frozenset("head script style noscript template svg math canvas object iframe audio video map select textarea button".split())
@@ -33,6 +34,7 @@ _BLOCKS = frozenset(
     "ol p pre section summary table tbody td tfoot th thead tr ul article main".split()
 ) | _ASIDE
 _CONTAINERS = frozenset("div section body ul ol table".split()) | _MAIN | _ASIDE
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening block ends, as their end tags may be left out.
 _ENDED = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
@@ -60,6 +62,8 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form dial
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _SPACE = re.compile(r"\s+")
+_SENTENCE = re.compile(r"\w\W+\w.*[.!?…。！？:;][\"'”’»)\]]*$", re.DOTALL)
+_RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b)", re.IGNORECASE)
 
 
 def _tag_end(html: str, at: int) -> int:
@@ -79,27 +83,32 @@ _QUOTE = re.compile(r"""=\s*(["'])""")
 
 
 class _Line:
-    __slots__ = ("parts", "linked", "main", "aside", "doubt")
+    __slots__ = ("parts", "linked", "main", "aside", "doubt", "box", "heading")
 
-    def __init__(self, main: int, aside: int, doubt: int):
+    def __init__(self, main: int, aside: int, doubt: int, box: int):
         self.parts: list[str] = []
         self.linked = 0
-        self.main, self.aside, self.doubt = main, aside, doubt
+        self.main, self.aside, self.doubt, self.box = main, aside, doubt, box
+        self.heading = False
 
 
-def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
+def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tuple[int, bool]], list[tuple[int, str]]]:
     """Lines as (text, weight outside links, in an article, in an aside), and whether there is an article.
 
+    Then the container of each line and whether it is a heading, and of each container the one around it and its name.
+
     Articles in a container that is named as one of others' articles count only on pages whose other articles
     have no text; else their lines are in an aside.
     """
-    stack: list[tuple[str, int, int, bool, int]] = []  # name, main, aside, hidden, doubt
+    stack: list[tuple[str, int, int, bool, int, int]] = []  # name, main, aside, hidden, doubt, box
     lines: list[tuple[str, int, int, int, int]] = []
     main = aside = 0  # main: 2 in an article, 1 in one among those of others
     hidden = False
     links, doubt = 0, -1
     doubts: list[list[int]] = []  # weight and length of the parts that are asides if they are links
-    line = _Line(main, aside, doubt)
+    boxes, box = [(-1, "")], 0
+    places: list[tuple[int, bool]] = []
+    line = _Line(main, aside, doubt, box)
 
     def end_line() -> None:
         nonlocal line
@@ -107,19 +116,21 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
         if text:
             weight = max(len(text) - line.linked, 0)
             lines.append((text, weight, line.main, line.aside, line.doubt))
+            places.append((line.box, line.heading))
             if line.doubt >= 0:
                 doubts[line.doubt][0] += weight
                 doubts[line.doubt][1] += len(text)
-        line = _Line(main, aside, doubt)
+        line = _Line(main, aside, doubt, box)
 
     def border() -> None:
         end_line()
+        places.extend([(box, False)] * WINDOW)
         lines.extend([("", 0, 0, 0, -1)] * WINDOW)
 
     def close(count: int) -> None:
-        nonlocal main, aside, hidden, doubt, links
+        nonlocal main, aside, hidden, doubt, box, links
         for _ in range(count):
-            name, main, aside, hidden, doubt = stack.pop()
+            name, main, aside, hidden, doubt, box = stack.pop()
             if name == "a":
                 links = max(links - 1, 0)
 
@@ -162,7 +173,7 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             if depth and (name in _BLOCKS or name in _NO_TEXT or not any(e[0] in _BLOCKS for e in stack[-depth:])):
                 (border if name in _CONTAINERS else end_line if name in _BLOCKS else int)()
                 close(depth)
-                line.main, line.aside, line.doubt = main, aside, doubt
+                line.main, line.aside, line.doubt, line.box = main, aside, doubt, box
             elif name in _BLOCKS:
                 end_line()
             continue
@@ -183,7 +194,7 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                     break
         if name in _VOID or tag.rstrip().endswith("/>") and name not in _BLOCKS:
             continue
-        stack.append((name, main, aside, hidden, doubt))
+        stack.append((name, main, aside, hidden, doubt, box))
         hidden = hidden or name in _NO_TEXT
         if name in _MAIN:
             others = aside == _OTHERS or main == 1
@@ -201,7 +212,11 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                 doubts.append([0, 0])
         if name == "a":
             links += 1
-        line.main, line.aside, line.doubt = main, aside, doubt
+        if name in _CONTAINERS:
+            boxes.append((box, name))
+            box = len(boxes) - 1
+        line.main, line.aside, line.doubt, line.box = main, aside, doubt, box
+        line.heading = name in _HEADINGS or line.heading and name not in _BLOCKS
         if name in _RAW:
             end = _raw_end(html, name, at)
             if name == "title" or name in _NO_TEXT:
@@ -210,7 +225,7 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     linked = [2 * weight <= length for weight, length in doubts]
     judged = [(text, weight, m, bool(a) or d >= 0 and linked[d]) for text, weight, m, a, d in lines]
     best = max((m for text, _, m, a in judged if text and not a), default=0)
-    return [(text, weight, m > 0 and m >= best, a or 0 < m < best) for text, weight, m, a in judged], best > 0
+    return [(text, weight, m > 0 and m >= best, a or 0 < m < best) for text, weight, m, a in judged], best > 0, places, boxes
 
 
 def _raw_end(html: str, name: str, at: int) -> int:
@@ -263,7 +278,7 @@ def main_text(html: str | None) -> str:
     """Main text of a page: its blocks in order, joined by an empty line."""
     if not html:
         return ""
-    lines, has_main = _lines(html)
+    lines, has_main, places, boxes = _lines(html)
     weights = [0 if aside or has_main and not main else weight for _, weight, main, aside in lines]
     # A heading or paragraph that is one link still belongs to the text around it.
     shown = [bool(text) and not aside and (main or not has_main) for text, _, main, aside in lines]
@@ -283,11 +298,59 @@ def main_text(html: str | None) -> str:
             start = None
     if start is not None:
         runs.append((start, len(lines), total))
-    least = 0 if has_main else SHARE * max((w for *_, w in runs), default=0)
-    kept = (i for a, b, w in runs if w >= least for i in range(a, b))
+    if has_main:
+        kept = [i for a, b, _ in runs for i in range(a, b)]
+    else:
+        least = SHARE * max((w for *_, w in runs), default=0)
+        heavy = [i for a, b, w in runs if w >= least for i in range(a, b) if shown[i]]
+        kept = _with_neighbours(heavy, lines, shown, places, boxes)
     return "\n\n".join(lines[i][0] for i in kept if shown[i])
 
 
+def _with_neighbours(heavy: list[int], lines: list, shown: list[bool], places: list, boxes: list) -> list[int]:
+    """Heavy lines of a page without an article and the lighter blocks that belong to them, in order.
+
+    A block is what lies between two borders. Blocks of text belong to the heavy lines if they lie between two, have
+    a common container with lines of them, go before them as titles and intros do, or follow as a heading, list,
+    table or sentence; a fragment or notice of rights after them in a container of its own does not. Blocks of links belong to them
+    if they stand amid the lines of one container.
+    """
+    if not heavy:
+        return heavy
+    last, taken = heavy[-1], set(heavy)
+    spans: dict[int, tuple[int, int]] = {}  # first and last heavy line that lies directly in a container
+    for i in heavy:
+        box = places[i][0]
+        spans[box] = (spans.get(box, (i, i))[0], i)
+    kept, at, n = [], 0, len(lines)
+    while at < n:
+        end = at + 1
+        if not lines[at][0]:
+            at = end
+            continue
+        while end < n and lines[end][0]:
+            end += 1
+        block = [i for i in range(at, end) if shown[i]]
+        if taken.intersection(block):
+            kept += block
+        elif block:
+            weight, length = sum(lines[i][1] for i in block), sum(len(lines[i][0]) for i in block)
+            box, near, amid, listed = places[block[0]][0], False, False, False
+            while box >= 0:
+                if box in spans:
+                    near = True
+                    amid = amid or spans[box][0] < at < spans[box][1]
+                listed = listed or boxes[box][1] in ("ul", "ol", "table")
+                box = boxes[box][0]
+            heading = any(places[i][1] for i in block)
+            text = " ".join(lines[i][0] for i in block)
+            follows = (near or heading or listed or _SENTENCE.search(text)) and not _RIGHTS.match(text)
+            if amid or (2 * weight > length or heading) and (at < last or follows):
+                kept += block
+        at = end
+    return kept
+
+
 def _extract(batches):
     schema = pa.schema([("text", pa.string()), ("n_chars", pa.int64())])
     for batch in batches:

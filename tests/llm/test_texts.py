@@ -39,6 +39,23 @@ def test_main_text_without_an_article():
     assert text.startswith("Head\n\nLong") and "\n\nIs.\n\n" in text and "cookies" not in text and "Home" not in text and "tiny" not in text
 
 
+LONG = "<p>" + "Long text goes on and on. " * 20 + "</p>"
+SHORT = {
+    "title": "<div>A title</div>{0}", "intro": "<div>Short intro.</div><div>{0}</div>", "heading after": "<div>{0}</div><div><h3>More</h3><p>Few</p></div>",
+    "list": "<div>{0}<ul><li>one</li><li>two</li></ul>{0}</div>", "list at the end": "<div>{0}<ol><li>one</li></ol></div>", "linked list": "<div>{0}<ul><li><a href=x>one</a></li></ul>{0}</div>",
+    "table": "<div>{0}</div><table><tr><td>a<td>1</table><div>{0}</div>", "own table": "{0}<table><tr><td>a</td></tr></table>",
+    "divs": "<div><div>Short.</div><div>{0}</div><div>Few</div><div>{0}</div><div>The end.</div></div>",
+    "sections": "<section><h2>A</h2><p>Few words.</p></section><section><h2>B</h2>{0}</section><section><h2>C</h2><p>Fewer</p></section>",
+}
+
+
+@pytest.mark.parametrize("name", SHORT)
+def test_short_parts_without_an_article(name):
+    page = '<body><ul><li><a href=a>Home</a></li><li><a href=b>About</a></li></ul><div class="main-menu">Go</div>' + SHORT[name].format(LONG) + "<div>© Us. All rights reserved.</div></body>"
+    words = html_extraction._SPACE.sub(" ", html_extraction.re.sub("<[^>]*>", " ", SHORT[name].format(LONG))).split()
+    assert html_extraction.main_text(page).split() == words
+
+
 @pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "search-page", "header-fixed", "search", "page-header", "sidebar", "with-comments nav-open"])
 def test_wrappers_of_an_article(name):
     page = f'<body><div class="menu">Home</div><div class="{name}"><div class="ad">Buy.</div><article><p>Text of it.</p><div class="share">Tell all.</div></article></div></body>'
