@@ -25,6 +25,9 @@ FIT_PER_LANGUAGE = 4000
 #: Texts worked on together: at most so many, and so many trigrams, unless one text has more.
 _BLOCK_TEXTS, _BLOCK_TRIGRAMS = 160, 1 << 19
 _NO_LETTER = 0
+#: Standard deviations of a random text's cosine, up to which a cosine is no likeness, and the part of the learned
+#: documents of a text's length that may be less alike than it.
+NOISE, OUTLIERS = 4.0, 0.01
 
 
 @cache
@@ -106,10 +109,15 @@ class Profiles:
         self.names, self.dimensions = names, vectors.shape[1]
         norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         unit = vectors / norms
+        self.units = unit.astype(np.float32)
         self.mean = unit.mean(axis=0) if len(names) > 1 else np.zeros(self.dimensions)
         centred = unit - self.mean
         self.vectors = (centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
+    def likeness(self, grams: list[np.ndarray]) -> np.ndarray:
+        """The largest cosine of each text with a prototype, nothing taken off: near 0 if it is like none."""
+        return (_bundle(grams, self.dimensions) @ self.units.T).max(axis=1)
+
     def compare(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Number of the best language of each text and the cosine with it."""
         bundled = _bundle(grams, self.dimensions) - self.mean.astype(np.float32)
@@ -119,6 +127,70 @@ class Profiles:
         return best, cosines[np.arange(len(best)), best]
 
 
+def _labelled(docs: DataFrame, text_column: str, lang_column: str) -> tuple[DataFrame, dict[str, int]]:
+    """Texts with a language, and how many each language has."""
+    labelled = docs.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna(subset=["lang"])
+    return labelled, {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+
+
+def _drawn(labelled: DataFrame, counts: dict[str, int], per_language: int) -> DataFrame:
+    """The sample of texts that is learned from."""
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_language / n))))
+    drawn = F.shiftrightunsigned(F.xxhash64("text"), 33) / F.lit(2.0**31)
+    return labelled.dropna().filter(drawn < share[F.col("lang")])
+
+
+def _length_class(grams: np.ndarray) -> int:
+    return len(grams).bit_length()
+
+
+def _likenesses(batches, profiles):
+    for _, grams in _blocks(batches, "text"):
+        classes = pa.array([_length_class(g) for g in grams], pa.int32())
+        yield pa.RecordBatch.from_arrays([classes, pa.array(profiles.likeness(grams).astype(np.float64))], ["length", "value"])
+
+
+def learn_floors(
+    docs: DataFrame, profiles: Profiles, text_column: str = "text", lang_column: str = "lang", per_language: int = FIT_PER_LANGUAGE
+) -> dict[int, float]:
+    """Likeness by length class (powers of two of trigrams) up to which a text resembles no language.
+
+    It is what chance gives a text without any likeness, about, or less where learned documents of that length
+    have less: short ones cannot be told from chance. The same bounded sample is used as for the prototypes.
+    """
+    labelled, counts = _labelled(docs, text_column, lang_column)
+    if not counts or not profiles.names:
+        return {}
+    found = _drawn(labelled, counts, per_language).mapInArrow(lambda b: _likenesses(b, profiles), "length int, value double")
+    rows = found.groupBy("length").agg(F.percentile_approx("value", OUTLIERS).alias("low")).collect()
+    noise = NOISE / profiles.dimensions**0.5
+    return {r.length: min(noise, r.low) for r in rows}
+
+
+def _resembling(batches, profiles, floors):
+    noise = NOISE / profiles.dimensions**0.5
+    for batch in batches:
+        kept: list[bool] = []
+        for rows, grams in _blocks([batch], "_text", "_lang"):
+            likeness = profiles.likeness(grams)
+            for (_, lang), g, value in zip(rows, grams, likeness, strict=True):
+                kept.append(bool(len(g)) and (lang is not None or bool(value > floors.get(_length_class(g), noise))))
+        yield batch.filter(pa.array(kept, pa.bool_())).select(range(batch.num_columns - 2))
+
+
+def resembling(
+    docs: DataFrame, profiles: Profiles, floors: dict[int, float], text_column: str = "text", lang_column: str = "lang"
+) -> DataFrame:
+    """The rows whose text has letters and either a given language or more likeness than its length's floor."""
+    handed = docs.sparkSession.sparkContext.broadcast((profiles, floors))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    text, lang = (F.col(names[docs.columns.index(c)]) for c in (text_column, lang_column))
+    schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes)
+    found = plain.withColumns({"_text": text, "_lang": lang}).mapInArrow(lambda b: _resembling(b, *handed.value), schema)
+    return found.toDF(*docs.columns)
+
+
 def learn_profiles(
     labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", dimensions: int = DIMENSIONS, per_language: int = FIT_PER_LANGUAGE
 ) -> Profiles:
@@ -128,14 +200,11 @@ def learn_profiles(
     taken, chosen by a hash of the text. Rows without a text or language are left out. Per language only
     ``dimensions`` sums come to the driver.
     """
-    labelled = labelled.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna(subset=["lang"])
-    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    labelled, counts = _labelled(labelled, text_column, lang_column)
     if not counts:
         return Profiles([], np.zeros((0, dimensions)))
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_language / n))))
-    drawn = F.shiftrightunsigned(F.xxhash64("text"), 33) / F.lit(2.0**31)
     sums = (
-        labelled.dropna().filter(drawn < share[F.col("lang")])
+        _drawn(labelled, counts, per_language)
         .mapInArrow(lambda b: _partial_profiles(b, dimensions), "lang string, dim int, value double")
         .groupBy("lang", "dim")
         .agg(F.sum("value").alias("value"))
