@@ -247,6 +247,21 @@ def test_overlaps_with_substitutions(spark):
     assert decontamination.contaminated(df.limit(0), bench).collect() == [] and decontamination.contaminated(df, bench.limit(0)).collect() == []
 
 
+def test_short_items_with_a_substitution_at_any_place(spark):
+    items = {n: prose(n, n, 10**6) for n in range(8, 14)}
+    docs, expected = [], set()
+    for (n, words), before in itertools.product(items.items(), (0, 1, 2, 5)):
+        for wrong in [(), *itertools.combinations(range(n), 1), (0, n - 1), (2, n // 2), (0, 4, 8)]:
+            i = len(docs)
+            docs.append((i, " ".join([*["a"] * before, *("b" if k in wrong else w for k, w in enumerate(words)), "c"])))
+            if len(wrong) <= 2 * n // 13:
+                expected.add((i, n, n - len(wrong)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id bigint, text string")
+    found = decontamination.contaminated(df, bench).collect()
+    assert {(r.doc_id, r.item_id, r.matched) for r in found} == expected and len(found) == len(expected)
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_SEEDS", 20)
     items = [(k, " ".join(prose(k, 30))) for k in range(5)]
