@@ -75,6 +75,7 @@ def pack(
     source_column: str = "source",
     cluster: Column | None = None,
     shard: int = SHARD,
+    size: Column | None = None,
 ) -> DataFrame:
     """Where each document lies: ``doc_id``, ``part``, ``start``, ``n_bytes``, ``bin_id``, ``offset``.
 
@@ -83,9 +84,10 @@ def pack(
     like any other text. Bins of packed parts have even numbers and never hold two parts of one source or
     cluster (texts with the same words, unless a ``cluster`` column is given); a null source or cluster
     conflicts with none. Null and empty texts need no room: one row with null bin and offset. Repeated rows
-    are packed each by itself; other columns are ignored; an empty table gives an empty result.
+    are packed each by itself; other columns are ignored; an empty table gives an empty result. With a ``size``
+    (bytes) and a ``cluster`` column the text itself is not needed.
     """
-    size = F.coalesce(F.octet_length(F.col(text_column)), F.lit(0)).cast("bigint")
+    size = F.coalesce(F.octet_length(F.col(text_column)) if size is None else size, F.lit(0)).cast("bigint")
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.col(source_column).cast("string").alias("source"),

@@ -19,6 +19,7 @@ from tabprep.llm import (
     toxicity,
 )
 from tabprep.llm.common import read_table
+from tabprep.scratch import materialize
 
 
 def tokenizer_path(name: str) -> str:
@@ -38,7 +39,15 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"))
+    """Bins whose documents differ in source and in group of near duplicates."""
+    docs = read_table(spark, sf_dir, "documents")
+    groups = ngram_join.similar_groups(docs).filter("doc_id is not null and n_shingles > 0")
+    groups = groups.select(F.col("doc_id").alias("_id"), F.col("component_id").cast("string").alias("group")).distinct()
+    # Rows without an id are in no group; copies of their text are still kept apart.
+    words = F.when(F.col("doc_id").isNull(), F.concat(F.lit("words "), packing.text_cluster(F.col("text")).cast("string")))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", F.octet_length("text").alias("size"), words.alias("words"))
+    rows = materialize(rows.join(groups, F.col("doc_id") == F.col("_id"), "left").drop("_id"))
+    return packing.pack(rows, cluster=F.coalesce("group", "words"), size=F.col("size"))
 
 
 #: A conversation that is added to the table: its texts hold the template's own control strings.

@@ -136,6 +136,18 @@ def test_copies_are_kept_apart(spark):
     assert len(packing.pack(repeated).collect()) == 5
 
 
+def test_near_copies_are_kept_apart(spark, tmp_path):
+    words = prose(3, 60)
+    near = [" ".join([*words[:k], "changed", *words[k + 1 :]]) for k in (0, 20, 40)]
+    rows = [(i, t, f"s{i}") for i, t in enumerate([" ".join(words), *near, "alone", "by itself", None])]
+    rows += [(None, "no id", "t0"), (None, "no id", "t1")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op2_best_fit_packing"](spark, str(tmp_path)).collect()
+    bins = {r.doc_id: r.bin_id for r in found}
+    assert len(found) == len(rows) and len({bins[i] for i in range(4)}) == 4 and bins[6] is None
+    assert len({r.bin_id for r in found if r.doc_id is None}) == 2 and len({r.bin_id for r in found} - {None}) == 4
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     bins, offsets = packing.best_fit([8, 6, 2, 2, 4], ["a", "b", "a", "c", "a"], [None] * 5, 10)
     # The 4 fits behind the 6. A 2 of source a must pass by both bins that hold one; c takes the tightest.
