@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.operators.redaction import drop_sensitive_columns, drop_sensitive_like, redact, redact_credentials
@@ -23,15 +23,20 @@ def outputs_in(spark: SparkSession, path: str) -> DataFrame:
     what belongs to no table is a file by itself.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    root = path.rstrip("/").removeprefix("file:") + "/"
-    below = F.regexp_replace(F.url_decode(F.replace(F.substring_index("path", root, -1), F.lit("+"), F.lit("%2B"))), "/+", "/")
-    table = F.regexp_extract(below, rf"(?i)^(.*?\.({'|'.join(TABLES + SETTINGS)}))(/|$)", 1)
-    name = F.when(table != "", table).otherwise(below).alias("name")
+    name = _name(F.col("path"), path).alias("name")
     suffix = F.lower(F.substring_index("name", ".", -1))
     kind = F.when(suffix.isin(*SETTINGS), "settings").when(suffix.isin(*TABLES), suffix).otherwise("copied")
     return files.select(name).distinct().withColumn("kind", kind)
 
 
+def _name(file: Column, root: str) -> Column:
+    """What a file below a folder belongs to: the first part of its path there that ends like a table, else itself."""
+    root = root.rstrip("/").removeprefix("file:") + "/"
+    below = F.regexp_replace(F.url_decode(F.replace(F.substring_index(file, root, -1), F.lit("+"), F.lit("%2B"))), "/+", "/")
+    table = F.regexp_extract(below, rf"(?i)^(.*?\.({'|'.join(TABLES + SETTINGS)}))(/|$)", 1)
+    return F.when(table != "", table).otherwise(below)
+
+
 def sanitize_dir(spark: SparkSession, source: str, target: str) -> dict[str, str]:
     """Sanitize everything below ``source`` into ``target``, at the same places.
 
@@ -68,13 +73,11 @@ def _clean_settings(spark: SparkSession, source: str, target: str, names: list[s
     """Blank credentials in all settings files by one job, which writes a folder for each; those are then moved."""
     # Whole texts: a value may stand on the line below its name.
     texts = spark.read.text([f"{source}/{n}" for n in names], wholetext=True).select("value", "_metadata.file_path")
-    unit = F.lit(None).cast("int")
-    path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
-    for i, name in enumerate(names):
-        unit = F.when(F.endswith(path, F.lit(f"/{name}")) | F.contains(path, F.lit(f"/{name}/")), i).otherwise(unit)
+    numbers = spark.createDataFrame(list(enumerate(names)), f"{UNIT} int, _name string")
+    texts = texts.withColumn("_name", _name(F.col("file_path"), source)).join(numbers, "_name")
     clean = redact_credentials(texts, ["value"])
     # The writer ends each text with a line break of its own.
-    clean = clean.select(F.regexp_replace("value", r"\n\z", "").alias("value"), unit.alias(UNIT))
+    clean = clean.select(F.regexp_replace("value", r"\n\z", "").alias("value"), UNIT)
     together = f"{target}/_settings"
     clean.write.mode("overwrite").partitionBy(UNIT).text(together)
     store, path_of = _store(spark, target)

@@ -283,6 +283,16 @@ def test_sanitize_dir(spark, tmp_path):
     assert not (target / "_settings").exists()
 
 
+def test_sanitize_dir_with_equal_names(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    texts = {"settings.json": "a: 1\n", "conf/settings.json": "b: 2\n", "conf/x y/settings.json": "c: 3\n", "zz/conf/settings.json": "d: 4\n", "zz/in/settings.json": "e: 5\n"}
+    for name, text in texts.items():
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        (source / name).write_text(text)
+    assert sanitize_dir(spark, str(source), str(target)) == dict.fromkeys(sorted(texts), "settings")
+    assert {n: "".join(p.read_text() for p in (target / n).glob("part-*")) for n in texts} == texts
+
+
 def test_workbooks_are_replaced(spark, tmp_path):
     path = str(tmp_path / "book.xlsx")
     assert write_excel(spark.range(100).repartition(4), path) == 100
