@@ -9,14 +9,17 @@ from tabprep.llm import (
     chat_format,
     decontamination,
     html_extraction,
+    importance,
     language_id,
     ngram_join,
     oracles,
     packing,
+    spelling_variants,
     substring_dedup,
     token_counts,
     topk_search,
     toxicity,
+    warc,
 )
 from tabprep.llm.common import read_table
 from tabprep.scratch import materialize
@@ -102,6 +105,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = importance.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return importance.ranked(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.deduplicate(warc.write_responses(read_table(spark, sf_dir, "pages")))
+    found = warc.referred(warc.read_headers(files))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(spelling_variants.vocabulary(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -113,6 +131,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_warc": op12_warc,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -120,4 +141,7 @@ ORACLES: dict[str, str] = {
     "op4_topk_search": oracles.OP4,
     "op5_ngram_jaccard_join": oracles.OP5,
     "op8_substring_dedup": oracles.OP8,
+    "op11_importance_resampling": oracles.OP11,
+    "op12_warc": oracles.OP12,
+    "op13_spelling_variants": oracles.OP13,
 }
