@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.001"
 
 def test_names():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{k}" for k in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{k}" for k in range(1, 14)), "pipeline"])
 
 
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
@@ -20,9 +20,9 @@ def test_against_sql(spark, name):
     assert compare(connect(DATA), entry.oracle_sql()[name], entry.queries()[name](spark, DATA)) == []
 
 
-@pytest.mark.parametrize("name", ["op1_html_extraction", "op2_best_fit_packing", "op9_token_counts"])
+@pytest.mark.parametrize("name", ["op1_html_extraction", "op2_best_fit_packing", "op9_token_counts", "op12_warc"])
 def test_rows_cover_the_table(spark, name):
-    key, table = {"op1": ("page_id", "pages"), "op2": ("doc_id", "documents"), "op9": ("doc_id", "documents")}[name.split("_")[0]]
+    key, table = {"op1": ("page_id", "pages"), "op2": ("doc_id", "documents"), "op9": ("doc_id", "documents"), "op12": ("page_id", "pages")}[name.split("_")[0]]
     found = {r[key] for r in entry.queries()[name](spark, DATA).select(key).collect()}
     assert found == {r[key] for r in spark.read.parquet(f"{DATA}/{table}.parquet").select(key).collect()}
 
