@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.scratch import materialize
@@ -136,28 +136,40 @@ class Output:
             self.parts, self.rows = [], 0
 
 
-def bitmap(df: DataFrame, hashed: str) -> np.ndarray:
-    """Which of ``BITMAP_BITS`` slots the 64-bit hashes of a column fall into, as booleans.
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that what is made of them stays small beside them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
 
-    A test against it never misses a member; how many others pass depends on how full it is. It
-    has one size, whatever the input, so it can be handed to every task.
+def bitmap(members: DataFrame, value: str) -> DataFrame:
+    """Which of ``BITMAP_BITS`` slots the hashes of a column fall into, as ``(bucket, bits)``.
+
+    Together the rows have one megabyte, whatever the input, so they can be handed to every task.
     """
-    slot = F.shiftrightunsigned(F.col(hashed), 64 - (BITMAP_BITS.bit_length() - 1)) + 1
-    rows = (
-        df.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number(F.col("slot")).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot"))).alias("bits"))
-        .collect()
-    )
-    found = np.zeros(BITMAP_BITS, bool)
-    for bucket, bits in rows:
-        flags = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little").astype(bool)
-        found[(bucket - 1) * len(flags) : bucket * len(flags)] = flags
-    return found
+    slot = _slot(F.col(value))
+    rows = members.select(slot.alias("slot")).filter("slot is not null").groupBy(F.bitmap_bucket_number("slot").alias("_bucket"))
+    return materialize(rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits")))
 
 
-def in_bitmap(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return found[hashes.astype(np.uint64) >> np.uint64(64 - (BITMAP_BITS.bit_length() - 1))]
+def _slot(value: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(value), 64 - (BITMAP_BITS.bit_length() - 1)) + F.lit(1).cast("bigint")
+
+
+def likely(rows: DataFrame, value: str, found: DataFrame, without: bool = False) -> DataFrame:
+    """The rows whose value is (most likely) a member of a bitmap, or those that surely are not.
+
+    No member is missed; how many others pass depends on how full the bitmap is. The test is part of the plan,
+    so that the rows that fail it are not handed to Python.
+    """
+    slot = _slot(F.col(value))
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    member = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    met = rows.join(F.broadcast(found), F.bitmap_bucket_number(slot) == F.col("_bucket"), "left")
+    return met.filter(~member if without else member).drop("_bucket", "_bits")
 
 
 def components(links: DataFrame) -> DataFrame:

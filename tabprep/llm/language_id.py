@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import mix, rows_of
+from tabprep.llm.common import bitmap, likely, mix, rows_of, slices
+from tabprep.scratch import materialize
 
 UNKNOWN = "und"
 DIMENSIONS = 512
@@ -127,17 +128,24 @@ class Profiles:
         return best, cosines[np.arange(len(best)), best]
 
 
-def _labelled(docs: DataFrame, text_column: str, lang_column: str) -> tuple[DataFrame, dict[str, int]]:
-    """Texts with a language, and how many each language has."""
-    labelled = docs.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna(subset=["lang"])
-    return labelled, {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+def _drawn(docs: DataFrame, text_column: str, lang_column: str, per_language: int) -> DataFrame:
+    """The sample of texts that is learned from: ``text`` and ``lang``.
 
-
-def _drawn(labelled: DataFrame, counts: dict[str, int], per_language: int) -> DataFrame:
-    """The sample of texts that is learned from."""
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_language / n))))
-    drawn = F.shiftrightunsigned(F.xxhash64("text"), 33) / F.lit(2.0**31)
-    return labelled.dropna().filter(drawn < share[F.col("lang")])
+    Every language takes part, with its distinct texts, each once: all of up to ``per_language``, and of more those
+    with the lowest hashes, up to a threshold that leaves about that many. How often a text is repeated says
+    nothing about its language and changes nothing here. Texts are first told apart by their hashes.
+    """
+    labelled = docs.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna()
+    hashed = labelled.select("lang", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("order"))
+    distinct = materialize(hashed.distinct())
+    counts = distinct.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
+    place = F.shiftrightunsigned("order", 33) / F.lit(2.0**31)
+    chosen = distinct.join(counts, "lang").filter((place < share) | (F.col("n") <= per_language)).select("lang", "h")
+    chosen = materialize(chosen)
+    # One row of each chosen text: the exchange holds chosen texts alone.
+    found = likely(labelled.withColumn("h", F.xxhash64("text")), "h", bitmap(chosen, "h")).join(chosen, ["lang", "h"], "left_semi")
+    return found.groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
 
 
 def _length_class(grams: np.ndarray) -> int:
@@ -158,24 +166,23 @@ def learn_floors(
     It is what chance gives a text without any likeness, about, or less where learned documents of that length
     have less: short ones cannot be told from chance. The same bounded sample is used as for the prototypes.
     """
-    labelled, counts = _labelled(docs, text_column, lang_column)
-    if not counts or not profiles.names:
+    if not profiles.names:
         return {}
-    found = _drawn(labelled, counts, per_language).mapInArrow(lambda b: _likenesses(b, profiles), "length int, value double")
+    found = _drawn(docs, text_column, lang_column, per_language).mapInArrow(lambda b: _likenesses(b, profiles), "length int, value double")
     rows = found.groupBy("length").agg(F.percentile_approx("value", OUTLIERS).alias("low")).collect()
     noise = NOISE / profiles.dimensions**0.5
     return {r.length: min(noise, r.low) for r in rows}
 
 
-def _resembling(batches, profiles, floors):
+def _resembling(batches, profiles, floors, text, lang):
     noise = NOISE / profiles.dimensions**0.5
-    for batch in batches:
+    for batch in slices(batches):
         kept: list[bool] = []
-        for rows, grams in _blocks([batch], "_text", "_lang"):
+        for rows, grams in _blocks([batch], text, lang):
             likeness = profiles.likeness(grams)
-            for (_, lang), g, value in zip(rows, grams, likeness, strict=True):
-                kept.append(bool(len(g)) and (lang is not None or bool(value > floors.get(_length_class(g), noise))))
-        yield batch.filter(pa.array(kept, pa.bool_())).select(range(batch.num_columns - 2))
+            for (_, given), g, value in zip(rows, grams, likeness, strict=True):
+                kept.append(bool(len(g)) and (given is not None or bool(value > floors.get(_length_class(g), noise))))
+        yield batch.filter(pa.array(kept, pa.bool_()))
 
 
 def resembling(
@@ -185,10 +192,8 @@ def resembling(
     handed = docs.sparkSession.sparkContext.broadcast((profiles, floors))
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    text, lang = (F.col(names[docs.columns.index(c)]) for c in (text_column, lang_column))
-    schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes)
-    found = plain.withColumns({"_text": text, "_lang": lang}).mapInArrow(lambda b: _resembling(b, *handed.value), schema)
-    return found.toDF(*docs.columns)
+    text, lang = (names[docs.columns.index(c)] for c in (text_column, lang_column))
+    return plain.mapInArrow(lambda b: _resembling(b, *handed.value, text, lang), plain.schema).toDF(*docs.columns)
 
 
 def learn_profiles(
@@ -196,15 +201,12 @@ def learn_profiles(
 ) -> Profiles:
     """Prototypes from texts with a language.
 
-    The fit uses a bounded sample: of a language with more than ``per_language`` texts, about that many are
-    taken, chosen by a hash of the text. Rows without a text or language are left out. Per language only
-    ``dimensions`` sums come to the driver.
+    The fit uses a bounded sample: of a language with more than ``per_language`` different texts, about that
+    many are taken, chosen by a hash of the text, and each once. Rows without a text or language are left out.
+    Per language only ``dimensions`` sums come to the driver.
     """
-    labelled, counts = _labelled(labelled, text_column, lang_column)
-    if not counts:
-        return Profiles([], np.zeros((0, dimensions)))
     sums = (
-        _drawn(labelled, counts, per_language)
+        _drawn(labelled, text_column, lang_column, per_language)
         .mapInArrow(lambda b: _partial_profiles(b, dimensions), "lang string, dim int, value double")
         .groupBy("lang", "dim")
         .agg(F.sum("value").alias("value"))
@@ -218,11 +220,11 @@ def learn_profiles(
     return Profiles(names, vectors)
 
 
-def _predict(batches, profiles):
+def _predict(batches, profiles, text, kept):
     schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
-    for batch in batches:
+    for batch in slices(batches):
         names, scores = [], []
-        for _, grams in _blocks([batch], "_text"):
+        for _, grams in _blocks([batch], text):
             known = [i for i, g in enumerate(grams) if len(g)] if profiles.names else []
             block_names, block_scores = [UNKNOWN] * len(grams), [0.0] * len(grams)
             if known:
@@ -231,25 +233,25 @@ def _predict(batches, profiles):
                     block_names[i], block_scores[i] = profiles.names[b], float(np.clip(c, 0, 1))
             names += block_names
             scores += block_scores
-        rest = [batch.column(i) for i in range(batch.num_columns - 1)]
-        fields = [batch.schema.field(i) for i in range(batch.num_columns - 1)]
+        rest = batch.select(kept)
         yield pa.RecordBatch.from_arrays(
-            [*rest, pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema=pa.schema([*fields, *schema])
+            [*rest.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema=pa.schema([*rest.schema, *schema])
         )
 
 
-def identify(docs: DataFrame, profiles: Profiles, text_column: str = "text") -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles, text_column: str = "text", keep_text: bool = True) -> DataFrame:
     """The rows with ``lang_pred`` and ``score`` (the cosine, 0 at least) added.
 
     A null text or one without letters, or any text if no language was learned, is ``und`` with score 0. The
-    score and the language depend on the text alone. All rows and columns are kept; columns that already have
-    the two names are replaced.
+    score and the language depend on the text alone. All rows and columns are kept, the text unless it is not
+    wanted back; columns that already have the two names are replaced.
     """
     docs = docs.drop("lang_pred", "score")
     handed = docs.sparkSession.sparkContext.broadcast(profiles)
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     text = names[docs.columns.index(text_column)]
-    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes), "lang_pred string, score double"])
-    found = plain.withColumn("_text", F.col(text)).mapInArrow(lambda b: _predict(b, handed.value), schema)
-    return found.toDF(*docs.columns, "lang_pred", "score")
+    kept = [n for n in names if keep_text or n != text]
+    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes if n in kept), "lang_pred string, score double"])
+    found = plain.mapInArrow(lambda b: _predict(b, handed.value, text, kept), schema)
+    return found.toDF(*(c for c, n in zip(docs.columns, names, strict=True) if n in kept), "lang_pred", "score")

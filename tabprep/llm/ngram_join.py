@@ -6,12 +6,13 @@ Columns are put in one global order, rare ones first. A row with n shingles need
 frequencies come from one fixed-size sketch of all documents; any order is exact, the sketch only
 keeps frequent shingles out of the product.
 
-The product is done in two blocks. The first multiplies every column by its smallest row only, so
-it has no more entries than there are column entries, however many copies a column holds. Overlaps
-of these pairs are counted in full and the links are closed to components. The second block takes
-the columns whose rows still lie in different components and multiplies rows across components.
-Where near copies would make many such pairs, rows are first multiplied by a random neighbour in
-each column, round after round, which joins dense groups soon. Rows of one component need no
+The product is done in two blocks. The first multiplies every column by its smallest row only, and
+takes of the rows that a row meets so the one that it meets most often: no more pairs than rows,
+however many copies a column holds. Overlaps of these pairs are counted in full and the links are
+closed to components. The second block takes the columns whose rows still lie in different
+components and multiplies rows across components. Where near copies would make many such pairs,
+rows are first multiplied by random neighbours in their columns, again one partner for each row,
+round after round, which joins dense groups soon. Rows of one component need no
 further comparison, so groups of near copies never form all their pairs.
 
 Pairs are discarded by bounds derived from sizes: the sizes must be within the similarity, from a
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Output, Words, bitmap, components, in_bitmap, rows_of, shingles
+from tabprep.llm.common import Output, Words, bitmap, components, likely, rows_of, shingles
 from tabprep.scratch import materialize
 
 WORDS, PERCENT = 5, 75
@@ -111,8 +112,8 @@ def _postings(batches, size, percent, levels):
     yield from out.flush()
 
 
-def _sets(batches, size, wanted):
-    """Shingle sets of the documents whose id is (most likely) wanted."""
+def _sets(batches, size):
+    """Shingle sets of documents."""
     schema = pa.schema([("key", pa.int64()), ("found", pa.list_(pa.int64()))])
     keys, parts, held = [], [], 0
 
@@ -121,17 +122,15 @@ def _sets(batches, size, wanted):
         found = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), found], schema=schema)
 
-    for batch in batches:
-        hashed = batch.column(batch.schema.get_field_index("hashed")).to_numpy(zero_copy_only=False)
-        for (text,) in rows_of([batch.filter(pa.array(in_bitmap(wanted, hashed)))], "text"):
-            found = shingles(Words(text, lower=True), size)
-            if len(found):
-                keys.append(_key(found))
-                parts.append(found)
-                held += len(found)
-            if held > 1 << 20:
-                yield flush()
-                keys, parts, held = [], [], 0
+    for (text,) in rows_of(batches, "text"):
+        found = shingles(Words(text, lower=True), size)
+        if len(found):
+            keys.append(_key(found))
+            parts.append(found)
+            held += len(found)
+        if held > 1 << 20:
+            yield flush()
+            keys, parts, held = [], [], 0
     if keys:
         yield flush()
 
@@ -173,16 +172,15 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
         """The pairs that the similarity links, their overlaps counted in full."""
         pairs = materialize(_bounded(pairs, entries, percent))
         ids = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(first, "key")
-        wanted = spark.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("doc_id").alias("hashed")), "hashed"))
-        hashed = texts.select("text", F.xxhash64("doc_id").alias("hashed"))
-        sets = hashed.mapInArrow(lambda b: _sets(b, words, wanted.value), "key bigint, found array<bigint>").dropDuplicates(["key"])
+        wanted = likely(texts, "doc_id", bitmap(ids, "doc_id")).select("text")
+        sets = wanted.mapInArrow(lambda b: _sets(b, words), "key bigint, found array<bigint>").dropDuplicates(["key"])
         sides = pairs.join(sets.withColumnsRenamed({"key": "b", "found": "second"}), "b")
         sides = sides.join(sets.withColumnsRenamed({"key": "a", "found": "first"}), "a")
         common = F.size(F.array_intersect("first", "second"))
         return sides.filter(common * (100 + percent) >= (F.size("first") + F.size("second")) * percent).select("a", "b")
 
     possible = _possible(percent, F.col("n"), F.col("left"), F.col("low_n"), F.col("low_left"))
-    tried = shared.filter("key <> low").filter(possible).select(F.col("low").alias("a"), F.col("key").alias("b")).distinct()
+    tried = _one_partner(shared.filter("key <> low").filter(possible).select("key", F.col("low").alias("partner")))
     # Rows that share an id belong together too.
     same_id = named.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b")
     same_id = named.join(same_id.select("doc_id", "a"), "doc_id").filter("key <> a").select("a", F.col("key").alias("b"))
@@ -191,14 +189,23 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     rest = _undecided(entries, groups)
     (held, across), before, turn = _sizes(rest), None, 0
-    # A round of neighbours, and more while many pairs are left and a round leaves a quarter of them or less.
-    while across and (before is None or across > 4 * held and across < before / 4):
+    # Rounds of neighbours, while many pairs are left and a round still settles a tenth of them.
+    while across and (before is None or across > 4 * held and across < 0.9 * before):
         groups = components(linked(_neighbours(rest, turn, percent), rest).union(groups.toDF("a", "b")))
         rest = _undecided(rest.drop("component"), groups)
         before, turn = across, turn + 1
         held, across = _sizes(rest)
     if across:
-        groups = components(linked(_across(rest, percent), rest).union(groups.toDF("a", "b")))
+        met = materialize(_across(rest, percent))
+        # One partner for each row first, the one with which it shares most columns, while that settles a tenth of the pairs.
+        before, left = None, met.count()
+        while left and (before is None or left < 0.9 * before):
+            best = met.groupBy("a").agg(F.max(F.struct("times", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+            groups = components(linked(_pairs(best), rest).union(groups.toDF("a", "b")))
+            met = materialize(_apart(met.join(best, ["a", "b"], "left_anti"), groups))
+            before, left = left, met.count()
+        if left:
+            groups = components(linked(_pairs(met), rest).union(groups.toDF("a", "b")))
 
     label = F.coalesce("component", "key")
     of_key = named.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", label)
@@ -228,6 +235,16 @@ def _shared(postings: DataFrame) -> DataFrame:
     return both.selectExpr("h", "key", "n", "left", "low.key AS low", "low.n AS low_n", "low.left AS low_left")
 
 
+def _one_partner(met: DataFrame) -> DataFrame:
+    """Of the partners ``(key, partner)`` that a row meets the one that it meets most often, as a pair ``(a, b)``.
+
+    Others are put off, not dropped: columns that still meet two components stay undecided.
+    """
+    counted = met.groupBy("key", "partner").agg(F.count("*").alias("times"))
+    best = counted.groupBy("key").agg(F.max(F.struct("times", "partner")).alias("best"))
+    return best.select(F.least("key", "best.partner").alias("a"), F.greatest("key", "best.partner").alias("b")).distinct()
+
+
 def _bounded(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """The pairs whose shared columns, counted, leave the similarity possible.
 
@@ -276,11 +293,11 @@ def _neighbours(rest: DataFrame, turn: int, percent: int) -> DataFrame:
     rows = rows.filter("next.component <> component").filter(
         _possible(percent, F.col("n"), F.col("left"), F.col("next.n"), F.col("next.left"))
     )
-    return rows.select(F.least("key", "next.key").alias("a"), F.greatest("key", "next.key").alias("b")).distinct()
+    return _one_partner(rows.select("key", F.col("next.key").alias("partner")))
 
 
 def _across(located: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs ``(a, b)`` of rows of different components that share a column.
+    """Possible pairs ``(a, b)`` of rows of different components that share columns, with the number of them as ``times``.
 
     The smaller row of a pair looks for partners in its own size band and the next: a band spans the
     ratio of sizes that the similarity allows.
@@ -293,4 +310,15 @@ def _across(located: DataFrame, percent: int) -> DataFrame:
     pairs = smaller.join(larger, ["h", "band"]).filter(
         "component <> other and n <= m"
     ).filter(_possible(percent, F.col("n"), F.col("left"), F.col("m"), F.col("m_left")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
+
+
+def _apart(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose rows still lie in different components."""
+    a, b = (groups.select(F.col("node").alias(k), F.col("component").alias(f"{k}_now")) for k in "ab")
+    located = met.join(a, "a", "left").join(b, "b", "left")
+    return located.filter(F.coalesce("a_now", "a") != F.coalesce("b_now", "b")).drop("a_now", "b_now")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

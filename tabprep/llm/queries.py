@@ -14,6 +14,7 @@ from tabprep.llm import (
     ngram_join,
     oracles,
     packing,
+    sketch_clusters,
     spelling_variants,
     substring_dedup,
     token_counts,
@@ -42,15 +43,9 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bins whose documents differ in source and in group of near duplicates."""
-    docs = read_table(spark, sf_dir, "documents")
-    groups = ngram_join.similar_groups(docs).filter("doc_id is not null and n_shingles > 0")
-    groups = groups.select(F.col("doc_id").alias("_id"), F.col("component_id").cast("string").alias("group")).distinct()
-    # Rows without an id are in no group; copies of their text are still kept apart.
-    words = F.when(F.col("doc_id").isNull(), F.concat(F.lit("words "), packing.text_cluster(F.col("text")).cast("string")))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", F.octet_length("text").alias("size"), words.alias("words"))
-    rows = materialize(rows.join(groups, F.col("doc_id") == F.col("_id"), "left").drop("_id"))
-    return packing.pack(rows, cluster=F.coalesce("group", "words"), size=F.col("size"))
+    """Bins whose documents differ in source and in cluster of near duplicates."""
+    rows = materialize(sketch_clusters.near_clusters(read_table(spark, sf_dir, "documents")))
+    return packing.pack(rows, cluster=F.col("cluster"), size=F.col("size"))
 
 
 #: A conversation that is added to the table: its texts hold the template's own control strings.
@@ -85,7 +80,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_part(3) == 1, F.lit(False)))
     profiles = language_id.learn_profiles(docs.filter(_part(3) != 1))
     texts = docs.select("doc_id", "held_out", "text")
-    return language_id.identify(texts, profiles).select("doc_id", "held_out", "lang_pred", "score")
+    return language_id.identify(texts, profiles, keep_text=False).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +96,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").filter(_part(5) != 0)
     model = toxicity.learn_toxicity(docs, labels)
     docs = docs.withColumn("held_out", F.coalesce(_part(5) == 0, F.lit(False)))
-    scored = toxicity.score_toxicity(docs, model)
+    scored = toxicity.score_toxicity(docs, model, keep_text=False)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
 
 

@@ -32,6 +32,8 @@ LENGTH, OCCURRENCES, RATIO = 6, 5, 5
 DROPPED = 199
 #: Rows of a block, fewer where words are long: a block has at most CELLS code points.
 BLOCK, CELLS = 1024, 1 << 22
+#: Pairs of rows that a task compares, about.
+TASK_PAIRS = 50_000_000
 #: Words whose occurrences a task adds up before it passes them on.
 HELD = 200_000
 #: Code points of a text from which its runs are counted as they are found.
@@ -103,20 +105,23 @@ def _tile_keys(length: Column, word: Column) -> Column:
     return F.explode(F.array(*pair(length), *pair(length - 1)))
 
 
-def _tiles(words: DataFrame) -> DataFrame:
-    """Rows ``(tile, shorter, half, i, j, side, word, n)``: the two blocks i <= j of each pair of blocks of a tile."""
+def _tiles(words: DataFrame) -> tuple[DataFrame, int]:
+    """Rows ``(tile, shorter, half, i, j, side, word, n)``, the two blocks i <= j of each pair of blocks of a tile, and the pairs of words."""
     length = F.length("word")
     rows = words.select("word", "n", _tile_keys(length, F.col("word")).alias("t")).select("word", "n", "t.shorter", "t.half", F.xxhash64("t").alias("tile"))
     rows = materialize(rows.filter("shorter > 0"))
     sizes = rows.groupBy("tile", "shorter", "half").agg(F.count("*").alias("rows"))
     block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.lit(CELLS) / (F.col("shorter") + 1))).cast("int")
-    large = sizes.withColumn("blocks", F.ceil(F.col("rows") / block).cast("int")).filter("rows > 1").select("tile", "shorter", "half", "blocks")
+    large = materialize(sizes.withColumn("blocks", F.ceil(F.col("rows") / block).cast("int")).filter("rows > 1"))
+    compared = large.agg(F.sum(F.col("rows").cast("double") * F.col("rows") / 2)).first()[0] or 0
+    large = large.select("tile", "shorter", "half", "blocks")
     dealt = rows.join(large, ["tile", "shorter", "half"]).withColumn("own", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j"), F.when(k < F.col("own"), 1).otherwise(0).alias("side")),
     )
-    return dealt.withColumn("pair", F.explode(pairs)).select("tile", "shorter", "half", "pair.i", "pair.j", "pair.side", "word", "n")
+    dealt = dealt.withColumn("pair", F.explode(pairs))
+    return dealt.select("tile", "shorter", "half", "pair.i", "pair.j", "pair.side", "word", "n"), int(compared)
 
 
 class _Matrix:
@@ -196,8 +201,10 @@ def _compare(batches):
 
 def near_words(words: DataFrame) -> DataFrame:
     """Pairs ``(a, a_n, b, b_n)`` of distinct words that differ by one edit, each once; see the module."""
-    tiles = _tiles(words)
-    sorted_tiles = tiles.repartition("tile", "i", "j").sortWithinPartitions("shorter", "half", "tile", "i", "j", "side", "word")
+    tiles, pairs = _tiles(words)
+    # Tasks are sized by the pairs that they compare, not by the few bytes that they read.
+    parts = max(-(-pairs // TASK_PAIRS), int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sorted_tiles = tiles.repartition(parts, "tile", "i", "j").sortWithinPartitions("shorter", "half", "tile", "i", "j", "side", "word")
     return sorted_tiles.mapInArrow(_compare, "a string, a_n bigint, b string, b_n bigint")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tabprep.llm.common import Output, Words, bitmap, in_bitmap, rows_of
+from tabprep.llm.common import Output, Words, bitmap, likely, rows_of, slices
 from tabprep.scratch import materialize
 
 WINDOW, PERIOD = 50, 31
@@ -109,36 +109,30 @@ def _cut(batches, window, schema):
 
     ``starts`` null means that the whole text repeats.
     """
-    for batch in batches:
+    for batch in slices(batches, 64):
         kept = {"text": [], "_removed": [], "_sha": [], "_spans": []}
         take = []
-        columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "_key", "_starts"))
-        for i, (text, key, starts) in enumerate(zip(*columns, strict=True)):
-            words = Words(text.encode() if text is not None else b"")
+        for i, (text, key, starts) in enumerate(rows_of([batch], "text", "_key", "_starts")):
+            words = Words(text)
             if _key(words) != key:
                 continue
             gone = _covered(words.n, starts, window) if starts is not None else np.ones(words.n, bool)
             edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
             left = b" ".join(w for w, g in zip(words.words, gone.tolist()) if not g)
             take.append(i)
-            kept["text"].append(left.decode())
+            kept["text"].append(left)
             kept["_removed"].append(int(gone.sum()))
             kept["_sha"].append(hashlib.sha256(left).hexdigest())
             kept["_spans"].append([{"first": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)])
         if take:
-            rest = batch.take(pa.array(take))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kept[f.name], f.type) if f.name in kept else rest.column(rest.schema.get_field_index(f.name)) for f in schema],
-                schema=schema,
-            )
+            rest = batch.select([f.name for f in schema if f.name not in kept]).take(pa.array(take))
+            columns = [_column(kept[f.name], f.type) if f.name in kept else rest.column(f.name) for f in schema]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def _maybe(batches, found):
-    """Rows whose id is (most likely) among the found ones."""
-    for batch in batches:
-        at = batch.schema.get_field_index("_hash")
-        mask = in_bitmap(found, batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64))
-        yield batch.filter(pa.array(mask))
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    """Values as an array; texts are given as UTF-8 bytes."""
+    return pa.array(values, pa.large_binary()).cast(kind) if values and isinstance(values[0], bytes) else pa.array(values, kind)
 
 
 class Repeats:
@@ -167,10 +161,8 @@ class Repeats:
 
     def _texts(self, marked: DataFrame) -> DataFrame:
         """Texts of the marked ids, beside the marks; others are left out before the exchange."""
-        found = self.docs.sparkSession.sparkContext.broadcast(bitmap(marked.select(F.xxhash64("doc_id").alias("x")), "x"))
-        hashed = self.docs.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("_hash"))
-        likely = hashed.mapInArrow(lambda b: _maybe(b, found.value), hashed.schema).drop("_hash")
-        return likely.join(marked, "doc_id")
+        texts = self.docs.filter("doc_id is not null").select("doc_id", "text")
+        return likely(texts, "doc_id", bitmap(marked, "doc_id")).join(marked, "doc_id")
 
 
 def _named(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -222,16 +214,16 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     copies = found.rows.join(found.first, "key").filter("doc_id > first_id")
     copies = copies.select("doc_id", "key", F.lit(None).cast("array<int>").alias("starts"))
     marks = materialize(found.marks.union(copies).dropDuplicates(["doc_id", "key"]))
-    bits = plain.sparkSession.sparkContext.broadcast(bitmap(marks.select(F.xxhash64("doc_id").alias("x")), "x"))
-    keyed = plain.withColumn("_hash", F.xxhash64(F.col(own_id).cast("bigint")))
-    keyed = keyed.mapInArrow(lambda b: _split(b, own_text, bits.value), StructType([*keyed.schema, StructField("_key", LongType())])).drop("_hash")
-    # _key is null where the id is surely unmarked.
-    untouched = keyed.filter("_key is null").drop("_key")
-    marked = keyed.filter("_key is not null").join(
+    found_ids = bitmap(marks, "doc_id")
+    numbered = plain.withColumn("_own", F.col(own_id).cast("bigint"))
+    untouched = likely(numbered, "_own", found_ids, without=True).drop("_own")
+    marked = likely(numbered, "_own", found_ids)
+    marked = marked.mapInArrow(lambda b: _keyed(b, own_text), StructType([*marked.schema, StructField("_key", LongType())]))
+    marked = marked.join(
         marks.select(F.col("doc_id").alias("_id"), F.col("key").alias("_marked"), F.col("starts").alias("_starts"), F.lit(True).alias("_found")),
-        (F.col(own_id).cast("bigint") == F.col("_id")) & (F.col("_key") == F.col("_marked")),
+        (F.col("_own") == F.col("_id")) & (F.col("_key") == F.col("_marked")),
         "left",
-    )
+    ).drop("_own")
     same = marked.filter("_found is null").select(*untouched.columns)
     cut = marked.filter("_found").withColumnRenamed(own_text, "text").drop("_id", "_marked", "_found")
     kept = cut.drop("_key", "_starts").withColumn("_removed", F.lit(0).cast("bigint")).schema
@@ -241,11 +233,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return untouched.union(same).union(cut).toDF(*docs.columns)
 
 
-def _split(batches, text, found):
-    """The rows with the key of their text if the id is (most likely) marked."""
-    for batch in batches:
-        hashes = batch.column(batch.schema.get_field_index("_hash")).to_numpy(zero_copy_only=False).astype(np.int64)
-        mask = in_bitmap(found, hashes).tolist()
-        texts = batch.column(batch.schema.get_field_index(text))
-        keys = [_key(Words(texts[i].as_py().encode() if texts[i].is_valid else b"")) if m else None for i, m in enumerate(mask)]
+def _keyed(batches, text):
+    """The rows with the key of their text."""
+    for batch in slices(batches):
+        keys = [_key(Words(data)) for (data,) in rows_of([batch], text)]
         yield batch.append_column("_key", pa.array(keys, pa.int64()))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import rows_of
+from tabprep.llm.common import rows_of, slices
 from tabprep.scratch import materialize
 
 #: Bounds of the fit: documents per label, characters of one of them, features of the model.
@@ -167,36 +167,36 @@ def learn_toxicity(
     return Model({f: float(w) for f, w in zip(index, weights, strict=True)}, bias)
 
 
-def _score(batches, model, threshold):
+def _score(batches, model, threshold, text, kept):
     schema = pa.schema(
         [("score", pa.float64()), ("offending", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))]
     )
-    for batch in batches:
+    for batch in slices(batches):
         scores, spans = [], []
-        for (text,) in rows_of([batch], "_text"):
-            found = model.sentences(text.decode()) if text else []
+        for (data,) in rows_of([batch], text):
+            found = model.sentences(data.decode()) if data else []
             clean = float(np.sum(np.log1p(-np.minimum([p for _, _, p in found], 1 - 1e-12)))) if found else 0.0
             scores.append(float(-np.expm1(clean)))
             spans.append([{"start": a, "end": b, "score": float(p)} for a, b, p in found if p >= threshold])
-        kept = range(batch.num_columns - 1)
+        rest = batch.select(kept)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in kept), *(pa.array(c, f.type) for c, f in zip((scores, spans), schema, strict=True))],
-            schema=pa.schema([*(batch.schema.field(i) for i in kept), *schema]),
+            [*rest.columns, *(pa.array(c, f.type) for c, f in zip((scores, spans), schema, strict=True))], schema=pa.schema([*rest.schema, *schema])
         )
 
 
-def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text", threshold: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text", threshold: float = 0.5, keep_text: bool = True) -> DataFrame:
     """The rows with ``score`` and ``offending`` added: the noisy-or of the sentences, and the sentences
     (character range and probability) of ``threshold`` or more.
 
     A null or empty text, or one without words, scores 0 and has no sentences. All rows and columns are kept,
-    except that columns of the two names are replaced.
+    the text unless it is not wanted back; columns of the two names are replaced.
     """
     docs = docs.drop("score", "offending")
     handed = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     text = names[docs.columns.index(text_column)]
-    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes), "score double", "offending array<struct<start:bigint,end:bigint,score:double>>"])
-    found = plain.withColumn("_text", F.col(text)).mapInArrow(lambda b: _score(b, handed.value, threshold), schema)
-    return found.toDF(*docs.columns, "score", "offending")
+    kept = [n for n in names if keep_text or n != text]
+    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes if n in kept), "score double, offending array<struct<start:bigint,end:bigint,score:double>>"])
+    found = plain.mapInArrow(lambda b: _score(b, handed.value, threshold, text, kept), schema)
+    return found.toDF(*(c for c, n in zip(docs.columns, names, strict=True) if n in kept), "score", "offending")

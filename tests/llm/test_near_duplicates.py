@@ -4,8 +4,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import corpus, groups, prose, repeats
+from pyspark.sql import functions as F
 
-from tabprep.llm import common, ngram_join, substring_dedup
+from tabprep.llm import common, ngram_join, sketch_clusters, substring_dedup
 
 
 def frame(spark, rows):
@@ -76,10 +77,56 @@ def test_components(spark):
 def test_bitmap_has_every_member(spark):
     values = [0, 1, -1, 2**63 - 1, -(2**63), *(k * 0x1234567890ABCDEF % 2**63 for k in range(2000))]
     found = common.bitmap(spark.createDataFrame([(v,) for v in values], "x bigint"), "x")
-    import numpy as np
-
-    assert common.in_bitmap(found, np.array(values, np.int64)).all()
-    assert found.sum() <= len(values)
+    rows = spark.createDataFrame([(v,) for v in values + list(range(10, 50_000)) + [None]], "y bigint")
+    kept, others = (common.likely(rows, "y", found, without) for without in (False, True))
+    kept = [r.y for r in kept.collect()]
+    assert set(values) <= set(kept) and len(kept) < len(values) + 100
+    assert len(kept) + others.count() == len(values) + 49_991
+    assert common.likely(rows, "y", common.bitmap(rows.limit(0), "y")).count() == 0
+
+
+def groups_of_near_copies(n=40, copies=8):
+    """Texts of 100 words in groups whose members differ in one or two words from the first."""
+    texts = []
+    for g in range(n):
+        words = prose(g + 1, 100, 5000)
+        for c in range(copies):
+            changed = list(words)
+            for k in range(1 + c % 2):
+                changed[(c * 13 + k * 7) % 100] = f"changed{c}"
+            texts.append((len(texts), " ".join(changed if c else words), f"s{c}"))
+    return texts
+
+
+def test_sketches_find_the_groups(spark):
+    docs = groups_of_near_copies() + [(1000, None, "a"), (1001, "", None), (None, "one two", "b"), (1002, "One  two", "c"), (1003, "three", "d")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string").withColumn("key", F.lit("clash"))
+    cluster = {r.doc_id: r.cluster for r in sketch_clusters.near_clusters(df).collect()}
+    exact = {r.doc_id: r.component_id for r in ngram_join.similar_groups(df).collect()}
+    pairs = [(a, b) for a in range(320) for b in range(a) if exact[a] == exact[b]]
+    assert len(pairs) == 40 * 28
+    assert sum(cluster[a] == cluster[b] for a, b in pairs) >= 0.9 * len(pairs)
+    apart = [(a, b) for a in range(320) for b in range(a) if exact[a] != exact[b]]
+    assert sum(cluster[a] == cluster[b] for a, b in apart) == 0
+    assert cluster[1000] is None and cluster[1001] is None and cluster[None] == cluster[1002] != cluster[1003]
+    assert sketch_clusters.near_clusters(df.limit(0)).count() == 0
+
+
+def test_rounds_of_a_dense_group(spark, monkeypatch):
+    """A large group of near copies is closed in a few rounds, each with no more pairs than rows."""
+    words = prose(1, 120, 5000)
+    rows = []
+    for k in range(400):
+        changed = list(words)
+        changed[k % 120] = f"x{k}"
+        changed[(k * 7) % 120] = f"y{k}"
+        rows.append((k, " ".join(changed)))
+    rounds = []
+    partner = ngram_join._one_partner
+    monkeypatch.setattr(ngram_join, "_one_partner", lambda met: rounds.append(met) or partner(met))
+    found = ngram_join.similar_groups(frame(spark, rows)).collect()
+    assert {r.component_id for r in found} == {0}
+    assert len(rounds) <= 4 and all(partner(met).count() <= 400 for met in rounds)
 
 
 @pytest.mark.parametrize("period", [1, 2, 7, 13, 31])
