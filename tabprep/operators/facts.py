@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabprep.functions.dates import as_date
-from tabprep.scratch import BUCKET, materialize, null_safe_join, place_of, range_buckets
+from tabprep.scratch import BUCKET, cut_ranges, materialize, null_safe_join, place_of
 
 # Dimension name -> (columns in the ledger, name of its key in the fact table).
 DIMENSIONS = {
@@ -30,7 +31,7 @@ def dense_key(
     says that no two rows tie.
     """
     groups = list(partition_by)
-    ranged = range_buckets(df, [*groups, *order_by], unique)
+    ranged = cut_ranges(df, [*groups, *order_by], unique)
     before = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(BUCKET, *groups)
@@ -97,7 +98,8 @@ def dimensions(df: DataFrame, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[
     columns = [c for name in names for c in DIMENSIONS[name][0]]
     sets = [list(DIMENSIONS[name][0]) for name in names]
     members = df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"))
-    numbered = materialize(dense_key(members, "_key", columns, ["_set"], unique=True), ("_set",))
+    # The rows are aggregated once; members are numbered from the written result.
+    numbered = materialize(dense_key(materialize(members), "_key", columns, ["_set"], unique=True), ("_set",))
     result = {}
     for name, kept in zip(names, sets, strict=True):
         # Bits of the grouping id, first column highest, mark the columns left out.
@@ -106,6 +108,33 @@ def dimensions(df: DataFrame, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[
     return result
 
 
+def register_members(members: DataFrame, columns: Sequence[str], key: str, path: str, version: int) -> DataFrame:
+    """Stable keys: the registry of all members seen so far, kept as Parquet below ``path``.
+
+    Members of ``columns`` that the registry has keep their keys; new ones get the numbers after the highest, in
+    member order. What a load adds is a file folder of its own, ``version=<n>``, and nothing else is written
+    again, so old facts go on pointing at the same members. Loads are numbered from 1 by the caller, one at a
+    time; a load that is repeated under its number replaces what it had added, and gives the same keys. Null
+    members are members; repeated ones count once.
+    """
+    spark = members.sparkSession
+    schema = T.StructType([T.StructField(key, T.LongType()), *(members.schema[c] for c in columns), T.StructField("version", T.IntegerType())])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+    known = spark.read.schema(schema).option("basePath", path).parquet(path).filter(F.col("version") < version)
+    highest = known.agg(F.max(key)).first()[0] or 0
+    distinct = members.select(*columns).distinct()
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}"))
+    unseen = materialize(distinct.alias("new").join(known.alias("old"), same, "left_anti"))
+    numbered = dense_key(unseen, key, columns, unique=True).withColumn(key, (F.col(key) + highest).cast("bigint"))
+    numbered.write.mode("overwrite").parquet(f"{path}/version={version}")
+    return spark.read.schema(schema).option("basePath", path).parquet(path).filter(F.col("version") <= version).drop("version")
+
+
 def dimension(df: DataFrame, name: str) -> DataFrame:
     """One dimension alone."""
     return dimensions(df, [name])[name]

@@ -99,14 +99,14 @@ class AlertRule(NamedTuple):
     cooldown_seconds: int
 
 
-# The standard alerts.
+# Names, conditions, severities and cooldowns of the standard alerts.
 ALERT_RULES = (
     AlertRule(
         "pipeline_duration_high",
         "pipeline_duration_seconds",
         "pipeline_duration_seconds > 1800",
         "warning",
-        "Pipeline duration exceeded 30 minutes",
+        "A run took more than half an hour",
         3600,
     ),
     AlertRule(
@@ -114,7 +114,7 @@ ALERT_RULES = (
         "success_rate",
         "success_rate < 0.95",
         "critical",
-        "Pipeline success rate below 95%",
+        "More than one run in twenty failed",
         1800,
     ),
     AlertRule(
@@ -122,7 +122,7 @@ ALERT_RULES = (
         "records_processed",
         "records_processed = 0",
         "warning",
-        "Pipeline processed zero records",
+        "A run had no rows",
         3600,
     ),
     AlertRule(
@@ -130,7 +130,7 @@ ALERT_RULES = (
         "step_throughput",
         "step_throughput < 100",
         "info",
-        "Step throughput below 100 records/sec",
+        "A step handled fewer than 100 rows a second",
         1800,
     ),
 )

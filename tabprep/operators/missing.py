@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.scratch import BUCKET, null_safe_join, place_of, range_buckets
+from tabprep.scratch import BUCKET, cut_ranges, null_safe_join, place_of, range_buckets
 
 
 def handle_missing(
@@ -65,12 +65,12 @@ def fill_directional(
     One window over all rows, or over one hot partition, would run in one task. Rows are cut into
     key ranges instead: each range fills itself, and what a range has to take over from its
     neighbours is worked out on one row per range and partition. ``unique`` says that
-    ``partition_by`` and ``order_by`` identify a row, which saves a pass.
+    ``partition_by`` and ``order_by`` identify a row.
     """
     if not order_by:
         raise ValueError("a directional fill needs order_by")
     keys = list(partition_by)
-    ranged = range_buckets(df, [*keys, *order_by], unique)
+    ranged = cut_ranges(df, [*keys, *order_by], unique)
     order = [*order_by, *place_of(ranged)]
 
     pick = F.max_by if forward else F.min_by

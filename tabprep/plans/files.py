@@ -20,7 +20,7 @@ from tabprep.sources import synthetic
 from tabprep.sources.database import read_query
 from tabprep.sources.files import add_lineage, normalize_headers, read_any, read_csv
 from tabprep.sources.incremental import read_incremental
-from tabprep.sources.odata import count_odata_rows, read_odata_pages, read_odata_rows
+from tabprep.sources.odata import count_odata_rows, read_odata_chains, read_odata_pages, read_odata_rows
 from tabprep.sources.workbook import read_excel
 from tabprep.streaming.alerts import fired_alerts, start_alerts
 from tabprep.streaming.incremental import current_rows, start_incremental
@@ -130,6 +130,44 @@ def s5_count(spark, d):
     return count_odata_rows(read_odata_rows(spark, _land_pages(spark, d), filter="probability >= 50"))
 
 
+_CHAINS, _PAGE_ROWS = 7, 20
+
+
+@query(
+    "S5_follow_links",
+    f"""WITH RECURSIVE counted AS (SELECT o_orderkey % {_CHAINS} AS chain, o_orderkey // {_CHAINS} // {_PAGE_ROWS} AS page, count(*) AS n
+        FROM orders GROUP BY ALL),
+      pages AS (SELECT chain, page, n, CASE WHEN page < last THEN page + 1 WHEN chain = 2 THEN 1 END AS next
+        FROM (SELECT *, max(page) OVER (PARTITION BY chain) AS last FROM counted) WHERE NOT (chain = 1 AND page = 2)),
+      walk AS (SELECT chain, 0::bigint AS page FROM range({_CHAINS}) r(chain)
+        UNION ALL SELECT chain, next FROM walk JOIN pages USING (chain, page) WHERE next = page + 1)
+      SELECT walk.chain::bigint AS chain, 'orders/' || walk.chain || '/' || walk.page AS address, walk.page AS position,
+        CASE WHEN n IS NULL THEN 'missing' WHEN next <= walk.page THEN 'cycle' ELSE 'read' END AS status, coalesce(n, 0) AS records
+        FROM walk LEFT JOIN pages USING (chain, page)
+      UNION ALL SELECT NULL, 'orders/' || chain || '/' || page, NULL, 'orphan', 0 FROM pages ANTI JOIN walk USING (chain, page)""",
+)
+def s5_links(spark, d):
+    """Orders as shuffled JSON pages of several chains: of one a page is missing, another one leads back."""
+    path = scratch_path(spark, "chains")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % _CHAINS).alias("chain"))
+    pages = orders.groupBy("chain", F.expr(f"o_orderkey div {_CHAINS} div {_PAGE_ROWS}").alias("page")).agg(
+        F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("value")
+    )
+    last = orders.groupBy("chain").agg(F.expr(f"max(o_orderkey) div {_CHAINS} div {_PAGE_ROWS}").alias("last"))
+    following = F.when(F.col("page") < F.col("last"), F.col("page") + 1).when(F.col("chain") == 2, 1)
+    named = pages.join(last, "chain").filter("not (chain = 1 and page = 2)").select(
+        F.concat_ws("/", F.lit("orders"), "chain", "page").alias("@odata.context"),
+        F.when(following.isNotNull(), F.concat_ws("/", F.lit("orders"), "chain", following)).alias("@odata.nextLink"),
+        "value",
+    )
+    named.repartition(F.xxhash64("`@odata.context`")).write.json(path)
+    starts = spark.range(_CHAINS).select(F.col("id").alias("chain"), F.concat(F.lit("orders/"), "id", F.lit("/0")).alias("address"))
+    records, report = read_odata_chains(spark, path, starts, orders.select("o_orderkey", "o_totalprice").schema, strict=False)
+    counts = records.groupBy("chain", "position").agg(F.count("*").alias("records"))
+    found = report.join(counts, ["chain", "position"], "left")
+    return found.select("chain", "address", "position", "status", F.coalesce("records", F.lit(0)).alias("records"))
+
+
 _FORMATS = ("parquet", "csv", "json", "xlsx")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabprep.operators.cleaning import clean_tenders
@@ -12,12 +14,13 @@ from tabprep.operators.enrichment import (
     spread_counts,
     spreads,
 )
-from tabprep.operators.facts import DIMENSIONS, dimension, to_tender_fact, to_transaction_fact
+from tabprep.operators.facts import DIMENSIONS, dimension, register_members, to_tender_fact, to_transaction_fact
 from tabprep.operators.measures import MEASURES, date_table, measures, time_measures
 from tabprep.plans.adapters import OPPORTUNITIES, TENDERS, TENDERS_RAW, TRANSACTIONS, adapted
 from tabprep.plans.functions import OPPS, TYPED, sql_months, sql_tier
 from tabprep.plans.registry import query
 from tabprep.plans.tables import CLEAN_SQL, LEDGER
+from tabprep.scratch import scratch_dir
 
 RATES = {"USD": 0.91, "GBP": 1.17, "BRL": 0.17}
 
@@ -205,6 +208,23 @@ def e17(spark, d):
     return to_transaction_fact(fx_convert(adapted(spark, d, TRANSACTIONS), RATES))
 
 
+@query(
+    "E17_keys_two_loads",
+    """WITH first AS (SELECT *, row_number() OVER (ORDER BY p_brand, p_type) AS part_key
+        FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_retailprice >= 980)),
+      new AS (SELECT DISTINCT p_brand, p_type FROM part ANTI JOIN first USING (p_brand, p_type))
+      SELECT * FROM first UNION ALL SELECT p_brand, p_type,
+        row_number() OVER (ORDER BY p_brand, p_type) + (SELECT count(*) FROM first) FROM new""",
+)
+def e17_two_loads(spark, d):
+    """Keys of a dimension after a second load that brings members with smaller codes."""
+    path = f"{scratch_dir(spark)}/registry-{uuid.uuid4().hex}"
+    parts = spark.read.parquet(f"{d}/part.parquet").select("p_brand", "p_type", "p_retailprice")
+    columns = ["p_brand", "p_type"]
+    register_members(parts.filter("p_retailprice >= 980"), columns, "part_key", path, 1)
+    return register_members(parts, columns, "part_key", path, 2)
+
+
 # --- measures
 
 

@@ -11,11 +11,13 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, TimestampType
 
 BUCKET = "_bucket"
 PLACE = ["_file", "_row"]
+TIE = "_tie"
 #: Bytes of written rows that a range holds, about.
 RANGE_BYTES = 256 << 20
 
@@ -76,6 +78,57 @@ def range_buckets(df: DataFrame, order_by: Sequence[str], unique: bool = False)
     return materialize(df.repartitionByRange(*number, *order).withColumn(BUCKET, F.spark_partition_id()))
 
 
+#: Rows that are drawn for each range to find the cuts, and most ranges: cuts become part of the plan.
+DRAWN, MOST_RANGES = 64, 2000
+
+
+def cut_ranges(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows with the number of their range of the sort key in ``_bucket``; nothing is exchanged or written.
+
+    The cuts are found once, from rows drawn by hash, and put into the plan as literals. So a row's range is an
+    expression of the row alone: every pass over the frame, on whatever executor, finds the same one, and counts
+    or edges per range are plain aggregates that combine on the map side. ``df`` must give the same rows each
+    time it is computed.
+
+    Unless the key is ``unique``, a hash of all columns, ``_tie``, ends it, so that equal keys spread over ranges
+    too. Rows that are equal in all columns stay together; where the drawn rows show that they would fill more
+    than a range, ``range_buckets`` is used, which tells them apart by their place in written files.
+    Ranges are sized by the estimated bytes of the rows, ``RANGE_BYTES`` each, and are as many as shuffle
+    partitions at least.
+    """
+    spark = df.sparkSession
+    order = list(order_by)
+    keyed = df
+    if not unique:
+        keyed, order = df.withColumn(TIE, F.xxhash64(*df.columns)), [*order, TIE]
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = Observation()
+    pool = DRAWN * min(least, MOST_RANGES)
+    # Equal rows have equal hashes and would enter or miss the draw together, so the draw is by chance.
+    # Times come to the driver as numbers: as clock times two of them could change places.
+    types = [keyed.schema[c].dataType for c in order]
+    keys = [(F.unix_micros(c) if isinstance(t, TimestampType) else F.col(c)).alias(c) for c, t in zip(order, types, strict=True)]
+    types = [LongType() if isinstance(t, TimestampType) else t for t in types]
+    drawn = keyed.select(*keys).observe(seen, F.count(F.lit(1)).alias("rows")).orderBy(F.rand(7)).limit(pool)
+    rows = drawn.orderBy(*order).collect()
+    row_bytes = sum(20 if isinstance(f.dataType, StringType | BinaryType) else 8 for f in df.schema) + 8
+    wanted = min(MOST_RANGES, max(least, -(-seen.get["rows"] * row_bytes // RANGE_BYTES)))
+    step = max(1, len(rows) // wanted)
+    picked = rows[step::step][: wanted - 1] if len(rows) > step else []
+    if any(a == b for a, b in zip(picked, picked[1:])):
+        return range_buckets(df, order_by, unique)
+    cuts = [F.struct(*(F.lit(v).cast(t).alias(c) for c, v, t in zip(order, row, types, strict=True))) for row in picked]
+    return keyed.withColumn(BUCKET, _range_of(F.struct(*keys), cuts, 0, len(cuts)))
+
+
+def _range_of(key: Column, cuts: list[Column], low: int, high: int) -> Column:
+    """Number of cuts that do not exceed the key, as a tree of comparisons."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(key < cuts[middle], _range_of(key, cuts, low, middle)).otherwise(_range_of(key, cuts, middle + 1, high))
+
+
 def _written_bytes(df: DataFrame) -> int:
     """Size of the files of a frame that ``materialize`` has returned, as the file system reports it."""
     sizes = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
@@ -84,7 +137,7 @@ def _written_bytes(df: DataFrame) -> int:
 
 def place_of(ranged: DataFrame) -> list[str]:
     """The columns that settle the order of equal keys in a range table."""
-    return [c for c in PLACE if c in ranged.columns]
+    return [c for c in (TIE, *PLACE) if c in ranged.columns]
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:

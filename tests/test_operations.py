@@ -271,7 +271,7 @@ def test_alert_events(spark):
     events = {r.name: r for r in alert_events(candidates, alerts_with_cooldown(candidates)).collect()}
     assert (events["success_rate_low"].timestamp, events["success_rate_low"].severity) == (NOON, "critical")
     assert events["success_rate_low"].context == {"success_rate": 0.9}
-    assert events["no_records_processed"].message == "Pipeline processed zero records"
+    assert events["no_records_processed"].message == "A run had no rows"
 
 
 def test_cooldown_edges(spark):
