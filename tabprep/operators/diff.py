@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.scratch import null_safe_join
+from tabprep.scratch import BUCKET, cut_ranges, materialize, null_safe_join
 
 TOLERANCE = 1e-10
 SAMPLES = 5
@@ -193,6 +193,8 @@ def _equal_pairs(sides: DataFrame, keys: list[str], kinds: dict[str, T.DataType]
     counted = long.groupBy(*keys, "column", "text", "real", "units").agg(
         *[F.sum(n).cast(PAIRS).alias(n) for n in ("n1", "n2")]
     )
+    if not all(_exact(held, tolerance) for held in kinds.values()):
+        counted = materialize(counted)
     both = (F.col("n1") * F.col("n2")).cast(PAIRS).alias("equal")
     equal = counted.where("real is null and units is null").select("column", both)
     inexact = [held for held in kinds.values() if not _exact(held, tolerance)]
@@ -202,14 +204,38 @@ def _equal_pairs(sides: DataFrame, keys: list[str], kinds: dict[str, T.DataType]
         # Tolerances differ by column: in last digits of its type.
         for apart in {_tolerance(k, tolerance) for k in inexact if isinstance(k, held)}:
             columns = [c for c, k in kinds.items() if not _exact(k, tolerance) and isinstance(k, held) and _tolerance(k, tolerance) == apart]
-            by = ", ".join(f"`{k}`" for k in [*keys, "column"])
-            around = F.expr(f"sum(n2) OVER (PARTITION BY {by} ORDER BY {name} RANGE BETWEEN {apart} PRECEDING AND {apart} FOLLOWING)")
             values = counted.where(F.col(name).isNotNull() & F.col("column").isin(columns))
-            near = values.withColumn("around", around)
-            equal = equal.union(near.select("column", (F.col("n1") * F.col("around")).cast(PAIRS).alias("equal")))
+            equal = equal.union(_near_pairs(values, [*keys, "column"], name, F.expr(apart)))
     return equal.groupBy("column").agg(F.sum("equal").cast(PAIRS).alias("equal"))
 
 
+def _near_pairs(values: DataFrame, groups: list[str], name: str, apart: Column) -> DataFrame:
+    """Per row of side 1, the rows of side 2 in its group whose value is no further apart: ``(column, equal)``.
+
+    A value meets as many rows as lie up to its upper end, less those that lie below its lower end. So values and
+    both ends are put in one order, in which side 2 is summed up. The order is cut into ranges, and what lies
+    before a range within a group is settled on one row per range: one key, however hot, spreads over ranges.
+    """
+    value, none = F.col(name), F.lit(0).cast(PAIRS)
+    events = F.array(
+        *(
+            F.struct(at.alias("at"), F.lit(kind).alias("kind"), adds.alias("adds"), weight.cast(PAIRS).alias("weight"))
+            for at, kind, adds, weight in ((value - apart, 0, none, -F.col("n1")), (value, 1, F.col("n2"), none), (value + apart, 2, none, F.col("n1")))
+        )
+    )
+    events = values.select(*groups, F.inline(F.filter(events, lambda e: (e["adds"] != 0) | (e["weight"] != 0))))
+    ranged = cut_ranges(events, [*groups, "at", "kind"], unique=True)
+    sums = ranged.groupBy(BUCKET, *groups).agg(F.sum("adds").alias("adds"))
+    earlier = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    # Only a group that goes on from an earlier range has a sum: fewer rows than ranges.
+    carried = sums.select(BUCKET, *groups, F.sum("adds").over(earlier).alias("_carried")).where("_carried is not null")
+    inside = Window.partitionBy(BUCKET, *groups).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    located = ranged.withColumn("_before", F.sum("adds").over(inside))
+    located = null_safe_join(located, F.broadcast(carried), [BUCKET, *groups]).where("weight <> 0")
+    before = (F.col("_before") + F.coalesce("_carried", F.lit(0))).cast(PAIRS)
+    return located.select("column", (F.col("weight") * before).cast(PAIRS).alias("equal"))
+
+
 def _tolerance(held: T.DataType, tolerance: float) -> str:
     """The tolerance as a literal of the type that values are compared in."""
     if isinstance(held, T.FloatType | T.DoubleType):

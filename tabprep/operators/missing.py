@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Mapping, Sequence
 from itertools import takewhile
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabprep.scratch import BUCKET, cut_ranges, null_safe_join, place_of, range_buckets
+from tabprep.scratch import BUCKET, cut_ranges, null_safe_join, place_of
 
 
 def handle_missing(
@@ -104,36 +107,57 @@ def fill_directional(
     )
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """Exact median as a one-row frame.
+#: Classes that a pass of the median counts values in.
+CLASSES = 4096
 
-    The built-in aggregate keeps every distinct value in one buffer. Here values are counted
-    first, cut into ranges, and only the range holding the middle rank is looked into.
-    """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    ranged = range_buckets(counts, ["v"], unique=True)
-    # One row per range.
-    sizes = ranged.groupBy(BUCKET).agg(F.sum("n").alias("size"))
-    upto = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    offsets = sizes.select(
-        BUCKET,
-        (F.sum("size").over(upto) - F.col("size")).alias("before"),
-        F.col("size"),
-        F.sum("size").over(everything).alias("total"),
-    )
-    low, high = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
-    middle = offsets.withColumns({"low": low, "high": high}).where(
-        (F.col("before") < F.col("high")) & (F.col("before") + F.col("size") >= F.col("low"))
-    )
-    within = Window.partitionBy(BUCKET).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = ranged.join(F.broadcast(middle.drop("size", "total")), BUCKET).withColumn(
-        "upto", F.col("before") + F.sum("n").over(within)
-    )
 
-    def holds(rank: str) -> Column:
-        return (F.col("upto") >= F.col(rank)) & (F.col("upto") - F.col("n") < F.col(rank))
+def exact_median(df: DataFrame, column: str) -> DataFrame:
+    """Exact median of a numeric column as a one-row frame; null without values, NaN being the largest.
 
-    return ranked.agg(
-        ((F.max(F.when(holds("low"), F.col("v"))) + F.max(F.when(holds("high"), F.col("v")))) / 2).alias(column)
-    )
+    The range of the values is cut into classes, counted on the map side, and the class that holds the middle is cut
+    again, until its values are equal. Only class counts are exchanged; a pass divides the range by ``CLASSES``, so
+    that few are needed. ``df`` must give the same rows in each.
+    """
+    held = df.schema[column].dataType
+    real = isinstance(held, T.FloatType | T.DoubleType)
+    # One zero for both; differences of whole numbers and decimals are exact.
+    v = F.col(column) + F.lit(0.0).cast(held) if real else F.col(column)
+    values = df.select(v.cast(held).alias("v")).where("v is not null")
+    total, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    ends = [_value_at(values, held, rank, total, low, high) for rank in sorted({(total + 1) // 2, total // 2 + 1})] if total else [None]
+    first, second = (F.lit(e).cast(held) for e in (ends[0], ends[-1]))
+    both = first + second
+    if isinstance(held, T.IntegralType):
+        # The sum of two large numbers needs a digit more.
+        both = (first.cast("decimal(20,0)") + second.cast("decimal(20,0)")).cast("double")
+    return df.sparkSession.range(1).select((both / 2).alias(column))
+
+
+def _value_at(values: DataFrame, held: T.DataType, rank: int, total: int, low: Any, high: Any) -> Any:
+    """The value of a rank, from 1, of ``total`` values that range from low to high."""
+    real = isinstance(held, T.FloatType | T.DoubleType)
+    wide = "double" if real else held.simpleString() if isinstance(held, T.DecimalType) else "decimal(20,0)"
+    before, place = 0, None
+    # The range is one value if its ends are equal, or both NaN.
+    while rank not in (before + 1, before + total) and low != high and low == low:
+        v, a, b = (x.cast(wide) for x in (F.col("v"), F.lit(low).cast(held), F.lit(high).cast(held)))
+        if place is None and real:
+            # Infinite ends and NaN are classes of their own; halves keep a difference finite.
+            largest = sys.float_info.max
+            bottom, top = max(low, -largest), min(high, largest) if high == high else largest
+            v, a, b = (F.greatest(F.lit(-largest), F.least(F.lit(largest), x)) / (2 if math.isinf(top - bottom) else 1) for x in (v, a, b))
+        if place is None:
+            share = F.try_divide((v - a).cast("double"), (b - a).cast("double"))
+            place = F.floor(F.least(F.lit(1.0), share) * CLASSES).cast("int")
+        if real:
+            place = F.when(F.isnan("v"), CLASSES + 2).when(F.col("v") == math.inf, CLASSES + 1).when(F.col("v") == -math.inf, -1).otherwise(place)
+        within = values.where(F.col("v").between(F.lit(low).cast(held), F.lit(high).cast(held)))
+        classes = within.groupBy(place.alias("place")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        ends = low, high
+        for _, total, low, high in sorted(classes.collect(), key=lambda r: r.place):
+            if rank <= before + total:
+                break
+            before += total
+        # Decimals of 38 digits may lie so close that their difference is lost: then each value is a class.
+        place = F.col("v") if (low, high) == ends else None
+    return low if rank == before + 1 else high

@@ -6,14 +6,16 @@ import datetime as dt
 import json
 import math
 import random
+from decimal import Decimal as D
 
 import pytest
 from conftest import plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabprep.operators.diff import compare_values
 from tabprep.operators.facts import dense_key, register_members
-from tabprep.operators.missing import fill_directional
+from tabprep.operators.missing import exact_median, fill_directional
 from tabprep.scratch import BUCKET, cut_ranges
 from tabprep.sources.odata import follow_links, read_odata_chains
 
@@ -50,6 +52,61 @@ def test_empty_and_tiny_tables(spark):
     assert [r.key for r in dense_key(df.limit(1), "key", ["k"]).collect()] == [1]
 
 
+def plain_median(values):
+    known = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+    if not known:
+        return None
+    return known[(len(known) - 1) // 2], known[len(known) // 2]
+
+
+MEDIANS = {
+    "double": [
+        [1.5],
+        [None, 2.0, 1.0],
+        [float("nan")] * 3 + [1.0],
+        [math.inf, -math.inf, 1e308, -1e308, 5.0, 6.0],
+        [5e-324, 1e-323, 1.5e-323, 2e-323, 1.0],
+        [0.0, -0.0, 0.0, 7.0],
+        [math.exp(k / 7) for k in range(-2000, 2000)],
+        [k % 3 * 1.0 for k in range(3000)],
+        [None],
+    ],
+    "bigint": [[2**63 - 1, -(2**63), 0, 5], [2**63 - 1, 2**63 - 2, 2**63 - 3], list(range(1001)), [4] * 9],
+    "decimal(38,18)": [[D("99999999999999999999.999999999999999999"), D("99999999999999999999.999999999999999998")] * 2 + [D("1"), D("-99999999999999999999.1")]],
+    "decimal(12,2)": [[D(k) / 100 for k in range(501)]],
+}
+
+
+@pytest.mark.parametrize("kind", MEDIANS)
+def test_median_equals_sorted_middle(spark, kind):
+    for values in MEDIANS[kind]:
+        df = spark.createDataFrame([(v,) for v in values], f"x {kind}").repartition(3)
+        found = exact_median(df, "x").first().x
+        middle = plain_median(values)
+        if middle is None:
+            assert found is None
+            continue
+        # Added by the engine, in its types.
+        low, high = (F.lit(m).cast(kind) for m in middle)
+        expected = sum(middle) / 2 if kind == "bigint" else spark.range(1).select(((low + high) / 2).alias("x")).first().x
+        assert found == expected or (found != found and expected != expected), values[:5]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)", "bigint"])
+def test_pairs_of_a_hot_key(spark, kind):
+    """A key with a third of all rows, a tolerance: equal to counting all pairs, and no range holds the key."""
+    r = random.Random(8)
+    step = 1 if kind == "bigint" else 0.25
+    def rows(n):
+        return [(0 if k % 3 == 0 else k % 50, None if r.random() < 0.05 else (int if kind == "bigint" else float)(r.randrange(200) * step)) for k in range(n)]
+    one, two = rows(600), rows(500)
+    apart = 2 if kind == "bigint" else 0.5
+    dfs = [spark.createDataFrame([(k, None if v is None else str(v)) for k, v in side], "k bigint, v string").withColumn("v", F.col("v").cast(kind)).repartition(3) for side in (one, two)]
+    differing = sum(1 for k, a in one for m, b in two if k == m and (a is None) != (b is None) or k == m and a is not None and b is not None and abs(a - b) > apart)
+    found = compare_values(*dfs, ["k"], tolerance=apart).collect()
+    assert [(x.column, int(x.differences)) for x in found] == [("v", differing)]
+
+
 def walk(pages, start):
     found, at = {}, start
     while at is not None and at not in found:
