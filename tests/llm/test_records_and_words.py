@@ -281,3 +281,33 @@ def test_no_words(spark):
     assert spelling_variants.variants(spelling_variants.vocabulary(none)).count() == 0
     with pytest.raises(ValueError):
         spelling_variants.variants(table_of(spark, {"a": 1}), ratio=1)
+
+
+# ---- token counts of other tokenizer files
+
+
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_counts_follow_the_file(file):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tabprep.llm.token_counts import PieceCounter
+
+    path = public_tokenizers.path(file)
+    library, counter = Tokenizer.from_file(path), PieceCounter(path)
+    assert counter.plain == (file == "word_bpe_49k.json")
+    r = random.Random(2)
+    parts = ["The", "the ", " it's", "  ", "\n\n", "2024", "3.5", "Été", "数据", "👍🏽", "we'LL", "_", "--", "\t", "a", "<|endoftext|>", "x" * 300]
+    texts = ["", " ", *("".join(r.choices(parts, k=r.randrange(1, 30))) for _ in range(300))]
+    assert counter.counts(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_pipeline_stage_with_clashing_names(spark):
+    import corpus_pipeline
+
+    rows = [(1, "one two three four five six", "a", "b"), (1, "other words of the same id here", "a", "c"), (2, "ONE two three four five six", "a", "d"), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _other string, _again string").withColumn("c0", warc.F.lit(1))
+    first = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    again = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(7), "")
+    assert first.columns == docs.columns and sorted(first.collect(), key=str) == sorted(again.collect(), key=str)
+    assert sorted((r.doc_id for r in first.collect()), key=str) == [1, None]
