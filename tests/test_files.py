@@ -27,6 +27,7 @@ from tabprep.contracts import METRIC
 from tabprep.sources.database import bind, read_query, table_info
 from tabprep.sources.files import add_lineage, normalize_headers, read_any, read_csv
 from tabprep.sources.incremental import read_incremental
+from tabprep.sources import synthetic
 from tabprep.sources.odata import count_odata_rows, read_odata_pages, read_odata_rows
 from tabprep.sources.synthetic import gen_opportunities, gen_tenders, gen_transactions
 from tabprep.sources.workbook import read_excel
@@ -209,9 +210,10 @@ def test_generators(spark):
 
 def test_ledger_generator(spark):
     ledger = gen_transactions(spark, 2000)
-    assert ledger.count() == 2000 and ledger.select("AccountCode").distinct().count() == 14
-    assert ledger.select("CostCenter").distinct().count() == 15
-    odd = "substr(CostCenter, 4, 3) != upper(substr(Department, 1, 3)) or (AccountType = 'OpEx' and AmountLocal not between 1000 and 100000)"
+    assert ledger.count() == 2000 and ledger.select("AccountCode").distinct().count() == len(synthetic.ACCOUNTS)
+    assert ledger.select("CostCenter").distinct().count() == 3 * len(synthetic.DEPARTMENTS)
+    low, high = synthetic.AMOUNT_RANGES["OpEx"]
+    odd = f"substr(CostCenter, 4, 3) != upper(substr(Department, 1, 3)) or (AccountType = 'OpEx' and AmountLocal not between {low} and {high})"
     assert ledger.where(odd).isEmpty()
     odd = "(statuscode = 'Won') != (probability = 100) or (actualclosedate is null) != (statecode = 0)"
     assert gen_opportunities(spark, 500).where(odd).isEmpty()
