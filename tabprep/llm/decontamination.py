@@ -8,7 +8,8 @@ most 2 are substituted. For 13 words, however 2 substitutions lie and at whichev
 starts, a mask at one of its positions meets none of them, so every overlap is found. Items of 8 to
 12 words, of which 1 may be substituted, have seeds of their own in a second join, which is left out
 if there are none: four consecutive words at every position, of which one half or the other of an
-item is always unchanged. Shorter items match nothing.
+item is always unchanged. Items of fewer than 8 words must stand in a document as they are: a third
+join, again only if there are any, compares hashes of whole sequences of the lengths that occur.
 
 The benchmark's hashes are broadcast in blocks of a fixed number of rows; documents are never
 exchanged, only the hits are.
@@ -93,6 +94,25 @@ def _hits(rows: DataFrame, items: DataFrame, masks: tuple, span: int, overlap: i
     )
 
 
+def _whole(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """Places where an item of fewer than ``SPAN`` words stands unchanged: ``doc_id``, ``item_id``, ``at``, ``matched``."""
+    # At most SPAN - 1 lengths.
+    lengths = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())
+    seeds = materialize(items.select(F.xxhash64("words").alias("h"), "item_id", F.size("words").alias("matched")).distinct())
+    blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
+
+    def runs(n: int) -> Column:
+        return F.transform(_starts(n), lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("words", i + 1, F.lit(n))).alias("h"), F.lit(n).alias("matched")))
+
+    rows = rows.select("doc_id", F.inline(F.flatten(F.array(*(runs(n) for n in lengths)))))
+    hits = None
+    for number in range(blocks):
+        block = seeds if blocks == 1 else seeds.filter(F.pmod(F.xxhash64("h", "item_id"), F.lit(blocks)) == number)
+        found = rows.join(F.broadcast(block), ["h", "matched"]).select("doc_id", "item_id", "at", "matched")
+        hits = found if hits is None else hits.union(found)
+    return hits
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -102,23 +122,28 @@ def contaminated(
     item_text_column: str = "text",
     overlap: int = OVERLAP,
     substitutions: int = SUBSTITUTIONS,
+    least_words: int = 1,
 ) -> DataFrame:
     """Overlaps of documents with benchmark items, one row per document and item.
 
     Columns: ``doc_id``, ``item_id``, ``n_hits`` (distinct places of the document where a seed lies in an
     overlap), ``first_word`` (the first of them) and ``matched`` (the most equal words of an overlap). Items of
-    fewer than ``SPAN`` words cannot be told from chance and match nothing; nor do null and empty texts.
+    fewer than ``SPAN`` words match wherever all their words stand in a row, unchanged. Items of fewer than
+    ``least_words`` words, null and empty texts match nothing.
     Repeated rows add nothing, a null id is reported as such, other columns are ignored, and empty tables
     give an empty result. With other ``overlap`` or ``substitutions`` than the defaults the masks still find
     every overlap that leaves eight words around a mask unchanged, or four of an item shorter than ``overlap``.
     """
     items = benchmark.select(F.col(item_column).alias("item_id"), _words(F.col(item_text_column)).alias("words"))
-    items = items.filter(F.size("words") >= SPAN)
+    items = items.filter(F.size("words") >= max(least_words, 1))
     rows = docs.select(F.col(id_column).alias("doc_id"), _words(F.col(text_column)).alias("words"))
+    tiny, items = items.filter(F.size("words") < SPAN), items.filter(F.size("words") >= SPAN)
     short = items.filter(F.size("words") < overlap)
     verified = _hits(rows, items.filter(F.size("words") >= overlap), MASKS, SPAN, overlap, substitutions)
     if not short.isEmpty():
         verified = verified.union(_hits(rows, short, SHORT_MASKS, SHORT_SPAN, overlap, substitutions))
+    if not tiny.isEmpty():
+        verified = verified.union(_whole(rows, tiny))
     return verified.groupBy("doc_id", "item_id").agg(
         F.count_distinct("at").alias("n_hits"), F.min("at").cast("bigint").alias("first_word"), F.max("matched").cast("bigint").alias("matched")
     )
