@@ -25,8 +25,8 @@ from tabprep.scratch import materialize
 PIVOTS, SAMPLE, BLOCK, QUERY_BLOCK = 16, 2000, 8192, 1024
 
 
-def _pad(vectors: list, dimensions: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dimensions))
+def _pad(vectors: list, dimensions: int, kind: type = np.float64) -> np.ndarray:
+    out = np.zeros((len(vectors), dimensions), kind)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
@@ -77,12 +77,12 @@ def _keyed(batches, pivots, square, dimensions):
 _PACKED = "cell int, low double, high double, n int, ids binary, x binary"
 
 
-def _packed(batches, size, dimensions):
+def _packed(batches, size, dimensions, kind):
     """Blocks of vectors of one cell, in the order of their distance from its pivot."""
 
     def block(rows):
         ids = np.array([r[0] for r in rows], np.int64)
-        return {"cell": rows[0][2], "low": rows[0][3], "high": rows[-1][3], "n": len(rows), "ids": ids.tobytes(), "x": _pad([r[1] for r in rows], dimensions).tobytes()}
+        return {"cell": rows[0][2], "low": rows[0][3], "high": rows[-1][3], "n": len(rows), "ids": ids.tobytes(), "x": _pad([r[1] for r in rows], dimensions, kind).tobytes()}
 
     schema = pa.schema([("cell", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("n", pa.int32()), ("ids", pa.binary()), ("x", pa.binary())])
     rows = []
@@ -95,43 +95,53 @@ def _packed(batches, size, dimensions):
         yield pa.RecordBatch.from_pylist([block(rows)], schema)
 
 
-def _best(batches, k, dimensions):
+def _best(batches, k, dimensions, kind):
     """The k best of each index block for each query of a block, unless they are worse than ``floor``."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    none = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
     for q_ids, q_x, floors, ids, x in rows_of(batches, "q_ids", "q_x", "floors", "ids", "x"):
         q_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
-        q, x = np.frombuffer(q_x).reshape(len(q_ids), dimensions), np.frombuffer(x).reshape(len(ids), dimensions)
-        floor = np.frombuffer(floors) if floors else np.full(len(q_ids), -np.inf)
+        q, x = np.frombuffer(q_x, kind).reshape(len(q_ids), dimensions), np.frombuffer(x, kind).reshape(len(ids), dimensions)
+        floor = np.frombuffer(floors, kind) if floors else np.full(len(q_ids), none, kind)
         by_id = np.argsort(ids, kind="stable")
         ids, x = ids[by_id], x[by_id]
         for at in range(0, len(q_ids), 256):
             part = slice(at, at + 256)
             scores = q[part] @ x.T
-            scores[q_ids[part, None] == ids] = -np.inf
-            scores[scores < floor[part, None]] = -np.inf
+            scores[q_ids[part, None] == ids] = none
+            scores[scores < floor[part, None]] = none
             # The k-th best of a row, and all that reach it; ties are settled by the smaller id, which comes first.
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            best = np.argsort(~scores if kind is np.int64 else -scores, axis=1, kind="stable")[:, :k]
             found = np.take_along_axis(scores, best, axis=1)
-            row, col = np.nonzero(np.isfinite(found))
+            row, col = np.nonzero(found != none)
             if len(row):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_ids[part][row]), pa.array(ids[best[row, col]]), pa.array(found[row, col].astype(np.int64))], schema=schema
                 )
 
 
-def _expansions(batches, pivots, square, dimensions):
+def _rounding(square: float, dimensions: int) -> float:
+    """A bound of the rounding error of a squared distance of vectors whose squares add up to ``square``."""
+    return 8 * (dimensions + 4) * float(np.finfo(np.float64).eps) * square
+
+
+def _expansions(batches, pivots, square, dimensions, kind):
     """For each query block and pivot the annulus, from ``low_d`` to ``high_d``, that can hold better vectors."""
     schema = pa.schema(
         [("block", pa.int64()), ("cell", pa.int32()), ("low_d", pa.float64()), ("high_d", pa.float64()), ("q_ids", pa.binary()), ("q_x", pa.binary()), ("floors", pa.binary())]
     )
     for block, ids, x, known in rows_of(batches, "block", "ids", "x", "known"):
         ids_ = np.frombuffer(ids, np.int64)
-        q = np.frombuffer(x).reshape(len(ids_), dimensions)
+        q = np.frombuffer(x, kind).reshape(len(ids_), dimensions).astype(np.float64)
         score = {r["query_id"]: r["kth"] for r in known or []}
-        floors = np.array([score.get(i, -np.inf) if score.get(i) is not None else -np.inf for i in ids_.tolist()])
+        least = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
+        floors = np.array([score.get(i, least) for i in ids_.tolist()], kind)
+        unknown = np.array([i not in score for i in ids_.tolist()])
         square_q = (q * q).sum(axis=1)
-        # Squared distance of a vector with the k-th best score; a little more, for rounding.
-        radius = np.sqrt(np.maximum(square_q + square - 2 * floors, 0)) + 1e-6
+        # Squared distance of a vector with the k-th best score; more, for the rounding of it and of both distances.
+        error = _rounding(2 * (square + square_q), dimensions)
+        reach = np.maximum(square_q + square - 2 * floors.astype(np.float64), 0) + error
+        radius = np.where(unknown, np.inf, np.sqrt(reach) + 2 * np.sqrt(error)) + 1e-6
         d = _distances(np.column_stack([q, np.zeros(len(q))]), pivots)
         for cell in range(len(pivots)):
             yield pa.RecordBatch.from_pylist(
@@ -147,7 +157,10 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVO
     its own id; ties go to the smaller id; a query with fewer candidates gets all of them. Shorter vectors count
     as padded with zeros. Rows without an id or vector, or with a null component, take no part; of rows that
     repeat an id one counts, the one with the smallest vector. Other columns are ignored, and without queries or
-    candidates the result is empty. Products must stay below 2**53.
+    candidates the result is empty.
+
+    Scores are exact: products are formed in doubles where the lengths of the vectors prove all sums to stay below
+    2**53, in 64-bit integers where they prove them to stay below 2**63, and are refused with an error beyond.
     """
     spark = vectors.sparkSession
 
@@ -158,12 +171,17 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVO
     table, asked = materialize(valid(vectors)), materialize(valid(queries))
     length = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     sizes = table.agg(F.max(F.size("v")).alias("n"), F.max(length).alias("square"), F.count("*").alias("rows")).first()
-    asked_sizes = asked.agg(F.max(F.size("v")).alias("n"), F.count("*").alias("rows")).first()
+    asked_sizes = asked.agg(F.max(F.size("v")).alias("n"), F.max(length).alias("square"), F.count("*").alias("rows")).first()
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     if not sizes.rows or not asked_sizes.rows:
         return empty
     dimensions = max(sizes.n, asked_sizes.n, 1)
     square = float(sizes.square)
+    # No partial sum of a product exceeds the product of the lengths; a little more, for its own rounding.
+    largest = (square * float(asked_sizes.square)) ** 0.5 * (1 + 1e-9)
+    if largest >= 2.0**63:
+        raise ValueError(f"inner products may reach {largest:.4g}, which a bigint score cannot hold")
+    kind = np.float64 if largest < 2.0**53 and max(square, float(asked_sizes.square)) < 2.0**106 else np.int64
     sample = table.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     handed = spark.sparkContext.broadcast(_pivots(_lift(_pad([r.v for r in sample], dimensions), square), pivots))
 
@@ -171,7 +189,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVO
         keyed = df.mapInArrow(lambda b: _keyed(b, handed.value, square, dimensions), "vec_id bigint, v array<bigint>, cell int, d double")
         parts = max(1, -(-rows // (4 * size)))
         ranged = keyed.repartitionByRange(parts, "cell", "d", "vec_id").sortWithinPartitions("cell", "d", "vec_id")
-        packed = ranged.mapInArrow(lambda b: _packed(b, size, dimensions), _PACKED)
+        packed = ranged.mapInArrow(lambda b: _packed(b, size, dimensions, kind), _PACKED)
         return materialize(packed.withColumn("block", F.monotonically_increasing_id()))
 
     index, query_blocks = blocks(table, sizes.rows, BLOCK), blocks(asked, asked_sizes.rows, QUERY_BLOCK)
@@ -179,7 +197,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVO
 
     def best(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select("q_ids", "q_x", "floors", "ids", "x")
-        return pairs.mapInArrow(lambda b: _best(b, k, dimensions), product)
+        return pairs.mapInArrow(lambda b: _best(b, k, dimensions, kind), product)
 
     # The block of the own pivot that is next to the query block's distances.
     own = query_blocks.selectExpr("block", "cell", "low AS q_low", "high AS q_high", "ids AS q_ids", "x AS q_x", "CAST(NULL AS BINARY) AS floors")
@@ -194,7 +212,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVO
     located = asked_in(query_blocks).join(kth, "query_id")
     known = located.groupBy("block").agg(F.collect_list(F.struct("query_id", "kth")).alias("known"))
     expanded = query_blocks.select("block", "ids", "x").join(known, "block", "left").mapInArrow(
-        lambda b: _expansions(b, handed.value, square, dimensions),
+        lambda b: _expansions(b, handed.value, square, dimensions, kind),
         "block bigint, cell int, low_d double, high_d double, q_ids binary, q_x binary, floors binary",
     )
     # Blocks that were looked into first need not be met again.
@@ -219,7 +237,8 @@ def asked_in(query_blocks: DataFrame) -> DataFrame:
 def whole_numbers(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", factor: int = 256) -> DataFrame:
     """``vec_id`` and ``v``, the components ``x`` as ``floor(factor * x)``.
 
-    Vectors that are null or hold null or non-finite components are left out.
+    Vectors that are null or hold null or non-finite components are left out. Components beyond 64 bits become the
+    largest or smallest bigint, which ``top_k`` refuses where it could matter.
     """
     x = F.transform(F.col(vector_column), lambda c: c.cast("double"))
     rows = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), x.alias("x")).filter(F.col("x").isNotNull())
