@@ -92,10 +92,11 @@ class _Line:
         self.heading = False
 
 
-def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tuple[int, bool]], list[tuple[int, str]]]:
+def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tuple[int, bool]], list[tuple[int, str, int]]]:
     """Lines as (text, weight outside links, in an article, in an aside), and whether there is an article.
 
-    Then the container of each line and whether it is a heading, and of each container the one around it and its name.
+    Then the container of each line and whether it is a heading, and of each container the one around it, its name
+    and its first line. The time is linear in the page, however deep its elements are.
 
     Articles in a container that is named as one of others' articles count only on pages whose other articles
     have no text; else their lines are in an aside.
@@ -106,7 +107,11 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
     hidden = False
     links, doubt = 0, -1
     doubts: list[list[int]] = []  # weight and length of the parts that are asides if they are links
-    boxes, box = [(-1, "")], 0
+    boxes, box = [(-1, "", 0)], 0
+    # Places in the stack: of the open elements of each name, of blocks, and of containers.
+    opened: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    containers: list[int] = []
     places: list[tuple[int, bool]] = []
     line = _Line(main, aside, doubt, box)
 
@@ -131,9 +136,19 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
         nonlocal main, aside, hidden, doubt, box, links
         for _ in range(count):
             name, main, aside, hidden, doubt, box = stack.pop()
+            opened[name].pop()
+            if name in _BLOCKS:
+                blocks.pop()
+            if name in _CONTAINERS:
+                containers.pop()
             if name == "a":
                 links = max(links - 1, 0)
 
+    def last(name: str) -> int:
+        """Place in the stack of the innermost open element of a name, -1 if there is none."""
+        places = opened.get(name)
+        return places[-1] if places else -1
+
     at, n = 0, len(html)
     while at < n:
         mark = html.find("<", at)
@@ -168,11 +183,11 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
         name = found.group().lower()
         at = _tag_end(html, mark)
         if closing:
-            depth = next((i for i, e in enumerate(reversed(stack), 1) if e[0] == name), 0)
+            place = last(name)
             # An end tag of a phrase does not end the blocks around it.
-            if depth and (name in _BLOCKS or name in _NO_TEXT or not any(e[0] in _BLOCKS for e in stack[-depth:])):
+            if place >= 0 and (name in _BLOCKS or name in _NO_TEXT or not blocks or blocks[-1] < place):
                 (border if name in _CONTAINERS else end_line if name in _BLOCKS else int)()
-                close(depth)
+                close(len(stack) - place)
                 line.main, line.aside, line.doubt, line.box = main, aside, doubt, box
             elif name in _BLOCKS:
                 end_line()
@@ -183,17 +198,18 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
         tag = html[found.end() : at]
         if name in _BLOCKS:
             (border if name in _CONTAINERS else end_line)()
-            if name != "html" and any(e[0] == "head" for e in stack):  # its end tag may be left out
-                close(len(stack) - next(i for i, e in enumerate(stack) if e[0] == "head"))
-            ended = _ENDED.get(name, ("p",))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ended:
-                    close(len(stack) - i)
-                    break
-                if stack[i][0] in _CONTAINERS:
-                    break
+            if name != "html" and opened.get("head"):  # its end tag may be left out
+                close(len(stack) - opened["head"][0])
+            place = max(last(e) for e in _ENDED.get(name, ("p",)))
+            if place > (containers[-1] if containers else -1):
+                close(len(stack) - place)
         if name in _VOID or tag.rstrip().endswith("/>") and name not in _BLOCKS:
             continue
+        opened.setdefault(name, []).append(len(stack))
+        if name in _BLOCKS:
+            blocks.append(len(stack))
+        if name in _CONTAINERS:
+            containers.append(len(stack))
         stack.append((name, main, aside, hidden, doubt, box))
         hidden = hidden or name in _NO_TEXT
         if name in _MAIN:
@@ -213,7 +229,7 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
         if name == "a":
             links += 1
         if name in _CONTAINERS:
-            boxes.append((box, name))
+            boxes.append((box, name, len(lines)))
             box = len(boxes) - 1
         line.main, line.aside, line.doubt, line.box = main, aside, doubt, box
         line.heading = name in _HEADINGS or line.heading and name not in _BLOCKS
@@ -322,6 +338,14 @@ def _with_neighbours(heavy: list[int], lines: list, shown: list[bool], places: l
     for i in heavy:
         box = places[i][0]
         spans[box] = (spans.get(box, (i, i))[0], i)
+    # Of each container: whether it or one around it holds heavy lines, whether it is or lies in a list or table,
+    # and the last heavy line that lies directly in one around it which also holds one before the container.
+    around = [(0 in spans, False, -1)]
+    for box, (outer, name, first) in enumerate(boxes[1:], 1):
+        near, listed, until = around[outer]
+        if outer in spans and spans[outer][0] < first:
+            until = max(until, spans[outer][1])
+        around.append((near or box in spans, listed or name in ("ul", "ol", "table"), until))
     kept, at, n = [], 0, len(lines)
     while at < n:
         end = at + 1
@@ -335,13 +359,9 @@ def _with_neighbours(heavy: list[int], lines: list, shown: list[bool], places: l
             kept += block
         elif block:
             weight, length = sum(lines[i][1] for i in block), sum(len(lines[i][0]) for i in block)
-            box, near, amid, listed = places[block[0]][0], False, False, False
-            while box >= 0:
-                if box in spans:
-                    near = True
-                    amid = amid or spans[box][0] < at < spans[box][1]
-                listed = listed or boxes[box][1] in ("ul", "ol", "table")
-                box = boxes[box][0]
+            box = places[block[0]][0]
+            near, listed, until = around[box]
+            amid = until > at or box in spans and spans[box][0] < at < spans[box][1]
             heading = any(places[i][1] for i in block)
             text = " ".join(lines[i][0] for i in block)
             follows = (near or heading or listed or _SENTENCE.search(text)) and not _RIGHTS.match(text)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -80,6 +81,15 @@ def test_main_text_of_odd_pages(page):
     assert isinstance(html_extraction.main_text(page), str)
 
 
+@pytest.mark.parametrize("tag", ["<div>", "<span>", "<p><b>", "<div>a<span>", "</b><b><div>", "<ul><li>x"])
+@pytest.mark.parametrize("start", ["", "<article>"])
+def test_deep_markup_takes_linear_time(tag, start):
+    page = start + "<p>Some words stand here, long enough to be a text of its own.</p>" + tag * 100_000
+    began = time.process_time()
+    assert html_extraction.main_text(page).startswith("Some words stand here")
+    assert time.process_time() - began < 4
+
+
 def test_plain_text_is_a_page():
     assert html_extraction.main_text("just a < b text") == "just a < b text"
 
