@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.scratch import unused
+
 
 def assert_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key values that break a primary key: repeated, or with a null part. Empty means the key holds."""
@@ -21,14 +23,14 @@ def assert_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _unique(df: DataFrame, keys: list[str], side: str) -> DataFrame:
-    """Add a true ``_<side>``; reading it fails if the row's key is a repeated one.
+def _unique(df: DataFrame, keys: list[str], side: str, mark: str) -> DataFrame:
+    """Add a true ``mark``; reading it fails if the row's key is a repeated one.
 
     The window needs the rows exchanged and sorted by key, which the join that follows needs too.
     """
     copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     repeated = F.raise_error(F.concat(F.lit(f"repeated key in {side}: "), F.to_json(F.struct(*keys))))
-    return df.withColumn(f"_{side}", F.when(copy > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
+    return df.withColumn(mark, F.when(copy > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
 
 
 def upsert(
@@ -57,18 +59,21 @@ def upsert(
     keyed = F.lit(True)
     for c in keys:
         keyed = keyed & F.col(c).isNotNull()
-    old = _unique(target.where(keyed), keys, "target")
-    incoming = source.where(keyed).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in given])
+    # A caller's own columns may have any name.
+    new = {c: unused(f"_new_{c}", target.columns) for c in given}
+    in_target, in_source = (unused(c, target.columns, new.values()) for c in ("_target", "_source"))
+    old = _unique(target.where(keyed), keys, "target", in_target)
+    incoming = source.where(keyed).select(*keys, *[F.col(c).alias(new[c]) for c in given])
     # Reading both marks keeps the checks in the plan.
-    both = old.join(_unique(incoming, keys, "source"), keys, "full_outer").where(
-        F.col("_target").isNotNull() | F.col("_source").isNotNull()
+    both = old.join(_unique(incoming, keys, "source", in_source), keys, "full_outer").where(
+        F.col(in_target).isNotNull() | F.col(in_source).isNotNull()
     )
 
     def value(c: str) -> Column:
         if c not in given:
             return F.col(c)
-        side = F.col("_source").isNotNull() if c in updated else F.col("_target").isNull()
-        return F.when(side, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+        side = F.col(in_source).isNotNull() if c in updated else F.col(in_target).isNull()
+        return F.when(side, F.col(new[c])).otherwise(F.col(c)).alias(c)
 
     merged = both.select(*[value(c) for c in target.columns])
     return merged.unionByName(target.where(~keyed)).unionByName(
@@ -84,9 +89,8 @@ def append_dedup(
     ``order_by`` says which row is last among several of one input. The rank filter turns into a
     group limit on each input split, so a key with many copies is thinned before the exchange.
     """
-    both = existing.withColumn("_batch", F.lit(0)).unionByName(
-        new.withColumn("_batch", F.lit(1)), allowMissingColumns=True
-    )
-    last = Window.partitionBy(*key_columns).orderBy(F.desc("_batch"), *[F.desc(c) for c in order_by])
-    ranked = both.withColumn("_rank", F.row_number().over(last))
-    return ranked.where(F.col("_rank") == 1).drop("_rank", "_batch")
+    batch, rank = (unused(c, existing.columns, new.columns) for c in ("_batch", "_rank"))
+    both = existing.withColumn(batch, F.lit(0)).unionByName(new.withColumn(batch, F.lit(1)), allowMissingColumns=True)
+    last = Window.partitionBy(*key_columns).orderBy(F.desc(batch), *[F.desc(c) for c in order_by])
+    ranked = both.withColumn(rank, F.row_number().over(last))
+    return ranked.where(F.col(rank) == 1).drop(rank, batch)

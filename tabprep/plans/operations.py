@@ -16,6 +16,7 @@ from tabprep.operators.diff import (
     profile,
     table_hash,
 )
+from tabprep.operators.digests import changed_rows, differing_ranges, digest_tree, key_range
 from tabprep.operators.merge import append_dedup, assert_key, upsert
 from tabprep.operators.metrics import (
     alert_candidates,
@@ -40,6 +41,7 @@ from tabprep.plans.functions import RAW, TYPED
 from tabprep.plans.registry import query
 from tabprep.plans.tables import LEDGER, LEDGER_STATUS, LINE_KEY
 from tabprep.scratch import scratch_dir
+from tabprep.sinks.bucketed import read_bucketed, upsert_bucketed, write_bucketed
 from tabprep.sinks.files import append_log, read_log, write_quarantine
 
 RUNS_SQL = plain(RUNS)
@@ -96,6 +98,26 @@ def b8_columns(spark, d):
     return upsert(table(spark, d, "customer"), adapted(spark, d, CUSTOMER_UPDATE), ["c_custkey"], ["c_name"])
 
 
+# An extract of the customers that changed: those whose keys share a remainder, and as many new ones.
+CUSTOMER_CHANGES = """SELECT c_custkey + CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE 1000000000 END AS c_custkey,
+    c_name || ' (changed)' AS c_name, c_nationkey FROM {customer} WHERE c_custkey % 7 = 3"""
+
+
+@query(
+    "B8_upsert_buckets",
+    f"""WITH s AS ({plain(CUSTOMER_CHANGES)})
+        SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name,
+        coalesce(s.c_nationkey, t.c_nationkey)::bigint AS c_nationkey, t.c_acctbal, t.c_mktsegment
+        FROM customer t FULL JOIN s ON t.c_custkey = s.c_custkey""",
+)
+def b8_buckets(spark, d):
+    """Customers in buckets, of which the source's are rewritten in place."""
+    path = scratch_path(spark, "customers")
+    write_bucketed(table(spark, d, "customer"), path, ["c_custkey"], 16)
+    upsert_bucketed(spark, path, adapted(spark, d, CUSTOMER_CHANGES), ["c_custkey"])
+    return read_bucketed(spark, path)
+
+
 @query(
     "B9_append_dedup",
     f"""SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, AmountLocal::double AS AmountLocal, version FROM (
@@ -227,6 +249,44 @@ def k2d(spark, d):
     return same.select(F.col("data_equal").alias("same"), revised.scalar().alias("revised"), retyped.scalar().alias("retyped"))
 
 
+# The lines after a few corrections: one amount changed, one order gone, one line twice.
+CORRECTED = """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey % 1997 = 3 AND l_linenumber = 1
+    THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_shipdate FROM {lineitem} WHERE l_orderkey % 2003 <> 5
+    UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM {lineitem}
+    WHERE l_orderkey % 1999 = 7 AND l_linenumber = 1"""
+_LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"]
+_CHANGED_SQL = f"""one AS (SELECT {", ".join(_LINES)} FROM lineitem), two AS ({plain(CORRECTED)}),
+        gone AS (SELECT * FROM one EXCEPT ALL SELECT * FROM two), added AS (SELECT * FROM two EXCEPT ALL SELECT * FROM one)"""
+#: Bits of a range of order keys, and of its place among those of the next level.
+_RANGE_BITS, _LEVELS, _STEP = 6, 3, 3
+
+
+@query(
+    "K2_differing_ranges",
+    f"""WITH {_CHANGED_SQL}, levels AS (SELECT unnest(range({_LEVELS})) AS level),
+        differing AS (SELECT DISTINCT level, l_orderkey >> ({_RANGE_BITS} + {_STEP} * level) AS "range"
+            FROM (SELECT * FROM gone UNION ALL SELECT * FROM added), levels),
+        counted AS (SELECT level, l_orderkey >> ({_RANGE_BITS} + {_STEP} * level) AS "range", count(*) FILTER (WHERE side = 1) AS rows_1,
+            count(*) FILTER (WHERE side = 2) AS rows_2
+            FROM (SELECT l_orderkey, 1 AS side FROM one UNION ALL SELECT l_orderkey, 2 FROM two), levels GROUP BY ALL)
+        SELECT level, "range", rows_1, rows_2 FROM differing JOIN counted USING (level, "range")""",
+)
+def k2_ranges(spark, d):
+    leaf = key_range("l_orderkey", _RANGE_BITS)
+    one, two = (digest_tree(t, leaf, levels=_LEVELS, step=_STEP) for t in (table(spark, d, "lineitem").select(*_LINES), adapted(spark, d, CORRECTED)))
+    return differing_ranges(one, two, _LEVELS, _STEP)
+
+
+@query(
+    "K2_changed_rows",
+    f"""WITH {_CHANGED_SQL} SELECT * REPLACE (l_linenumber::bigint AS l_linenumber, l_quantity::double AS l_quantity), 1::bigint AS only_in,
+        count(*) AS copies FROM gone GROUP BY ALL
+        UNION ALL SELECT * REPLACE (l_linenumber::bigint AS l_linenumber, l_quantity::double AS l_quantity), 2, count(*) FROM added GROUP BY ALL""",
+)
+def k2_changed(spark, d):
+    return changed_rows(table(spark, d, "lineitem").select(*_LINES), adapted(spark, d, CORRECTED), key_range("l_orderkey", _RANGE_BITS))
+
+
 _RAW_TYPES = [("k", "bigint")] + [
     (c, "string")
     for c in (

@@ -140,6 +140,14 @@ def place_of(ranged: DataFrame) -> list[str]:
     return [c for c in (TIE, *PLACE) if c in ranged.columns]
 
 
+def unused(name: str, *columns: Sequence[str]) -> str:
+    """The name, with as many underscores before it as it takes to be none of the columns, in whatever case."""
+    taken = {c.lower() for some in columns for c in some}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:
     """Join on columns of equal name, nulls matching each other; the columns are kept once."""
     names = {c: f"_right_{c}" for c in columns}

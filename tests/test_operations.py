@@ -18,6 +18,7 @@ from tabprep.operators.diff import (
     profile,
     table_hash,
 )
+from tabprep.operators.digests import changed_rows, differing_ranges, digest_tree, hashed_range, key_range, rows_in_ranges
 from tabprep.operators.merge import append_dedup, assert_key, upsert
 from tabprep.operators.metrics import (
     ALERT_RULES,
@@ -37,6 +38,7 @@ from tabprep.operators.redaction import (
     redact_credentials,
     scan_sensitive,
 )
+from tabprep.sinks.bucketed import read_bucketed, upsert_bucketed, write_bucketed
 
 
 def as_set(df):
@@ -101,6 +103,52 @@ def test_append_dedup(spark):
     assert as_set(got) == [(1, "a", 1, None), (2, "B", 1, "x"), (3, "cc", 2, "x")]
 
 
+def test_merge_columns_of_any_name(spark):
+    schema = "id int, _target int, _source int, _new_v string, v string, _batch int, _rank int"
+    target, source = (spark.createDataFrame([r], schema) for r in ((1, 1, 1, "a", "b", 1, 1), (1, 2, 3, "c", "d", 4, 5)))
+    assert as_set(upsert(target, source, ["id"])) == as_set(source)
+    assert as_set(append_dedup(target, source, ["id"])) == as_set(source)
+
+
+def folders(path):
+    return {p.name: sorted(f.name for f in p.iterdir()) for p in path.iterdir() if p.is_dir()}
+
+
+def test_upsert_buckets(spark, tmp_path):
+    path = tmp_path / "table"
+    target = people(spark, *((i, f"n{i}", i) for i in range(200)), *((None, "n", i) for i in range(50)))
+    write_bucketed(target, str(path), ["id"], 8)
+    before = folders(path)
+    assert sorted(before) == [f"_bucket_of_8={i}" for i in range(8)]
+    source = spark.createDataFrame([(17, "changed")], "id bigint, name string")
+    hit = upsert_bucketed(spark, str(path), source, ["id"])
+    after = folders(path)
+    assert len(hit) == 1 and [n for n in before if before[n] != after[n]] == [f"_bucket_of_8={hit[0]}"]
+    expected = as_set(upsert(target, source, ["id"]))
+    assert as_set(read_bucketed(spark, str(path))) == expected
+    # The same source again, one without rows, new keys and keys without value.
+    assert upsert_bucketed(spark, str(path), source, ["id"]) == hit and upsert_bucketed(spark, str(path), source.limit(0), ["id"]) == []
+    assert as_set(read_bucketed(spark, str(path))) == expected
+    more = people(spark, (300, "new", 1), (None, "more", 2), (3, "x", None))
+    upsert_bucketed(spark, str(path), more, ["id"], ["name"])
+    expected = as_set(upsert(upsert(target, source, ["id"]), more, ["id"], ["name"]))
+    assert as_set(read_bucketed(spark, str(path))) == expected
+
+
+def test_upsert_buckets_failing_changes_nothing(spark, tmp_path):
+    path = tmp_path / "table"
+    write_bucketed(people(spark, (1, "a", 1), (2, "b", 2)), str(path), ["id"], 4)
+    before = folders(path)
+    with pytest.raises(Exception, match="repeated key in source"):
+        upsert_bucketed(spark, str(path), people(spark, (1, "x", 1), (1, "y", 1)), ["id"])
+    with pytest.raises(ValueError, match="unknown columns"):
+        upsert_bucketed(spark, str(path), spark.createDataFrame([(1, 1)], "id int, other int"), ["id"])
+    assert {n: [f for f in fs if not f.startswith((".", "_"))] for n, fs in folders(path).items() if n in before} == {
+        n: [f for f in fs if not f.startswith((".", "_"))] for n, fs in before.items()
+    }
+    assert as_set(read_bucketed(spark, str(path))) == [(1, "a", 1), (2, "b", 2)]
+
+
 def test_assert_key(spark):
     found = assert_key(people(spark, (1, "a", 1), (1, "b", 1), (2, "c", 1), (None, "d", 1)), ["id"])
     assert as_set(found.select("id", "violation")) == [(1, "duplicate"), (None, "null")]
@@ -124,6 +172,40 @@ def test_hash(spark):
     assert of(a) != of(spark.createDataFrame([("x", None)], "a string, b string"))
 
 
+@pytest.mark.parametrize("hashed", [False, True])
+def test_digest_trees(spark, hashed):
+    rows = [(k if k % 50 else None, f"s{k % 7}", None if k % 3 else k * 0.5) for k in range(-3000, 3000)]
+    changed = [r for i, r in enumerate(rows) if i != 100]  # one gone, one changed, one twice, null and value exchanged
+    changed[2000] = (changed[2000][0], "other", changed[2000][2])
+    changed.append(changed[4000])
+    schema = "k bigint, s string, v double"
+    one, two = (spark.createDataFrame(r, schema) for r in (rows, changed))
+    leaf = hashed_range(["k"], 8) if hashed else key_range("k", 5)
+    trees = [digest_tree(t, leaf) for t in (one, one.repartition(3, "s"), two)]
+    assert differing_ranges(*trees[:2]).count() == 0
+    found = differing_ranges(trees[0], trees[2])
+    widths = {r.level: r["count"] for r in found.groupBy("level").count().collect()}
+    assert sorted(widths) == [0, 1, 2, 3] and 1 <= widths[3] <= widths[0] <= 3
+    got = as_set(changed_rows(one, two, leaf))
+    expected = [(*rows[100], 1, 1), (*rows[2001], 1, 1), (*changed[2000], 2, 1), (*changed[4000], 2, 1)]
+    assert got == sorted(expected, key=repr)
+    # Rows of other ranges are not looked into.
+    assert rows_in_ranges(one, leaf, found).count() == found.where("level = 0").agg(F.sum("rows_1")).first()[0] < 300
+
+
+def test_digest_trees_of_odd_tables(spark):
+    empty = spark.createDataFrame([], "k int, range string, level string")
+    some = spark.createDataFrame([(None, "x", None), (None, None, "x"), (5, "x", "x")], empty.schema)
+    leaf = key_range("k")
+    assert differing_ranges(digest_tree(empty, leaf), digest_tree(empty, leaf)).count() == 0
+    assert as_set(changed_rows(empty, some, leaf)) == as_set(some.select("*", F.lit(2), F.lit(1).cast("bigint")))
+    # Where a null stands counts.
+    moved = spark.createDataFrame([(None, None, "x"), (None, None, "x"), (5, "x", "x")], empty.schema)
+    assert as_set(changed_rows(some, moved, leaf)) == sorted([(None, "x", None, 1, 1), (None, None, "x", 2, 1)], key=repr)
+    with pytest.raises(ValueError, match="already"):
+        changed_rows(some, some, leaf, side="level")
+
+
 def test_compare_example(spark):
     one = spark.createDataFrame([(1, 10), (2, 20)], "id int, value int")
     two = spark.createDataFrame([(1, 10), (2, 30)], "id int, value int")
