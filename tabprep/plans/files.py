@@ -23,7 +23,7 @@ from tabprep.sources.incremental import read_incremental
 from tabprep.sources.odata import count_odata_rows, read_odata_chains, read_odata_pages, read_odata_rows
 from tabprep.sources.workbook import read_excel
 from tabprep.streaming.alerts import fired_alerts, start_alerts
-from tabprep.streaming.incremental import current_rows, start_incremental
+from tabprep.streaming.incremental import current_rows, retire, snapshot, start_incremental
 
 RAW_COLUMNS = [f.strip() for f in (
     "TenderID, ProjectName, ClientName, BusinessDivision, TenderStatus, TenderReceivedDate, TenderSubmissionDate, "
@@ -351,6 +351,27 @@ def s13_stream(spark, d):
     return current_rows(spark, log, ["opportunityid"])
 
 
+@query(
+    "S13_compacted",
+    f"""SELECT opportunityid, CASE WHEN substr(opportunityid, 16, 1) IN ('1', '2') THEN statuscode || ' again' ELSE statuscode END
+        AS statuscode, customerid, modifiedon FROM ({OPPS})""",
+)
+def s13_compacted(spark, d):
+    """A log is loaded, compacted while it goes on, and read as its snapshot and the batches since."""
+    landing, log, checkpoint = (scratch_path(spark, n) for n in ("landing", "changes", "checkpoint"))
+    first = adapted(spark, d, OPPORTUNITIES).select("opportunityid", "statuscode", "customerid", "modifiedon")
+    last_digit = F.substring("opportunityid", 16, 1)
+    for digit in (None, "1", "2"):
+        # The same watermark: the later batch wins.
+        again = first if digit is None else first.where(last_digit == digit).withColumn("statuscode", F.concat("statuscode", F.lit(" again")))
+        again.repartition("opportunityid").write.mode("append").json(landing)
+        start_incremental(spark, landing, first.schema, log, checkpoint, ["opportunityid"]).awaitTermination()
+        if digit != "2":
+            snapshot(spark, log, ["opportunityid"])
+    retire(spark, log)
+    return current_rows(spark, log, ["opportunityid"])
+
+
 @query(
     "A5_stream_cooldown",
     _sql_cooldown("SELECT event_type AS alert, ts AS timestamp, 3600 AS cooldown_seconds FROM events"),

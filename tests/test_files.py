@@ -32,7 +32,7 @@ from tabprep.sources.odata import count_odata_rows, read_odata_pages, read_odata
 from tabprep.sources.synthetic import gen_opportunities, gen_tenders, gen_transactions
 from tabprep.sources.workbook import read_excel
 from tabprep.streaming.alerts import fired_alerts, start_alerts
-from tabprep.streaming.incremental import compact, current_rows, start_incremental
+from tabprep.streaming.incremental import compact, current_rows, retire, snapshot, start_incremental
 
 NOON = dt.datetime(2024, 1, 1, 12, 0, 0, 123456)
 
@@ -462,6 +462,40 @@ def test_stream_incremental(spark, tmp_path):
     assert as_set(spark.read.parquet(str(tmp_path / "table"))) == expected
 
 
+def test_snapshots_of_a_live_log(spark, tmp_path):
+    landing, log, checkpoint = (str(tmp_path / n) for n in ("landing", "log", "checkpoint"))
+    schema = "id string, v int, modifiedon string"
+    read = lambda: as_set(current_rows(spark, log, ["id"]))
+
+    def load(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(landing)
+        start_incremental(spark, landing, schema, log, checkpoint, ["id"]).awaitTermination()
+
+    assert snapshot(spark, log, ["id"]) is None
+    load(("a", 1, "2025-01-01"), ("b", 1, "2025-01-01"), (None, 7, "2025-01-01"))
+    load(("a", 2, "2025-01-02"))
+    assert snapshot(spark, log, ["id"]) == snapshot(spark, log, ["id"]) == 1
+    expected = [("a", 2, "2025-01-02"), ("b", 1, "2025-01-01"), (None, 7, "2025-01-01")]
+    assert read() == expected
+    # Batches after the snapshot; one that is not finished; an older row and one of equal time.
+    load(("b", 2, "2024-01-01"), ("a", 3, "2025-01-02"), ("c", 1, None))
+    unfinished = tmp_path / "log/batch_id=3"
+    spark.createDataFrame([("a", 9, "2026-01-01")], schema).write.parquet(str(unfinished))
+    (unfinished / "_SUCCESS").unlink()
+    expected = [("a", 3, "2025-01-02"), ("b", 1, "2025-01-01"), ("c", 1, None), (None, 7, "2025-01-01")]
+    assert read() == expected
+    retire(spark, log)
+    assert sorted(p.name for p in (tmp_path / "log").glob("batch_id=*")) == ["batch_id=2", "batch_id=3"] and read() == expected
+    files = [f for f in current_rows(spark, log, ["id"]).inputFiles()]
+    assert {"/".join(f.split("/")[-3:-1]) for f in files} == {"_snapshots/through=1", "log/batch_id=2"}
+    assert snapshot(spark, log, ["id"]) == 2 and read() == expected
+    retire(spark, log)
+    assert [p.name for p in (tmp_path / "log/_snapshots").iterdir()] == ["through=2"] and read() == expected
+    # The stream goes on where it was.
+    load(("c", 5, "2025-02-01"))
+    assert read() == [*expected[:2], ("c", 5, "2025-02-01"), expected[3]]
+
+
 def test_stream_alerts(spark, tmp_path):
     landing, log, checkpoint = (str(tmp_path / n) for n in ("landing", "log", "checkpoint"))
     schema = "alert string, timestamp timestamp_ntz, cooldown_seconds int"
