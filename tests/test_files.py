@@ -6,6 +6,8 @@ import zipfile
 from decimal import Decimal
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,6 +297,39 @@ def test_sanitize_dir_with_equal_names(spark, tmp_path):
     assert {n: "".join(p.read_text() for p in (target / n).glob("part-*")) for n in texts} == texts
 
 
+def test_sanitize_dir_of_many_small_tables(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    expected = {}
+    for i in range(30):
+        email, folder = f"a{i}@b.co", source / f"d{i % 3} x"
+        folder.mkdir(parents=True, exist_ok=True)
+        rows = [] if i % 10 == 7 else [(i, email), (None, f"{i} \n kept")]
+        columns = {"n": [r[0] for r in rows], "note": [r[1] for r in rows], "_unit": ["u"] * len(rows)}
+        pq.write_table(pa.table(columns, pa.schema([("n", pa.int64()), ("note", pa.string()), ("_unit", pa.string())])), folder / f"p{i}.parquet")
+        header = "n,note,email" if i % 2 else "note,n"
+        (folder / f"c{i}.csv").write_text(header + "\n" + "".join(f'{i},"x\ny {email}",e\n' if i % 2 else f'"x\ny {email}",{i}\n' for _ in rows[:1]))
+        (folder / f"blob{i}.bin").write_bytes(bytes(range(256)) * i)
+        (folder / f"empty{i}.csv").touch()
+        expected[f"d{i % 3} x/p{i}.parquet"] = [(r[0], "[EMAIL REDACTED]" if r[1] == email else r[1], "u") for r in rows]
+    tracker, group = spark.sparkContext.statusTracker(), "many small tables"
+    spark.sparkContext.setJobGroup(group, group)
+    done = sanitize_dir(spark, str(source), str(target))
+    jobs = tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("", "")
+    assert len(done) == 120 and len(jobs) <= 30
+    for name, rows in expected.items():
+        assert as_set(spark.read.parquet(f"{target}/{name}")) == sorted(rows, key=repr)
+    for i in range(30):
+        place = f"d{i % 3} x"
+        read = read_any(spark, f"{target}/{place}/c{i}.csv", multi_line=True)
+        assert read.columns == (["n", "note"] if i % 2 else ["note", "n"])
+        wanted = {"n": str(i), "note": "x\ny [EMAIL REDACTED]"}
+        assert [r.asDict() for r in read.collect()] == ([] if i % 10 == 7 else [wanted])
+        assert (target / place / f"blob{i}.bin").read_bytes() == bytes(range(256)) * i
+        assert (target / place / f"empty{i}.csv").stat().st_size == 0
+    assert sorted(p.name for p in target.iterdir()) == ["d0 x", "d1 x", "d2 x"]
+
+
 def test_workbooks_are_replaced(spark, tmp_path):
     path = str(tmp_path / "book.xlsx")
     assert write_excel(spark.range(100).repartition(4), path) == 100
