@@ -18,8 +18,8 @@ from pyspark.sql.types import BinaryType, LongType, StringType, TimestampType
 BUCKET = "_bucket"
 PLACE = ["_file", "_row"]
 TIE = "_tie"
-#: Bytes of written rows that a range holds, about.
-RANGE_BYTES = 256 << 20
+#: Bytes of written rows, and rows, that a range holds at most, about.
+RANGE_BYTES, RANGE_ROWS = 256 << 20, 4 << 20
 
 
 # Application -> folder, for local runs that name none.
@@ -59,21 +59,20 @@ def range_buckets(df: DataFrame, order_by: Sequence[str], unique: bool = False)
 
     Spark samples the key to find the cuts, so ranges hold similar numbers of rows. There are at
     most as many as shuffle partitions, and adjacent small ones are merged by adaptive execution,
-    unless the size of the written rows asks for more: a range holds ``RANGE_BYTES`` about.
-    Unless the key is known to be ``unique``, the rows are written down first and their place in
+    unless the rows ask for more: they are written down first, and a range holds ``RANGE_BYTES`` of
+    them or ``RANGE_ROWS``, about, whichever is less, since a range may have to fit one pandas frame.
+    Unless the key is known to be ``unique``, the rows' place in
     the files, ``_file`` and ``_row``, ends the key: equal keys, were they a third of all rows,
     then spread over ranges like any others, and the resulting order is total. The numbers are
     written down with the rows because a second run of the same exchange may sample other cuts.
     """
     order = list(order_by)
-    number: list[int] = []
+    df = materialize(df)
+    # Both are known from the files.
+    wanted = max(-(-_written_bytes(df) // RANGE_BYTES), -(-df.count() // RANGE_ROWS))
+    number = [wanted] if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
     if not unique:
-        place = [F.col("_metadata.file_name").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])]
-        df = materialize(df)
-        wanted = -(-_written_bytes(df) // RANGE_BYTES)
-        if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-            number = [wanted]
-        df = df.select("*", *place)
+        df = df.select("*", F.col("_metadata.file_name").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1]))
         order += PLACE
     return materialize(df.repartitionByRange(*number, *order).withColumn(BUCKET, F.spark_partition_id()))
 

@@ -13,8 +13,10 @@ from conftest import plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabprep import scratch
 from tabprep.operators.diff import compare_values
 from tabprep.operators.facts import dense_key, register_members
+from tabprep.operators.metrics import alerts_with_cooldown
 from tabprep.operators.missing import exact_median, fill_directional
 from tabprep.scratch import BUCKET, cut_ranges
 from tabprep.sources.odata import follow_links, read_odata_chains
@@ -45,6 +47,22 @@ def test_equal_keys_spread(spark):
         assert [k for k, _ in keys] == list(range(1, 3001)) and [v for _, v in keys] == sorted(v for _, v in keys)
 
 
+@pytest.mark.parametrize("unique", [False, True])
+def test_ranges_hold_a_bounded_number_of_rows(spark, monkeypatch, unique):
+    monkeypatch.setattr(scratch, "RANGE_ROWS", 100)
+    sizes = [s["count"] for s in scratch.range_buckets(spark.range(3000), ["id"], unique).groupBy(BUCKET).count().collect()]
+    assert len(sizes) >= 25 and sum(sizes) == 3000 and max(sizes) <= 300
+    times = [i * 7 % 3001 for i in range(3000)]
+    candidates = spark.createDataFrame([("a", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), 25) for t in times], "alert string, timestamp timestamp_ntz, cooldown_seconds int")
+    expected, free = [], 0
+    for t in sorted(times):
+        if t >= free:
+            expected.append(t)
+            free = t + 25
+    fired = alerts_with_cooldown(candidates).collect()
+    assert sorted((r.timestamp - dt.datetime(2024, 1, 1)).total_seconds() for r in fired) == expected
+
+
 def test_empty_and_tiny_tables(spark):
     df = spark.range(3).selectExpr("id AS k", "IF(id = 1, NULL, id) AS v")
     assert sorted((r.k, r.v) for r in fill_directional(df, ["v"], ["k"]).collect()) == [(0, 0), (1, 0), (2, 2)]
