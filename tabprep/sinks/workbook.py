@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
+import json
 import re
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+
+from tabprep.workbooks import FORMAT, file_system, publish, register
 
 SHEET_ROWS = 1_048_575
-RESULT = "file string, attempt string, records bigint"
 
 HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
 SPREADSHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -31,41 +35,60 @@ def write_excel(df: DataFrame, path: str, sheet_name: str = "Data", rows_per_wor
     """Write ``part-*.xlsx`` files into a folder and return the row count; earlier workbooks there are replaced.
 
     Any file system that Arrow knows will do, if all executors reach it. Tasks write into a hidden
-    folder of the run, each attempt under a name of its own. Only when the job has succeeded are the
-    old workbooks deleted and the finished ones moved up; the names of the files, not their contents,
-    come to the driver. A failed run leaves the old workbooks as they were.
+    folder of the run, each attempt under a name of its own. When the job has succeeded the finished
+    files move up as the folder's next version, and the earlier ones are deleted; the names of the
+    files, not their contents, come to the driver. Whenever a run fails or its driver is lost, also
+    amid the moving, ``read_excel`` finds either all old workbooks or all new ones. One write at a time.
     """
-    store, folder = file_system(path)
-    hidden = f"{folder}/_temporary-{uuid.uuid4().hex}"
-    store.create_dir(hidden)
-    names = df.columns
+    register(df.sparkSession)
+    seen = Observation()
+    # Columns go by place, as a sheet may have two of one name.
+    rows = df.toDF(*(f"c{i}" for i in range(len(df.columns)))).observe(seen, F.count(F.lit(1)).alias("records"))
+    options = {"path": path, "sheet": sheet_name, "names": json.dumps(df.columns), "rowsPerWorkbook": str(rows_per_workbook)}
+    rows.write.format(FORMAT).mode("overwrite").options(**options).save()
+    return seen.get["records"]
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """Names of the workbooks that a task attempt has finished."""
+
+    attempts: list[str]
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class WorkbookWriter(DataSourceArrowWriter):
+    """Writes workbooks in a hidden folder; ``commit`` makes them the folder's newest version."""
+
+    def __init__(self, options: Mapping[str, str], columns: Sequence[str]):
+        self.path, self.sheet = options["path"], options.get("sheet", "Data")
+        self.names = json.loads(options["names"]) if "names" in options else list(columns)
+        self.rows = int(options.get("rowsPerWorkbook", SHEET_ROWS))
+        self.run = f"_temporary-{uuid.uuid4().hex}"
+
+    def _place(self) -> tuple[fs.FileSystem, str, str]:
+        store, folder = file_system(self.path)
+        return store, folder, f"{folder}/{self.run}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         task = TaskContext.get()
-        target, _ = file_system(path)
-        for number, rows in enumerate(_blocks(batches, rows_per_workbook)):
-            file = f"part-{task.partitionId():05d}-{number:03d}.xlsx"
-            attempt = f"{task.taskAttemptId()}-{file}"
-            records = _write_workbook(target, f"{hidden}/{attempt}", sheet_name, names, rows)
-            yield pa.record_batch([pa.array([file]), pa.array([attempt]), pa.array([records], pa.int64())], names=["file", "attempt", "records"])
-
-    try:
-        written = df.mapInArrow(run, RESULT).collect()
-        old = store.get_file_info(fs.FileSelector(folder))
-        for info in old:
-            if info.type == fs.FileType.File and info.base_name.startswith("part-") and info.extension == "xlsx":
-                store.delete_file(info.path)
-        for row in written:
-            store.move(f"{hidden}/{row.attempt}", f"{folder}/{row.file}")
-    finally:
+        store, _, hidden = self._place()
+        store.create_dir(hidden)
+        attempts = []
+        for number, rows in enumerate(_blocks(iterator, self.rows)):
+            attempts.append(f"{task.partitionId():05d}-{number:05d}-{task.taskAttemptId()}.xlsx")
+            _write_workbook(store, f"{hidden}/{attempts[-1]}", self.sheet, self.names, rows)
+        return Written(attempts)
+
+    def commit(self, messages: list[Written]) -> None:
+        store, folder, hidden = self._place()
+        store.create_dir(hidden)
+        publish(store, folder, hidden, sorted(a for m in messages for a in m.attempts))
         store.delete_dir(hidden)
-    return sum(row.records for row in written)
-
 
-def file_system(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    store, folder = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
-    return store, folder.rstrip("/")
+    def abort(self, messages: list[Written | None]) -> None:
+        store, _, hidden = self._place()
+        if store.get_file_info(hidden).type == fs.FileType.Directory:
+            store.delete_dir(hidden)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Iterator[tuple]]:

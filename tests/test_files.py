@@ -552,3 +552,159 @@ def test_stream_alerts(spark, tmp_path):
 def test_scratch_is_dropped_last(spark):
     materialize(spark.range(1))
     assert drop_scratch(spark)
+
+
+# --- workbooks as a data source
+
+
+def sheet_of(rows):
+    """A sheet's rows, given as (number or none, text or none)."""
+    out = []
+    for number, text in rows:
+        cell = '<c s="1"/>' if text is None else f'<c t="inlineStr"><is><t>{text}</t></is></c>'
+        out.append(f"<row{'' if number is None else f' r="{number}"'}>{cell}</row>")
+    return "".join(out)
+
+
+def workbook_of(path, sheet, encoding="utf-8"):
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr(
+            "xl/workbook.xml",
+            f'<workbook {MAIN} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>'
+            '<sheet name="S" sheetId="1" r:id="a"/></sheets></workbook>',
+        )
+        z.writestr(
+            "xl/_rels/workbook.xml.rels",
+            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            '<Relationship Id="a" Target="worksheets/sheet1.xml"/></Relationships>',
+        )
+        z.writestr("xl/worksheets/sheet1.xml", sheet.encode(encoding))
+
+
+NUMBERED = [(1, "a")] + [(i, None if i % 5 == 0 else f"t{i}") for i in range(2, 400) if i % 7]
+MARKUP = {
+    "plain": f"<worksheet {MAIN}><sheetData>{sheet_of(NUMBERED)}</sheetData></worksheet>",
+    "prefixed": f"<x:worksheet {MAIN.replace('xmlns', 'xmlns:x')}><x:sheetData>"
+    + sheet_of(NUMBERED).replace("</", "</x:").replace("<", "<x:").replace("<x:/x:", "</x:")
+    + "</x:sheetData></x:worksheet>",
+    "text that looks like rows": f"<worksheet {MAIN}><!-- <row r='1'> --><sheetData>"
+    + sheet_of(NUMBERED).replace(">t9<", "><![CDATA[<row r='3'></sheetData>]]><").replace('<row r="12">', '<!--<v>1</v><row>--><row r="12">')
+    + "</sheetData><rowBreaks/></worksheet>",
+    "wide": f"<?xml version='1.0' encoding='UTF-16'?><worksheet {MAIN}><sheetData>{sheet_of(NUMBERED)}</sheetData></worksheet>",
+    "unnumbered": f"<worksheet {MAIN}><sheetData>{sheet_of([(None, t) for _, t in NUMBERED])}</sheetData></worksheet>",
+    "empty": f"<worksheet {MAIN}><sheetData/></worksheet>",
+}
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 7, 1000])
+@pytest.mark.parametrize("kind", MARKUP)
+def test_sheet_blocks_make_the_whole(tmp_path, kind, blocks):
+    """However a sheet is cut, its blocks give each row once, blank ones too."""
+    from tabprep.sources import workbook
+
+    workbook_of(tmp_path / "b.xlsx", MARKUP[kind], "utf-16" if kind == "wide" else "utf-8")
+    rows, named = [], set()
+    with zipfile.ZipFile(tmp_path / "b.xlsx") as book:
+        for block in range(blocks):
+            part = workbook.SheetRows(book, 0, 0, frozenset([3]), block, blocks)
+            found = list(part)
+            rows += found
+            named |= {tuple(part.names)} if found else set()
+    if kind == "empty":
+        assert rows == []
+        return
+    texts = {n - 1: t for n, t in NUMBERED if t is not None}
+    if kind == "unnumbered":  # blank rows without a number leave no trace
+        texts = dict(enumerate(t for _, t in NUMBERED if t is not None))
+    if kind == "text that looks like rows":
+        texts[8] = "<row r='3'></sheetData>"
+    assert rows == [{0: texts[n]} if n in texts else {} for n in range(1, max(texts) + 1) if n != 3]
+    assert named == {("a",)}
+
+
+def test_a_large_sheet_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "one")
+    wide = spark.range(0, 20000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    assert write_excel(wide, path) == 20000
+    read = read_excel(spark, path, lineage=False, block_bytes=100_000)
+    sizes = [r.n for r in read.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 8 and max(sizes) < 5000
+    assert read.exceptAll(wide.select(F.col("id").cast("string"), "text")).isEmpty() and read.count() == 20000
+
+
+def test_small_workbooks_share_tasks_and_large_ones_are_cut():
+    from tabprep.workbooks import plan_blocks
+
+    small = plan_blocks([("r", f"f{i}", 1000) for i in range(1000)], 8, 8 << 20)
+    assert 8 <= len(small) <= 9 and sum(len(p.blocks) for p in small) == 1000
+    large = plan_blocks([("r", "a", 100 << 20), ("r", "b", 10)], 8, 8 << 20)
+    assert sorted(b for p in large for b in p.blocks) == [*(("r", "a", i, 13) for i in range(13)), ("r", "b", 0, 1)]
+    assert plan_blocks([], 8, 100) == []
+
+
+class Broken:
+    """A file system that fails at a certain change."""
+
+    def __init__(self, store, left):
+        self.store, self.left = store, left
+
+    def __getattr__(self, name):
+        call = getattr(self.store, name)
+        if name not in ("move", "delete_file"):
+            return call
+
+        def counted(*args):
+            if not self.left:
+                raise OSError("lost")
+            self.left -= 1
+            return call(*args)
+
+        return counted
+
+
+@pytest.mark.parametrize("left", range(8))
+def test_a_write_that_stops_anywhere_leaves_a_whole_table(spark, tmp_path, left):
+    from pyarrow import fs
+
+    from tabprep import workbooks
+
+    path, hidden = tmp_path / "t", tmp_path / "t" / "_temporary-x"
+    hidden.mkdir(parents=True)
+    for i in range(3):
+        (hidden / f"old{i}").write_text("o")
+    workbooks.publish(fs.LocalFileSystem(), str(path), str(hidden), [f"old{i}" for i in range(3)])
+    (path / "part-00000-000.xlsx").write_text("from before there were versions")
+    (path / "notes.xlsx").write_text("of no version")
+    for i in range(4):
+        (hidden / f"new{i}").write_text("n")
+    with pytest.raises(OSError, match="lost"):
+        workbooks.publish(Broken(fs.LocalFileSystem(), left), str(path), str(hidden), [f"new{i}" for i in range(4)])
+
+    def table():
+        return sorted(open(f).read() for f, _ in workbooks.workbook_files(str(path)))
+
+    assert table() == sorted(["of no version", *("n" * 4 if left >= 4 else "o" * 3)])
+    # The next write carries on from there.
+    (hidden / "last").write_text("l")
+    workbooks.publish(fs.LocalFileSystem(), str(path), str(hidden), ["last"])
+    assert table() == ["l", "of no version"]
+    assert sorted(p.name for p in path.glob("part-*")) == [f"part-v{2 + (left > 0):06d}-00000-of-00001.xlsx"]
+
+
+def test_workbooks_by_pattern_and_of_partition_folders(spark, tmp_path):
+    for day, n in (("d=1", 3), ("d=2", 4)):
+        write_excel(spark.range(n).repartition(2), str(tmp_path / "days" / day))
+    (tmp_path / "days/other").mkdir()
+    foreign_workbook(tmp_path / "days/other/f.xlsx")
+    assert read_excel(spark, str(tmp_path / "days"), lineage=False).count() == 7
+    assert read_excel(spark, str(tmp_path / "days/d=*/*.xlsx"), lineage=False).count() == 7
+    assert read_excel(spark, [str(tmp_path / "days/d=1"), f"file://{tmp_path}/days/d=2"], lineage=False).count() == 7
+    assert write_excel(spark.range(5).where("id > 9"), str(tmp_path / "days/d=1")) == 0
+    assert read_excel(spark, str(tmp_path / "days/d=1"), columns=["id"], lineage=False).count() == 0
+    twice = spark.range(2).select("id", F.lit("x").alias("id"))
+    write_excel(twice, str(tmp_path / "twice"))
+    assert read_excel(spark, str(tmp_path / "twice"), lineage=False).columns == ["id", "id.1"]
+    with pytest.raises(Exception, match="nowhere"):
+        read_excel(spark, str(tmp_path / "nowhere"), columns=["id"]).count()
+    with pytest.raises(Exception, match="overwrite"):
+        spark.range(1).write.format("workbook").mode("append").save(str(tmp_path / "twice"))
