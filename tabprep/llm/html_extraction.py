@@ -4,9 +4,10 @@ Markup is stripped in one pass that keeps a page's block structure: every block
 the borders of layout containers become empty lines. A line weighs its text outside links; lines of
 containers that hold no main text by their kind (menus, headers, footers, sidebars, forms, notices,
 adverts, comments) and lines outside the page's article, if it has one, weigh nothing. Weights are
-summed over sliding windows of lines. Where the sum rises from nothing is a surge, where it falls
-back to nothing a dive; text between a surge and its dive is main text if its weight makes it so, and
-so is lighter text that lies between or next to main text in their common container.
+summed over sliding windows of lines. Where the sum passes a level taken from the page is a surge, where
+it falls back a dive; what lies between a surge and its dive is main text if its weight makes it so, and
+so is lighter text that lies between or next to main text in their common container. Links that no window
+of main text reaches, as those at an article's end, are none, also in an article.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,9 @@ from tabprep.llm.common import rows_of
 
 #: Lines of a sliding window, and empty lines at a container's border (as many, so that windows part).
 WINDOW = 3
-#: Part of the heaviest run's weight from which another run is main text by itself, on pages without an article.
+#: Part of the page's highest sum over a window that is a surge.
+LEVEL = 0.05
+#: Part of the heaviest run's weight from which another run is main text by itself.
 SHARE = 0.2
 
 _NO_TEXT = frozenset("head script style noscript template svg math canvas object iframe audio video map select textarea button".split())
@@ -82,6 +86,10 @@ def _tag_end(html: str, at: int) -> int:
 _QUOTE = re.compile(r"""=\s*(["'])""")
 
 
+#: A line of a border, before and after it is judged, and its place: most lines of deep markup are such.
+_BORDER, _BLANK, _NOWHERE = ("", 0, 0, 0, -1), ("", 0, False, False), (0, False)
+
+
 class _Line:
     __slots__ = ("parts", "linked", "main", "aside", "doubt", "box", "heading")
 
@@ -129,8 +137,8 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
 
     def border() -> None:
         end_line()
-        places.extend([(box, False)] * WINDOW)
-        lines.extend([("", 0, 0, 0, -1)] * WINDOW)
+        places.extend([_NOWHERE] * WINDOW)
+        lines.extend([_BORDER] * WINDOW)
 
     def close(count: int) -> None:
         nonlocal main, aside, hidden, doubt, box, links
@@ -239,9 +247,10 @@ def _lines(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool, list[tup
                 at = end
     end_line()
     linked = [2 * weight <= length for weight, length in doubts]
-    judged = [(text, weight, m, bool(a) or d >= 0 and linked[d]) for text, weight, m, a, d in lines]
+    judged = [(text, weight, m, bool(a) or d >= 0 and linked[d]) if text else _BLANK for text, weight, m, a, d in lines]
     best = max((m for text, _, m, a in judged if text and not a), default=0)
-    return [(text, weight, m > 0 and m >= best, a or 0 < m < best) for text, weight, m, a in judged], best > 0, places, boxes
+    told = [(text, weight, m > 0 and m >= best, a or 0 < m < best) if text else _BLANK for text, weight, m, a in judged]
+    return told, best > 0, places, boxes
 
 
 def _raw_end(html: str, name: str, at: int) -> int:
@@ -295,41 +304,48 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     lines, has_main, places, boxes = _lines(html)
-    weights = [0 if aside or has_main and not main else weight for _, weight, main, aside in lines]
-    # A heading or paragraph that is one link still belongs to the text around it.
-    shown = [bool(text) and not aside and (main or not has_main) for text, _, main, aside in lines]
-    if has_main:
-        weights = [max(w, 1) if s else 0 for w, s in zip(weights, shown, strict=True)]
-    runs, start, total = [], None, 0
-    window = 0
-    for i in range(len(lines) + WINDOW):
-        window += weights[i] if i < len(lines) else 0
-        window -= weights[i - WINDOW] if i >= WINDOW else 0
-        if window and start is None:
-            start, total = i, 0  # surge
-        if start is not None and i < len(lines):
-            total += weights[i]
-        if start is not None and not window:
-            runs.append((start, min(i, len(lines)), total))  # dive
-            start = None
-    if start is not None:
-        runs.append((start, len(lines), total))
-    if has_main:
-        kept = [i for a, b, _ in runs for i in range(a, b)]
-    else:
-        least = SHARE * max((w for *_, w in runs), default=0)
-        heavy = [i for a, b, w in runs if w >= least for i in range(a, b) if shown[i]]
-        kept = _with_neighbours(heavy, lines, shown, places, boxes)
-    return "\n\n".join(lines[i][0] for i in kept if shown[i])
-
-
-def _with_neighbours(heavy: list[int], lines: list, shown: list[bool], places: list, boxes: list) -> list[int]:
-    """Heavy lines of a page without an article and the lighter blocks that belong to them, in order.
-
-    A block is what lies between two borders. Blocks of text belong to the heavy lines if they lie between two, have
-    a common container with lines of them, go before them as titles and intros do, or follow as a heading, list,
-    table or sentence; a fragment or notice of rights after them in a container of its own does not. Blocks of links belong to them
-    if they stand amid the lines of one container.
+    shown = [text != "" and not aside and (main or not has_main) for text, _, main, aside in lines]
+    weights = [line[1] if s else 0 for line, s in zip(lines, shown, strict=True)]
+    if not any(weights):
+        # All that there is are links, so they are the text.
+        weights = [len(text) if s else 0 for (text, *_), s in zip(lines, shown, strict=True)]
+    runs = surges(weights)
+    least = SHARE * max((w for *_, w in runs), default=0)
+    heavy = [i for a, b, w in runs if w >= least for i in range(a, b) if shown[i]]
+    kept = _with_neighbours(heavy, lines, shown, places, boxes, has_main)
+    return "\n\n".join(lines[i][0] for i in kept)
+
+
+def surges(weights: list[int], window: int = 0) -> list[tuple[int, int, int]]:
+    """Runs of lines from a surge to its dive, as (first line, line after the last, weight).
+
+    The sum over a sliding window of lines surges where it passes ``LEVEL`` of the page's highest sum, and dives
+    where it falls back. A run is what its windows cover, so it reaches beyond its heavy lines by less than a window.
+    """
+    window = window or WINDOW
+    before = np.concatenate((np.zeros(window, np.int64), np.cumsum(np.asarray(weights, np.int64))))
+    # The i-th window ends with line i; those at the end reach beyond the page.
+    sums = np.concatenate((before[window:], np.full(window - 1, before[-1]))) - before[: len(weights) + window - 1]
+    above = (sums > 0) & (sums >= LEVEL * sums.max(initial=0))
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], above, [False]))))
+    runs: list[tuple[int, int, int]] = []
+    end = 0
+    for surge, dive in turns.reshape(-1, 2).tolist():
+        # Lines that windows before this surge have covered belong to the run before.
+        start, end = max(surge - window + 1, end), min(dive, len(weights))
+        runs.append((start, end, int(before[end + window - 1] - before[start + window - 1])))
+    return runs
+
+
+def _with_neighbours(heavy: list[int], lines: list, shown: list[bool], places: list, boxes: list, has_main: bool) -> list[int]:
+    """Heavy lines of a page and the lighter ones that belong to them, in order.
+
+    A block is what lies between two borders. Of a block with heavy lines, all belongs together but links before the
+    first and after the last line that is heavy, text or a heading. Other blocks of text belong to the heavy lines if
+    they lie between two, have a common container with lines of them, go before them as titles and intros do, or follow
+    as a heading, list, table or sentence; a fragment or notice of rights after them in a container of its own does
+    not. In an article all text belongs to it. Blocks of links belong to the heavy lines if they stand amid the lines
+    of one container.
     """
     if not heavy:
         return heavy
@@ -356,16 +372,19 @@ def _with_neighbours(heavy: list[int], lines: list, shown: list[bool], places: l
             end += 1
         block = [i for i in range(at, end) if shown[i]]
         if taken.intersection(block):
-            kept += block
+            sure = [i for i in block if i in taken or places[i][1] or 2 * lines[i][1] > len(lines[i][0])]
+            kept += [i for i in block if sure[0] <= i <= sure[-1]]
         elif block:
             weight, length = sum(lines[i][1] for i in block), sum(len(lines[i][0]) for i in block)
             box = places[block[0]][0]
             near, listed, until = around[box]
             amid = until > at or box in spans and spans[box][0] < at < spans[box][1]
             heading = any(places[i][1] for i in block)
-            text = " ".join(lines[i][0] for i in block)
-            follows = (near or heading or listed or _SENTENCE.search(text)) and not _RIGHTS.match(text)
-            if amid or (2 * weight > length or heading) and (at < last or follows):
+            belongs = amid or 2 * weight > length or heading
+            if belongs and not (amid or has_main or at < last):
+                text = " ".join(lines[i][0] for i in block)
+                belongs = (near or heading or listed or _SENTENCE.search(text)) and not _RIGHTS.match(text)
+            if belongs:
                 kept += block
         at = end
     return kept

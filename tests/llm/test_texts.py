@@ -90,6 +90,109 @@ def test_deep_markup_takes_linear_time(tag, start):
     assert time.process_time() - began < 4
 
 
+def test_windows_decide_in_an_article(monkeypatch):
+    """How far the windows reach from the text settles which links at its end belong to it."""
+    links = "".join(f"<p><a href=x>link {i}</a></p>" for i in range(6))
+    page = "<article><h1>Title</h1>" + LONG * 2 + links + "</article>"
+    found = {}
+    for window in (2, 3, 5, 9):
+        monkeypatch.setattr(html_extraction, "WINDOW", window)
+        found[window] = html_extraction.main_text(page)
+        assert found[window].startswith("Title\n\nLong text")
+        assert found[window].count("link") == min(window - 1, 6)
+    amid = page.replace("</article>", LONG + "</article>")
+    assert html_extraction.main_text(amid).count("link") == 6
+    listed = "<article>" + LONG + "<ul><li><a href=x>one</a></li><li><a href=y>two</a></li></ul></article>"
+    assert "one" not in html_extraction.main_text(listed)
+    assert html_extraction.main_text(listed.replace(LONG, "")) == "one\n\ntwo"
+
+
+def slow_runs(weights, window, level):
+    """Surges and dives from the definition: every window is summed anew, and marks the lines it covers."""
+    windows = [range(i - window + 1, i + 1) for i in range(len(weights) + window - 1)]
+    sums = [sum(weights[j] for j in w if 0 <= j < len(weights)) for w in windows]
+    top = max(sums, default=0)
+    marks, number, above = {}, 0, False
+    for w, total in zip(windows, sums, strict=True):
+        if total > 0 and total >= level * top:
+            number += not above
+            above = True
+            for j in w:
+                if 0 <= j < len(weights):
+                    marks.setdefault(j, number)
+        else:
+            above = False
+    return [
+        (min(js), max(js) + 1, sum(weights[j] for j in js))
+        for n in sorted(set(marks.values())) if (js := [j for j in marks if marks[j] == n])
+    ]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 0, 1, 5, 40, 300]), max_size=40), st.integers(1, 6))
+def test_surges_against_the_definition(weights, window):
+    assert html_extraction.surges(weights, window) == slow_runs(weights, window, html_extraction.LEVEL)
+
+
+PARTS = st.lists(st.tuples(st.sampled_from(["text", "short", "link", "head", "ul", "aside", "div"]), st.integers(1, 4)), min_size=1, max_size=9)
+
+
+@settings(max_examples=200, deadline=None)
+@given(PARTS)
+def test_articles_against_a_tree(parts):
+    """Main text of generated articles, from their tree: lines, containers, windows summed one by one."""
+    html, lines = [], []  # line: (text, weight, container, heading); borders are empty lines
+    border = [("", 0, None, False)] * html_extraction.WINDOW
+
+    def line(kind, box, text):
+        tag = {"head": "h2", "li": "li"}.get(kind, "p")
+        linked = kind == "link" or kind == "li"
+        html.append(f"<{tag}>{f'<a href=u>{text}</a>' if linked else text}</{tag}>")
+        lines.append((text, 0 if linked else len(text), box, kind == "head"))
+
+    for n, (kind, count) in enumerate(parts):
+        if kind in ("ul", "aside", "div"):
+            html.append(f"<{kind}>")
+            shown = len(lines)
+            lines.extend(border)
+            for i in range(count):
+                line("li" if kind == "ul" else "text", n + 1, f"inner words {n} {i} " * 4)
+            if kind == "aside":
+                del lines[shown + len(border) :]
+                lines.extend(border)  # its lines weigh nothing and part windows as well
+            lines.extend(border)
+            html.append(f"</{kind}>")
+        else:
+            for i in range(count):
+                line(kind, 0, {"text": f"Words of part {n}, {i}. " * 9, "short": f"s{n}{i}"}.get(kind, f"{kind} {n} {i}"))
+    weights = [w for _, w, *_ in lines] if any(w for _, w, *_ in lines) else [len(t) for t, *_ in lines]
+    runs = slow_runs(weights, html_extraction.WINDOW, html_extraction.LEVEL)
+    top = max((w for *_, w in runs), default=0)
+    heavy = {i for a, b, w in runs if w >= html_extraction.SHARE * top for i in range(a, b) if lines[i][0]}
+    kept = []
+    blocks, block = [], []
+    for i, entry in enumerate([*lines, ("", 0, None, False)]):
+        if entry[0]:
+            block.append(i)
+        elif block:
+            blocks.append(block)
+            block = []
+    for block in blocks:
+        own = [i for i in block if i in heavy or lines[i][3] or 2 * lines[i][1] > len(lines[i][0])]
+        if heavy.intersection(block):
+            kept += [i for i in block if own[0] <= i <= own[-1]]
+        elif heavy:
+            box = lines[block[0]][2]
+            around = [i for i in heavy if lines[i][2] in (box, 0)]
+            direct = [i for i in heavy if lines[i][2] == 0]
+            amid = bool(around) and bool(direct) and min(direct) < block[0] < max(direct)
+            weight, length = sum(lines[i][1] for i in block), sum(len(lines[i][0]) for i in block)
+            if amid or 2 * weight > length or any(lines[i][3] for i in block):
+                kept += block
+    page = "<nav><a href=n>Menu</a></nav><article>" + "".join(html) + "</article><footer>Foot</footer>"
+    assert html_extraction.main_text(page) == "\n\n".join(html_extraction._SPACE.sub(" ", lines[i][0]).strip() for i in kept)
+
+
 def test_plain_text_is_a_page():
     assert html_extraction.main_text("just a < b text") == "just a < b text"
 
