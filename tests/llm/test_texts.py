@@ -502,3 +502,115 @@ def test_offending_sentences(spark):
     nothing = toxicity.learn_toxicity(df, labels.limit(0))
     assert {r.score < 1e-6 for r in toxicity.score_toxicity(asked, nothing).collect()} == {True}
     assert toxicity.score_toxicity(asked.limit(0), model).collect() == []
+
+
+# Plain versions of the two models.
+
+
+def plain_bundle(text, dimensions):
+    """Sum of a text's bound trigrams, letter by letter."""
+    letters = [c if c.isalpha() else None for c in text.lower()]
+    marked = [None]
+    for c in [*letters, None]:
+        if c is not None or marked[-1] is not None:
+            marked.append(c)
+    total = np.zeros(dimensions)
+    for before, middle, after in zip(marked, marked[1:], marked[2:]):
+        if middle is None:
+            continue
+        bound = np.ones(dimensions)
+        for place, c in enumerate((before, middle, after)):
+            vector = language_id._letter_vectors(np.array([ord(c) if c else 0]), dimensions)[0].astype(float)
+            bound *= np.array([vector[(i - place) % dimensions] for i in range(dimensions)])
+        total += bound
+    return total
+
+
+def plain_unit(x):
+    return x / np.linalg.norm(x)
+
+
+def test_language_against_plain_profiles(spark):
+    learned = [
+        ("de", "Der Hund läuft über die große Straße."), ("de", "Wir gehen heute nach Hause, und du?"), ("en", "The dog runs across the wide street."),
+        ("en", "We walk home today -- do you?"), ("en", "The dog runs across the wide street."), ("fr", "Le chien court dans la rue, n'est-ce pas?"),
+    ]
+    asked = ["The street is wide.", "Die Straße ist groß.", "La rue est longue", "x", "a1b2--c3", "Straße street rue " * 40, "ΑΒΓ абв", "12 34", ""]
+    dimensions = 64
+    by_language = {lang: {t for l, t in learned if l == lang} for lang in ("de", "en", "fr")}  # each text once
+    units = [plain_unit(sum(plain_unit(plain_bundle(t, dimensions)) for t in texts)) for texts in by_language.values()]
+    mean = sum(units) / len(units)
+    prototypes = [plain_unit(u - mean) for u in units]
+    profiles = language_id.learn_profiles(spark.createDataFrame(learned, "lang string, text string"), dimensions=dimensions)
+    assert profiles.names == list(by_language)
+    np.testing.assert_allclose(profiles.vectors, prototypes, atol=1e-5)
+    rows = language_id.identify(spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string"), profiles).collect()
+    for r in rows:
+        if not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = [plain_unit(plain_unit(plain_bundle(r.text, dimensions)) - mean) @ p for p in prototypes]
+        assert r.lang_pred == list(by_language)[int(np.argmax(cosines))]
+        assert r.score == pytest.approx(max(0.0, max(cosines)), abs=1e-4)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abAé.!?\n -1", max_size=60), st.dictionaries(st.sampled_from(["a", "b", "ab", "abab*", "é", "aaaa*", "aaaaa*"]), st.floats(-3, 3)), st.floats(-6, 2))
+def test_toxicity_against_a_plain_noisy_or(text, weights, bias):
+    """A product over sentences, split and scored character by character."""
+    import pyarrow as pa
+
+    spans, start = [], None
+    for i, c in enumerate([*text, "\n"]):
+        if c in ".!?\n":
+            if start is not None:
+                spans.append((start, i))
+            start = None
+        elif start is None:
+            start = i
+    clean, offending = 1.0, []
+    for a, b in spans:
+        words = set("".join(c if c.isalpha() else " " for c in text[a:b].lower()).split())
+        if not words:
+            continue
+        score = bias
+        for w in words:
+            score += weights.get(w, 0) + sum(weights.get(w[:k] + "*", 0) for k in (4, 5, 6) if len(w) >= k)
+        p = 1 / (1 + np.exp(-score))
+        clean *= 1 - p
+        if p >= 0.5:
+            offending.append((a, b))
+    batch = pa.record_batch([pa.array([text.encode()])], ["t"])
+    (found,) = list(toxicity._score(iter([batch]), toxicity.Model(weights, bias), 0.5, "t", []))
+    row = found.to_pylist()[0]
+    assert row["score"] == pytest.approx(1 - clean, abs=1e-9)
+    near = {(s["start"], s["end"]) for s in row["offending"] if abs(s["score"] - 0.5) < 1e-9}
+    assert {(s["start"], s["end"]) for s in row["offending"]} - near == set(offending) - near
+
+
+def test_toxicity_training_finds_the_maximum():
+    """The slope of the balanced noisy-or likelihood, by differences, vanishes where training ends."""
+    rng = np.random.default_rng(5)
+    bags = []
+    for i in range(80):
+        toxic = int(i % 4 == 0)
+        bag = [sorted(rng.choice(3, 2, replace=False).tolist()) for _ in range(3)]
+        bags.append((toxic, [*bag, [3, 4]] if toxic else bag))
+    weights, bias = toxicity._train(bags, np.zeros(5), rounds=4000)
+
+    def likelihood(x):
+        total = 0.0
+        for toxic, bag in bags:
+            clean = np.prod([1 - 1 / (1 + np.exp(-(sum(x[f] for f in s) + x[-1]))) for s in bag])
+            share = sum(t == toxic for t, _ in bags) / len(bags)
+            total += np.log(max(1 - clean if toxic else clean, 1e-300)) / (2 * share)
+        return total / len(bags) - 0.5e-4 * float(np.sum(np.square(x[:-1])))
+
+    x = np.append(weights, bias)
+    slopes = []
+    for i in range(len(x)):
+        step = np.zeros(len(x))
+        step[i] = 1e-4
+        slopes.append((likelihood(x + step) - likelihood(x - step)) / 2e-4)
+    assert likelihood(x) > likelihood(np.append(np.zeros(5), -5.0)) and np.abs(slopes).max() < 1e-3
+    assert min(weights[3:]) > max(weights[:3])
