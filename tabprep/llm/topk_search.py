@@ -6,7 +6,9 @@ nearest pivot and its distance from that pivot, and the table is sorted by this
 a set of annuli around pivots. A query first looks into the annuli of its own pivot next to its own
 distance, which gives it a k-th best score. By the triangle inequality a better vector must lie, for
 every pivot, in an annulus whose distances differ from the query's by no more than that score
-allows. Only these are expanded.
+allows. Annuli are expanded in the order of their distance from the query's own, in rounds that grow;
+each round raises the k-th best score and so narrows what is left, and the search stops when no annulus
+is left within the bounds.
 
 Pivots are a bounded sample. All else covers every vector; queries and vectors meet in blocks.
 """
@@ -23,6 +25,8 @@ from tabprep.scratch import materialize
 
 #: Pivots, vectors they are chosen from, vectors of an index block, and queries of a query block.
 PIVOTS, SAMPLE, BLOCK, QUERY_BLOCK = 16, 2000, 8192, 1024
+#: Blocks of annuli that a query block expands in the round after the first look, and by how much rounds grow.
+FIRST_STEP, GROWTH = 4, 4
 
 
 def _pad(vectors: list, dimensions: int, kind: type = np.float64) -> np.ndarray:
@@ -125,11 +129,10 @@ def _rounding(square: float, dimensions: int) -> float:
     return 8 * (dimensions + 4) * float(np.finfo(np.float64).eps) * square
 
 
-def _expansions(batches, pivots, square, dimensions, kind):
-    """For each query block and pivot the annulus, from ``low_d`` to ``high_d``, that can hold better vectors."""
-    schema = pa.schema(
-        [("block", pa.int64()), ("cell", pa.int32()), ("low_d", pa.float64()), ("high_d", pa.float64()), ("q_ids", pa.binary()), ("q_x", pa.binary()), ("floors", pa.binary())]
-    )
+def _bounds(batches, pivots, square, dimensions, kind):
+    """For each query block its queries' floors, and for each pivot how far the queries are from it, from ``near_d`` to
+    ``far_d``, and the annulus that can hold better vectors, from ``low_d`` to ``high_d``."""
+    schema = pa.schema([("block", pa.int64()), ("floors", pa.binary()), ("annuli", pa.list_(pa.struct([(n, t) for n, t in _ANNULUS])))])
     for block, ids, x, known in rows_of(batches, "block", "ids", "x", "known"):
         ids_ = np.frombuffer(ids, np.int64)
         q = np.frombuffer(x, kind).reshape(len(ids_), dimensions).astype(np.float64)
@@ -143,11 +146,16 @@ def _expansions(batches, pivots, square, dimensions, kind):
         reach = np.maximum(square_q + square - 2 * floors.astype(np.float64), 0) + error
         radius = np.where(unknown, np.inf, np.sqrt(reach) + 2 * np.sqrt(error)) + 1e-6
         d = _distances(np.column_stack([q, np.zeros(len(q))]), pivots)
-        for cell in range(len(pivots)):
-            yield pa.RecordBatch.from_pylist(
-                [{"block": block, "cell": cell, "low_d": float((d[:, cell] - radius).min()), "high_d": float((d[:, cell] + radius).max()),
-                  "q_ids": ids, "q_x": x, "floors": floors.tobytes()}], schema,
-            )
+        low, high = (d - radius[:, None]).min(axis=0), (d + radius[:, None]).max(axis=0)
+        near, far = d.min(axis=0), d.max(axis=0)
+        annuli = [
+            {"cell": cell, "low_d": float(low[cell]), "high_d": float(high[cell]), "near_d": float(near[cell]), "far_d": float(far[cell])}
+            for cell in range(len(pivots))
+        ]
+        yield pa.RecordBatch.from_pylist([{"block": block, "floors": floors.tobytes(), "annuli": annuli}], schema)
+
+
+_ANNULUS = [("cell", pa.int32()), *((n, pa.float64()) for n in ("low_d", "high_d", "near_d", "far_d"))]
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
@@ -205,22 +213,35 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, pivots: int = PIVO
     near = own.select("block", "cell", "q_low", "q_high").join(index.select("cell", "low", "high", F.col("block").alias("at")), "cell")
     near = near.groupBy("block").agg(F.expr(f"min_by(at, struct({gap}, abs(low + high - q_low - q_high), at))").alias("at"))
     near = materialize(near)
-    first = own.join(near, "block").join(index.select(F.col("block").alias("at"), "ids", "x"), "at")
-    first = materialize(best(first))
+    first = best(own.join(near, "block").join(index.select(F.col("block").alias("at"), "ids", "x"), "at"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = first.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    located = asked_in(query_blocks).join(kth, "query_id")
-    known = located.groupBy("block").agg(F.collect_list(F.struct("query_id", "kth")).alias("known"))
-    expanded = query_blocks.select("block", "ids", "x").join(known, "block", "left").mapInArrow(
-        lambda b: _expansions(b, handed.value, square, dimensions, kind),
-        "block bigint, cell int, low_d double, high_d double, q_ids binary, q_x binary, floors binary",
-    )
-    # Blocks that were looked into first need not be met again.
-    annuli = expanded.join(index.withColumnRenamed("block", "at"), "cell").filter("low <= high_d AND high >= low_d")
-    annuli = annuli.join(near, ["block", "at"], "left_anti")
-    found = first.union(best(annuli))
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return materialize(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))
+
+    found, met, step = ranked(first), near, FIRST_STEP
+    located = materialize(asked_in(query_blocks))
+    annuli = index.select(F.col("block").alias("at"), "cell", "low", "high")
+    nearest = Window.partitionBy("block").orderBy("gap", "at")
+    while True:
+        kth = located.join(found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth")), "query_id")
+        known = kth.groupBy("block").agg(F.collect_list(F.struct("query_id", "kth")).alias("known"))
+        bounds = query_blocks.select("block", "ids", "x").join(known, "block", "left").mapInArrow(
+            lambda b: _bounds(b, handed.value, square, dimensions, kind),
+            "block bigint, floors binary, annuli array<struct<cell:int,low_d:double,high_d:double,near_d:double,far_d:double>>",
+        )
+        bounds = materialize(bounds)
+        # Only numbers of blocks meet here; those that are left are expanded from the nearest on.
+        left = bounds.select("block", F.inline("annuli")).join(annuli, "cell").filter("low <= high_d AND high >= low_d")
+        left = left.join(met, ["block", "at"], "left_anti").select("block", "at", F.expr("greatest(low - far_d, near_d - high, 0D)").alias("gap"))
+        taken = left.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= step)
+        taken = materialize(taken.select("block", "at"))
+        if taken.isEmpty():
+            return found.select("query_id", "rank", "vec_id", "score")
+        asking = query_blocks.select("block", F.col("ids").alias("q_ids"), F.col("x").alias("q_x")).join(bounds.select("block", "floors"), "block")
+        pairs = taken.join(asking, "block").join(index.select(F.col("block").alias("at"), "ids", "x"), "at")
+        found = ranked(found.select("query_id", "vec_id", "score").union(best(pairs)))
+        met, step = met.union(taken), step * GROWTH
 
 
 def asked_in(query_blocks: DataFrame) -> DataFrame:
