@@ -614,35 +614,3 @@ def test_toxicity_training_finds_the_maximum():
         slopes.append((likelihood(x + step) - likelihood(x - step)) / 2e-4)
     assert likelihood(x) > likelihood(np.append(np.zeros(5), -5.0)) and np.abs(slopes).max() < 1e-3
     assert min(weights[3:]) > max(weights[:3])
-
-
-def test_top_k_expands_annuli_in_rounds_and_stops(spark, monkeypatch):
-    """Clusters far apart: most blocks are never met, and the rounds after the first look take what the bounds leave."""
-    monkeypatch.setattr(topk_search, "BLOCK", 8)
-    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 4)
-    monkeypatch.setattr(topk_search, "FIRST_STEP", 1)
-    monkeypatch.setattr(topk_search, "GROWTH", 2)
-    rng = np.random.default_rng(3)
-    angles = np.repeat(np.arange(12) * np.pi / 6, 25) + rng.normal(0, 0.01, 300)
-    points = np.column_stack([np.cos(angles), np.sin(angles)])
-    points = np.floor(10_000 * points).astype(int).tolist()
-    df = spark.createDataFrame(list(enumerate(points)), "vec_id bigint, v array<bigint>")
-    met = []
-    write = topk_search.materialize
-
-    def counted(frame):
-        out = write(frame)
-        if out.columns == ["block", "at"]:
-            met.append(out.count())
-        return out
-
-    monkeypatch.setattr(topk_search, "materialize", counted)
-    asked = df.filter("vec_id % 10 = 0")
-    rows = topk_search.top_k(asked, df, 3, pivots=12).collect()
-    want = []
-    for i in range(0, 300, 10):
-        scores = sorted((-sum(a * b for a, b in zip(points[i], points[j])), j) for j in range(300) if j != i)[:3]
-        want += [(i, rank, j, -score) for rank, (score, j) in enumerate(scores, 1)]
-    assert sorted(tuple(r) for r in rows) == want
-    # The last round finds nothing left; all in all far fewer pairs of blocks than there are.
-    assert met[-1] == 0 and len(met) >= 3 and sum(met) < 0.6 * (300 // 8) * (30 // 4)
