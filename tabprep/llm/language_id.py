@@ -17,12 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import bitmap, likely, mix, rows_of, slices
-from tabprep.scratch import materialize
 
 UNKNOWN = "und"
 DIMENSIONS = 512
-#: Documents per language that prototypes are learned from, about.
-FIT_PER_LANGUAGE = 4000
 #: Texts worked on together: at most so many, and so many trigrams, unless one text has more.
 _BLOCK_TEXTS, _BLOCK_TRIGRAMS = 160, 1 << 19
 _NO_LETTER = 0
@@ -128,24 +125,18 @@ class Profiles:
         return best, cosines[np.arange(len(best)), best]
 
 
-def _drawn(docs: DataFrame, text_column: str, lang_column: str, per_language: int) -> DataFrame:
-    """The sample of texts that is learned from: ``text`` and ``lang``.
+def _learned(docs: DataFrame, text_column: str, lang_column: str) -> DataFrame:
+    """The texts that are learned from: ``text`` and ``lang``, every distinct text of a language once.
 
-    Every language takes part, with its distinct texts, each once: all of up to ``per_language``, and of more those
-    with the lowest hashes, up to a threshold that leaves about that many. How often a text is repeated says
-    nothing about its language and changes nothing here. Texts are first told apart by their hashes.
+    How often a text is repeated says nothing about its language and changes nothing here. Texts are told apart by
+    their hashes, and only those that may be repeated, by a bitmap of the repeated hashes, are exchanged.
     """
     labelled = docs.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna()
-    hashed = labelled.select("lang", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("order"))
-    distinct = materialize(hashed.distinct())
-    counts = distinct.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
-    place = F.shiftrightunsigned("order", 33) / F.lit(2.0**31)
-    chosen = distinct.join(counts, "lang").filter((place < share) | (F.col("n") <= per_language)).select("lang", "h")
-    chosen = materialize(chosen)
-    # One row of each chosen text: the exchange holds chosen texts alone.
-    found = likely(labelled.withColumn("h", F.xxhash64("text")), "h", bitmap(chosen, "h")).join(chosen, ["lang", "h"], "left_semi")
-    return found.groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
+    labelled = labelled.withColumn("h", F.xxhash64("text"))
+    repeated = bitmap(labelled.groupBy("lang", "h").count().filter("count > 1"), "h")
+    single = likely(labelled, "h", repeated, without=True).select("text", "lang")
+    again = likely(labelled, "h", repeated).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return single.union(again.select("text", "lang"))
 
 
 def _length_class(grams: np.ndarray) -> int:
@@ -158,17 +149,16 @@ def _likenesses(batches, profiles):
         yield pa.RecordBatch.from_arrays([classes, pa.array(profiles.likeness(grams).astype(np.float64))], ["length", "value"])
 
 
-def learn_floors(
-    docs: DataFrame, profiles: Profiles, text_column: str = "text", lang_column: str = "lang", per_language: int = FIT_PER_LANGUAGE
-) -> dict[int, float]:
+def learn_floors(docs: DataFrame, profiles: Profiles, text_column: str = "text", lang_column: str = "lang") -> dict[int, float]:
     """Likeness by length class (powers of two of trigrams) up to which a text resembles no language.
 
     It is what chance gives a text without any likeness, about, or less where learned documents of that length
-    have less: short ones cannot be told from chance. The same bounded sample is used as for the prototypes.
+    have less: short ones cannot be told from chance. All texts that the prototypes are learned from take part; the
+    quantile's rank is right to a ten-thousandth of them.
     """
     if not profiles.names:
         return {}
-    found = _drawn(docs, text_column, lang_column, per_language).mapInArrow(lambda b: _likenesses(b, profiles), "length int, value double")
+    found = _learned(docs, text_column, lang_column).mapInArrow(lambda b: _likenesses(b, profiles), "length int, value double")
     rows = found.groupBy("length").agg(F.percentile_approx("value", OUTLIERS).alias("low")).collect()
     noise = NOISE / profiles.dimensions**0.5
     return {r.length: min(noise, r.low) for r in rows}
@@ -179,9 +169,13 @@ def _resembling(batches, profiles, floors, text, lang):
     for batch in slices(batches):
         kept: list[bool] = []
         for rows, grams in _blocks([batch], text, lang):
-            likeness = profiles.likeness(grams)
-            for (_, given), g, value in zip(rows, grams, likeness, strict=True):
-                kept.append(bool(len(g)) and (given is not None or bool(value > floors.get(_length_class(g), noise))))
+            # Only texts without a given language need a likeness.
+            asked = [i for i, ((_, given), g) in enumerate(zip(rows, grams, strict=True)) if given is None and len(g)]
+            stays = [given is not None and bool(len(g)) for (_, given), g in zip(rows, grams, strict=True)]
+            if asked:
+                for i, value in zip(asked, profiles.likeness([grams[i] for i in asked]), strict=True):
+                    stays[i] = bool(value > floors.get(_length_class(grams[i]), noise))
+            kept += stays
         yield batch.filter(pa.array(kept, pa.bool_()))
 
 
@@ -196,17 +190,13 @@ def resembling(
     return plain.mapInArrow(lambda b: _resembling(b, *handed.value, text, lang), plain.schema).toDF(*docs.columns)
 
 
-def learn_profiles(
-    labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", dimensions: int = DIMENSIONS, per_language: int = FIT_PER_LANGUAGE
-) -> Profiles:
-    """Prototypes from texts with a language.
+def learn_profiles(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", dimensions: int = DIMENSIONS) -> Profiles:
+    """Prototypes from texts with a language: all of them, each distinct text of a language once.
 
-    The fit uses a bounded sample: of a language with more than ``per_language`` different texts, about that
-    many are taken, chosen by a hash of the text, and each once. Rows without a text or language are left out.
-    Per language only ``dimensions`` sums come to the driver.
+    Rows without a text or language are left out. Per language only ``dimensions`` sums come to the driver.
     """
     sums = (
-        _drawn(labelled, text_column, lang_column, per_language)
+        _learned(labelled, text_column, lang_column)
         .mapInArrow(lambda b: _partial_profiles(b, dimensions), "lang string, dim int, value double")
         .groupBy("lang", "dim")
         .agg(F.sum("value").alias("value"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import time
 import zlib
 
@@ -554,6 +555,25 @@ def test_language_against_plain_profiles(spark):
         assert r.score == pytest.approx(max(0.0, max(cosines)), abs=1e-4)
 
 
+def test_languages_and_floors_are_learned_from_every_text(spark):
+    drawn, dimensions = random.Random(3), 64
+    texts = {lang: {"".join(drawn.choices(letters, k=drawn.randint(1, 60))) for _ in range(6000)} for lang, letters in (("one", "abcd e"), ("two", "bcdf o"))}
+    rows = [(lang, t) for lang, some in texts.items() for t in some if t.strip()]
+    df = spark.createDataFrame(rows + rows[:300], "lang string, text string")
+    profiles = language_id.learn_profiles(df, dimensions=dimensions)
+    grams = {lang: [language_id._trigrams(t) for l, t in rows if l == lang] for lang in texts}
+    for lang, unit in zip(profiles.names, profiles.units, strict=True):
+        np.testing.assert_allclose(unit, plain_unit(language_id._bundle(grams[lang], dimensions).sum(axis=0, dtype=float)), atol=1e-5)
+    floors, likeness = language_id.learn_floors(df, profiles), {}
+    for some in grams.values():
+        for g, value in zip(some, profiles.likeness(some), strict=True):
+            likeness.setdefault(language_id._length_class(g), []).append(float(value))
+    assert set(floors) == set(likeness)
+    for length, values in likeness.items():
+        low = np.quantile(values, language_id.OUTLIERS, method="inverted_cdf")
+        assert floors[length] == pytest.approx(min(low, language_id.NOISE / dimensions**0.5), abs=1e-5)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="abAé.!?\n -1", max_size=60), st.dictionaries(st.sampled_from(["a", "b", "ab", "abab*", "é", "aaaa*", "aaaaa*"]), st.floats(-3, 3)), st.floats(-6, 2))
 def test_toxicity_against_a_plain_noisy_or(text, weights, bias):
