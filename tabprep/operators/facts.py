@@ -91,13 +91,13 @@ def to_tender_fact(df: DataFrame, source_file: str = "", load_timestamp: str | N
 def dimensions(df: DataFrame, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[str, DataFrame]:
     """Distinct members of each dimension with dense keys in member order, written down.
 
-    One pass collects the members of all dimensions: every grouping set is reduced on the map
-    side, so what is exchanged is the members and not the rows. Being tables of known size, the
+    One pass collects the members of all dimensions: their combinations are reduced on the map
+    side, so what is exchanged is those and not the rows, and only they are expanded to grouping sets. Being tables of known size, the
     results are broadcast by Spark where they fit the threshold and exchanged where they do not.
     """
     columns = [c for name in names for c in DIMENSIONS[name][0]]
     sets = [list(DIMENSIONS[name][0]) for name in names]
-    members = df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"))
+    members = df.select(*columns).distinct().groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"))
     # The rows are aggregated once; members are numbered from the written result.
     numbered = materialize(dense_key(materialize(members), "_key", columns, ["_set"], unique=True), ("_set",))
     result = {}
@@ -158,4 +158,5 @@ def to_transaction_fact(df: DataFrame, dims: Mapping[str, DataFrame] | None = No
         F.col("AmountEUR").alias("amount_eur"),
         F.col("FXRateUsed").alias("fx_rate"),
     )
-    return dense_key(rows, "transaction_key", rows.columns).drop("TransactionID")
+    # Cuts and offsets are found from the written rows: joins and conversion are done once.
+    return dense_key(materialize(rows), "transaction_key", rows.columns).drop("TransactionID")

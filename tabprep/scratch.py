@@ -92,6 +92,7 @@ def cut_ranges(df: DataFrame, order_by: Sequence[str], unique: bool = False) ->
     Unless the key is ``unique``, a hash of all columns, ``_tie``, ends it, so that equal keys spread over ranges
     too. Rows that are equal in all columns stay together; where the drawn rows show that they would fill more
     than a range, ``range_buckets`` is used, which tells them apart by their place in written files.
+    Cuts hold no more columns than it takes to tell them apart: rows that agree in those fill less than two ranges.
     Ranges are sized by the estimated bytes of the rows, ``RANGE_BYTES`` each, and are as many as shuffle
     partitions at least.
     """
@@ -116,8 +117,14 @@ def cut_ranges(df: DataFrame, order_by: Sequence[str], unique: bool = False) ->
     picked = rows[step::step][: wanted - 1] if len(rows) > step else []
     if any(a == b for a, b in zip(picked, picked[1:])):
         return range_buckets(df, order_by, unique)
-    cuts = [F.struct(*(F.lit(v).cast(t).alias(c) for c, v, t in zip(order, row, types, strict=True))) for row in picked]
-    return keyed.withColumn(BUCKET, _range_of(F.struct(*keys), cuts, 0, len(cuts)))
+    if not picked:
+        # One range; were it a literal, joins on it would lose their only key.
+        return keyed.withColumn(BUCKET, F.pmod(F.xxhash64(*order), F.lit(1)).cast("int"))
+    # As texts NaN equals itself, too.
+    widths = (w for w in range(1, len(order)) if all(a[:w] != b[:w] and str(a[:w]) != str(b[:w]) for a, b in zip(picked, picked[1:])))
+    width = next(widths, len(order))
+    cuts = [F.struct(*(F.lit(row[i]).cast(types[i]).alias(order[i]) for i in range(width))) for row in picked]
+    return keyed.withColumn(BUCKET, _range_of(F.struct(*keys[:width]), cuts, 0, len(cuts)))
 
 
 def _range_of(key: Column, cuts: list[Column], low: int, high: int) -> Column:

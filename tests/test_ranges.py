@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tabprep import scratch
 from tabprep.operators.diff import compare_values
-from tabprep.operators.facts import dense_key, register_members
+from tabprep.operators.facts import dense_key, register_members, to_transaction_fact
 from tabprep.operators.metrics import alerts_with_cooldown
 from tabprep.operators.missing import exact_median, fill_directional
-from tabprep.scratch import BUCKET, cut_ranges
+from tabprep.scratch import BUCKET, cut_ranges, materialize
 from tabprep.sources.odata import follow_links, read_odata_chains
 
 
@@ -184,3 +184,26 @@ def test_keys_stay_over_loads(spark, tmp_path):
     assert load(2, ("a", 0), ("m", 1), (None, None)) == second
     assert load(3, ("m", 1)) == second
     assert load(4, ("b", 0)) == {**second, ("b", 0): 5}
+
+
+def test_cuts_hold_the_columns_that_tell_them_apart(spark):
+    df = materialize(spark.range(1000).selectExpr("id AS a", "id % 3 AS b", "0 AS c"))
+    plan = plan_of(cut_ranges(df, ["a", "b"], unique=True).select(BUCKET))
+    assert "ReadSchema: struct<a:bigint>" in plan
+    tied = cut_ranges(df, ["c", "a"], unique=True).groupBy(BUCKET).agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    rows = tied.orderBy(BUCKET).collect()
+    assert len(rows) > 1 and all(x.high < y.low for x, y in zip(rows, rows[1:]))
+
+
+def test_facts_are_joined_once(spark):
+    """Cuts, offsets and keys are taken from written facts; one range needs no join of all pairs."""
+    ledger = materialize(
+        spark.range(500).selectExpr(
+            "cast(id AS string) AS TransactionID", "date'2024-01-01' AS Date", "cast(id % 3 AS string) AS AccountCode", "'a' AS AccountName",
+            "cast(id % 5 AS string) AS Department", "'c' AS CostCenter", "'e' AS Entity", "'s' AS Scenario", "1.5 AS AmountLocal", "1.5 AS AmountEUR", "1.0 AS FXRateUsed",
+        )
+    )
+    fact = to_transaction_fact(ledger)
+    assert plan_of(fact).count("Join ") == 1
+    assert sorted(r.transaction_key for r in fact.collect()) == list(range(1, 501))
+    assert "NestedLoopJoin" not in plan_of(dense_key(ledger.limit(0), "k", ["TransactionID"], unique=True))
