@@ -105,8 +105,12 @@ def validate_transactions(df: DataFrame, quarantine_threshold: float | None = 0.
 
 
 def with_status(validated: DataFrame, status: str) -> DataFrame:
-    """The rows of one status, without the check columns."""
-    return validated.where(F.col(STATUS) == status).drop(ERRORS, STATUS)
+    """The rows of one status, without the check columns.
+
+    Valid rows are those without errors, whatever the share of bad ones, which then need not be counted.
+    """
+    held = F.size(ERRORS) == 0 if status == VALID else F.col(STATUS) == status
+    return validated.where(held).drop(ERRORS, STATUS)
 
 
 def validation_errors(validated: DataFrame, id_column: str) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tabprep.contracts import TENDER_RAW, TRANSACTION_RAW
@@ -139,3 +140,9 @@ def test_status_split_is_whole(spark):
     )
     checked = validate_transactions(df)
     assert sum(with_status(checked, s).count() for s in ("valid", "invalid", "quarantined")) == 100
+
+
+def test_valid_rows_need_no_share_of_bad_ones(spark):
+    df = spark.createDataFrame([("T1", None), ("T2", "x")], "TenderID string, ProjectName string")
+    checked = validate_tenders(df)
+    assert "ubquery" not in plan_of(with_status(checked, "valid")) and "ubquery" in plan_of(with_status(checked, "invalid"))
