@@ -122,17 +122,21 @@ def _sides(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str])
     return rows1.unionByName(rows2, allowMissingColumns=True)
 
 
-def _met(sides: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of both tables, with the number of rows on either side and one row of each: one exchange.
+def _met(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Pairs of rows whose key is held once on either side, as ``r1`` and ``r2``, and the other keys of both tables.
 
-    Copies of a key are folded before it.
+    The second frame has ``n1`` and ``n2``, the key's rows on either side, and is written down: it decides which rows
+    the join leaves out, so that no key, however often it repeats, forms pairs or meets in one task.
     """
-    total = [F.sum(n).cast(PAIRS).alias(n) for n in ("n1", "n2")]
-    rows = [F.first(r, ignorenulls=True).alias(r) for r in ("r1", "r2")]
-    return sides.groupBy(*keys).agg(*total, *rows).where("n1 > 0 and n2 > 0")
-
-
-SINGLE, REPEATED = "n1 = 1 and n2 = 1", "n1 > 1 or n2 > 1"
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sides = df1.select(*keys, one.alias("n1"), zero.alias("n2")).unionByName(df2.select(*keys, zero.alias("n1"), one.alias("n2")))
+    counts = sides.groupBy(*keys).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).where("n1 > 1 or n2 > 1")
+    repeated = materialize(counts.withColumns({n: F.col(n).cast(PAIRS) for n in ("n1", "n2")}))
+    rows1, rows2 = (
+        null_safe_join(df.select(*keys, F.struct(*columns).alias(r)), repeated.select(*keys), keys, "left_anti")
+        for df, r in ((df1, "r1"), (df2, "r2"))
+    )
+    return null_safe_join(rows1, rows2, keys, "inner"), repeated.where("n1 > 0 and n2 > 0")
 
 
 def compare_values(
@@ -140,22 +144,20 @@ def compare_values(
 ) -> DataFrame:
     """Columns that differ between rows of equal key, with the number of differing pairs of rows.
 
-    Rows whose key is held once on either side are compared in the aggregate that brings them
-    together. Where a key repeats, however often, its pairs are counted without being formed.
+    Rows whose key is held once on either side are joined. Where a key repeats, however often, its
+    pairs are counted without being formed.
     """
     keys = list(keys)
     common = _common(df1, df2, keys)
-    sides = _sides(df1, df2, keys, common)
-    met = _met(sides, keys)
-    differing = met.where(SINGLE).agg(
+    single, repeated = _met(df1, df2, keys, common)
+    differing = single.agg(
         *[
             F.count_if(_differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance)).cast(PAIRS).alias(c)
             for c in common
         ]
     ).unpivot([], common, "column", "differences")
-    repeated = met.where(REPEATED)
     pairs = repeated.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).cast(PAIRS).alias("pairs")).scalar()
-    again = null_safe_join(sides, repeated.select(*keys), keys, "left_semi")
+    again = null_safe_join(_sides(df1, df2, keys, common), repeated.select(*keys), keys, "left_semi")
     kinds = {c: df1.schema[c].dataType for c in common}
     equal = _equal_pairs(again, keys, kinds, tolerance)
     return (
@@ -254,8 +256,7 @@ def compare_samples(
     """
     keys = list(keys)
     common = _common(df1, df2, keys)
-    sides = _sides(df1, df2, keys, common)
-    met = _met(sides, keys)
+    single, repeated = _met(df1, df2, keys, common)
     entries = [
         F.when(
             _differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance),
@@ -269,8 +270,9 @@ def compare_samples(
         )
         for c in common
     ]
-    differing = met.where(SINGLE).select(*keys, F.inline(F.array_compact(F.array(*entries))))
-    again = null_safe_join(sides, met.where(REPEATED).select(*keys), keys, "left_semi")
+    differing = single.select(*keys, F.inline(F.array_compact(F.array(*entries))))
+    # Every column looks at these rows four times.
+    again = materialize(null_safe_join(_sides(df1, df2, keys, common), repeated.select(*keys), keys, "left_semi"))
     for c in common:
         one, two = (_ends(again, keys, c, side, n + 1) for side in (1, 2))
         pairs = null_safe_join(one, two, keys, "inner")

@@ -38,6 +38,7 @@ from tabprep.operators.redaction import (
     redact_credentials,
     scan_sensitive,
 )
+from tabprep.scratch import materialize
 from tabprep.sinks.bucketed import read_bucketed, upsert_bucketed, write_bucketed
 
 
@@ -437,3 +438,16 @@ def test_rows_of_other_types_are_not_equal(spark):
     df = spark.range(3)
     assert compare_rows(df, df.selectExpr("id")).first()[0]
     assert not compare_rows(df, df.selectExpr("CAST(id AS INT) AS id")).first()[0]
+
+
+def test_values_are_compared_in_one_join_of_the_tables(spark):
+    """Rows are not sorted before the exchange, and each table is read once for its single keys."""
+    one = materialize(spark.range(200).selectExpr("id % 190 AS k", "cast(id AS string) AS s"))
+    two = materialize(spark.range(200).selectExpr("id % 190 AS k", "cast(id + int(id % 7 = 0) AS string) AS s"))
+    found = compare_values(one, two, ["k"])
+    assert "SortAggregate" not in plan_of(found)
+    pairs = one.join(two.withColumnRenamed("s", "t"), "k").where("s <> t").count()
+    assert [int(r.differences) for r in found.collect()] == [pairs]
+    samples = compare_samples(one, two, ["k"])
+    assert plan_of(samples).count("ReadSchema: struct<k:bigint,s:string>") == 2
+    assert len(samples.collect()) == 5
