@@ -10,14 +10,15 @@ The product is done in two blocks. The first multiplies every column by its smal
 takes of the rows that a row meets so the one that it meets most often: no more pairs than rows,
 however many copies a column holds. Overlaps of these pairs are counted in full and the links are
 closed to components. The second block takes the columns whose rows still lie in different
-components and multiplies rows across components. Where near copies would make many such pairs,
+components and multiplies rows across components. Where near copies would make very many such pairs,
 rows are first multiplied by random neighbours in their columns, again one partner for each row,
 round after round, which joins dense groups soon. Rows of one component need no
-further comparison, so groups of near copies never form all their pairs.
+further comparison, so groups of near copies that are linked never form all their pairs.
 
-Pairs are discarded by bounds derived from sizes: the sizes must be within the similarity, from a
-shared column on enough shingles must be left on either side, and the overlap accumulated over the
-first columns must be large enough for the later ones to make up the rest.
+Pairs are discarded by bounds: the sizes must be within the similarity, from a shared column on
+enough shingles must be left on either side, and the odd sketches of the two sets, a bit or less for
+each byte of shingle hashes, must not differ in more places than the similarity allows. The last one
+settles nearly all pairs that fall short by little, so that whole sets are read for few others than links.
 """
 
 from __future__ import annotations
@@ -37,11 +38,17 @@ WORDS, PERCENT = 5, 75
 #: Counters of the frequency sketch, and how many of them make one output row.
 SKETCH_BITS, CHUNK = 18, 1 << 14
 
+#: Bits of an odd sketch for each shingle, at least; they are a power of two, so that sketches can be folded.
+ODD_BITS = 4
+
 #: Orders in which a round looks for neighbours, and parts of a column with very many entries.
 ORDERS, SALTS = 12, 64
 
+#: Pairs for each entry, from which on rounds of neighbours come before all pairs.
+DENSE = 8
+
 _DOC, _SKETCH = 0, 1
-_PASS_ONE = "kind int, doc_id bigint, n bigint, key bigint, chunk int, counts binary"
+_PASS_ONE = "kind int, doc_id bigint, n bigint, key bigint, odd array<bigint>, chunk int, counts binary"
 
 
 def _key(found: np.ndarray) -> int:
@@ -49,25 +56,33 @@ def _key(found: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _odd(found: np.ndarray) -> list[int]:
+    """Odd sketch of a shingle set, as 64-bit numbers: a bit for each slot that an odd number of shingles falls into."""
+    bits = max(64, 1 << (ODD_BITS * len(found) - 1).bit_length())
+    counts = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(bool)).view(np.int64).tolist()
+
+
 def _scan(batches, size):
     """One row per document, then this task's counts of shingles per sketch counter."""
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     schema = pa.schema(
-        [("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())]
+        [("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("odd", pa.list_(pa.int64())),
+         ("chunk", pa.int32()), ("counts", pa.binary())]
     )
     rows = []
     for doc_id, text in rows_of(batches, "doc_id", "text"):
         found = shingles(Words(text, lower=True), size)
         if len(found):
             np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        rows.append((_DOC, doc_id, len(found), _key(found) if len(found) else None, None, None))
-        if len(rows) >= 10_000:
+        rows.append((_DOC, doc_id, len(found), _key(found) if len(found) else None, _odd(found) if len(found) else None, None, None))
+        if len(rows) >= 2_000:
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
             rows = []
     for chunk in range(len(counts) // CHUNK):
         part = counts[chunk * CHUNK : (chunk + 1) * CHUNK]
         if part.any():
-            rows.append((_SKETCH, None, None, None, chunk, zlib.compress(part.tobytes(), 1)))
+            rows.append((_SKETCH, None, None, None, None, chunk, zlib.compress(part.tobytes(), 1)))
     if rows:
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
 
@@ -167,10 +182,16 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     shared = _shared(postings)
     first = named.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    odd = scan.filter("kind = 0 and doc_id is not null and n > 0").select("key", "n", "odd")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """The pairs that their odd sketches leave possible."""
+        pairs = materialize(pairs)
+        ids = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+        return materialize(_close(pairs, likely(odd, "key", bitmap(ids, "key")).dropDuplicates(["key"]), percent))
 
-    def linked(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame) -> DataFrame:
         """The pairs that the similarity links, their overlaps counted in full."""
-        pairs = materialize(_bounded(pairs, entries, percent))
         ids = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(first, "key")
         wanted = likely(texts, "doc_id", bitmap(ids, "doc_id")).select("text")
         sets = wanted.mapInArrow(lambda b: _sets(b, words), "key bigint, found array<bigint>").dropDuplicates(["key"])
@@ -185,27 +206,25 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     same_id = named.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b")
     same_id = named.join(same_id.select("doc_id", "a"), "doc_id").filter("key <> a").select("a", F.col("key").alias("b"))
     entries = materialize(shared.select("h", "key", "n", "left").distinct())
-    groups = components(linked(tried, entries).union(same_id))
+    groups = components(linked(near(tried)).union(same_id))
 
     rest = _undecided(entries, groups)
     (held, across), before, turn = _sizes(rest), None, 0
-    # Rounds of neighbours, while many pairs are left and a round still settles a tenth of them.
-    while across and (before is None or across > 4 * held and across < 0.9 * before):
-        groups = components(linked(_neighbours(rest, turn, percent), rest).union(groups.toDF("a", "b")))
+    # Rounds of neighbours, while very many pairs are left and a round still settles a fifth of them.
+    while across > DENSE * held and (before is None or across < 0.8 * before):
+        groups = components(linked(near(_neighbours(rest, turn, percent))).union(groups.toDF("a", "b")))
         rest = _undecided(rest.drop("component"), groups)
         before, turn = across, turn + 1
         held, across = _sizes(rest)
     if across:
-        met = materialize(_across(rest, percent))
-        # One partner for each row first, the one with which it shares most columns, while that settles a tenth of the pairs.
-        before, left = None, met.count()
-        while left and (before is None or left < 0.9 * before):
-            best = met.groupBy("a").agg(F.max(F.struct("times", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-            groups = components(linked(_pairs(best), rest).union(groups.toDF("a", "b")))
-            met = materialize(_apart(met.join(best, ["a", "b"], "left_anti"), groups))
-            before, left = left, met.count()
-        if left:
-            groups = components(linked(_pairs(met), rest).union(groups.toDF("a", "b")))
+        met = near(_across(rest, percent))
+        # One partner for each row first, the one with which it shares most columns.
+        best = met.groupBy("a").agg(F.max(F.struct("times", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+        best = materialize(best)
+        groups = components(linked(best).union(groups.toDF("a", "b")))
+        met = materialize(_apart(met.join(best, ["a", "b"], "left_anti"), groups))
+        if not met.isEmpty():
+            groups = components(linked(met).union(groups.toDF("a", "b")))
 
     label = F.coalesce("component", "key")
     of_key = named.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", label)
@@ -245,21 +264,29 @@ def _one_partner(met: DataFrame) -> DataFrame:
     return best.select(F.least("key", "best.partner").alias("a"), F.greatest("key", "best.partner").alias("b")).distinct()
 
 
-def _bounded(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose shared columns, counted, leave the similarity possible.
+def _close(pairs: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose odd sketches, ``(key, n, odd)``, leave the similarity possible.
 
-    Of two rows, the one whose first columns end earlier in the order shares none of them with the later
-    columns of the other. So the overlap is at most the shared first columns plus its own later ones.
+    Where the sketches of two sets differ, a shingle of that slot is in one set only. So the sets differ by as
+    many shingles at least, and no linked pair is lost. Sketches of sizes that the similarity allows have equal
+    lengths, or one has twice the other's; its halves are folded onto each other.
     """
-    # A row's columns are at most as many as its own shingles.
-    columns = entries.groupBy("key").agg(F.collect_set("h").alias("columns"), F.max("n").alias("n"))
-    mine, yours = (columns.toDF(k, f"{k}_columns", f"{k}_n") for k in "ab")
-    counted = pairs.join(mine, "a").join(yours, "b").select(
-        "a", "b", F.size(F.array_intersect("a_columns", "b_columns")).alias("shared"),
-        F.greatest("a_n", "b_n").alias("larger"), (F.col("a_n") + F.col("b_n")).alias("both"),
-    )
-    later = F.ceil(F.col("larger") * percent / 100) - 1
-    return counted.filter((F.col("shared") + later) * (100 + percent) >= F.col("both") * percent).select("a", "b")
+    mine, yours = (odd.toDF(k, f"{k}_n", f"{k}_odd") for k in "ab")
+    fits = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    met = pairs.join(mine, "a").join(yours, "b").filter(fits)
+    half = F.least(F.size("a_odd"), F.size("b_odd"))
+
+    def folded(sketch: str) -> Column:
+        other = F.slice(sketch, half + 1, half)
+        return F.when(F.size(sketch) == half, F.col(sketch)).otherwise(F.zip_with(F.slice(sketch, F.lit(1), half), other, _differing))
+
+    ones = F.transform(F.zip_with(folded("a_odd"), folded("b_odd"), _differing), F.bit_count)
+    differ = F.aggregate(ones, F.lit(0), lambda total, x: total + x)
+    return met.filter(differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)).select(pairs.columns)
+
+
+def _differing(x: Column, y: Column) -> Column:
+    return x.bitwiseXOR(y)
 
 
 def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
@@ -308,7 +335,7 @@ def _across(located: DataFrame, percent: int) -> DataFrame:
     )
     smaller = located.withColumnRenamed("key", "a").withColumn("band", F.explode(F.array(band, band + 1)))
     pairs = smaller.join(larger, ["h", "band"]).filter(
-        "component <> other and n <= m"
+        "component <> other and (n < m or n = m and a < b)"
     ).filter(_possible(percent, F.col("n"), F.col("left"), F.col("m"), F.col("m_left")))
     return pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
 
@@ -319,6 +346,3 @@ def _apart(met: DataFrame, groups: DataFrame) -> DataFrame:
     located = met.join(a, "a", "left").join(b, "b", "left")
     return located.filter(F.coalesce("a_now", "a") != F.coalesce("b_now", "b")).drop("a_now", "b_now")
 
-
-def _pairs(met: DataFrame) -> DataFrame:
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,6 +130,47 @@ def test_rounds_of_a_dense_group(spark, monkeypatch):
     assert len(rounds) <= 4 and all(partner(met).count() <= 400 for met in rounds)
 
 
+def test_near_misses_are_compared_once(spark, monkeypatch):
+    """Texts that share two thirds make each pair once, and few of them reach the whole sets."""
+    base, rows = prose(2, 300, 5000), []
+    for k in range(60):
+        changed = list(base)
+        for j in range(6):
+            changed[(k * 5 + j * 47) % 300] = f"x{k}y{j}"
+        rows.append((k, " ".join(changed)))
+    rows += [(100 + k, text) for k, text in rows[::10]] + [(200, rows[7][1] + " and a little more")]
+    plain, written = ngram_join.materialize, []
+
+    def counted(df, *args):
+        out = plain(df, *args)
+        if {"a", "b"} <= set(out.columns):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", counted)
+    found = rows_of(ngram_join.similar_groups(frame(spark, rows)))
+    assert found == groups(rows)
+    assert len({c for _, _, c in found}) > 40
+    assert sum(written) < 1.3 * 60 * 59 / 2
+
+
+def test_odd_sketches_lose_no_link(spark):
+    draw, pairs, sets, linked, far = np.random.default_rng(3), [], [], set(), set()
+    for k in range(300):
+        n, left_out = int(draw.integers(1, 600)), int(draw.integers(0, 200))
+        first = np.unique(draw.integers(0, 2**64, n, np.uint64))
+        second = first[min(left_out * n // 400, n - 1) :]
+        second = np.unique(np.concatenate([second, draw.integers(0, 2**64, int(draw.integers(0, 1 + n // 5)), np.uint64)]))
+        sets += [(2 * k, len(first), ngram_join._odd(first)), (2 * k + 1, len(second), ngram_join._odd(second))]
+        pairs.append((2 * k, 2 * k + 1))
+        share = len(np.intersect1d(first, second)) / len(np.union1d(first, second))
+        (linked if share >= 0.75 else far if share < 0.6 and n > 100 else set()).add(2 * k)
+    odd = spark.createDataFrame(sets, "key bigint, n bigint, odd array<bigint>")
+    kept = {r.a for r in ngram_join._close(spark.createDataFrame(pairs, "a bigint, b bigint"), odd, 75).collect()}
+    assert len(linked) > 50 and linked <= kept
+    assert len({len(s) for _, _, s in sets}) > 4 and len(far) > 20 and not far & kept
+
+
 @pytest.mark.parametrize("period", [1, 2, 7, 13, 31])
 def test_difference_cover(period):
     cover = set(substring_dedup.difference_cover(period))
