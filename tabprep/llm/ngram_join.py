@@ -41,6 +41,9 @@ SKETCH_BITS, CHUNK = 18, 1 << 14
 #: Bits of an odd sketch for each shingle, at least; they are a power of two, so that sketches can be folded.
 ODD_BITS = 4
 
+#: First columns that two rows must share at least, where their sizes leave room for that.
+SHARED = 4
+
 #: Orders in which a round looks for neighbours, and parts of a column with very many entries.
 ORDERS, SALTS = 12, 64
 
@@ -291,8 +294,11 @@ def _differing(x: Column, y: Column) -> Column:
 
 def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
     """The entries, with the component of their row, of columns that meet more than one component."""
-    located = entries.join(groups.withColumnRenamed("node", "key"), "key", "left")
-    located = located.withColumn("component", F.coalesce("component", "key"))
+    # Most rows are in no group; they are told by a bitmap and not exchanged for their component.
+    found, own = bitmap(groups, "node"), F.col("key")
+    members = likely(entries, "key", found).join(groups.withColumnRenamed("node", "key"), "key", "left")
+    members = members.withColumn("component", F.coalesce("component", own))
+    located = members.unionByName(likely(entries, "key", found, without=True).withColumn("component", own))
     mixed = located.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     return materialize(located.join(mixed.select("h"), "h"))
 
@@ -328,16 +334,23 @@ def _across(located: DataFrame, percent: int) -> DataFrame:
 
     The smaller row of a pair looks for partners in its own size band and the next: a band spans the
     ratio of sizes that the similarity allows.
+
+    Rows whose overlap must be ``needed`` share a column from which on that many shingles are left in both. Where
+    ``least - 1`` columns more are looked at, they share ``least``: of the two rows, the one whose columns end
+    earlier has ``needed - least`` shingles behind them, and meets the other's with no more than these and the shared.
     """
     band = F.floor(F.ln(F.col("n").cast("double")) / F.ln(F.lit(100 / percent)) + F.lit(1e-9))
     larger = located.withColumn("band", band).withColumnsRenamed(
         {"key": "b", "n": "m", "left": "m_left", "component": "other"}
     )
     smaller = located.withColumnRenamed("key", "a").withColumn("band", F.explode(F.array(band, band + 1)))
-    pairs = smaller.join(larger, ["h", "band"]).filter(
-        "component <> other and (n < m or n = m and a < b)"
-    ).filter(_possible(percent, F.col("n"), F.col("left"), F.col("m"), F.col("m_left")))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
+    needed = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+    # Columns that are no row's first ones are not there; the larger row's end first.
+    least = 1 + F.least(F.lit(SHARED - 1), needed - F.ceil(F.col("m") * percent / 100))
+    pairs = smaller.join(larger, ["h", "band"]).filter("component <> other and (n < m or n = m and a < b)")
+    pairs = pairs.filter(F.col("n") * 100 >= F.col("m") * percent).filter(F.least("left", "m_left") > needed - least)
+    met = pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.max(least).alias("least"))
+    return met.filter("times >= least").select("a", "b", "times")
 
 
 def _apart(met: DataFrame, groups: DataFrame) -> DataFrame:
