@@ -9,12 +9,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.scratch import BUCKET, cut_ranges, materialize, null_safe_join
+from tabprep.scratch import BUCKET, cut_ranges, materialize, null_safe_join, passing
 
 TOLERANCE = 1e-10
 SAMPLES = 5
+#: Rows of a key on either side up to which its pairs are formed where values are counted.
+FORMED = 32
+#: Rows of both tables that are exchanged at a time where values are counted, about.
+PASS_ROWS = 32 << 20
 PAIRS = "decimal(38,0)"
 UNITS = "decimal(38,0)"
+UNIT_DIGITS = 38
 
 
 def table_hash(df: DataFrame, columns: Sequence[str] | None = None, position: Sequence[str] = ()) -> DataFrame:
@@ -103,11 +108,22 @@ def _number(c: Column, held: T.DataType, tolerance: float) -> tuple[Column, Colu
     return c.cast(UNITS), F.lit(units).cast(UNITS)
 
 
-def _differs(a: Column, b: Column, held: T.DataType, tolerance: float) -> Column:
+def _differs(a: Column, b: Column, held: T.DataType, tolerance: float, alike: bool = False) -> Column:
+    """Whether two values differ; ``alike`` if both have the type ``held``."""
     if _exact(held, tolerance):
         return ~_known(a, held).eqNullSafe(_known(b, held))
     (x, apart), (y, _) = _number(a, held, tolerance), _number(b, held, tolerance)
-    return (x.isNull() != y.isNull()) | F.coalesce(~y.between(x - apart, x + apart), F.lit(False))
+    differs = (x.isNull() != y.isNull()) | F.coalesce(~y.between(x - apart, x + apart), F.lit(False))
+    if not alike or not isinstance(held, T.DecimalType) or not 0 < held.scale < UNIT_DIGITS:
+        return differs
+    units = int(Decimal(repr(tolerance)).scaleb(held.scale))
+    if units >= 10**UNIT_DIGITS:
+        return differs
+    # Whole numbers of last digits are made as texts, which takes long; with a digit less a difference fits the type.
+    narrow = T.DecimalType(min(held.precision, UNIT_DIGITS - 1), held.scale)
+    x, y = a.try_cast(narrow), b.try_cast(narrow)
+    far = F.abs(x - y) > F.lit(Decimal(f"{units}E-{held.scale}"))
+    return F.when(a.eqNullSafe(b), F.lit(False)).when(x.isNotNull() & y.isNotNull(), far).otherwise(differs)
 
 
 def _common(df1: DataFrame, df2: DataFrame, keys: list[str]) -> list[str]:
@@ -122,15 +138,15 @@ def _sides(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str])
     return rows1.unionByName(rows2, allowMissingColumns=True)
 
 
-def _met(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Pairs of rows whose key is held once on either side, as ``r1`` and ``r2``, and the other keys of both tables.
+def _met(df1: DataFrame, df2: DataFrame, keys: list[str], columns: list[str], most: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Pairs of rows whose key is held ``most`` times at most on either side, as ``r1`` and ``r2``, and the other keys of both tables.
 
     The second frame has ``n1`` and ``n2``, the key's rows on either side, and is written down: it decides which rows
-    the join leaves out, so that no key, however often it repeats, forms pairs or meets in one task.
+    the join leaves out, so that no key, however often it repeats, forms more pairs or meets in one task.
     """
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     sides = df1.select(*keys, one.alias("n1"), zero.alias("n2")).unionByName(df2.select(*keys, zero.alias("n1"), one.alias("n2")))
-    counts = sides.groupBy(*keys).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).where("n1 > 1 or n2 > 1")
+    counts = sides.groupBy(*keys).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).where(f"n1 > {most} or n2 > {most}")
     repeated = materialize(counts.withColumns({n: F.col(n).cast(PAIRS) for n in ("n1", "n2")}))
     rows1, rows2 = (
         null_safe_join(df.select(*keys, F.struct(*columns).alias(r)), repeated.select(*keys), keys, "left_anti")
@@ -144,30 +160,59 @@ def compare_values(
 ) -> DataFrame:
     """Columns that differ between rows of equal key, with the number of differing pairs of rows.
 
-    Rows whose key is held once on either side are joined. Where a key repeats, however often, its
-    pairs are counted without being formed.
+    Rows whose key is held ``FORMED`` times at most on either side are joined. Where a key repeats more often, its
+    pairs are counted without being formed. The keys are dealt to passes by a hash, and each pass drops what it has
+    exchanged and written before the next, so the disk that it takes does not grow with the tables. They are
+    read anew in each pass.
     """
     keys = list(keys)
-    common = _common(df1, df2, keys)
-    single, repeated = _met(df1, df2, keys, common)
-    differing = single.agg(
-        *[
-            F.count_if(_differs(F.col("r1")[c], F.col("r2")[c], df1.schema[c].dataType, tolerance)).cast(PAIRS).alias(c)
-            for c in common
-        ]
-    ).unpivot([], common, "column", "differences")
-    pairs = repeated.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).cast(PAIRS).alias("pairs")).scalar()
-    again = null_safe_join(_sides(df1, df2, keys, common), repeated.select(*keys), keys, "left_semi")
-    kinds = {c: df1.schema[c].dataType for c in common}
-    equal = _equal_pairs(again, keys, kinds, tolerance)
-    return (
-        differing.join(equal, "column", "left")
-        .select(
-            "column",
-            (F.col("differences") + pairs - F.coalesce("equal", F.lit(0))).cast(PAIRS).alias("differences"),
-        )
-        .where(F.col("differences") > 0)
-    )
+    kinds = {c: df1.schema[c].dataType for c in _common(df1, df2, keys)}
+    spark, totals = df1.sparkSession, dict.fromkeys(kinds, 0)
+    passes = _passes(df1, df2, keys)
+    for number in range(passes):
+        sides = (df1, df2) if passes == 1 else (df.where(_pass_of(df, keys, passes) == number) for df in (df1, df2))
+        with passing(spark):
+            for column, n in _differences(*sides, keys, kinds, tolerance).items():
+                totals[column] += n
+    found = [F.struct(F.lit(c).alias("column"), F.lit(str(n)).cast(PAIRS).alias("differences")) for c, n in totals.items()]
+    return spark.range(1).select(F.inline(F.array(*found))).where(F.col("differences") > 0)
+
+
+def _passes(df1: DataFrame, df2: DataFrame, keys: list[str]) -> int:
+    """How many passes the keys are dealt to; one, if equal keys of other types would have other hashes."""
+    for c in keys:
+        a, b = df1.schema[c].dataType, df2.schema[c].dataType
+        if a != b and not (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)):
+            return 1
+    return max(1, -(-(df1.count() + df2.count()) // PASS_ROWS))
+
+
+def _pass_of(df: DataFrame, keys: list[str], passes: int) -> Column:
+    parts = (F.col(c).cast("bigint") if isinstance(df.schema[c].dataType, T.IntegralType) else F.col(c) for c in keys)
+    # Not the remainder: tasks and ranges are told by other hashes of the same keys.
+    return F.pmod(F.xxhash64(F.lit("pass"), *parts), F.lit(passes))
+
+
+def _differences(df1: DataFrame, df2: DataFrame, keys: list[str], kinds: dict[str, T.DataType], tolerance: float) -> dict[str, int]:
+    """Number of differing pairs of rows per column."""
+    met, repeated = _met(df1, df2, keys, list(kinds), FORMED)
+    differing = []
+    for c, held in kinds.items():
+        alike = df2.schema[c].dataType == held
+        differing.append(F.count_if(_differs(F.col("r1")[c], F.col("r2")[c], held, tolerance, alike)))
+    totals = dict(zip(kinds, met.agg(*differing).first(), strict=True))
+    pairs, rows = repeated.agg(F.sum((F.col("n1") * F.col("n2")).cast(PAIRS)), F.sum(F.col("n1") + F.col("n2"))).first()
+    if pairs:
+        again = materialize(null_safe_join(_sides(df1, df2, keys, list(kinds)), repeated.select(*keys), keys, "left_semi"))
+        # A row makes an entry of each column: as many columns at a time as make no more entries than a pass has rows.
+        some = max(1, PASS_ROWS // int(rows))
+        for at in range(0, len(kinds), some):
+            part = dict([*kinds.items()][at : at + some])
+            with passing(df1.sparkSession):
+                equal = {r.column: int(r.equal) for r in _equal_pairs(again, keys, part, tolerance).collect()}
+            for c in part:
+                totals[c] += int(pairs) - equal.get(c, 0)
+    return totals
 
 
 def _equal_pairs(sides: DataFrame, keys: list[str], kinds: dict[str, T.DataType], tolerance: float) -> DataFrame:

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,17 +45,46 @@ def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame to the scratch folder and read it back with its exact size known."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return _delete(spark, scratch_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     return files.delete(path, True)
 
 
+# The intermediate tables written so far within ``passing``.
+_passing: ContextVar[list[str] | None] = ContextVar("_passing", default=None)
+#: Whether Spark deletes the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """A block whose frames are all settled within it: what they have written and exchanged goes when they are done."""
+    before, token = spark.conf.get(_CLEANUP, None), _passing.set(written := [])
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+        for path in written:
+            _delete(spark, path)
+
+
 def range_buckets(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows cut into ranges of the sort key, the number of the range kept in ``_bucket``.
 

@@ -3,12 +3,14 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import random
-from decimal import Decimal
+from decimal import Decimal, localcontext
+from pathlib import Path
 
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from tabprep.operators import diff
 from tabprep.operators.diff import (
     compare_keys,
     compare_rows,
@@ -38,7 +40,7 @@ from tabprep.operators.redaction import (
     redact_credentials,
     scan_sensitive,
 )
-from tabprep.scratch import materialize
+from tabprep.scratch import materialize, scratch_dir
 from tabprep.sinks.bucketed import read_bucketed, upsert_bucketed, write_bucketed
 
 
@@ -451,3 +453,57 @@ def test_values_are_compared_in_one_join_of_the_tables(spark):
     samples = compare_samples(one, two, ["k"])
     assert plan_of(samples).count("ReadSchema: struct<k:bigint,s:string>") == 2
     assert len(samples.collect()) == 5
+
+
+def test_values_are_counted_in_passes_that_leave_nothing(spark, monkeypatch):
+    """Keys dealt to passes, few or many rows of a key: equal to all pairs, and no intermediate table is left."""
+    monkeypatch.setattr(diff, "PASS_ROWS", 60)
+    monkeypatch.setattr(diff, "FORMED", 3)
+    rng = random.Random(5)
+
+    def rows(n):
+        keys = [0] * 20 + [None] * 5 + [rng.randrange(1, 60) for _ in range(n)]
+        return [(k, rng.choice([None, 0.0, -0.0, 0.25, 1e9]), rng.choice(["x", "y", None])) for k in keys]
+
+    one, two = rows(150), rows(170)
+    dfs = spark.createDataFrame(one, "k int, d double, s string"), spark.createDataFrame(two, "k bigint, d double, s string")
+    assert diff._passes(*dfs, ["k"]) == 7
+    # Equal keys of such types have other hashes.
+    assert diff._passes(dfs[0], dfs[1].withColumn("k", F.col("k").cast("string")), ["k"]) == 1
+    written = lambda: set(Path(scratch_dir(spark).removeprefix("file://")).glob("*"))
+    before = written()
+    for tolerance in (1e-10, 0.3):
+        got = compare_values(*dfs, ["k"], tolerance).collect()
+        assert {r.column: int(r.differences) for r in got} == brute_force(one, two, tolerance)[0]
+    assert written() == before
+
+
+def test_few_rows_of_a_key_are_compared_without_counting_values(spark, monkeypatch):
+    """Values are only counted where a key repeats often; before, every key held twice was."""
+    counted = []
+    monkeypatch.setattr(diff, "_equal_pairs", lambda sides, *rest, f=diff._equal_pairs: counted.append(sides.count()) or f(sides, *rest))
+    one = spark.range(400).selectExpr("id % 100 AS k", "id AS v")
+    assert [int(r.differences) for r in compare_values(one, one, ["k"]).collect()] == [100 * 12] and not counted
+    hot = one.union(spark.range(40).selectExpr("7 AS k", "id AS v"))
+    pairs = one.alias("a").join(hot.alias("b"), "k").where("a.v <> b.v").count()
+    assert [int(r.differences) for r in compare_values(one, hot, ["k"]).collect()] == [pairs] and counted == [48]
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,10)", "decimal(12,2)", "decimal(38,18)"])
+@pytest.mark.parametrize("tolerance", [1e-10, 2.5e-10, 0.01, 0.3])
+def test_decimals_keep_all_digits_at_the_tolerance(spark, kind, tolerance):
+    """Also those of 38 digits, whose difference fits no decimal."""
+    scale = int(kind[:-1].split(",")[1])
+    last, apart = Decimal(1).scaleb(-scale), Decimal(repr(tolerance))
+    bases = [Decimal(0), Decimal("-7.5"), Decimal("99999999.25")]
+    if kind == "decimal(38,10)":
+        bases += [Decimal("1e26"), Decimal("9999999999999999999999999990"), Decimal("-9999999999999999999999999990")]
+    with localcontext(prec=60):
+        whole = apart.quantize(last)
+        steps = [Decimal(0), last, whole, whole + last, -whole, -whole - last]
+        rows = [(i, a, a + s) for i, (a, s) in enumerate(itertools.product(bases, steps))]
+        rows += [(-1, None, Decimal(0)), (-2, None, None), (-3, Decimal(0), None), (-4, bases[-1], bases[0])]
+        expected = sum((a is None) != (b is None) or (a is not None and abs(a - b) > apart) for _, a, b in rows)
+    text = spark.createDataFrame([(i, *(None if v is None else f"{v:f}" for v in (a, b))) for i, a, b in rows], "k int, a string, b string")
+    one, two = (text.select("k", F.col(c).cast(kind).alias("v")) for c in "ab")
+    assert [int(r.differences) for r in compare_values(one, two, ["k"], tolerance).collect()] == [expected]
