@@ -26,6 +26,8 @@ _NO_LETTER = 0
 #: Standard deviations of a random text's cosine, up to which a cosine is no likeness, and the part of the learned
 #: documents of a text's length that may be less alike than it.
 NOISE, OUTLIERS = 4.0, 0.01
+#: By how much a text's cosine may vary with the texts that are worked on together.
+ROUNDING = 1e-5
 
 
 @cache
@@ -164,30 +166,28 @@ def learn_floors(docs: DataFrame, profiles: Profiles, text_column: str = "text",
     return {r.length: min(noise, r.low) for r in rows}
 
 
-def _resembling(batches, profiles, floors, text, lang):
+def _resembling(batches, profiles, floors, text):
     noise = NOISE / profiles.dimensions**0.5
     for batch in slices(batches):
         kept: list[bool] = []
-        for rows, grams in _blocks([batch], text, lang):
-            # Only texts without a given language need a likeness.
-            asked = [i for i, ((_, given), g) in enumerate(zip(rows, grams, strict=True)) if given is None and len(g)]
-            stays = [given is not None and bool(len(g)) for (_, given), g in zip(rows, grams, strict=True)]
-            if asked:
-                for i, value in zip(asked, profiles.likeness([grams[i] for i in asked]), strict=True):
-                    stays[i] = bool(value > floors.get(_length_class(grams[i]), noise))
+        for _, grams in _blocks([batch], text):
+            lettered = [i for i, g in enumerate(grams) if len(g)]
+            stays = [False] * len(grams)
+            if lettered:
+                for i, value in zip(lettered, profiles.likeness([grams[i] for i in lettered]), strict=True):
+                    # A floor that a learned text has set is reached by that text, in whatever block it comes.
+                    stays[i] = bool(value > floors.get(_length_class(grams[i]), noise) - ROUNDING)
             kept += stays
         yield batch.filter(pa.array(kept, pa.bool_()))
 
 
-def resembling(
-    docs: DataFrame, profiles: Profiles, floors: dict[int, float], text_column: str = "text", lang_column: str = "lang"
-) -> DataFrame:
-    """The rows whose text has letters and either a given language or more likeness than its length's floor."""
+def resembling(docs: DataFrame, profiles: Profiles, floors: dict[int, float], text_column: str = "text") -> DataFrame:
+    """The rows whose text has letters and as much likeness as its length's floor; every text is compared."""
     handed = docs.sparkSession.sparkContext.broadcast((profiles, floors))
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    text, lang = (names[docs.columns.index(c)] for c in (text_column, lang_column))
-    return plain.mapInArrow(lambda b: _resembling(b, *handed.value, text, lang), plain.schema).toDF(*docs.columns)
+    text = names[docs.columns.index(text_column)]
+    return plain.mapInArrow(lambda b: _resembling(b, *handed.value, text), plain.schema).toDF(*docs.columns)
 
 
 def learn_profiles(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", dimensions: int = DIMENSIONS) -> Profiles:

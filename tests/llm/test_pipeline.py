@@ -50,6 +50,23 @@ def test_language_stage_rejects_unlike_texts(spark):
     assert {r.doc_id for r in stage("language_id")(spark, spark.createDataFrame(one, DOCS), SF).collect()} == {1, 3}
 
 
+def test_language_stage_compares_texts_whose_language_is_given(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    unlike = ["Το γρήγορο αλεπούδι πηδά πάνω από το σκυλί " * 20, "съешь ещё этих мягких французских булок да выпей чаю " * 30, "xq zvkj wqpx jjkz vvxq kqzw xzzj qpwv " * 70]
+    like = [r.text for r in docs.filter("lang = 'de' and n_chars between 600 and 3000").orderBy("doc_id").limit(20).collect()]
+    rows = [(10**9 + k, t, "en", "s", len(t)) for k, t in enumerate(unlike + like)]
+    found = stage("language_id")(spark, docs.union(spark.createDataFrame(rows, DOCS)), SF)
+    assert {r.doc_id for r in found.filter("doc_id >= 1000000000").collect()} == {10**9 + k for k in range(len(unlike), len(rows))}
+    assert found.filter("doc_id < 1000000000").count() == docs.filter("text rlike '[a-zA-Z]'").count()
+
+
+def test_packing_stage_keeps_near_duplicates_apart(spark):
+    text = " ".join(f"w{k}" for k in range(300))
+    rows = [(1, text), (2, text.replace("w7 ", "v7 ")), (3, " ".join(f"u{k}" for k in range(300)))]
+    found = {r.doc_id: r.bin_id for r in stage("best_fit_packing")(spark, table(spark, rows), SF).collect()}
+    assert found[1] != found[2] and found[3] in (found[1], found[2])
+
+
 def test_near_duplicates_stage(spark):
     rows = corpus(31, 40)
     kept = {c for _, _, c in groups(rows)}
